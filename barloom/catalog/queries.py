@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.catalog.sqltext import AS_OF, query, rounded
-from barloom.operators import bronze, gold, silver
+from barloom.operators import backtest, bronze, gold, lookup, selection, serving, silver
+from barloom.operators import metrics as errors
+from barloom.schema import DiscoverConfig, IngestConfig, SelectionConfig
 from barloom.sources import testbed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +204,358 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     members = testbed.items_raw(spark, sf_dir).where("members").select(F.col("id").alias("item_id"))
     return gold.price_series(features(spark, sf_dir).join(members, "item_id", "left_semi"), bars(spark, sf_dir))
+
+
+# ---- item lists and selection --------------------------------------------------
+
+SELECTION = SelectionConfig(
+    top_n=10, min_days=24, min_volume=120, min_coverage_pct=85.0, lookback_days=30,
+    include_ids=(4, 5), exclude_ids=(76,),
+    include_names=(" OLD RING 90 ", "no such thing"), exclude_names=("Cold Gizmo 89",),
+)
+
+
+def stats(spark, sf_dir):
+    return selection.item_statistics(
+        silver_ts(spark, sf_dir), testbed.items_raw(spark, sf_dir), SELECTION.lookback_days, f"{AS_OF} 00:00:00")
+
+
+def pick(spark, sf_dir, mode="hybrid", force=False):
+    return selection.select_items(stats(spark, sf_dir), testbed.items_raw(spark, sf_dir), SELECTION, mode, force)
+
+
+@register("semi_include", query(
+    "SELECT item_id, ts, ph AS price_high FROM silver WHERE item_id IN (SELECT id FROM items WHERE members)", "silver", "items"))
+def _(spark, sf_dir):
+    members = testbed.items_raw(spark, sf_dir).where("members").select(F.col("id").alias("item_id"))
+    return lookup.only_ids(silver_ts(spark, sf_dir), members).select("item_id", "ts", "price_high")
+
+
+@register("anti_exclude", query(
+    "SELECT item_id, ts, ph AS price_high FROM silver WHERE item_id NOT IN (SELECT id FROM items WHERE members)", "silver", "items"))
+def _(spark, sf_dir):
+    members = testbed.items_raw(spark, sf_dir).where("members").select(F.col("id").alias("item_id"))
+    return lookup.without_ids(silver_ts(spark, sf_dir), members).select("item_id", "ts", "price_high")
+
+
+WANTED_NAMES = """
+  SELECT '  ' || upper(p_name) || ' ' AS name FROM part UNION SELECT upper(name) FROM items UNION SELECT p_name FROM part"""
+MIXED_MAPPING = "SELECT id, name FROM items UNION ALL SELECT p_partkey + 1000000, p_name FROM part"
+
+
+def wanted_names(spark, sf_dir):
+    """Plain part names padded and in upper case (ambiguous), full item names, plain names."""
+    items = testbed.items_raw(spark, sf_dir).select(F.upper("name").alias("name"))
+    plain = testbed.named_parts(spark, sf_dir).select("name")
+    padded = plain.select(F.concat(F.lit("  "), F.upper("name"), F.lit(" ")).alias("name"))
+    return padded.unionByName(items).unionByName(plain).distinct()
+
+
+def mixed_mapping(spark, sf_dir):
+    """Unique item names and, under other ids, the repeated plain names."""
+    plain = testbed.named_parts(spark, sf_dir).select((F.col("id") + 999_999).alias("id"), "name")
+    return testbed.items_raw(spark, sf_dir).select("id", "name").unionByName(plain)
+
+
+@register("resolve_names_skip", query(f"""
+  SELECT w.name, min(m.id) AS item_id FROM ({WANTED_NAMES}) w JOIN ({MIXED_MAPPING}) m
+  ON lower(m.name) = lower(trim(w.name)) GROUP BY w.name HAVING count(*) = 1""", "items"))
+def _(spark, sf_dir):
+    return lookup.resolve_names(wanted_names(spark, sf_dir), mixed_mapping(spark, sf_dir), "skip")
+
+
+@register("resolve_names_first", query(f"""
+  SELECT w.name, min(m.id) AS item_id FROM ({WANTED_NAMES}) w JOIN ({MIXED_MAPPING}) m
+  ON lower(m.name) = lower(w.name) GROUP BY w.name""", "items"))
+def _(spark, sf_dir):
+    return lookup.resolve_names(wanted_names(spark, sf_dir), mixed_mapping(spark, sf_dir), "first")
+
+
+@register("unresolved_names", query(f"""
+  SELECT w.name, IF(count(m.id) = 0, 'unknown', 'ambiguous') AS reason
+  FROM ({WANTED_NAMES}) w LEFT JOIN ({MIXED_MAPPING}) m ON lower(m.name) = lower(trim(w.name))
+  GROUP BY w.name HAVING count(m.id) <> 1""", "items"))
+def _(spark, sf_dir):
+    return lookup.unresolved_names(wanted_names(spark, sf_dir), mixed_mapping(spark, sf_dir), "skip")
+
+
+@register("auto_discover", query('SELECT item_id, buy_limit AS "limit" FROM discovered', "discovered"))
+def _(spark, sf_dir):
+    return lookup.auto_discover(testbed.items_raw(spark, sf_dir), min_limit=10_000, top_k=10)
+
+
+STATS_DOUBLES = ("median_units_per_day avg_units_per_day total_units median_price coverage_pct avg_price price_volatility "
+                 "avg_obs_per_day median_turnover_gp ranking_score")
+PICK_DOUBLES = "median_units_per_day median_price median_turnover_gp coverage avg_price ranking_score"
+
+
+@register("item_statistics", rounded("stats", STATS_DOUBLES, "stats"))
+def _(spark, sf_dir):
+    return stats(spark, sf_dir)
+
+
+@register("select_auto", rounded("pick_auto", PICK_DOUBLES, "pick_auto"))
+def _(spark, sf_dir):
+    return selection.ranked(pick(spark, sf_dir, "auto"))
+
+
+@register("select_hybrid", rounded("pick_hybrid", PICK_DOUBLES, "pick_hybrid"))
+def _(spark, sf_dir):
+    return selection.ranked(pick(spark, sf_dir, "hybrid"))
+
+
+@register("select_hybrid_force", rounded("pick_force", PICK_DOUBLES, "pick_force"))
+def _(spark, sf_dir):
+    return selection.ranked(pick(spark, sf_dir, "hybrid", True))
+
+
+@register("select_manual", rounded("pick_manual", PICK_DOUBLES, "pick_manual"))
+def _(spark, sf_dir):
+    return selection.ranked(pick(spark, sf_dir, "manual"))
+
+
+@register("selection_listing", rounded(
+    "pick_force", "median_units_per_day median_turnover_gp coverage", "pick_force",
+    cols="id, name, median_units_per_day, median_turnover_gp, coverage, days_with_data, selection_reason"))
+def _(spark, sf_dir):
+    return serving.selection_listing(pick(spark, sf_dir, "hybrid", True))
+
+
+@register("selection_summary", rounded(
+    """(SELECT count(*) AS total_items, count(*) FILTER (selection_reason = 'auto_selected') AS auto_selected,
+        count(*) FILTER (selection_reason = 'manual_include') AS manual_include,
+        min(median_units_per_day) AS min_units, max(median_units_per_day) AS max_units,
+        min(median_turnover_gp) AS min_turnover, max(median_turnover_gp) AS max_turnover,
+        min(coverage) AS min_coverage, max(coverage) AS max_coverage FROM pick_force)""",
+    "min_units max_units min_turnover max_turnover min_coverage max_coverage", "pick_force"))
+def _(spark, sf_dir):
+    return selection.selection_summary(pick(spark, sf_dir, "hybrid", True))
+
+
+@register("ingest_targets", query("""
+  SELECT item_id FROM (
+    SELECT item_id, min((src, pos)) AS place FROM (
+      SELECT id AS item_id, 0 AS src, -ranking_score AS pos FROM pick_hybrid
+      UNION ALL SELECT 17, 1, 0 UNION ALL SELECT 4, 1, 1 UNION ALL SELECT 19, 1, 2
+      UNION ALL SELECT id, 2, 0 FROM items WHERE name = 'red bolt 7'
+      UNION ALL SELECT item_id, 3, -buy_limit FROM discovered)
+    WHERE item_id <> 19 GROUP BY item_id ORDER BY place, item_id LIMIT 18)""", "pick_hybrid", "items", "discovered"))
+def _(spark, sf_dir):
+    config = IngestConfig(
+        include_ids=(17, 4, 19), include_names=("RED BOLT 7", "no such thing"), exclude_ids=(19,),
+        discover=DiscoverConfig(enabled=True, top_k=10, min_limit=10_000), max_items=18)
+    current = selection.selected_positions(pick(spark, sf_dir, "hybrid"))
+    return selection.ingest_targets(testbed.items_raw(spark, sf_dir), config, current).select("item_id")
+
+
+# ---- backtests -------------------------------------------------------------------
+
+FLAT = ("last_value", "moving_average")
+SCORE_COLS = "item_id, date, method, mae, smape, actual, predicted, horizon, window_size"
+SCORE_DOUBLES = "mae smape actual predicted"
+SPLIT_COLS = "item_id, split, date, train_start, train_end, train_size, test_end"
+
+
+def supplier(spark, sf_dir):
+    return testbed.supplier_daily(spark, sf_dir)
+
+
+def price_series(spark, sf_dir):
+    return gold.price_series(features(spark, sf_dir), silver.daily_bars(raw(spark, sf_dir)))
+
+
+def short_scores(spark, sf_dir, methods=FLAT):
+    return backtest.backtest_scores(price_series(spark, sf_dir), methods, window=10)
+
+
+def feature_series(spark, sf_dir):
+    return gold.scan_item_series(gold.gold_price_features(bars(spark, sf_dir)), "close_price")
+
+
+@register("rolling_splits", query(f"SELECT {SPLIT_COLS} FROM roll_splits", "roll_splits"))
+def _(spark, sf_dir):
+    return backtest.rolling_splits(supplier(spark, sf_dir))
+
+
+@register("rolling_splits_latest", query(f"SELECT {SPLIT_COLS} FROM tail_splits", "tail_splits"))
+def _(spark, sf_dir):
+    return backtest.rolling_splits(supplier(spark, sf_dir), keep="latest")
+
+
+@register("expanding_splits", query(f"SELECT {SPLIT_COLS} FROM grow_splits", "grow_splits"))
+def _(spark, sf_dir):
+    return backtest.expanding_splits(supplier(spark, sf_dir))
+
+
+@register("backtest_last_value", rounded(
+    "short_scores", SCORE_DOUBLES, "short_scores", cols=SCORE_COLS, where="mae IS NOT NULL AND method = 'last_value'"))
+def _(spark, sf_dir):
+    return short_scores(spark, sf_dir, ("last_value",))
+
+
+@register("backtest_moving_average", rounded(
+    "short_scores", SCORE_DOUBLES, "short_scores", cols=SCORE_COLS, where="mae IS NOT NULL AND method = 'moving_average'"))
+def _(spark, sf_dir):
+    return short_scores(spark, sf_dir, ("moving_average",))
+
+
+@register("backtest_scores", rounded("roll_scores", SCORE_DOUBLES, "roll_scores", cols=SCORE_COLS, where="mae IS NOT NULL"))
+def _(spark, sf_dir):
+    return backtest.backtest_scores(supplier(spark, sf_dir), FLAT)
+
+
+@register("backtest_horizon3", rounded("three_scores", SCORE_DOUBLES, "three_scores", cols=SCORE_COLS, where="mae IS NOT NULL"))
+def _(spark, sf_dir):
+    return backtest.backtest_scores(price_series(spark, sf_dir), FLAT, window=10, horizon=3)
+
+
+@register("backtest_ets")
+def _(spark, sf_dir):
+    return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",))
+
+
+@register("holt_fixed", rounded(
+    """(SELECT item_id, rn AS n_obs, level, trend, level + trend AS forecast FROM holt WHERE rn = n)""",
+    "level trend forecast", "holt"))
+def _(spark, sf_dir):
+    return backtest.holt_forecast(supplier(spark, sf_dir), alpha=0.4, beta=0.2)
+
+
+@register("metric_mae", rounded(
+    "(SELECT item_id, method, avg(abs(actual - predicted)) AS mae FROM short_scores GROUP BY ALL)", "mae", "short_scores"))
+def _(spark, sf_dir):
+    pairs = short_scores(spark, sf_dir).groupBy("item_id", "method")
+    return pairs.agg(errors.mae("actual", "predicted").alias("mae")).where("mae IS NOT NULL")
+
+
+@register("metric_smape", rounded(
+    """(SELECT item_id, method, avg(200.0::DOUBLE * abs(actual - predicted) / IF(abs(actual) + abs(predicted) = 0, 2e-8::DOUBLE,
+        abs(actual) + abs(predicted))) AS smape FROM short_scores WHERE mae IS NOT NULL GROUP BY ALL)""", "smape", "short_scores"))
+def _(spark, sf_dir):
+    pairs = short_scores(spark, sf_dir).groupBy("item_id", "method")
+    return pairs.agg(errors.smape("actual", "predicted").alias("smape"))
+
+
+RESULT_DOUBLES = "mae smape mae_std smape_std"
+
+
+@register("backtest_item_result", rounded("item_results", RESULT_DOUBLES, "item_results"))
+def _(spark, sf_dir):
+    return backtest.backtest_item_result(feature_series(spark, sf_dir), FLAT)
+
+
+RUN_DOUBLES = "mean_mae median_mae std_mae mean_smape median_smape std_smape"
+
+
+@register("backtest_run_summary", rounded("run_stats", RUN_DOUBLES, "run_stats"))
+def _(spark, sf_dir):
+    return errors.run_summary(short_scores(spark, sf_dir))
+
+
+@register("backtest_method_summary", rounded(
+    """(SELECT method, count(*) AS n_forecasts, avg(mae) AS mean_mae, stddev_pop(mae) AS std_mae, avg(smape) AS mean_smape,
+        stddev_pop(smape) AS std_smape FROM roll_scores WHERE mae IS NOT NULL GROUP BY method)""",
+    "mean_mae std_mae mean_smape std_smape", "roll_scores"))
+def _(spark, sf_dir):
+    return errors.method_summary(backtest.backtest_scores(supplier(spark, sf_dir), FLAT))
+
+
+@register("run_metrics_long", rounded(
+    "(UNPIVOT (SELECT item_id, method, mean_mae, median_mae, std_mae, mean_smape, median_smape, std_smape FROM run_stats) "
+    "ON mean_mae, median_mae, std_mae, mean_smape, median_smape, std_smape INTO NAME metric VALUE value)",
+    "value", "run_stats"))
+def _(spark, sf_dir):
+    return errors.run_metrics_long(errors.run_summary(short_scores(spark, sf_dir)))
+
+
+@register("run_params_long", query(
+    """SELECT item_id, method, 'n_forecasts' AS param, CAST(n_forecasts AS VARCHAR) AS value FROM run_stats
+       UNION ALL SELECT item_id, method, 'window_size', '10' FROM run_stats
+       UNION ALL SELECT item_id, method, 'horizon', '1' FROM run_stats""", "run_stats"))
+def _(spark, sf_dir):
+    return errors.run_params_long(errors.run_summary(short_scores(spark, sf_dir)), 10, 1)
+
+
+@register("suitable_items", query(
+    "SELECT DISTINCT item_id FROM metrics WHERE suitable_for_forecasting ORDER BY item_id LIMIT 10", "metrics"))
+def _(spark, sf_dir):
+    return backtest.suitable_items(metrics(spark, sf_dir))
+
+
+@register("benchmark_suite_summary", rounded(
+    """(SELECT method, avg(mae) AS avg_mae, avg(smape) AS avg_smape, count(mae) / count(*)::DOUBLE AS success_rate
+        FROM (SELECT item_id FROM metrics) CROSS JOIN (VALUES ('last_value'), ('moving_average')) v(method)
+        LEFT JOIN item_results USING (item_id, method) GROUP BY method)""",
+    "avg_mae avg_smape success_rate", "metrics", "item_results"))
+def _(spark, sf_dir):
+    return backtest.benchmark_suite(feature_series(spark, sf_dir), metrics(spark, sf_dir), FLAT)
+
+
+# ---- serving ---------------------------------------------------------------------
+
+@register("items_page", query(
+    """SELECT item_id, name, total_count, 2 AS page, 40 AS page_size, CAST(ceil(total_count / 40.0) AS BIGINT) AS total_pages
+       FROM (SELECT item_id, name, count(*) OVER () AS total_count FROM metrics) ORDER BY name, item_id LIMIT 40 OFFSET 40""",
+    "metrics"))
+def _(spark, sf_dir):
+    return serving.items_page(metrics(spark, sf_dir), page=2, page_size=40)
+
+
+@register("items_page_curated", query(
+    """SELECT item_id, name, (SELECT count(*) FROM metrics WHERE item_id IN (SELECT id FROM pick_force)) AS total_count,
+       1 AS page, 50 AS page_size, 1::BIGINT AS total_pages
+       FROM metrics WHERE item_id IN (SELECT id FROM pick_force)""", "metrics", "pick_force"))
+def _(spark, sf_dir):
+    chosen = pick(spark, sf_dir, "hybrid", True).select(F.col("id").alias("item_id"))
+    return serving.items_page(metrics(spark, sf_dir), curated=chosen)
+
+
+@register("last_n_per_item", rounded(
+    """(SELECT item_id, date, latest_price, recency FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item_id
+        ORDER BY date DESC) AS INTEGER) AS recency FROM features) WHERE recency <= 14)""", "latest_price", "features"))
+def _(spark, sf_dir):
+    return serving.last_n_per_item(features(spark, sf_dir).select("item_id", "date", "latest_price"), 14)
+
+
+@register("predict_batch", rounded(
+    """(SELECT m.item_id, name AS item_name, coalesce(latest_price::DOUBLE, 0) AS current_price, step,
+        IF(days >= 7, mean_price, NULL) AS forecast, 3 AS horizon, '7-day moving average' AS model_used,
+        IF(days >= 7, 'ok', 'insufficient_data') AS status
+      FROM metrics m LEFT JOIN (SELECT item_id, count(*) AS days, avg(latest_price) FILTER (r <= 7) AS mean_price
+        FROM (SELECT item_id, latest_price, row_number() OVER (PARTITION BY item_id ORDER BY date DESC) AS r FROM features)
+        WHERE r <= 14 GROUP BY item_id) f USING (item_id), (VALUES (1), (2), (3)) v(step))""",
+    "current_price forecast", "metrics", "features"))
+def _(spark, sf_dir):
+    out = serving.predict_batch(features(spark, sf_dir), metrics(spark, sf_dir), horizon=3)
+    return out.select(
+        "item_id", "item_name", "current_price", F.posexplode_outer("forecast").alias("pos", "forecast"),
+        "horizon", "model_used", "status",
+    ).withColumn("step", F.col("pos") + 1).drop("pos")
+
+
+@register("item_metrics_recent", rounded(
+    f"""(SELECT item_id, name AS item_name, method AS model_name, mae, smape, '12d' AS evaluation_period, n_predictions
+        FROM (SELECT item_id, method, avg(mae) AS mae, avg(smape) AS smape, count(*) AS n_predictions,
+            row_number() OVER (PARTITION BY item_id ORDER BY count(*) DESC, method) AS place
+          FROM short_scores WHERE mae IS NOT NULL AND date >= DATE '{AS_OF}' - 12 GROUP BY item_id, method)
+        JOIN items ON id = item_id WHERE place = 1)""", "mae smape", "short_scores", "items"))
+def _(spark, sf_dir):
+    return serving.item_metrics_recent(short_scores(spark, sf_dir), metrics(spark, sf_dir), "12d", AS_OF)
+
+
+BOARD_DOUBLES = "smape mae"
+
+
+@register("leaderboard", rounded("board", BOARD_DOUBLES, "board"))
+def _(spark, sf_dir):
+    return serving.leaderboard(short_scores(spark, sf_dir), testbed.items_raw(spark, sf_dir), "30d", f"{AS_OF} 00:00:00")
+
+
+@register("leaderboard_top10", query(
+    """SELECT item_id, name, replace(method, '_', ' ') AS method, printf('%.2f%%', smape) AS smape_text,
+       CASE WHEN mae >= 1000000 THEN printf('%.1fM', mae / 1000000) WHEN mae >= 1000 THEN printf('%.1fK', mae / 1000)
+            ELSE CAST(CAST(floor(mae + 0.5) AS BIGINT) AS VARCHAR) END AS mae_text
+       FROM (SELECT * FROM board ORDER BY smape, mae, item_id LIMIT 10)""", "board"))
+def _(spark, sf_dir):
+    board = serving.leaderboard(short_scores(spark, sf_dir), testbed.items_raw(spark, sf_dir), "30d", f"{AS_OF} 00:00:00")
+    return serving.leaderboard_top(board)

@@ -168,3 +168,118 @@ cte("model_features", """
       avg(total_volume) OVER (s ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS volume_ma_7d
     FROM bars_ind WINDOW s AS (PARTITION BY item_id ORDER BY price_date))
   WHERE p1 IS NOT NULL AND nxt IS NOT NULL""", "bars_ind")
+
+# ---- selection -----------------------------------------------------------------
+cte("stats", f"""
+  SELECT s.item_id, i.name, median_units_per_day, avg_units_per_day, total_units, median_price, days_with_data,
+    30 AS total_possible_days, days_with_data / 30.0::DOUBLE * 100 AS coverage_pct, avg_price, price_volatility,
+    avg_obs_per_day, last_trade_date, median_units_per_day * median_price AS median_turnover_gp,
+    log10(1 + median_units_per_day) * (days_with_data / 30.0::DOUBLE) AS ranking_score
+  FROM (SELECT item_id, quantile_cont(units, 0.5) AS median_units_per_day, avg(units) AS avg_units_per_day,
+      sum(units) AS total_units, quantile_cont(price, 0.5) AS median_price, count(*) AS days_with_data,
+      avg(price) AS avg_price, stddev_samp(price) AS price_volatility, avg(obs) AS avg_obs_per_day,
+      max(day) AS last_trade_date
+    FROM (SELECT item_id, CAST(ts AS DATE) AS day, sum(volume)::DOUBLE AS units, count(*) AS obs,
+        avg((ph + pl) / 2.0::DOUBLE) AS price
+      FROM silver WHERE volume > 0 AND ts >= TIMESTAMP '{AS_OF} 00:00:00' - INTERVAL '30' DAY GROUP BY ALL)
+    GROUP BY item_id) s
+  JOIN items i ON i.id = s.item_id WHERE days_with_data >= 5""", "silver", "items")
+cte("manual_ids", """
+  SELECT 4::BIGINT AS item_id UNION SELECT 5 UNION
+  SELECT id FROM items WHERE name IN ('old ring 90', 'no such thing')""", "items")
+cte("excluded_ids", """
+  SELECT 76::BIGINT AS item_id UNION SELECT id FROM items WHERE name = 'cold gizmo 89'""", "items")
+cte("gated", """
+  SELECT s.*, m.item_id IS NOT NULL AS by_hand
+  FROM stats s LEFT JOIN manual_ids m USING (item_id)
+  WHERE s.item_id NOT IN (SELECT item_id FROM excluded_ids) AND days_with_data >= 24 AND coverage_pct >= 85""",
+    "stats", "manual_ids", "excluded_ids")
+cte("auto_pick", """
+  SELECT item_id FROM gated WHERE median_units_per_day >= 120 ORDER BY ranking_score DESC, item_id LIMIT 10""", "gated")
+
+
+def selected(condition: str) -> str:
+    return f"""
+  SELECT item_id AS id, name, median_units_per_day, median_price, median_turnover_gp, coverage_pct AS coverage,
+    days_with_data, avg_price, ranking_score, last_trade_date,
+    IF(by_hand, 'manual_include', 'auto_selected') AS selection_reason
+  FROM gated WHERE {condition}"""
+
+
+IN_AUTO = "item_id IN (SELECT item_id FROM auto_pick)"
+cte("pick_auto", selected(IN_AUTO), "gated", "auto_pick")
+cte("pick_hybrid", selected(f"{IN_AUTO} OR (by_hand AND median_units_per_day >= 120)"), "gated", "auto_pick")
+cte("pick_force", selected(f"{IN_AUTO} OR by_hand"), "gated", "auto_pick")
+cte("pick_manual", selected("by_hand"), "gated")
+cte("discovered", """
+  SELECT id AS item_id, buy_limit FROM items WHERE buy_limit >= 10000 ORDER BY buy_limit DESC, id LIMIT 10""", "items")
+
+# ---- daily series and walk-forward splits --------------------------------------------
+cte("supplier_days", """
+  SELECT l_suppkey AS item_id, CAST(l_shipdate AS DATE) AS date, sum(l_extendedprice) / sum(l_quantity) AS price
+  FROM lineitem GROUP BY ALL""")
+cte("series", """
+  SELECT item_id, date, latest_price AS price FROM features
+  UNION ALL SELECT item_id, price_date, close_price FROM bars
+  WHERE item_id NOT IN (SELECT item_id FROM features)""", "features", "bars")
+cte("feature_series", "SELECT item_id, price_date AS date, close_price::DOUBLE AS price FROM model_features", "model_features")
+
+
+def split_ctes(tag: str, source: str, train: int, horizon: int, max_splits: int, expanding: bool = False,
+               latest: bool = False) -> None:
+    """``<tag>_splits``: numbered origins; ``<tag>_scores``: both flat forecasters with errors."""
+    reach = 7 if expanding else min(7, train)
+    start = "min(date) OVER (PARTITION BY item_id)" if expanding else f"lag(date, {train}) OVER s"
+    size = "rn - 1" if expanding else str(train)
+    actuals = ", ".join(f"lead(price, {j}) OVER s AS y{j}" for j in range(horizon))
+    cte(f"{tag}_numbered", f"""
+  SELECT *, row_number() OVER s AS rn, count(*) OVER (PARTITION BY item_id) AS n, lag(price) OVER s AS last_value,
+    avg(price) OVER (s ROWS BETWEEN {reach} PRECEDING AND 1 PRECEDING) AS moving_average,
+    lag(date) OVER s AS train_end, {start} AS train_start, lead(date, {horizon - 1}) OVER s AS test_end, {actuals}
+  FROM {source} WINDOW s AS (PARTITION BY item_id ORDER BY date)""", source)
+    first = f"greatest(n - {horizon} + 1 - {max_splits}, {train})" if latest else f"{train}"
+    cte(f"{tag}_splits", f"""
+  SELECT *, CAST(rn - {first} AS INTEGER) AS split, CAST({size} AS INTEGER) AS train_size FROM {tag}_numbered
+  WHERE rn > {first} AND rn <= n - {horizon} + 1 AND rn - {first} <= {max_splits}""", f"{tag}_numbered")
+    y = [f"y{j}" for j in range(horizon)]
+    err = " + ".join(f"abs({c} - p)" for c in y)
+    sm = " + ".join(f"abs({c} - p) / IF(abs({c}) + abs(p) = 0, 1e-8::DOUBLE, (abs({c}) + abs(p)) / 2.0::DOUBLE)" for c in y)
+    cte(f"{tag}_scores", f"""
+  SELECT item_id, date, split, method, ({err}) / {horizon}.0::DOUBLE AS mae, ({sm}) / {horizon}.0::DOUBLE * 100.0::DOUBLE AS smape,
+    y0 AS actual, p AS predicted, {horizon} AS horizon, {train} AS window_size
+  FROM (SELECT *, 'last_value' AS method, last_value AS p FROM {tag}_splits
+        UNION ALL SELECT *, 'moving_average', moving_average FROM {tag}_splits)""", f"{tag}_splits")
+
+
+split_ctes("roll", "supplier_days", 28, 1, 50)
+split_ctes("tail", "supplier_days", 28, 1, 50, latest=True)
+split_ctes("grow", "supplier_days", 14, 1, 30, expanding=True)
+split_ctes("short", "series", 10, 1, 50)
+split_ctes("three", "series", 10, 3, 50)
+split_ctes("feat", "feature_series", 14, 1, 30, expanding=True)
+cte("item_results", """
+  SELECT item_id, method, count(*) AS n_splits, count(mae) AS n_predictions, avg(mae) AS mae, avg(smape) AS smape,
+    stddev_pop(mae) AS mae_std, stddev_pop(smape) AS smape_std
+  FROM feat_scores GROUP BY item_id, method HAVING count(mae) > 0""", "feat_scores")
+cte("run_stats", """
+  SELECT item_id, method, count(*) AS n_forecasts, avg(mae) AS mean_mae, quantile_cont(mae, 0.5) AS median_mae,
+    stddev_pop(mae) AS std_mae, avg(smape) AS mean_smape, quantile_cont(smape, 0.5) AS median_smape,
+    stddev_pop(smape) AS std_smape
+  FROM short_scores WHERE mae IS NOT NULL GROUP BY item_id, method""", "short_scores")
+cte("board", f"""
+  SELECT item_id, name, method, smape, mae, n FROM (
+    SELECT item_id, method, avg(smape) AS smape, avg(mae) AS mae, count(*) AS n,
+      row_number() OVER (PARTITION BY item_id ORDER BY avg(smape), avg(mae), method) AS place
+    FROM short_scores WHERE mae IS NOT NULL AND date >= DATE '{AS_OF}' - 30 GROUP BY item_id, method)
+  JOIN items ON id = item_id WHERE place = 1""", "short_scores", "items")
+cte("early_prices", "SELECT * FROM prices WHERE ing < TIMESTAMP '2024-01-20 00:00:00'", "prices")
+cte("holt_input", """
+  SELECT item_id, price, row_number() OVER (PARTITION BY item_id ORDER BY date) AS rn,
+    count(*) OVER (PARTITION BY item_id) AS n, lead(price) OVER (PARTITION BY item_id ORDER BY date) AS nxt
+  FROM supplier_days""", "supplier_days")
+cte("holt", """
+  SELECT item_id, rn, n, price AS level, nxt - price AS trend FROM holt_input WHERE rn = 1 AND n >= 2
+  UNION ALL
+  SELECT i.item_id, i.rn, i.n, 0.6::DOUBLE * (level + trend) + 0.4::DOUBLE * price,
+    0.92::DOUBLE * trend + 0.08::DOUBLE * (price - level)
+  FROM holt h JOIN holt_input i ON i.item_id = h.item_id AND i.rn = h.rn + 1""", "holt_input")
