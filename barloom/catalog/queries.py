@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.catalog.sqltext import AS_OF, query, rounded
-from barloom.operators import backtest, bronze, gold, lookup, selection, serving, silver
+from barloom.operators import backtest, bronze, gold, incremental, lookup, quality, selection, serving, silver
 from barloom.operators import metrics as errors
 from barloom.schema import DiscoverConfig, IngestConfig, SelectionConfig
-from barloom.sources import testbed
+from barloom.session import scratch_path
+from barloom.sinks import tables
+from barloom.sources import landing, testbed
+from barloom.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -422,10 +425,10 @@ def _(spark, sf_dir):
 
 
 @register("metric_mae", rounded(
-    "(SELECT item_id, method, avg(abs(actual - predicted)) AS mae FROM short_scores GROUP BY ALL)", "mae", "short_scores"))
+    "(SELECT item_id, method, avg(abs(actual - predicted)) AS mae FROM short_scores WHERE mae IS NOT NULL GROUP BY ALL)", "mae", "short_scores"))
 def _(spark, sf_dir):
     pairs = short_scores(spark, sf_dir).groupBy("item_id", "method")
-    return pairs.agg(errors.mae("actual", "predicted").alias("mae")).where("mae IS NOT NULL")
+    return pairs.agg(errors.mae("actual", "predicted").alias("mae"))
 
 
 @register("metric_smape", rounded(
@@ -518,12 +521,13 @@ def _(spark, sf_dir):
 
 
 @register("predict_batch", rounded(
-    """(SELECT m.item_id, name AS item_name, coalesce(latest_price::DOUBLE, 0) AS current_price, step,
-        IF(days >= 7, mean_price, NULL) AS forecast, 3 AS horizon, '7-day moving average' AS model_used,
+    """(SELECT m.item_id, name AS item_name, coalesce(latest_price::DOUBLE, 0) AS current_price,
+        IF(days >= 7, step, NULL) AS step, IF(days >= 7, mean_price, NULL) AS forecast, 3 AS horizon, '7-day moving average' AS model_used,
         IF(days >= 7, 'ok', 'insufficient_data') AS status
       FROM metrics m LEFT JOIN (SELECT item_id, count(*) AS days, avg(latest_price) FILTER (r <= 7) AS mean_price
         FROM (SELECT item_id, latest_price, row_number() OVER (PARTITION BY item_id ORDER BY date DESC) AS r FROM features)
-        WHERE r <= 14 GROUP BY item_id) f USING (item_id), (VALUES (1), (2), (3)) v(step))""",
+        WHERE r <= 14 GROUP BY item_id) f USING (item_id), (VALUES (1), (2), (3)) v(step)
+      WHERE days >= 7 OR step = 1)""",
     "current_price forecast", "metrics", "features"))
 def _(spark, sf_dir):
     out = serving.predict_batch(features(spark, sf_dir), metrics(spark, sf_dir), horizon=3)
@@ -559,3 +563,232 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     board = serving.leaderboard(short_scores(spark, sf_dir), testbed.items_raw(spark, sf_dir), "30d", f"{AS_OF} 00:00:00")
     return serving.leaderboard_top(board)
+
+
+# ---- landed documents --------------------------------------------------------------
+
+def array_documents(spark, sf_dir):
+    """(item_id, doc) in array form, at most 2,000 points per document by construction."""
+    point = F.struct(
+        F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("timestamp"),
+        "avgHighPrice", "avgLowPrice", "highPriceVolume", "lowPriceVolume",
+    )
+    chunk = F.floor(F.col("event_id") / 1000)
+    docs = raw(spark, sf_dir).groupBy("item_id", chunk.alias("chunk")).agg(F.collect_list(point).alias("data"))
+    return docs.select("item_id", F.to_json(F.struct("data")).alias("doc"))
+
+
+def map_documents(spark, sf_dir):
+    """(item_id, doc) in map form, one point per calendar day, plus a malformed key."""
+    daily = silver.daily_bars(raw(spark, sf_dir))
+    price = F.struct(F.col("close_price").alias("avgHighPrice"), F.col("low_price").alias("avgLowPrice"))
+    epoch = F.datediff("price_date", F.lit("1970-01-01").cast("date")).cast("bigint") * 86_400
+    entry = F.concat(F.lit('"'), epoch.cast("string"), F.lit('":'), F.to_json(price))
+    body = F.array_join(F.collect_list(entry), ",")
+    docs = daily.groupBy("item_id").agg(body.alias("body"))
+    return docs.select("item_id", F.concat(F.lit('{"data":{"n/a":{"avgHighPrice":1},'), "body", F.lit("}}")).alias("doc"))
+
+
+NO_LONG = "CAST(NULL AS BIGINT)"
+
+
+@register("parse_timeseries_array", query(
+    f"""SELECT date_trunc('second', ts) AS "timestamp", item_id, high AS "avgHighPrice", low AS "avgLowPrice",
+        {NO_LONG} AS high, {NO_LONG} AS low, hv AS "highPriceVolume", lv AS "lowPriceVolume" FROM prices""", "prices"))
+def _(spark, sf_dir):
+    return landing.parse_documents(array_documents(spark, sf_dir))
+
+
+@register("parse_timeseries_map", query(
+    f"""SELECT CAST(price_date AS TIMESTAMP) AS "timestamp", item_id, close_price AS "avgHighPrice",
+        low_price AS "avgLowPrice", {NO_LONG} AS high, {NO_LONG} AS low, {NO_LONG} AS "highPriceVolume",
+        {NO_LONG} AS "lowPriceVolume" FROM bars""", "bars"))
+def _(spark, sf_dir):
+    return landing.parse_documents(map_documents(spark, sf_dir))
+
+
+@register("load_items", query('SELECT id, name, examine, members, lowalch, highalch, buy_limit AS "limit" FROM items', "items"))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "item-mapping")
+    testbed.items_raw(spark, sf_dir).write.json(path)
+    return landing.read_item_mapping(spark, path, multiline=False)
+
+
+@register("load_selection", query(
+    "SELECT id AS item_id, row_number() OVER (ORDER BY ranking_score DESC) - 1 AS pos FROM pick_hybrid", "pick_hybrid"))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "selection")
+    tables.write_selection(pick(spark, sf_dir, "hybrid"), path)
+    return landing.load_selection(spark, path)
+
+
+# ---- incremental steps and sinks ------------------------------------------------------
+
+CUT_TS, CUT_DAY = "2024-01-20 00:00:00", "2024-01-20"
+PRICE_KEYS = ["timestamp", "item_id"]
+
+
+def early_raw(spark, sf_dir):
+    return raw(spark, sf_dir).where(F.col("ingested_at") < F.lit(CUT_TS).cast("timestamp_ntz"))
+
+
+def early_gold(spark, sf_dir):
+    return gold.gold_daily_features(silver_ts(spark, sf_dir).where(F.to_date("ts") <= F.lit(CUT_DAY).cast("date")))
+
+
+@register("append_new_rows", query(
+    """SELECT event_id, ts AS "timestamp", high AS "avgHighPrice", low AS "avgLowPrice", hv AS "highPriceVolume",
+       lv AS "lowPriceVolume", item_id, ing AS ingested_at FROM prices p
+       WHERE NOT EXISTS (SELECT 1 FROM early_prices e WHERE e.item_id = p.item_id AND e.ts = p.ts)""",
+    "prices", "early_prices"))
+def _(spark, sf_dir):
+    return incremental.append_new(early_raw(spark, sf_dir), raw(spark, sf_dir), PRICE_KEYS)
+
+
+@register("append_new_table", query(
+    """SELECT ts AS "timestamp", high AS "avgHighPrice", item_id, ing AS ingested_at FROM early_prices
+       UNION ALL SELECT ts, high, item_id, ing FROM prices p
+       WHERE NOT EXISTS (SELECT 1 FROM early_prices e WHERE e.item_id = p.item_id AND e.ts = p.ts)""",
+    "prices", "early_prices"))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "raw-table")
+    tables.append_new_rows(early_raw(spark, sf_dir), path, PRICE_KEYS)
+    tables.append_new_rows(raw(spark, sf_dir), path, PRICE_KEYS)
+    return spark.read.parquet(path).select("timestamp", "avgHighPrice", "item_id", "ingested_at")
+
+
+@register("incremental_silver", query("SELECT * FROM late_silver", "late_silver"))
+def _(spark, sf_dir):
+    return incremental.incremental_silver(raw(spark, sf_dir), silver.silver_timeseries(early_raw(spark, sf_dir)))
+
+
+@register("upsert_by_key", query("SELECT * FROM silver_named", "silver_named"))
+def _(spark, sf_dir):
+    stored = silver.silver_timeseries(early_raw(spark, sf_dir))
+    fresh = incremental.incremental_silver(raw(spark, sf_dir), stored)
+    return incremental.upsert(stored, fresh, ["item_id", "ts"])
+
+
+@register("upsert_table", query("SELECT *, CAST(ts AS DATE) AS ts_date FROM silver_named", "silver_named"))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "silver-table")
+    day = F.to_date("ts")
+    first = silver.silver_timeseries(early_raw(spark, sf_dir)).withColumn("ts_date", day)
+    tables.upsert_table(first, path, ["item_id", "ts"], "ts_date")
+    fresh = incremental.incremental_silver(raw(spark, sf_dir), spark.read.parquet(path)).withColumn("ts_date", day)
+    tables.upsert_table(fresh, path, ["item_id", "ts"], "ts_date")
+    return spark.read.schema(first.schema).parquet(path)
+
+
+@register("incremental_gold", rounded("features", FEATURE_DOUBLES, "features", where=f"date > DATE '{CUT_DAY}'"))
+def _(spark, sf_dir):
+    return incremental.incremental_gold(silver_ts(spark, sf_dir), early_gold(spark, sf_dir))
+
+
+@register("incremental_gold_reference", rounded("restart_features", FEATURE_DOUBLES, "restart_features"))
+def _(spark, sf_dir):
+    return incremental.incremental_gold(silver_ts(spark, sf_dir), early_gold(spark, sf_dir), "reference")
+
+
+@register("upsert_backtest", rounded(
+    f"""(SELECT {SCORE_COLS} FROM three_scores WHERE mae IS NOT NULL
+         UNION ALL SELECT {SCORE_COLS} FROM short_scores s WHERE mae IS NOT NULL AND NOT EXISTS (
+           SELECT 1 FROM three_scores t WHERE t.mae IS NOT NULL AND t.item_id = s.item_id AND t.date = s.date AND t.method = s.method))""",
+    SCORE_DOUBLES, "three_scores", "short_scores"))
+def _(spark, sf_dir):
+    series = price_series(spark, sf_dir)
+    rerun = backtest.backtest_scores(series, FLAT, window=10, horizon=3)
+    return incremental.upsert_backtest(backtest.backtest_scores(series, FLAT, window=10), rerun)
+
+
+@register("results_csv", rounded(
+    f"(SELECT {SCORE_COLS} FROM short_scores WHERE mae IS NOT NULL)", SCORE_DOUBLES, "short_scores"))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "results-csv")
+    scores = short_scores(spark, sf_dir)
+    tables.write_results_csv(scores, path)
+    return spark.read.schema(scores.schema).option("header", True).csv(path).select(*scores.columns)
+
+
+# ---- streaming ---------------------------------------------------------------------------
+
+def price_stream(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return testbed.prices_from_events(jobs.read_stream(spark, f"{sf_dir}/events.parquet", schema))
+
+
+@register("stream_silver", query("SELECT * FROM silver_named", "silver_named"))
+def _(spark, sf_dir):
+    table = scratch_path(spark, "stream-silver")
+    jobs.silver_upserts(price_stream(spark, sf_dir), table, scratch_path(spark, "stream-silver-offsets")).awaitTermination()
+    return spark.read.parquet(table).drop("ts_date")
+
+
+@register("stream_daily_bars", query(
+    """SELECT item_id, price_date, high_price, low_price, total_volume, data_points, open_price, close_price FROM bars
+       WHERE price_date + INTERVAL '1' DAY <= (SELECT max(ts) FROM prices WHERE high IS NOT NULL) - INTERVAL '1' DAY""",
+    "bars", "prices"))
+def _(spark, sf_dir):
+    return jobs.drain(spark, jobs.closed_daily_bars(price_stream(spark, sf_dir)), "stream-bars")
+
+
+@register("stream_first_arrivals", query('SELECT DISTINCT item_id, ts AS "timestamp" FROM prices', "prices"))
+def _(spark, sf_dir):
+    return jobs.drain(spark, jobs.first_arrivals(price_stream(spark, sf_dir)).select("item_id", "timestamp"), "stream-keys")
+
+
+# ---- data checks -----------------------------------------------------------------------------
+
+@register("dq_not_null", query(
+    "SELECT item_id, ts, price_avg_high, price_avg_low FROM silver_named WHERE price_avg_high IS NULL OR price_avg_low IS NULL",
+    "silver_named"))
+def _(spark, sf_dir):
+    rows = silver_ts(spark, sf_dir).select("item_id", "ts", "price_avg_high", "price_avg_low")
+    return quality.not_null(rows, "price_avg_high", "price_avg_low")
+
+
+@register("dq_unique", query(
+    'SELECT item_id, ts AS "timestamp", count(*) AS n_records FROM prices GROUP BY item_id, ts HAVING count(*) > 1', "prices"))
+def _(spark, sf_dir):
+    return quality.unique(raw(spark, sf_dir), "item_id", "timestamp")
+
+
+@register("dq_accepted_values", query(
+    """SELECT item_category, count(*) AS n_records FROM item_attrs
+       WHERE item_category NOT IN ('Rings', 'Bolts') GROUP BY item_category""", "item_attrs"))
+def _(spark, sf_dir):
+    return quality.accepted_values(attrs(spark, sf_dir), "item_category", ["Rings", "Bolts"])
+
+
+@register("dq_non_negative", query(
+    'SELECT event_id, item_id, ts AS "timestamp", low AS "avgLowPrice" FROM prices WHERE low < 0', "prices"))
+def _(spark, sf_dir):
+    rows = raw(spark, sf_dir).select("event_id", "item_id", "timestamp", "avgLowPrice")
+    return quality.non_negative(rows, "avgLowPrice")
+
+
+@register("dq_items_schema", query(
+    """SELECT id, name, lowalch, highalch, concat_ws(',', IF(id < 1, 'id', NULL), IF(lowalch < 0, 'lowalch', NULL),
+         IF(highalch < 0, 'highalch', NULL)) AS violations
+       FROM (SELECT id - 1 AS id, name, lowalch - 400 AS lowalch, highalch - 100 AS highalch FROM items)
+       WHERE id < 1 OR lowalch < 0 OR highalch < 0""", "items"))
+def _(spark, sf_dir):
+    shifted = testbed.items_raw(spark, sf_dir).select(
+        (F.col("id") - 1).alias("id"), "name", (F.col("lowalch") - 400).alias("lowalch"),
+        (F.col("highalch") - 100).alias("highalch"), "limit")
+    return quality.item_violations(shifted).drop("limit")
+
+
+@register("dq_timeseries_schema", query(
+    """SELECT event_id, item_id, ts AS "timestamp", high AS "avgHighPrice", low AS "avgLowPrice", 'avgLowPrice' AS violations
+       FROM prices WHERE low < 0""", "prices"))
+def _(spark, sf_dir):
+    rows = raw(spark, sf_dir).select("event_id", "item_id", "timestamp", "avgHighPrice", "avgLowPrice")
+    return quality.timeseries_violations(rows)
+
+
+@register("dq_row_preservation", query(
+    """SELECT b AS bronze_rows, s AS silver_rows, b - s AS row_difference
+       FROM (SELECT (SELECT count(*) FROM prices) AS b, (SELECT count(*) FROM bars) AS s) WHERE b <> s""", "prices", "bars"))
+def _(spark, sf_dir):
+    return quality.row_preservation(bronze.bronze_timeseries(raw(spark, sf_dir)), silver.daily_bars(raw(spark, sf_dir)))

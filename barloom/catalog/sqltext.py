@@ -283,3 +283,22 @@ cte("holt", """
   SELECT i.item_id, i.rn, i.n, 0.6::DOUBLE * (level + trend) + 0.4::DOUBLE * price,
     0.92::DOUBLE * trend + 0.08::DOUBLE * (price - level)
   FROM holt h JOIN holt_input i ON i.item_id = h.item_id AND i.rn = h.rn + 1""", "holt_input")
+cte("early_silver", "SELECT * FROM silver WHERE CAST(ts AS DATE) <= DATE '2024-01-20'", "silver")
+cte("late_clean", """
+  SELECT * FROM cleaned WHERE load_ts > (SELECT max(ing) FROM early_prices)""", "cleaned", "early_prices")
+cte("late_silver", """
+  SELECT item_id, ts, ph AS price_high, pl AS price_low, ph AS price_avg_high, pl AS price_avg_low, volume,
+    'price_api' AS source, load_ts
+  FROM (SELECT *, row_number() OVER (PARTITION BY item_id, ts ORDER BY load_ts DESC, ph DESC NULLS LAST,
+    pl DESC NULLS LAST, volume DESC NULLS LAST) AS pick FROM late_clean) WHERE pick = 1""", "late_clean")
+cte("restart_obs", """
+  SELECT * REPLACE (CAST(NULL AS DOUBLE) AS price_7d_ma, CAST(NULL AS DOUBLE) AS daily_return),
+    lag(latest_price) OVER s AS before, avg(latest_price) OVER (s ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma
+  FROM day_return WHERE date > DATE '2024-01-20' WINDOW s AS (PARTITION BY item_id ORDER BY date)""", "day_return")
+cte("restart_features", """
+  SELECT item_id, date, latest_price, latest_price_high, latest_price_low, ma AS price_7d_ma, ret AS daily_return,
+    volatility_proxy,
+    coalesce(abs((ret - avg(ret) OVER (PARTITION BY item_id)) / nullif(stddev_samp(ret) OVER (PARTITION BY item_id), 0)) > 2.5,
+             FALSE) OR coalesce(volatility_proxy > 0.5, FALSE) AS is_outlier,
+    total_volume, observation_count, min_price, max_price
+  FROM (SELECT *, latest_price / nullif(before, 0) - 1.0 AS ret FROM restart_obs)""", "restart_obs")

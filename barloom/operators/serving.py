@@ -54,7 +54,8 @@ def predict_batch(daily_features: DataFrame, metrics: DataFrame, horizon: int =
     """7-day moving-average forecast for every listed item.
 
     Items with fewer than 7 of the last 14 feature rows keep a row with status
-    ``insufficient_data`` and no forecast.
+    ``insufficient_data`` and no forecast; without any price in the last 7 rows the
+    forecast steps are NULL.
     """
     if not 1 <= horizon <= 7:
         raise ValueError("horizon must be between 1 and 7")
@@ -64,7 +65,7 @@ def predict_batch(daily_features: DataFrame, metrics: DataFrame, horizon: int =
         F.avg(F.when(F.col("recency") <= MOVING_AVERAGE_DAYS, F.col("latest_price"))).alias("mean_price"),
     )
     enough = F.coalesce(F.col("days"), F.lit(0)) >= MOVING_AVERAGE_DAYS
-    flat = F.when(enough & F.col("mean_price").isNotNull(), F.array_repeat("mean_price", horizon))
+    flat = F.when(enough, F.array_repeat("mean_price", horizon))
     no_bound = F.array_repeat(F.lit(None).cast("double"), horizon)
     return (
         metrics.select("item_id", F.col("name").alias("item_name"), F.col("latest_price").alias("_current"))
