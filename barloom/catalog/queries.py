@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barloom.catalog.sqltext import AS_OF, query, rounded
 from barloom.operators import backtest, bronze, gold, incremental, lookup, quality, selection, serving, silver
 from barloom.operators import metrics as errors
+from barloom.plans import pipeline
 from barloom.schema import DiscoverConfig, IngestConfig, SelectionConfig
 from barloom.session import scratch_path
 from barloom.sinks import tables
@@ -653,7 +654,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = scratch_path(spark, "raw-table")
     tables.append_new_rows(early_raw(spark, sf_dir), path, PRICE_KEYS)
-    tables.append_new_rows(raw(spark, sf_dir), path, PRICE_KEYS)
+    tables.append_new_rows(raw(spark, sf_dir), path, PRICE_KEYS, range_col="timestamp")
     return spark.read.parquet(path).select("timestamp", "avgHighPrice", "item_id", "ingested_at")
 
 
@@ -792,3 +793,15 @@ def _(spark, sf_dir):
        FROM (SELECT (SELECT count(*) FROM prices) AS b, (SELECT count(*) FROM bars) AS s) WHERE b <> s""", "prices", "bars"))
 def _(spark, sf_dir):
     return quality.row_preservation(bronze.bronze_timeseries(raw(spark, sf_dir)), silver.daily_bars(raw(spark, sf_dir)))
+
+
+# ---- the whole refresh -------------------------------------------------------------------------
+
+@register("pipeline_leaderboard", rounded("tail_board", BOARD_DOUBLES, "tail_board"))
+def _(spark, sf_dir):
+    """Every layer stored and read back, then all items backtested on their latest origins."""
+    config = pipeline.RefreshConfig(
+        as_of=AS_OF, selection=SELECTION, methods=FLAT, window=10, max_splits=5, selected_only=False, ladder=TEST_LADDER)
+    stored = pipeline.refresh(
+        spark, raw(spark, sf_dir), testbed.items_raw(spark, sf_dir), scratch_path(spark, "warehouse"), config)
+    return stored["leaderboard"]

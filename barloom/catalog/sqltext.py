@@ -302,3 +302,10 @@ cte("restart_features", """
              FALSE) OR coalesce(volatility_proxy > 0.5, FALSE) AS is_outlier,
     total_volume, observation_count, min_price, max_price
   FROM (SELECT *, latest_price / nullif(before, 0) - 1.0 AS ret FROM restart_obs)""", "restart_obs")
+split_ctes("last5", "series", 10, 1, 5, latest=True)
+cte("tail_board", """
+  SELECT item_id, name, method, smape, mae, n FROM (
+    SELECT item_id, method, avg(smape) AS smape, avg(mae) AS mae, count(*) AS n,
+      row_number() OVER (PARTITION BY item_id ORDER BY avg(smape), avg(mae), method) AS place
+    FROM last5_scores WHERE mae IS NOT NULL AND date >= DATE '2024-01-01' GROUP BY item_id, method)
+  JOIN items ON id = item_id WHERE place = 1""", "last5_scores", "items")

@@ -53,14 +53,28 @@ def incremental_gold(silver_rows: DataFrame, target: DataFrame, mode: str = "con
     return scored.where("_new").select(*gold.GOLD_DAILY_COLUMNS)
 
 
-def append_new(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key is not stored yet. Repeats inside the batch are kept."""
-    return incoming.join(existing.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+def append_new(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], range_col: str | None = None
+) -> DataFrame:
+    """Incoming rows whose key is not stored yet. Repeats inside the batch are kept.
+
+    Stored keys are made distinct before the join, so many copies of one key reach it as
+    one row per map task. ``range_col`` names a key column (usually the time) whose range
+    in the batch limits how much of the stored table is scanned.
+    """
+    if range_col is not None:
+        span = incoming.agg(F.min(range_col).alias("lo"), F.max(range_col).alias("hi"))
+        known = existing.where(
+            (F.col(range_col) >= span.select("lo").scalar()) & (F.col(range_col) <= span.select("hi").scalar())
+        )
+    else:
+        known = existing
+    return incoming.join(known.select(*keys).distinct(), list(keys), "left_anti").select(*incoming.columns)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows with the incoming ones in place of equal keys."""
-    kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
+    kept = existing.join(incoming.select(*keys).distinct(), list(keys), "left_anti")
     return kept.select(*incoming.columns).unionByName(incoming)
 
 

@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def id_frame(spark: SparkSession, ids: Iterable[int]) -> DataFrame:
-    """Ids with their list position: (pos, item_id)."""
-    return spark.createDataFrame([(i, int(v)) for i, v in enumerate(ids)], "pos long, item_id long")
+    """Ids with their list position: (pos, item_id).
+
+    An Arrow table becomes a local relation of known size, so Spark can tell a short
+    list from a long one when it picks a join.
+    """
+    values = [int(v) for v in ids]
+    return spark.createDataFrame(
+        pa.table({"pos": pa.array(range(len(values)), pa.int64()), "item_id": pa.array(values, pa.int64())})
+    )
 
 
 def name_frame(spark: SparkSession, names: Iterable[str]) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(names)), "pos long, name string")
+    values = list(names)
+    return spark.createDataFrame(
+        pa.table({"pos": pa.array(range(len(values)), pa.int64()), "name": pa.array(values, pa.string())})
+    )
 
 
 def only_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
@@ -51,6 +62,17 @@ def resolve_names(names: DataFrame, mapping: DataFrame, ambiguous: str = "skip")
     return hits.drop("_key", "n_matches")
 
 
+def resolve_name_list(
+    names: Iterable[str], mapping: DataFrame, ambiguous: str = "skip"
+) -> DataFrame:
+    """:func:`resolve_names` for a configured list: the item table is cut down to the
+    listed names by a broadcast semi join before it is aggregated."""
+    wanted = name_frame(mapping.sparkSession, names)
+    keys = wanted.select(F.lower(F.trim("name") if ambiguous == "skip" else F.col("name")).alias("_wanted"))
+    near = mapping.join(keys, F.lower(mapping["name"]) == keys["_wanted"], "left_semi")
+    return resolve_names(wanted, near, ambiguous)
+
+
 def unresolved_names(names: DataFrame, mapping: DataFrame, ambiguous: str = "skip") -> DataFrame:
     """The names :func:`resolve_names` drops, with the reason."""
     key = F.lower(F.trim("name") if ambiguous == "skip" else F.col("name"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import scalar as S
@@ -12,6 +12,8 @@ from barloom.operators import lookup
 from barloom.operators.gold import join_items
 from barloom.schema import IngestConfig, SelectionConfig
 
+SEED_SOURCE = 9
+
 
 def as_instant(as_of: dt.datetime | str | None) -> Column:
     """``as_of`` as a zone-free UTC timestamp, the current time when not given."""
@@ -70,7 +72,7 @@ def _override_ids(stats: DataFrame, mapping: DataFrame, ids: tuple[int, ...], na
     spark = stats.sparkSession
     out = lookup.id_frame(spark, ids).select("item_id")
     if names:
-        named = lookup.resolve_names(lookup.name_frame(spark, names), mapping.select("id", "name"), "skip")
+        named = lookup.resolve_name_list(names, mapping.select("id", "name"), "skip")
         out = out.unionByName(named.select("item_id"))
     return out.distinct()
 
@@ -157,7 +159,7 @@ def ingest_targets(mapping: DataFrame, config: IngestConfig, selected: DataFrame
         return df.select(F.lit(source).alias("rank_source"), pos.cast("double").alias("rank_pos"), "item_id")
 
     def by_name(wanted: tuple[str, ...]) -> DataFrame:
-        return lookup.resolve_names(lookup.name_frame(spark, wanted), names, "first")
+        return lookup.resolve_name_list(wanted, names, "first")
 
     parts = [placed(lookup.id_frame(spark, config.include_ids), 1, F.col("pos"))]
     if selected is not None:
@@ -174,18 +176,25 @@ def ingest_targets(mapping: DataFrame, config: IngestConfig, selected: DataFrame
     excluded = lookup.id_frame(spark, config.exclude_ids).select("item_id")
     if config.exclude_names:
         excluded = excluded.unionByName(by_name(config.exclude_names).select("item_id"))
-    place = F.min(F.struct("rank_source", "rank_pos")).alias("place")
-    targets = (
+    seeds = placed(lookup.id_frame(spark, config.seed_ids), SEED_SOURCE, F.col("pos"))
+    first = (
         lookup.without_ids(union, excluded)
+        .unionByName(seeds)
         .groupBy("item_id")
-        .agg(place)
+        .agg(F.min(F.struct("rank_source", "rank_pos")).alias("place"))
         .select("place.rank_source", "place.rank_pos", "item_id")
         .orderBy("rank_source", "rank_pos", "item_id")
-        .limit(config.max_items)
+        .limit(config.max_items + len(config.seed_ids))
+    )
+    # at most max_items + seeds rows from here on, so one ordered pass may see them all
+    everything = Window.partitionBy(F.lit(0))
+    ordered = everything.orderBy("rank_source", "rank_pos", "item_id")
+    numbered = first.select(
+        "*", F.row_number().over(ordered).alias("_rn"), F.min("rank_source").over(everything).alias("_best")
     )
-    seed = placed(lookup.id_frame(spark, config.seed_ids), 9, F.col("pos"))
-    found_any = targets.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return targets.unionByName(seed.where(found_any == 0))
+    only_seeds = F.col("_best") == SEED_SOURCE
+    target = (F.col("rank_source") < SEED_SOURCE) & (F.col("_rn") <= config.max_items)
+    return numbered.where(only_seeds | target).drop("_rn", "_best")
 
 
 def selected_positions(selection: DataFrame) -> DataFrame:

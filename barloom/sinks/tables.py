@@ -53,13 +53,12 @@ def replace_table(df: DataFrame, path: str, cluster_by: Sequence[str] = (), part
     writer.parquet(path)
 
 
-def append_new_rows(incoming: DataFrame, path: str, keys: Sequence[str]) -> None:
+def append_new_rows(incoming: DataFrame, path: str, keys: Sequence[str], range_col: str | None = None) -> None:
     """Append the rows whose key the table does not hold."""
-    spark = incoming.sparkSession
-    existing = stored(spark, path)
+    existing = stored(incoming.sparkSession, path)
     if existing is not None:
         require_same_schema(existing, incoming)
-        incoming = append_new(existing, incoming, keys)
+        incoming = append_new(existing, incoming, keys, range_col)
     incoming.write.mode("append").parquet(path)
 
 

@@ -65,7 +65,7 @@ def read_timeseries_files(spark: SparkSession, path: str, step: str = "1h") -> D
 
     The item id is part of the file name.
     """
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", f"timeseries_*_{step}.json").text(path)
+    files = spark.read.option("pathGlobFilter", f"timeseries_*_{step}.json").text(path, wholetext=True)
     item = F.regexp_extract("_metadata.file_name", r"timeseries_(\d+)_", 1).cast("bigint")
     return parse_documents(files.select(item.alias("item_id"), F.col("value").alias("doc")))
 

@@ -20,33 +20,22 @@ def prices_from_events(events: DataFrame) -> DataFrame:
     Every 20th event also arrives a day later with a corrected price; the second copy
     comes from an explode, so the events are scanned once.
     """
-    eid, kind, value = F.col("event_id"), F.col("event_type"), F.col("value")
-    zero = eid % 211 == 0
-    high = F.when(kind == "signup", None).when(zero, 0).otherwise(F.floor(value * 100).cast("bigint") + 1000)
-    low = (
-        F.when(kind == "error", None)
-        .when(zero, 0)
-        .when(eid % 97 == 0, -1)
-        .otherwise(F.floor(value * 95).cast("bigint") + 900)
-    )
-    digits = F.regexp_extract("props", "([0-9]+)", 1).try_cast("bigint")
-    copies = F.when(eid % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    hour, day = F.expr("INTERVAL '1' HOUR"), F.expr("INTERVAL '1' DAY")
-    return events.select(
-        "event_id", "ts", (F.col("user_id") + 1).alias("item_id"),
-        high.cast("bigint").alias("high"), low.cast("bigint").alias("low"),
-        F.when(kind != "view", digits).alias("hv"),
-        F.when(~kind.isin("view", "click"), eid % 40).alias("lv"),
-        F.explode(copies).alias("copy"),
-    ).select(
+    return events.selectExpr(
         "event_id",
-        F.col("ts").alias("timestamp"),
-        (F.col("high") + 7 * F.col("copy")).alias("avgHighPrice"),
-        F.col("low").alias("avgLowPrice"),
-        F.col("hv").alias("highPriceVolume"),
-        F.col("lv").alias("lowPriceVolume"),
-        "item_id",
-        (F.col("ts") + hour * (F.col("event_id") % 5).cast("int") + day * F.col("copy")).alias("ingested_at"),
+        "ts AS timestamp",
+        "user_id + 1 AS item_id",
+        """CASE WHEN event_type = 'signup' THEN NULL WHEN event_id % 211 = 0 THEN 0L
+                ELSE CAST(floor(value * 100) AS BIGINT) + 1000 END AS high""",
+        """CASE WHEN event_type = 'error' THEN NULL WHEN event_id % 211 = 0 THEN 0L
+                WHEN event_id % 97 = 0 THEN -1L ELSE CAST(floor(value * 95) AS BIGINT) + 900 END AS avgLowPrice""",
+        """CASE WHEN event_type <> 'view' THEN try_cast(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) END
+           AS highPriceVolume""",
+        "CASE WHEN event_type NOT IN ('view', 'click') THEN event_id % 40 END AS lowPriceVolume",
+        "ts + INTERVAL '1' HOUR * CAST(event_id % 5 AS INT) AS ingested",
+        "explode(IF(event_id % 20 = 0, array(0, 1), array(0))) AS copy",
+    ).selectExpr(
+        "event_id", "timestamp", "high + 7 * copy AS avgHighPrice", "avgLowPrice", "highPriceVolume",
+        "lowPriceVolume", "item_id", "ingested + INTERVAL '1' DAY * copy AS ingested_at",
     )
 
 
@@ -55,15 +44,14 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.col("p_size")
-    return _table(spark, sf_dir, "part").select(
-        (F.col("p_partkey") + 1).alias("id"),
-        F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("name"),
-        F.col("p_type").alias("examine"),
-        (size % 2 == 0).alias("members"),
-        F.when(size % 7 != 0, F.floor(F.col("p_retailprice") * 0.4)).cast("bigint").alias("lowalch"),
-        F.when(size % 11 == 0, 0).otherwise(F.floor(F.col("p_retailprice") * 0.6)).cast("bigint").alias("highalch"),
-        (size.cast("bigint") * 500).alias("limit"),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey + 1 AS id",
+        "concat(p_name, ' ', p_partkey) AS name",
+        "p_type AS examine",
+        "p_size % 2 = 0 AS members",
+        "CASE WHEN p_size % 7 <> 0 THEN CAST(floor(p_retailprice * 0.4D) AS BIGINT) END AS lowalch",
+        "CASE WHEN p_size % 11 = 0 THEN 0L ELSE CAST(floor(p_retailprice * 0.6D) AS BIGINT) END AS highalch",
+        "CAST(p_size AS BIGINT) * 500 AS `limit`",
     )
 
 
