@@ -1,16 +1,24 @@
 """Exponential smoothing: a fixed-parameter form in SQL functions, a fitted form in NumPy.
 
-The fitted form works on one row per training window. Rows are independent, so Spark
-spreads the windows of a single item over all tasks; no item is gathered in one group.
+The fitted form is a vectorised scalar UDF over one row per training window. Rows are
+independent of each other, so they can be spread evenly over the tasks whatever the
+item they belong to.
 """
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The small kernel below travels to the executors inside the task, so they need not have
+# this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MIN_OBSERVATIONS = 10
 GRID_STEP = 0.05
 REFINE_ROUNDS = 6

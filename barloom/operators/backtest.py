@@ -2,7 +2,8 @@
 
 Input is a daily series ``(item_id, date, price)`` with one row per item and day. Splits
 are never materialised: a split is a row, its training data a window frame that ends at
-the row before. All methods share one shuffle and one sort by (item_id, date).
+the row before. All methods share one shuffle and one sort by (item_id, date); only the
+fitted smoother adds a shuffle, to spread its windows over all cores.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.forecast import ets_forecast, holt_fixed
-from barloom.operators.metrics import SMAPE_FLOOR, smape_term  # noqa: F401
+from barloom.operators.metrics import smape_term
 
 METHODS = ("last_value", "moving_average", "ets")
 MOVING_AVERAGE_DAYS = 7
@@ -65,6 +66,8 @@ def splits(
     else:
         framed = framed.withColumn("split", F.col("_rn") - F.greatest(F.col("_n") - horizon + 1 - max_splits, F.lit(train)))
         framed = framed.where("split > 0")
+    if "ets" in methods:
+        framed = spread(framed, "item_id", "split")
     size = F.col("_rn") - 1 if expanding else F.lit(train)
     forecasts = [_forecast_column(m, horizon, size).alias(m) for m in methods]
     return framed.select(
@@ -73,6 +76,17 @@ def splits(
     )
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Even out rows before per-row work that costs far more than moving them.
+
+    The series shuffle is small, so AQE would merge it into a few tasks by size; fitting
+    is bound by CPU and wants all cores. A fixed count is exempt from merging.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
+
+
 def _training_column(method: str, w, before, train: int, expanding: bool) -> Column:
     """What a forecaster needs from the rows before the origin."""
     if method == "last_value":

@@ -98,8 +98,10 @@ def test_ets_is_not_worse_than_last_value_on_a_trend(spark):
 
 
 def test_all_methods_share_one_shuffle(spark):
-    text = plan(backtest.backtest_scores(daily(spark, walk()), window=10))
-    assert text.count("Exchange hashpartitioning") == 1
+    flat = plan(backtest.backtest_scores(daily(spark, walk()), ("last_value", "moving_average"), window=10))
+    assert flat.count("Exchange hashpartitioning") == 1
+    fitted = plan(backtest.backtest_scores(daily(spark, walk()), window=10))
+    assert fitted.count("Exchange hashpartitioning") == 2 and fitted.count("Sort [") == flat.count("Sort [")
 
 
 def test_item_result(spark):
