@@ -39,8 +39,14 @@ def register(name: str, sql: str | None = None):
 
 
 def round6(df: DataFrame) -> DataFrame:
-    """Doubles to 6 places, so that summation order does not show in a value hash."""
-    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """Doubles to 6 places, so that summation order does not show in a value hash.
+
+    The nudge moves values that lie exactly half-way (means of few integers often do) off
+    the rounding edge, the same way in both engines.
+    """
+    return df.select(*[
+        F.round(F.col(c) + F.lit(1e-9), 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes
+    ])
 
 
 # ---- shared inputs -----------------------------------------------------------

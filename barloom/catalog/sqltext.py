@@ -31,14 +31,14 @@ def query(body: str, *needs: str) -> str:
 
 
 def rounded(source: str, doubles: str, *needs: str, cols: str = "*", where: str = "") -> str:
-    """All of ``source`` (or ``cols``) with the listed double columns rounded to 6 places."""
+    """All of ``source`` (or ``cols``) with the listed double columns nudged and rounded to 6 places."""
     wanted = doubles.split()
     if cols == "*":
-        repl = ", ".join(f"ROUND({d}, 6) AS {d}" for d in wanted)
+        repl = ", ".join(f"ROUND({d} + 1e-9::DOUBLE, 6) AS {d}" for d in wanted)
         select = f"* REPLACE ({repl})" if wanted else "*"
     else:
         names = [c.strip() for c in cols.split(",")]
-        select = ", ".join(f"ROUND({c}, 6) AS {c}" if c in wanted else c for c in names)
+        select = ", ".join(f"ROUND({c} + 1e-9::DOUBLE, 6) AS {c}" if c in wanted else c for c in names)
     tail = f" WHERE {where}" if where else ""
     return query(f"SELECT {select} FROM {source}{tail}", *needs)
 
@@ -216,7 +216,8 @@ cte("discovered", """
 
 # ---- daily series and walk-forward splits --------------------------------------------
 cte("supplier_days", """
-  SELECT l_suppkey AS item_id, CAST(l_shipdate AS DATE) AS date, sum(l_extendedprice) / sum(l_quantity) AS price
+  SELECT l_suppkey AS item_id, CAST(l_shipdate AS DATE) AS date, 
+    sum(CAST(round(l_extendedprice * 100) AS BIGINT))::DOUBLE / (sum(l_quantity) * 100.0::DOUBLE) AS price
   FROM lineitem GROUP BY ALL""")
 cte("series", """
   SELECT item_id, date, latest_price AS price FROM features

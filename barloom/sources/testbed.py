@@ -61,8 +61,12 @@ def named_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Average unit price per supplier and ship day: a long daily history."""
+    """Average unit price per supplier and ship day: a long daily history.
+
+    Amounts are summed in cents, which is exact in any order.
+    """
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     line = _table(spark, sf_dir, "lineitem")
     return line.groupBy(F.col("l_suppkey").alias("item_id"), F.to_date("l_shipdate").alias("date")).agg(
-        (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("price")
+        (F.sum(cents).cast("double") / (F.sum("l_quantity") * F.lit(100.0))).alias("price")
     )
