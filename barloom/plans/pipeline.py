@@ -20,7 +20,7 @@ from barloom.sinks.tables import replace_table, write_selection
 
 @dataclass(frozen=True)
 class RefreshConfig:
-    """Parameters of a refresh run."""
+    """Parameters of a refresh run. ``stamp`` adds the wall-clock load time to the layers."""
 
     as_of: dt.date | str
     selection: SelectionConfig = SelectionConfig()
@@ -32,12 +32,15 @@ class RefreshConfig:
     max_splits: int = 5
     keep: str = "latest"
     selected_only: bool = True
+    stamp: bool = False
     ladder: Sequence[tuple[str, Sequence[str]]] = CATEGORY_LADDER
 
 
-#: How each stored layer is clustered. Ranges over (item, time) split a hot item.
+#: How each stored layer is clustered. Ranges over (item, time) split a hot item, and
+#: item-days that lie together collapse in the map-side aggregates of the next layer.
+#: Bronze keeps the landing layout: nothing downstream reads it by item, so a shuffle of
+#: the raw rows would buy nothing.
 CLUSTERING = {
-    "bronze_timeseries": ("item_id", "timestamp"),
     "silver_timeseries": ("item_id", "ts"),
     "silver_prices_daily": ("item_id", "price_date"),
     "gold_daily_features": ("item_id", "date"),
@@ -53,6 +56,8 @@ def refresh(spark: SparkSession, raw: DataFrame, items: DataFrame, warehouse: st
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{root}/{name}"
+        if config.stamp and name.startswith(("bronze_", "silver_", "gold_")):
+            df = bronze.stamped(df, "timestamp" if name == "gold_backtest_metrics" else "dbt_updated_at")
         replace_table(df, path, CLUSTERING.get(name, ()))
         tables[name] = spark.read.parquet(path)
         return tables[name]

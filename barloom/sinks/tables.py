@@ -47,6 +47,8 @@ def replace_table(df: DataFrame, path: str, cluster_by: Sequence[str] = (), part
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -66,35 +68,37 @@ def upsert_table(
     incoming: DataFrame, path: str, keys: Sequence[str], partition_col: str, newest: str | None = None,
     ties: Sequence[str] = (),
 ) -> None:
-    """Upsert into a Parquet table partitioned by ``partition_col``.
+    """Upsert into a Parquet table partitioned by ``partition_col``, a day.
 
-    The partition value must follow from the key. Only partitions with incoming rows are
-    read and rewritten, so the work follows the batch, not the table. The merged rows go
-    to a staging folder first: the target is never overwritten while it is being read,
-    and a failed or repeated run gives the same table. With ``newest`` the highest value
-    of that column wins per key, otherwise the incoming row does.
+    The day must follow from the key. Only days with incoming rows are read and
+    rewritten, so the work follows the batch, not the table. The merged rows go to a
+    staging folder first: the target is never overwritten while it is being read, and a
+    failed or repeated run gives the same table. With ``newest`` the highest value of
+    that column wins per key, otherwise the incoming row does.
     """
     spark = incoming.sparkSession
     existing = stored(spark, path)
     if existing is None:
         merged = incoming if newest is None else keep_latest(incoming, keys, newest, ties)
-        merged.write.partitionBy(partition_col).mode("overwrite").parquet(path)
+        replace_table(merged, path, partition_by=[partition_col])
         return
     require_same_schema(existing, incoming)
     batch = scratch_path(spark, "upsert-batch")
     staged = scratch_path(spark, "upsert-staged")
-    incoming.write.parquet(batch)  # evaluated once, used three times below
+    incoming.write.parquet(batch)  # evaluated once, read three times below
     incoming = spark.read.schema(incoming.schema).parquet(batch)
-    touched = incoming.select(partition_col).distinct()
-    affected = existing.join(touched, partition_col, "left_semi").select(*incoming.columns)
+    # a handful of days, as literals: the scan then lists and reads their folders only
+    days = [r[0] for r in incoming.select(partition_col).distinct().collect()]
+    affected = existing.where(F.col(partition_col).isin(days)).select(*incoming.columns)
     if newest is None:
         merged = upsert(affected, incoming, keys)
     else:
         merged = keep_latest(affected.unionByName(incoming), keys, newest, ties)
     merged.write.parquet(staged)
+    # rebalance: a big day is cut into several files, small ones are not scattered
     (
         spark.read.schema(incoming.schema).parquet(staged)
-        .repartition(partition_col, F.pmod(F.xxhash64(*keys), F.lit(32)))
+        .hint("rebalance", partition_col)
         .write.partitionBy(partition_col)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.functions.scalar import parse_item_list
 from barloom.operators.lookup import id_frame
 from barloom.schema import ITEM_MAPPING, PRICE_POINT, SELECTION_FALLBACK_IDS
 
@@ -99,3 +100,11 @@ def load_selection(spark: SparkSession, path: str, fallback: Sequence[int] = SEL
     ).where("item_id IS NOT NULL")
     found = ids.agg(F.count(F.lit(1)).alias("n")).scalar()
     return ids.unionByName(backup.where(found == 0))
+
+
+def resolve_items(spark: SparkSession, text: str, fallback: Sequence[int] = SELECTION_FALLBACK_IDS) -> DataFrame:
+    """(pos, item_id) for an items argument: '@selection-path', '1,2,3' or '7'."""
+    parsed = parse_item_list(text, fallback)
+    if isinstance(parsed, str):
+        return load_selection(spark, parsed, fallback)
+    return id_frame(spark, parsed)

@@ -170,3 +170,10 @@ def test_refresh_stores_every_layer(spark, sf_dir, tmp_path):
     checks = pipeline.check(out, str(tmp_path))
     assert checks["silver_timeseries"]["unique_item_id_ts"] == 0
     assert all(n == 0 for n in checks["gold_daily_features"].values())
+
+
+def test_upsert_reads_touched_days_only(spark, tmp_path):
+    path, d1, d2 = str(tmp_path / "t"), dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    tables.upsert_table(keyed(spark, [(1, at(1), 10, at(1), d1), (1, at(2), 20, at(2), d2)]), path, ["item_id", "ts"], "ts_date")
+    pruned = spark.read.parquet(path).where("ts_date IN (date'2024-01-02')")
+    assert "PartitionFilters: [isnotnull(ts_date" in plan(pruned)
