@@ -639,8 +639,20 @@ def early_raw(spark, sf_dir):
     return raw(spark, sf_dir).where(F.col("ingested_at") < F.lit(CUT_TS).cast("timestamp_ntz"))
 
 
+def stored(spark, df, name):
+    """What an incremental step finds: a table written by an earlier run."""
+    path = scratch_path(spark, name)
+    tables.replace_table(df, path)
+    return spark.read.parquet(path)
+
+
+def early_silver(spark, sf_dir):
+    return stored(spark, silver.silver_timeseries(early_raw(spark, sf_dir)), "early-silver")
+
+
 def early_gold(spark, sf_dir):
-    return gold.gold_daily_features(silver_ts(spark, sf_dir).where(F.to_date("ts") <= F.lit(CUT_DAY).cast("date")))
+    early = silver_ts(spark, sf_dir).where(F.to_date("ts") <= F.lit(CUT_DAY).cast("date"))
+    return stored(spark, gold.gold_daily_features(early), "early-gold")
 
 
 @register("append_new_rows", query(
@@ -666,14 +678,14 @@ def _(spark, sf_dir):
 
 @register("incremental_silver", query("SELECT * FROM late_silver", "late_silver"))
 def _(spark, sf_dir):
-    return incremental.incremental_silver(raw(spark, sf_dir), silver.silver_timeseries(early_raw(spark, sf_dir)))
+    return incremental.incremental_silver(raw(spark, sf_dir), early_silver(spark, sf_dir))
 
 
 @register("upsert_by_key", query("SELECT * FROM silver_named", "silver_named"))
 def _(spark, sf_dir):
-    stored = silver.silver_timeseries(early_raw(spark, sf_dir))
-    fresh = incremental.incremental_silver(raw(spark, sf_dir), stored)
-    return incremental.upsert(stored, fresh, ["item_id", "ts"])
+    target = early_silver(spark, sf_dir)
+    fresh = incremental.incremental_silver(raw(spark, sf_dir), target)
+    return incremental.upsert(target, fresh, ["item_id", "ts"])
 
 
 @register("upsert_table", query("SELECT *, CAST(ts AS DATE) AS ts_date FROM silver_named", "silver_named"))
@@ -808,6 +820,6 @@ def _(spark, sf_dir):
     """Every layer stored and read back, then all items backtested on their latest origins."""
     config = pipeline.RefreshConfig(
         as_of=AS_OF, selection=SELECTION, methods=FLAT, window=10, max_splits=5, selected_only=False, ladder=TEST_LADDER)
-    stored = pipeline.refresh(
+    layers = pipeline.refresh(
         spark, raw(spark, sf_dir), testbed.items_raw(spark, sf_dir), scratch_path(spark, "warehouse"), config)
-    return stored["leaderboard"]
+    return layers["leaderboard"]

@@ -102,15 +102,21 @@ def select_items(
         (F.col("days_with_data") >= config.min_days) & (F.col("coverage_pct") >= config.min_coverage_pct)
     )
     flagged = base.join(manual.withColumn("_manual", F.lit(True)), "item_id", "left")
+    by_hand = F.coalesce(F.col("_manual"), F.lit(False))
     liquid = F.col("median_units_per_day") >= config.min_volume
-    by_hand = flagged.where("_manual")
+    best_first = [F.desc("ranking_score"), F.asc("item_id")]
     if mode == "manual":
-        chosen = by_hand
+        chosen = flagged.where(by_hand)
+    elif mode == "auto":
+        chosen = flagged.where(liquid).orderBy(*best_first).limit(config.top_n)
     else:
-        chosen = flagged.where(liquid).orderBy(F.desc("ranking_score"), "item_id").limit(config.top_n)
-        if mode == "hybrid":
-            extra = by_hand if force_include else by_hand.where(liquid)
-            chosen = chosen.unionByName(extra).dropDuplicates(["item_id"])
+        # One pass over the statistics: every manual include and the best of the rest are
+        # at most n_manual + top_n rows; the ranking is then settled among those few.
+        n_manual = len(config.include_ids) + len(config.include_names)
+        pool = flagged.where(liquid | by_hand if force_include else liquid)
+        short = pool.orderBy(by_hand.desc(), *best_first).limit(config.top_n + n_manual)
+        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(liquid.desc(), *best_first))
+        chosen = short.withColumn("_place", place).where(by_hand | (liquid & (F.col("_place") <= config.top_n)))
     return chosen.select(
         F.col("item_id").alias("id"),
         "name",
