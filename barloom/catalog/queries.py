@@ -424,6 +424,16 @@ def _(spark, sf_dir):
     return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",))
 
 
+@register("backtest_ets_level")
+def _(spark, sf_dir):
+    return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",), trend=None)
+
+
+@register("backtest_ets_seasonal")
+def _(spark, sf_dir):
+    return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",), trend="add", seasonal="mul")
+
+
 @register("holt_fixed", rounded(
     """(SELECT item_id, rn AS n_obs, level, trend, level + trend AS forecast FROM holt WHERE rn = n)""",
     "level trend forecast", "holt"))

@@ -28,12 +28,15 @@ def splits(
     expanding: bool = False,
     keep: str = "earliest",
     methods: Sequence[str] = (),
+    trend: str | None = "add",
+    seasonal: str | None = None,
 ) -> DataFrame:
     """One row per walk-forward split, forecast origin at ``date``.
 
     Rolling splits train on the ``train`` rows before the origin; expanding splits on all
     rows before it, at least ``train``. Items shorter than ``train + horizon`` have none.
     The first ``max_splits`` origins count, or with ``keep='latest'`` the last ones.
+    ``trend`` and ``seasonal`` choose the form of the fitted smoother.
 
     Columns: item_id, split, date, train_start, train_end, train_size, test_end, actuals,
     and one array column of forecasts per requested method.
@@ -69,7 +72,7 @@ def splits(
     if "ets" in methods:
         framed = spread(framed, "item_id", "split")
     size = F.col("_rn") - 1 if expanding else F.lit(train)
-    forecasts = [_forecast_column(m, horizon, size).alias(m) for m in methods]
+    forecasts = [_forecast_column(m, horizon, size, trend, seasonal).alias(m) for m in methods]
     return framed.select(
         "item_id", F.col("split").cast("int").alias("split"), "date", "train_start", "train_end",
         size.cast("int").alias("train_size"), "test_end", "actuals", *forecasts,
@@ -99,11 +102,11 @@ def _training_column(method: str, w, before, train: int, expanding: bool) -> Col
     return out.alias(f"_{method}")
 
 
-def _forecast_column(method: str, horizon: int, size: Column) -> Column:
+def _forecast_column(method: str, horizon: int, size: Column, trend: str | None, seasonal: str | None) -> Column:
     known = F.col(f"_{method}")
     if method == "ets":
         # collect_list drops NULLs, so a short array means an incomplete window
-        return ets_forecast(F.when(F.size(known) == size, known), horizon)
+        return ets_forecast(F.when(F.size(known) == size, known), horizon, trend, seasonal)
     return F.array_repeat(known, horizon)
 
 
@@ -123,9 +126,10 @@ def scored_splits(
     max_splits: int = 50,
     expanding: bool = False,
     keep: str = "earliest",
+    **form: str | None,
 ) -> DataFrame:
     """One row per split and method with mae and smape, NULL where data is missing."""
-    cut = splits(series, train, horizon, max_splits, expanding, keep, methods)
+    cut = splits(series, train, horizon, max_splits, expanding, keep, methods, **form)
     forecasts = F.array(*[F.struct(F.lit(m).alias("method"), F.col(m).alias("predictions")) for m in methods])
     long = cut.select("item_id", "split", "date", "actuals", F.inline(forecasts))
     pairs = [(F.get("actuals", F.lit(j)), F.get("predictions", F.lit(j))) for j in range(horizon)]
@@ -141,12 +145,14 @@ def backtest_scores(
     horizon: int = 1,
     max_splits: int = 50,
     keep: str = "earliest",
+    **form: str | None,
 ) -> DataFrame:
     """The backtest metrics table: one row per item, origin date and method.
 
-    Splits with a missing price or forecast are left out.
+    Splits with a missing price or forecast are left out. ``trend`` and ``seasonal`` may
+    be given for the fitted smoother.
     """
-    scored = scored_splits(series, methods, window, horizon, max_splits, keep=keep)
+    scored = scored_splits(series, methods, window, horizon, max_splits, keep=keep, **form)
     return scored.where("mae IS NOT NULL").select(
         "item_id",
         "date",

@@ -24,7 +24,7 @@ def test_every_sql_belongs_to_a_query():
 
 
 def test_only_the_fitted_forecaster_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"backtest_ets"}
+    assert set(QUERIES) - set(SQL) == {"backtest_ets", "backtest_ets_level", "backtest_ets_seasonal"}
 
 
 def test_entry_has_outliers(spark):
