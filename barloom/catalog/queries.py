@@ -753,6 +753,13 @@ def _(spark, sf_dir):
     return spark.read.parquet(table).drop("ts_date")
 
 
+@register("stream_gold", rounded("features", FEATURE_DOUBLES, "features"))
+def _(spark, sf_dir):
+    table = scratch_path(spark, "stream-gold")
+    jobs.gold_appends(price_stream(spark, sf_dir), table, scratch_path(spark, "stream-gold-offsets")).awaitTermination()
+    return spark.read.parquet(table)
+
+
 @register("stream_daily_bars", query(
     """SELECT item_id, price_date, high_price, low_price, total_volume, data_points, open_price, close_price FROM bars
        WHERE price_date + INTERVAL '1' DAY <= (SELECT max(ts) FROM prices WHERE high IS NOT NULL) - INTERVAL '1' DAY""",
@@ -823,6 +830,33 @@ def _(spark, sf_dir):
     return quality.row_preservation(bronze.bronze_timeseries(raw(spark, sf_dir)), silver.daily_bars(raw(spark, sf_dir)))
 
 
+def failures_sql(table: str, source: str, spec: quality.TableChecks) -> str:
+    parts = [(f"not_null_{c}", f"{c} IS NULL") for c in spec.required]
+    parts += [(f"non_negative_{c}", f"{c} < 0") for c in spec.amounts]
+    parts += [(f"accepted_values_{c}", f"{c} IS NULL OR {c} NOT IN ({', '.join(repr(v) for v in vs)})") for c, vs in spec.accepted.items()]
+    rows = [f"SELECT '{table}' AS \"table\", '{name}' AS \"check\", count(*) AS n_failures FROM {source} WHERE {cond}" for name, cond in parts]
+    if spec.key:
+        keys = ", ".join(spec.key)
+        rows.append(f"SELECT '{table}', 'unique_{'_'.join(spec.key)}', count(*) FROM (SELECT {keys} FROM {source} GROUP BY {keys} HAVING count(*) > 1)")
+    return " UNION ALL ".join(rows)
+
+
+RAW_CHECKS = quality.TableChecks(
+    required=("timestamp", "item_id", "avgHighPrice"), key=("item_id", "timestamp"), amounts=("avgHighPrice", "avgLowPrice"))
+
+
+@register("dq_check_report", query(
+    failures_sql("silver_timeseries", "silver_named", quality.LAYER_CHECKS["silver_timeseries"]) + " UNION ALL "
+    + failures_sql("gold_daily_features", "features", quality.LAYER_CHECKS["gold_daily_features"]) + " UNION ALL "
+    + failures_sql("timeseries_raw", '(SELECT item_id, ts AS "timestamp", high AS avgHighPrice, low AS avgLowPrice FROM prices)', RAW_CHECKS),
+    "silver_named", "features", "prices"))
+def _(spark, sf_dir):
+    checks = quality.LAYER_CHECKS
+    report = quality.check_report(silver_ts(spark, sf_dir), "silver_timeseries", checks["silver_timeseries"])
+    report = report.unionByName(quality.check_report(features(spark, sf_dir), "gold_daily_features", checks["gold_daily_features"]))
+    return report.unionByName(quality.check_report(raw(spark, sf_dir), "timeseries_raw", RAW_CHECKS))
+
+
 # ---- the whole refresh -------------------------------------------------------------------------
 
 @register("pipeline_leaderboard", rounded("tail_board", BOARD_DOUBLES, "tail_board"))

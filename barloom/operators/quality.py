@@ -135,25 +135,33 @@ def _row_checks(spec: TableChecks) -> dict[str, Column]:
     return out
 
 
+def check_report(df: DataFrame, table: str, spec: TableChecks) -> DataFrame:
+    """(table, check, n_failures) of one table; row checks share one scan."""
+    conds = _row_checks(spec)
+    parts = []
+    if conds:
+        counts = df.agg(*[F.count_if(cond).alias(name) for name, cond in conds.items()])
+        parts.append(counts.unpivot([], list(conds), "check", "n_failures"))
+    if spec.key:
+        repeated = unique(df, *spec.key).agg(F.count(F.lit(1)).alias("n_failures"))
+        parts.append(repeated.select(F.lit(f"unique_{'_'.join(spec.key)}").alias("check"), "n_failures"))
+    report = parts[0]
+    for part in parts[1:]:
+        report = report.unionByName(part)
+    return report.select(F.lit(table).alias("table"), "check", "n_failures")
+
+
 def check_table(df: DataFrame, spec: TableChecks, failures_path: str | None = None) -> dict[str, int]:
     """Number of failing rows per check; failing rows are stored where a path is given.
 
-    All row checks share one scan and one aggregate. Only checks that fail are read again
-    to store their rows. Severity is a warning: nothing raises.
+    Only checks that fail are read again to store their rows. Severity is a warning:
+    nothing raises.
     """
-    conds = _row_checks(spec)
-    counts: dict[str, int] = {}
-    if conds:
-        counts = df.agg(*[F.count_if(cond).alias(name) for name, cond in conds.items()]).first().asDict()
-    failing = {name: df.where(conds[name]) for name, n in counts.items() if n}
-    if spec.key:
-        name = f"unique_{'_'.join(spec.key)}"
-        repeated = unique(df, *spec.key)
-        counts[name] = repeated.count()
-        if counts[name]:
-            failing[name] = repeated
+    counts = {r["check"]: r["n_failures"] for r in check_report(df, "", spec).collect()}
     if failures_path:
-        for name, rows in failing.items():
+        conds = _row_checks(spec)
+        for name in [n for n, failures in counts.items() if failures]:
+            rows = df.where(conds[name]) if name in conds else unique(df, *spec.key)
             rows.write.mode("overwrite").parquet(f"{failures_path.rstrip('/')}/{name}")
     return counts
 

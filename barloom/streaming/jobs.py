@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.functions import scalar as S
-from barloom.operators import silver
+from barloom.operators import gold, incremental, silver
 from barloom.session import scratch_path
-from barloom.sinks.tables import upsert_table
+from barloom.sinks.tables import stored, upsert_table
 
 SILVER_KEYS = ["item_id", "ts"]
 SILVER_TIES = ["price_avg_high", "price_avg_low", "volume"]
@@ -54,6 +54,28 @@ def silver_upserts(raw_stream: DataFrame, table: str, checkpoint: str) -> Stream
     )
 
 
+def gold_appends(raw_stream: DataFrame, table: str, checkpoint: str, mode: str = "context") -> StreamingQuery:
+    """Append the daily features of new days to a gold table, batch by batch.
+
+    A stored day is frozen: later rows for it are ignored, also when only part of the day
+    had arrived. Land whole days per batch where that matters. ``mode`` is that of
+    :func:`barloom.operators.incremental.incremental_gold`.
+    """
+
+    def add(batch: DataFrame, _batch_id: int) -> None:
+        rows = silver.silver_timeseries(batch)
+        done = stored(batch.sparkSession, table)
+        fresh = gold.gold_daily_features(rows) if done is None else incremental.incremental_gold(rows, done, mode)
+        fresh.write.mode("append").parquet(table)
+
+    return (
+        raw_stream.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def closed_daily_bars(raw_stream: DataFrame, delay: str = "1 day") -> DataFrame:
     """Daily bars, emitted once per day when the watermark has passed its end.
 
