@@ -742,7 +742,7 @@ def _(spark, sf_dir):
 # ---- streaming ---------------------------------------------------------------------------
 
 def price_stream(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    schema = testbed.table(spark, sf_dir, "events").schema
     return testbed.prices_from_events(jobs.read_stream(spark, f"{sf_dir}/events.parquet", schema))
 
 

@@ -33,22 +33,38 @@ def silver_items(
     )
 
 
-def clean_observations(raw: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
-    """Negative prices become NULL, both volumes add up, the feed name is attached."""
-    high, low = S.non_negative("avgHighPrice"), S.non_negative("avgLowPrice")
+def _observed(raw: DataFrame) -> DataFrame:
+    """Negative prices become NULL and both volumes add up."""
     return raw.select(
         "item_id",
         F.col("timestamp").alias("ts"),
-        high.alias("price_high"),
-        low.alias("price_low"),
-        high.alias("price_avg_high"),
-        low.alias("price_avg_low"),
+        S.non_negative("avgHighPrice").alias("price_avg_high"),
+        S.non_negative("avgLowPrice").alias("price_avg_low"),
         S.traded_volume("highPriceVolume", "lowPriceVolume").alias("volume"),
-        F.lit(source).alias("source"),
         F.col("ingested_at").alias("load_ts"),
     )
 
 
+def _named(observed: DataFrame, source: str) -> DataFrame:
+    """The stored layout: the feed reports averages only, which stand in for high and low."""
+    return observed.select(
+        "item_id",
+        "ts",
+        F.col("price_avg_high").alias("price_high"),
+        F.col("price_avg_low").alias("price_low"),
+        "price_avg_high",
+        "price_avg_low",
+        "volume",
+        F.lit(source).alias("source"),
+        "load_ts",
+    )
+
+
+def clean_observations(raw: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
+    """Sanitised observations in the stored layout, repeats included."""
+    return _named(_observed(raw), source)
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[str] = ()) -> DataFrame:
     """One row per key: the newest, ties settled by the highest remaining columns.
 
@@ -61,12 +77,16 @@ def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[
 
 
 def silver_timeseries(raw: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
-    """Cleaned observations, one per (item_id, ts): the most recently loaded."""
-    return dedup_latest(clean_observations(raw, source))
+    """Cleaned observations, one per (item_id, ts): the most recently loaded.
+
+    The repeated and constant columns are added after the shuffle.
+    """
+    return _named(dedup_latest(_observed(raw)), source)
 
 
 def dedup_latest(clean: DataFrame) -> DataFrame:
-    return keep_latest(clean, ["item_id", "ts"], "load_ts", ["price_avg_high", "price_avg_low", "volume"])
+    # the instant first: it tells rows of one hot item apart in the leading sort key
+    return keep_latest(clean, ["ts", "item_id"], "load_ts", ["price_avg_high", "price_avg_low", "volume"])
 
 
 def daily_bars(raw: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no Python call site per column expression: plans here are built from many of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,10 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Its schema is inferred once per path, since inference is a Spark job."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def prices_from_events(events: DataFrame) -> DataFrame:
@@ -40,11 +48,11 @@ def prices_from_events(events: DataFrame) -> DataFrame:
 
 
 def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prices_from_events(_table(spark, sf_dir, "events"))
+    return prices_from_events(table(spark, sf_dir, "events"))
 
 
 def items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").selectExpr(
+    return table(spark, sf_dir, "part").selectExpr(
         "p_partkey + 1 AS id",
         "concat(p_name, ' ', p_partkey) AS name",
         "p_type AS examine",
@@ -57,7 +65,7 @@ def items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def named_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item mapping with the repeated plain part names, for ambiguous lookups."""
-    return _table(spark, sf_dir, "part").select((F.col("p_partkey") + 1).alias("id"), F.col("p_name").alias("name"))
+    return table(spark, sf_dir, "part").select((F.col("p_partkey") + 1).alias("id"), F.col("p_name").alias("name"))
 
 
 def supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +74,7 @@ def supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     Amounts are summed in cents, which is exact in any order.
     """
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    line = _table(spark, sf_dir, "lineitem")
+    line = table(spark, sf_dir, "lineitem")
     return line.groupBy(F.col("l_suppkey").alias("item_id"), F.to_date("l_shipdate").alias("date")).agg(
         (F.sum(cents).cast("double") / (F.sum("l_quantity") * F.lit(100.0))).alias("price")
     )

@@ -13,7 +13,7 @@ from barloom.operators import gold, incremental, silver
 from barloom.session import scratch_path
 from barloom.sinks.tables import stored, upsert_table
 
-SILVER_KEYS = ["item_id", "ts"]
+SILVER_KEYS = ["ts", "item_id"]
 SILVER_TIES = ["price_avg_high", "price_avg_low", "volume"]
 STATE_CONF = {
     # state on local disk of the executors, not on their heap

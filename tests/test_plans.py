@@ -23,7 +23,7 @@ def test_no_product_and_no_row_python(spark, sf_dir, name):
 def test_copies_are_cut_before_the_shuffle(spark):
     text = plan(silver.silver_timeseries(raw_rows(spark, [(at(1), 1, 1, 1, 1, 1, at(1))])))
     assert text.count("WindowGroupLimit") == 2
-    assert text.index("Final") < text.index("Exchange hashpartitioning(item_id") < text.index("Partial")
+    assert text.index("Final") < text.index("Exchange hashpartitioning(ts") < text.index("Partial")
 
 
 def test_unused_columns_are_not_read(spark, sf_dir):
