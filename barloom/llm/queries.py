@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barloom.llm import sqltext
 from barloom.llm.common import table
+from barloom.llm.op1_decontaminate import contamination
 from barloom.llm.op9_jaccard_join import jaccard_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +29,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", "doc_id", "text")
 
 
-@register("op9_jaccard_join")
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark", "item_id", "text")
+
+
+@register("op1_decontaminate", sqltext.DECONTAMINATE)
+def op1(spark, sf_dir):
+    return contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+@register("op9_jaccard_join", sqltext.JACCARD)
 def op9(spark, sf_dir):
     return jaccard_groups(documents(spark, sf_dir))
