@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm import sqltext
 from barloom.llm.common import table
 from barloom.llm.op1_decontaminate import contamination
+from barloom.llm.op5_language import language
 from barloom.llm.op9_jaccard_join import jaccard_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,8 @@ def op1(spark, sf_dir):
 @register("op9_jaccard_join", sqltext.JACCARD)
 def op9(spark, sf_dir):
     return jaccard_groups(documents(spark, sf_dir))
+
+
+@register("op5_language")
+def op5(spark, sf_dir):
+    return language(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
