@@ -10,6 +10,7 @@ from barloom.llm import sqltext
 from barloom.llm.common import table
 from barloom.llm.op1_decontaminate import contamination
 from barloom.llm.op5_language import language
+from barloom.llm.op6_secret_scan import scan
 from barloom.llm.op9_jaccard_join import jaccard_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,8 @@ def op9(spark, sf_dir):
 @register("op5_language")
 def op5(spark, sf_dir):
     return language(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@register("op6_secret_scan")
+def op6(spark, sf_dir):
+    return scan(documents(spark, sf_dir))
