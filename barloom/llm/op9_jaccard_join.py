@@ -5,10 +5,11 @@ at least 0.8 differ in few elements. The feature domain is cut into ``first`` pa
 every subset of ``SECOND - DIFFER`` parts is a signature: which parts, and the set's elements in them. More parts hold
 elements than two linked sets can differ in, so some signature is shared.
 
-Steps: equal sets collapse to one node; nodes that share a signature are compared along stars and chains, whose
-verified links give first components; only signatures that still join several components are gone through in full.
-A signature of more than ``CROWD`` nodes is skipped where a node shares more signatures with any partner than it has
-such crowded ones; the nodes for which that does not hold are joined exactly by their rarest shingles.
+Steps: equal sets collapse to one node. Nodes that share a signature held by few are counted as pairs; a linked pair
+shares at least as many as the parts it cannot differ in, which leaves few pairs to be verified. A signature of more than
+``CROWD`` nodes is not paired; it matters only to nodes that have as many crowded signatures as any partner must share.
+Those are compared along stars first, and what the links leave in several components is joined exactly by the nodes'
+rarest shingles.
 
 Defined cases: null or empty text and text of white space have an empty set and are linked with nothing; a text under
 five words is one shingle; repeated rows come out once each; null ids form no component of their own.
@@ -70,7 +71,8 @@ def signatures(elements: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
         held = np.bincount(place, minlength=first * SECOND) > 0
         differ = n * (100 - PERCENT) // PERCENT
         spare = int(held.sum()) - differ
-        yield (values[held], spare) if spare > 0 else (values, len(values) - differ)
+        # too few parts with elements: the empty ones count as well, and any partner shares one at least
+        yield (values[held], spare) if spare > 0 else (values, 1)
 
 
 def _sets(batches):
@@ -106,7 +108,7 @@ def _batch(names: list[str], columns) -> pa.RecordBatch:
 
 
 def _shared(batches):
-    """Rows ordered by (sig, node): the nodes that share a signature, with the first and the preceding one."""
+    """Rows ordered by (sig, node): the nodes that share a signature, with the first of them."""
     names = ["sig", "node", "spare"]
     last = None  # sig, node, spare of the row before, then node and spare of the first row of its run
     for batch in batches:
@@ -128,8 +130,8 @@ def _shared(batches):
         at = np.flatnonzero(~begins)
         last = (sig[-1], node[-1], spare[-1], first[-1], np.int32(first_spare[-1]))
         if len(at):
-            yield _batch(["sig", "first", "first_spare", "prev", "node", "spare"],
-                         (sig[at], first[at], first_spare[at].astype(np.int32), node[at - 1], node[at], spare[at]))
+            yield _batch(["sig", "first", "first_spare", "node", "spare"],
+                         (sig[at], first[at], first_spare[at].astype(np.int32), node[at], spare[at]))
 
 
 def _elements(batches):
@@ -168,55 +170,60 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.mapInArrow(_signatures, "sig long, node long, spare int")
     shared = stored(
         rows.repartition(F.col("sig")).sortWithinPartitions("sig", "node")
-        .mapInArrow(_shared, "sig long, first long, first_spare int, prev long, node long, spare int"), "shared")
-
-    members = stored(
-        shared.select("node").union(shared.select("first")).distinct()
-        .join(classes.select(F.col("d1").alias("node"), "rep"), "node").where("rep is not null"), "members")
-    reps = bounded(members.select("rep"))
-    chosen = docs.join(reps, docs.doc_id == F.col("rep"), "inner").select("rep", "text")
-    sets = stored(chosen.mapInArrow(_elements, "rep long, n long, elements array<long>").dropDuplicates(["rep"]),
-                  "sets")
-
-    def by_rep(pairs: DataFrame) -> DataFrame:
-        """Pairs of digests (u, v) as distinct pairs of representatives."""
-        one = members.select(F.col("node").alias("u"), F.col("rep").alias("ru"))
-        two = members.select(F.col("node").alias("v"), F.col("rep").alias("rv"))
-        return (pairs.distinct().join(one, "u").join(two, "v").where("ru <> rv")
-                .select(_pair("ru", "rv").alias("p")).select("p.*").distinct())
-
-    near = shared.select(F.explode(F.array(_pair("first", "node"), _pair("prev", "node"))).alias("p")).select("p.*")
-    tried = stored(by_rep(near), "tried")
-    links = stored(_verified(tried, sets), "links")
-
-    rest = _rest(shared, members, sets, tried, components(links))
-    links = links if rest is None else links.unionByName(rest)
-    joined = components(links).withColumnRenamed("node", "rep")
+        .mapInArrow(_shared, "sig long, first long, first_spare int, node long, spare int"), "shared")
+    nodes = classes.where("rep is not null").select(F.col("d1").alias("node"), "rep")
+    held = shared.select("sig", "node", "spare").unionByName(
+        shared.select("sig", F.col("first").alias("node"), F.col("first_spare").alias("spare")).distinct())
+    sizes = shared.groupBy("sig").agg((F.count("*") + 1).alias("size"))
+    held = stored(held.join(sizes, "sig").join(nodes, "node").select("sig", "rep", "spare", "size"), "held")
+
+    crowds = held.where(F.col("size") > CROWD).groupBy("rep", "spare").agg(F.count("*").alias("crowds"))
+    crowded = stored(crowds, "crowds")
+    unsafe = stored(crowded.where("crowds >= spare").select("rep").distinct(), "unsafe")
+    near = stored(_counted(held.where(F.col("size") <= CROWD), crowded), "near")
+    stars = stored(_stars(held.where(F.col("size") > CROWD).join(unsafe, "rep", "left_semi")), "stars")
+
+    wanted = near.unionByName(stars)
+    wanted = wanted.select(F.col("u").alias("rep")).union(wanted.select("v")).union(unsafe).distinct()
+    wanted = bounded(stored(wanted, "wanted"))
+    sets = stored(docs.join(wanted, docs.doc_id == wanted.rep).select("rep", "text")
+                  .mapInArrow(_elements, "rep long, n long, elements array<long>").dropDuplicates(["rep"]), "sets")
+    links = stored(_verified(near.unionByName(stars).distinct(), sets), "links")
+    joined = components(links)
+
+    # crowded signatures that still join several components
+    open_ = (held.where(F.col("size") > CROWD).select("sig", "rep").join(unsafe, "rep", "left_semi")
+             .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+             .select("sig", "rep", F.coalesce("component", "rep").alias("part")))
+    mixed = open_.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
+    rest = stored(open_.join(mixed, "sig", "left_semi").select("rep", "part").distinct(), "rest")
+    if not rest.isEmpty():
+        more = _verified(_by_rarest(rest, sets).join(stars, ["u", "v"], "left_anti"), sets)
+        joined = components(links.unionByName(more))
+    joined = joined.withColumnRenamed("node", "rep")
     return (
         base.join(classes, ["n_shingles", "d1", "d2"], "left").join(joined, "rep", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
     )
 
 
-def _rest(shared: DataFrame, members: DataFrame, sets: DataFrame, tried: DataFrame, joined: DataFrame):
-    """Links between first components that the stars and chains did not try; None if no signature joins two."""
-    parts = (members.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("node", "rep", F.coalesce("component", "rep").alias("part")))
-    held = (shared.select("sig", "node", "spare")
-            .union(shared.select("sig", F.col("first").alias("node"), F.col("first_spare").alias("spare"))).distinct())
-    held = held.join(parts, "node")
-    open_ = held.groupBy("sig").agg(F.count("*").alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
-    held = stored(held.join(open_.where("low <> high").select("sig", "size"), "sig"), "open")
-    if held.isEmpty():
-        return None
-
-    cold = held.where(F.col("size") <= CROWD).select("sig", "rep", "part")
-    other = cold.select("sig", F.col("rep").alias("rep2"), F.col("part").alias("part2"))
-    pairs = cold.join(other, "sig").where("part <> part2 and rep < rep2").select(_pair("rep", "rep2").alias("p"))
-    crowded = (held.where(F.col("size") > CROWD).groupBy("rep", "part", "spare").agg(F.count("*").alias("crowds"))
-               .where("crowds >= spare").select("rep", "part").distinct())
-    pairs = pairs.select("p.*").unionByName(_by_rarest(stored(crowded, "crowded"), sets))
-    return stored(_verified(pairs.distinct().join(tried, ["u", "v"], "left_anti"), sets), "more-links")
+def _counted(held: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Pairs (u, v) that share enough of the signatures in ``held``, each of which has ``CROWD`` nodes at most."""
+    def side(rep, spare, crowds):
+        return crowded.select(F.col("rep").alias(rep), F.col("spare").alias(spare), F.col("crowds").alias(crowds))
+
+    one = held.select("sig", F.col("rep").alias("u"), F.col("spare").alias("s"))
+    two = held.select("sig", F.col("rep").alias("v"), F.col("spare").alias("t"))
+    counts = one.join(two, "sig").where("u < v").groupBy("u", "v", "s", "t").agg(F.count("*").alias("both"))
+    counts = counts.join(side("u", "s", "a"), ["u", "s"], "left").join(side("v", "t", "b"), ["v", "t"], "left")
+    hidden = F.least(F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0)))
+    return counts.where(F.col("both") >= F.least("s", "t") - hidden).select("u", "v").distinct()
+
+
+def _stars(held: DataFrame) -> DataFrame:
+    """Each node with the smallest node of each of its signatures."""
+    centres = held.groupBy("sig").agg(F.min("rep").alias("u"))
+    return held.join(centres, "sig").where("u < rep").select("u", F.col("rep").alias("v")).distinct()
 
 
 def _by_rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:

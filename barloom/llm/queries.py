@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm import sqltext
 from barloom.llm.common import table
 from barloom.llm.op1_decontaminate import contamination
+from barloom.llm.op2_packing import pack
 from barloom.llm.op5_language import language
 from barloom.llm.op6_secret_scan import scan
 from barloom.llm.op9_jaccard_join import jaccard_groups
@@ -53,3 +54,8 @@ def op5(spark, sf_dir):
 @register("op6_secret_scan")
 def op6(spark, sf_dir):
     return scan(documents(spark, sf_dir))
+
+
+@register("op2_packing")
+def op2(spark, sf_dir):
+    return pack(documents(spark, sf_dir))
