@@ -132,21 +132,34 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(languages, x, np.array([languages.index(r.lang) for r in rows], int))
 
 
+def _judged(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and whether it is ambiguous, of each text."""
+    known = [i for i, t in enumerate(texts) if t is not None and model.languages and any(map(str.isalpha, t))]
+    lang, score, ambiguous = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
+    for at in range(0, len(known), 256):
+        part = known[at : at + 256]
+        best, share, lead = model.decode(np.stack([features(texts[i]) for i in part]))
+        for i, b in zip(part, best):
+            lang[i] = model.languages[b]
+        score[part], ambiguous[part] = np.clip(share, 0, 1), lead < LEAD
+    return lang, score, ambiguous
+
+
+def recognised(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose language is not ``und``, with all columns."""
+    def run(batches):
+        for batch in batches:
+            lang, _, _ = _judged(model, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score (0 to 1), ambiguous."""
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            known = [i for i, t in enumerate(texts)
-                     if t is not None and model.languages and any(map(str.isalpha, t))]
-            lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            ambiguous = np.ones(len(texts), bool)
-            for at in range(0, len(known), 256):
-                part = known[at : at + 256]
-                best, share, lead = model.decode(np.stack([features(texts[i]) for i in part]))
-                for i, b in zip(part, best):
-                    lang[i] = model.languages[b]
-                score[part], ambiguous[part] = np.clip(share, 0, 1), lead < LEAD
+            lang, score, ambiguous = _judged(model, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score),
                  pa.array(ambiguous)], ["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
