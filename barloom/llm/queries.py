@@ -10,6 +10,7 @@ from barloom.llm import sqltext
 from barloom.llm.common import table
 from barloom.llm.op1_decontaminate import contamination
 from barloom.llm.op2_packing import pack
+from barloom.llm.op4_line_quality import line_quality
 from barloom.llm.op5_language import language
 from barloom.llm.op6_secret_scan import scan
 from barloom.llm.op9_jaccard_join import jaccard_groups
@@ -59,3 +60,8 @@ def op6(spark, sf_dir):
 @register("op2_packing")
 def op2(spark, sf_dir):
     return pack(documents(spark, sf_dir))
+
+
+@register("op4_line_quality")
+def op4(spark, sf_dir):
+    return line_quality(documents(spark, sf_dir), table(spark, sf_dir, "labels", "doc_id", "quality"))
