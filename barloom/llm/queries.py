@@ -13,6 +13,8 @@ from barloom.llm.op2_packing import pack
 from barloom.llm.op4_line_quality import line_quality
 from barloom.llm.op5_language import language
 from barloom.llm.op6_secret_scan import scan
+from barloom.llm.op7_url_filter import url_filter
+from barloom.llm.op8_license_scan import license_scan
 from barloom.llm.op9_jaccard_join import jaccard_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +67,13 @@ def op2(spark, sf_dir):
 @register("op4_line_quality")
 def op4(spark, sf_dir):
     return line_quality(documents(spark, sf_dir), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+@register("op7_url_filter")
+def op7(spark, sf_dir):
+    return url_filter(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+@register("op8_license_scan", sqltext.LICENSES)
+def op8(spark, sf_dir):
+    return license_scan(documents(spark, sf_dir))

@@ -1,5 +1,7 @@
 """SQL of the operators that SQL can express."""
 
+from barloom.llm.op8_license_scan import COPYRIGHT_LINE, KNOWN, MARKS, RESTRICTED, SPELLINGS
+
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -48,3 +50,32 @@ lowest AS (SELECT u AS doc_id, min(v) AS v FROM reach GROUP BY u)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(v, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(column: str) -> str:
+    out = (f"regexp_replace(translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+           f"'abcdefghijklmnopqrstuvwxyz'), {_quoted(COPYRIGHT_LINE)}, '\\1', 'g')")
+    for variant, one in SPELLINGS:
+        out = f"replace({out}, {_quoted(variant)}, {_quoted(one)})"
+    return f"trim(regexp_replace({out}, {_quoted(MARKS)}, ' ', 'g'))"
+
+
+LICENSES = f"""
+WITH k AS (
+  SELECT sha256({_canonical('text')}) AS digest, min(license) AS license
+  FROM (VALUES {', '.join(f'({_quoted(a)}, {_quoted(b)})' for a, b in KNOWN)}) AS t(license, text) GROUP BY 1),
+w AS (SELECT doc_id, CASE WHEN {_canonical('text')} <> '' THEN sha256({_canonical('text')}) END AS digest FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+f AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT k.license, ',' ORDER BY k.license) AS names,
+    bool_or(k.license IN ({', '.join(map(_quoted, RESTRICTED))})) AS bad
+  FROM l JOIN k ON k.digest = sha256({_canonical('line')}) AND {_canonical('line')} <> '' GROUP BY doc_id)
+SELECT w.doc_id, w.digest, k.license, CAST(coalesce(n, 0) AS BIGINT) AS n_license_lines,
+  coalesce(names, '') AS line_licenses,
+  coalesce(bad, false) OR coalesce(k.license IN ({', '.join(map(_quoted, RESTRICTED))}), false) AS restricted
+FROM w LEFT JOIN k USING (digest) LEFT JOIN f USING (doc_id)
+"""
