@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm import sqltext
 from barloom.llm.common import table
+from barloom.llm.op10_substring_dedup import substring_dedup
 from barloom.llm.op1_decontaminate import contamination
 from barloom.llm.op2_packing import pack
 from barloom.llm.op4_line_quality import line_quality
@@ -77,3 +78,8 @@ def op7(spark, sf_dir):
 @register("op8_license_scan", sqltext.LICENSES)
 def op8(spark, sf_dir):
     return license_scan(documents(spark, sf_dir))
+
+
+@register("op10_substring_dedup")
+def op10(spark, sf_dir):
+    return substring_dedup(documents(spark, sf_dir))
