@@ -11,6 +11,7 @@ from barloom.llm.common import table
 from barloom.llm.op10_substring_dedup import substring_dedup
 from barloom.llm.op1_decontaminate import contamination
 from barloom.llm.op2_packing import pack
+from barloom.llm.op3_passage_dedup import passages
 from barloom.llm.op4_line_quality import line_quality
 from barloom.llm.op5_language import language
 from barloom.llm.op6_secret_scan import scan
@@ -83,3 +84,8 @@ def op8(spark, sf_dir):
 @register("op10_substring_dedup")
 def op10(spark, sf_dir):
     return substring_dedup(documents(spark, sf_dir))
+
+
+@register("op3_passage_dedup")
+def op3(spark, sf_dir):
+    return passages(documents(spark, sf_dir))
