@@ -349,11 +349,11 @@ def _(spark, sf_dir):
       UNION ALL SELECT 17, 1, 0 UNION ALL SELECT 4, 1, 1 UNION ALL SELECT 19, 1, 2
       UNION ALL SELECT id, 2, 0 FROM items WHERE name = 'red bolt 7'
       UNION ALL SELECT item_id, 3, -buy_limit FROM discovered)
-    WHERE item_id <> 19 GROUP BY item_id ORDER BY place, item_id LIMIT 18)""", "pick_hybrid", "items", "discovered"))
+    WHERE item_id <> 19 GROUP BY item_id)""", "pick_hybrid", "items", "discovered"))
 def _(spark, sf_dir):
     config = IngestConfig(
         include_ids=(17, 4, 19), include_names=("RED BOLT 7", "no such thing"), exclude_ids=(19,),
-        discover=DiscoverConfig(enabled=True, top_k=10, min_limit=10_000), max_items=18)
+        discover=DiscoverConfig(enabled=True, top_k=10, min_limit=10_000))
     current = selection.selected_positions(pick(spark, sf_dir, "hybrid"))
     return selection.ingest_targets(testbed.items_raw(spark, sf_dir), config, current).select("item_id")
 
@@ -389,7 +389,17 @@ def _(spark, sf_dir):
 
 @register("rolling_splits_latest", query(f"SELECT {SPLIT_COLS} FROM tail_splits", "tail_splits"))
 def _(spark, sf_dir):
-    return backtest.rolling_splits(supplier(spark, sf_dir), keep="latest")
+    return backtest.rolling_splits(supplier(spark, sf_dir), max_splits=50, keep="latest")
+
+
+@register("rolling_splits_first", query(f"SELECT {SPLIT_COLS} FROM head_splits", "head_splits"))
+def _(spark, sf_dir):
+    return backtest.rolling_splits(supplier(spark, sf_dir), max_splits=50)
+
+
+@register("expanding_splits_first", query(f"SELECT {SPLIT_COLS} FROM sprout_splits", "sprout_splits"))
+def _(spark, sf_dir):
+    return backtest.expanding_splits(supplier(spark, sf_dir), max_splits=30)
 
 
 @register("expanding_splits", query(f"SELECT {SPLIT_COLS} FROM grow_splits", "grow_splits"))
@@ -429,9 +439,14 @@ def _(spark, sf_dir):
     return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",), trend=None)
 
 
-@register("backtest_ets_seasonal")
+@register("backtest_ets_first")
 def _(spark, sf_dir):
-    return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",), trend="add", seasonal="mul")
+    return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",), max_splits=50)
+
+
+@register("backtest_ets_expanding")
+def _(spark, sf_dir):
+    return backtest.backtest_item_result(supplier(spark, sf_dir), ("ets",))
 
 
 @register("holt_fixed", rounded(
@@ -497,7 +512,7 @@ def _(spark, sf_dir):
 
 
 @register("suitable_items", query(
-    "SELECT DISTINCT item_id FROM metrics WHERE suitable_for_forecasting ORDER BY item_id LIMIT 10", "metrics"))
+    "SELECT DISTINCT item_id FROM metrics WHERE suitable_for_forecasting", "metrics"))
 def _(spark, sf_dir):
     return backtest.suitable_items(metrics(spark, sf_dir))
 
@@ -741,22 +756,46 @@ def _(spark, sf_dir):
 
 # ---- streaming ---------------------------------------------------------------------------
 
-def price_stream(spark, sf_dir):
-    schema = testbed.table(spark, sf_dir, "events").schema
-    return testbed.prices_from_events(jobs.read_stream(spark, f"{sf_dir}/events.parquet", schema))
+BATCHES = 4
+
+
+def price_stream(spark, sf_dir, in_order: bool = True):
+    """The events as a stream of one file per batch; in the order of time, or shuffled over the files."""
+    events = testbed.table(spark, sf_dir, "events")
+    place = F.pmod(F.xxhash64("event_id"), F.lit(BATCHES))
+    if in_order:
+        span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+        days = [F.datediff(F.to_date(a), F.to_date(b)) for a, b in (("ts", "low"), ("high", "low"))]
+        share = F.floor(days[0] * BATCHES / (days[1] + 1))
+        events = events.crossJoin(span).withColumn("_part", share).drop("low", "high")
+    else:
+        events = events.withColumn("_part", place)
+    folder = scratch_path(spark, "landed-events")
+    for part in range(BATCHES):  # one after the other: the source reads files by age
+        events.where(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(folder)
+    return testbed.prices_from_events(
+        spark.readStream.schema(events.drop("_part").schema).option("maxFilesPerTrigger", 1).parquet(folder))
+
+
+def several(stream_query):
+    """Waits for the stream; more than one batch must have had rows."""
+    stream_query.awaitTermination()
+    done = [p for p in stream_query.recentProgress if p["numInputRows"]]
+    if len(done) < 2:
+        raise RuntimeError(f"the stream ran {len(done)} batches")
 
 
 @register("stream_silver", query("SELECT * FROM silver_named", "silver_named"))
 def _(spark, sf_dir):
     table = scratch_path(spark, "stream-silver")
-    jobs.silver_upserts(price_stream(spark, sf_dir), table, scratch_path(spark, "stream-silver-offsets")).awaitTermination()
+    several(jobs.silver_upserts(price_stream(spark, sf_dir, False), table, scratch_path(spark, "stream-silver-offsets")))
     return spark.read.parquet(table).drop("ts_date")
 
 
 @register("stream_gold", rounded("features", FEATURE_DOUBLES, "features"))
 def _(spark, sf_dir):
     table = scratch_path(spark, "stream-gold")
-    jobs.gold_appends(price_stream(spark, sf_dir), table, scratch_path(spark, "stream-gold-offsets")).awaitTermination()
+    several(jobs.gold_upserts(price_stream(spark, sf_dir, False), table, scratch_path(spark, "stream-gold-offsets")))
     return spark.read.parquet(table)
 
 
@@ -833,7 +872,7 @@ def _(spark, sf_dir):
 def failures_sql(table: str, source: str, spec: quality.TableChecks) -> str:
     parts = [(f"not_null_{c}", f"{c} IS NULL") for c in spec.required]
     parts += [(f"non_negative_{c}", f"{c} < 0") for c in spec.amounts]
-    parts += [(f"accepted_values_{c}", f"{c} IS NULL OR {c} NOT IN ({', '.join(repr(v) for v in vs)})") for c, vs in spec.accepted.items()]
+    parts += [(f"accepted_values_{c}", f"{c} NOT IN ({', '.join(repr(v) for v in vs)})") for c, vs in spec.accepted.items()]
     rows = [f"SELECT '{table}' AS \"table\", '{name}' AS \"check\", count(*) AS n_failures FROM {source} WHERE {cond}" for name, cond in parts]
     if spec.key:
         keys = ", ".join(spec.key)
@@ -861,9 +900,9 @@ def _(spark, sf_dir):
 
 @register("pipeline_leaderboard", rounded("tail_board", BOARD_DOUBLES, "tail_board"))
 def _(spark, sf_dir):
-    """Every layer stored and read back, then all items backtested on their latest origins."""
+    """Every layer stored and read back, then all items backtested on all origins."""
     config = pipeline.RefreshConfig(
-        as_of=AS_OF, selection=SELECTION, methods=FLAT, window=10, max_splits=5, selected_only=False, ladder=TEST_LADDER)
+        as_of=AS_OF, selection=SELECTION, methods=FLAT, window=10, ladder=TEST_LADDER)
     layers = pipeline.refresh(
         spark, raw(spark, sf_dir), testbed.items_raw(spark, sf_dir), scratch_path(spark, "warehouse"), config)
     return layers["leaderboard"]

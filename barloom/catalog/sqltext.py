@@ -226,7 +226,7 @@ cte("series", """
 cte("feature_series", "SELECT item_id, price_date AS date, close_price::DOUBLE AS price FROM model_features", "model_features")
 
 
-def split_ctes(tag: str, source: str, train: int, horizon: int, max_splits: int, expanding: bool = False,
+def split_ctes(tag: str, source: str, train: int, horizon: int, max_splits: int | None = None, expanding: bool = False,
                latest: bool = False) -> None:
     """``<tag>_splits``: numbered origins; ``<tag>_scores``: both flat forecasters with errors."""
     reach = 7 if expanding else min(7, train)
@@ -239,9 +239,10 @@ def split_ctes(tag: str, source: str, train: int, horizon: int, max_splits: int,
     lag(date) OVER s AS train_end, {start} AS train_start, lead(date, {horizon - 1}) OVER s AS test_end, {actuals}
   FROM {source} WINDOW s AS (PARTITION BY item_id ORDER BY date)""", source)
     first = f"greatest(n - {horizon} + 1 - {max_splits}, {train})" if latest else f"{train}"
+    most = f" AND rn - {first} <= {max_splits}" if max_splits else ""
     cte(f"{tag}_splits", f"""
   SELECT *, CAST(rn - {first} AS INTEGER) AS split, CAST({size} AS INTEGER) AS train_size FROM {tag}_numbered
-  WHERE rn > {first} AND rn <= n - {horizon} + 1 AND rn - {first} <= {max_splits}""", f"{tag}_numbered")
+  WHERE rn > {first} AND rn <= n - {horizon} + 1{most}""", f"{tag}_numbered")
     y = [f"y{j}" for j in range(horizon)]
     err = " + ".join(f"abs({c} - p)" for c in y)
     sm = " + ".join(f"abs({c} - p) / IF(abs({c}) + abs(p) = 0, 1e-8::DOUBLE, (abs({c}) + abs(p)) / 2.0::DOUBLE)" for c in y)
@@ -252,12 +253,14 @@ def split_ctes(tag: str, source: str, train: int, horizon: int, max_splits: int,
         UNION ALL SELECT *, 'moving_average', moving_average FROM {tag}_splits)""", f"{tag}_splits")
 
 
-split_ctes("roll", "supplier_days", 28, 1, 50)
+split_ctes("roll", "supplier_days", 28, 1)
+split_ctes("head", "supplier_days", 28, 1, 50)
 split_ctes("tail", "supplier_days", 28, 1, 50, latest=True)
-split_ctes("grow", "supplier_days", 14, 1, 30, expanding=True)
-split_ctes("short", "series", 10, 1, 50)
-split_ctes("three", "series", 10, 3, 50)
-split_ctes("feat", "feature_series", 14, 1, 30, expanding=True)
+split_ctes("grow", "supplier_days", 14, 1, expanding=True)
+split_ctes("sprout", "supplier_days", 14, 1, 30, expanding=True)
+split_ctes("short", "series", 10, 1)
+split_ctes("three", "series", 10, 3)
+split_ctes("feat", "feature_series", 14, 1, expanding=True)
 cte("item_results", """
   SELECT item_id, method, count(*) AS n_splits, count(mae) AS n_predictions, avg(mae) AS mae, avg(smape) AS smape,
     stddev_pop(mae) AS mae_std, stddev_pop(smape) AS smape_std
@@ -303,10 +306,9 @@ cte("restart_features", """
              FALSE) OR coalesce(volatility_proxy > 0.5, FALSE) AS is_outlier,
     total_volume, observation_count, min_price, max_price
   FROM (SELECT *, latest_price / nullif(before, 0) - 1.0 AS ret FROM restart_obs)""", "restart_obs")
-split_ctes("last5", "series", 10, 1, 5, latest=True)
 cte("tail_board", """
   SELECT item_id, name, method, smape, mae, n FROM (
     SELECT item_id, method, avg(smape) AS smape, avg(mae) AS mae, count(*) AS n,
       row_number() OVER (PARTITION BY item_id ORDER BY avg(smape), avg(mae), method) AS place
-    FROM last5_scores WHERE mae IS NOT NULL AND date >= DATE '2024-01-01' GROUP BY item_id, method)
-  JOIN items ON id = item_id WHERE place = 1""", "last5_scores", "items")
+    FROM short_scores WHERE mae IS NOT NULL AND date >= DATE '2024-01-01' GROUP BY item_id, method)
+  JOIN items ON id = item_id WHERE place = 1""", "short_scores", "items")

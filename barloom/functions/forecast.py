@@ -46,8 +46,8 @@ def holt_fixed(series: str | Column, alpha: float, beta: float) -> Column:
     return F.when(F.size(arr) >= 2, F.aggregate(rest, start, step))
 
 
-def _sweep(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
-    """Best start state, squared error and end state for every (row, candidate).
+def _states(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
+    """After each value: squared error for the best start state and the end state, of every (row, candidate).
 
     For fixed parameters the one-step errors are linear in the start state (l0, b0), so
     the best start state has a closed form. ``y`` is (rows, n); the parameters are
@@ -57,7 +57,7 @@ def _sweep(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
     flat = np.zeros_like(alpha)
     lev, slope = zero, zero                  # path of the data from a zero start state
     lev_l, slope_l = flat + 1.0, flat        # response to l0
-    lev_b, slope_b = flat, flat + 1.0        # response to b0
+    lev_b, slope_b = flat, flat + float(trend)  # response to b0
     see = sel = seb = zero
     sll = slb = sbb = flat
     gain = alpha * beta
@@ -70,16 +70,23 @@ def _sweep(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
         if trend:
             seb, slb, sbb = seb + e * eb, slb + el * eb, sbb + eb * eb
             lev_b, slope_b = lev_b + slope_b + alpha * eb, slope_b + gain * eb
-    if trend:
-        det = sll * sbb - slb * slb
-        l0 = (seb * slb - sel * sbb) / det
-        b0 = (sel * slb - seb * sll) / det
-    else:
-        l0, b0 = -sel / sll, zero
-        lev_b, slope_b = flat, flat
-    sse = see + l0 * sel + b0 * seb
-    level = lev + l0 * lev_l + b0 * lev_b
-    return sse, level, slope + l0 * slope_l + b0 * slope_b
+        if trend and t == 0:  # one value does not determine two
+            yield np.zeros_like(see), lev, slope
+            continue
+        if trend:
+            det = sll * sbb - slb * slb
+            l0 = (seb * slb - sel * sbb) / det
+            b0 = (sel * slb - seb * sll) / det
+        else:
+            l0, b0 = -sel / sll, zero
+        yield (see + l0 * sel + b0 * seb, lev + l0 * lev_l + b0 * lev_b, slope + l0 * slope_l + b0 * slope_b)
+
+
+def _sweep(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
+    """The last of :func:`_states`."""
+    for state in _states(y, alpha, beta, trend):
+        pass
+    return state
 
 
 def _grid(trend: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -123,125 +130,28 @@ def fit_windows(y: np.ndarray, horizon: int, trend: bool = True) -> tuple[np.nda
     return forecast * scale + centre, np.maximum(best[2], 0.0) * scale[:, 0] ** 2
 
 
-# ---- forms without a closed-form start state ---------------------------------------
-
-PERIOD = 7
-SEARCH_ROUNDS = 40
-# starting points (level, trend, season smoothing as shares of their allowed ranges)
-SEARCH_STARTS = ((0.1, 0.1, 0.1), (0.5, 0.3, 0.3), (0.9, 0.3, 0.5))
-
-
-def _unpack(free: np.ndarray):
-    """Smoothing shares from unbounded numbers: 0 <= beta <= alpha and gamma <= 1 - alpha."""
-    share = 1.0 / (1.0 + np.exp(-np.clip(free[..., :3], -30, 30)))
-    return share[..., 0], share[..., 0] * share[..., 1], (1.0 - share[..., 0]) * share[..., 2]
+def fit_origins(y: np.ndarray, train: int, horizon: int, trend: bool = True) -> np.ndarray:
+    """Forecasts (n - train + 1, horizon) of one series from every origin with at least ``train`` values before it.
 
-
-def _smooth(y: np.ndarray, free: np.ndarray, trend: str | None, seasonal: str | None, horizon: int = 0):
-    """One-step errors (..., n) and forecasts (..., horizon) for free parameters (..., 12):
-    three smoothing shares, level, trend and seven seasonal values."""
-    alpha, beta, gamma = _unpack(free)
-    level, slope = free[..., 3], free[..., 4]
-    season = [free[..., 5 + j] for j in range(PERIOD)]
-
-    def grow(l, b, steps=1):
-        return l + steps * b if trend == "add" else l * b**steps if trend == "mul" else l
-
-    def apply(base, j):
-        return base + season[j] if seasonal == "add" else base * season[j] if seasonal == "mul" else base
-
-    def strip(value, other):
-        return value - other if seasonal == "add" else value / other
-
-    errors = []
-    for t in range(y.shape[-1]):
-        now, j = y[..., t], t % PERIOD
-        base = grow(level, slope)
-        errors.append(now - apply(base, j))
-        seen = strip(now, season[j]) if seasonal else now
-        after = alpha * seen + (1 - alpha) * base
-        if trend:
-            slope = beta * (after - level if trend == "add" else after / level) + (1 - beta) * slope
-        if seasonal:
-            season[j] = gamma * strip(now, base) + (1 - gamma) * season[j]
-        level = after
-    n = y.shape[-1]
-    ahead = [apply(grow(level, slope, h), (n + h - 1) % PERIOD) for h in range(1, horizon + 1)]
-    return np.stack(errors, -1), np.stack(ahead, -1) if ahead else None
-
-
-def _start(y: np.ndarray, trend: str | None, seasonal: str | None) -> np.ndarray:
-    """Starting parameters (rows, starts, 12) from the first two weeks."""
-    first, second = y[:, :PERIOD].mean(axis=1), y[:, -PERIOD:].mean(axis=1)
-    gap = max(y.shape[1] - PERIOD, 1)
-    slope = (second - first) / gap if trend == "add" else (second / first) ** (1 / gap) if trend == "mul" else np.zeros(len(y))
-    half = (PERIOD + 1) / 2
-    level = first - half * slope if trend == "add" else first / slope**half if trend == "mul" else first
-    week = y[:, :PERIOD]
-    steps = np.arange(1, PERIOD + 1)
-    path = (level[:, None] + steps * slope[:, None] if trend == "add"
-            else level[:, None] * slope[:, None] ** steps if trend == "mul" else np.repeat(level[:, None], PERIOD, 1))
-    season = week - path if seasonal == "add" else week / path if seasonal == "mul" else np.zeros((len(y), PERIOD))
-    state = np.concatenate([level[:, None], slope[:, None], season], axis=1)
-    shares = np.log(np.array(SEARCH_STARTS) / (1 - np.array(SEARCH_STARTS)))
-    starts = np.empty((len(y), len(shares), 3 + state.shape[1]))
-    starts[:, :, :3], starts[:, :, 3:] = shares[None], state[:, None, :]
-    return starts
-
-
-def search_windows(y: np.ndarray, horizon: int, trend: str | None, seasonal: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Forecasts and squared errors by damped least squares over parameters and start state.
-
-    All windows and starting points move together; each keeps its own damping.
+    The sums behind the closed form are running sums, so one pass over the series serves all origins. The parameters
+    come from the grid; refining them would start each origin from the beginning again.
     """
-    scale = np.abs(y).mean(axis=1, keepdims=True)
-    scale = np.where(scale == 0, 1.0, scale)
-    z = y / scale
-    active = np.array([0, *([1] if trend else []), *([2] if seasonal else []), 3, *([4] if trend else []),
-                       *(range(5, 5 + PERIOD) if seasonal else [])])
-    free = _start(z, trend, seasonal).reshape(-1, 3 + 2 + PERIOD)
-    data = np.repeat(z, len(SEARCH_STARTS), axis=0)
-    errors, _ = _smooth(data, free, trend, seasonal)
-    sse = (errors**2).sum(-1)
-    damp = np.full(len(free), 1e-2)
-    for _ in range(SEARCH_ROUNDS):
-        step = 1e-6 * np.maximum(np.abs(free[:, active]), 1e-2)
-        moved = np.repeat(free[:, None, :], len(active), axis=1)
-        moved[:, np.arange(len(active)), active] += step
-        shifted, _ = _smooth(np.repeat(data[:, None, :], len(active), axis=1), moved, trend, seasonal)
-        slopes = (shifted - errors[:, None, :]) / step[:, :, None]          # (rows, params, n)
-        normal = slopes @ slopes.transpose(0, 2, 1)
-        size = np.einsum("rii->ri", normal)
-        ridge = (damp[:, None] * size + 1e-12)[:, :, None] * np.eye(len(active))
-        move = -np.linalg.solve(normal + ridge, (slopes @ errors[:, :, None]))[:, :, 0]
-        trial = free.copy()
-        trial[:, active] += move
-        found, _ = _smooth(data, trial, trend, seasonal)
-        better = (found**2).sum(-1) < sse
-        free[better], errors[better] = trial[better], found[better]
-        sse = (errors**2).sum(-1)
-        damp = np.where(better, np.maximum(damp / 3, 1e-12), np.minimum(damp * 4, 1e12))
-    pick = np.nan_to_num(sse, nan=np.inf).reshape(len(y), -1).argmin(axis=1) + np.arange(len(y)) * len(SEARCH_STARTS)
-    _, ahead = _smooth(z, free[pick], trend, seasonal, horizon)
-    return ahead * scale, sse[pick] * scale[:, 0] ** 2
-
-
-def fit_form(y: np.ndarray, horizon: int, trend: str | None, seasonal: str | None) -> np.ndarray:
-    """Forecasts for equally long windows; rows that a form cannot describe are NaN."""
-    if seasonal is None and trend != "mul":
-        return fit_windows(y, horizon, trend == "add")[0]
-    out = np.full((len(y), horizon), np.nan)
-    positive = (y > 0).all(axis=1) if "mul" in (trend, seasonal) else np.ones(len(y), dtype=bool)
-    if positive.any() and (seasonal is None or y.shape[1] >= 2 * PERIOD):
-        with np.errstate(all="ignore"):
-            out[positive] = search_windows(y[positive], horizon, trend, seasonal)[0]
-    return out
+    centre = y.mean()
+    scale = np.abs(y - centre).max() or 1.0
+    alpha, beta = _grid(trend)
+    ahead = np.arange(1, horizon + 1)
+    out = []
+    for t, (sse, level, slope) in enumerate(_states(((y - centre) / scale)[None, :], alpha, beta, trend), start=1):
+        if t >= train:
+            pick = sse[0].argmin()
+            out.append(level[0, pick] + ahead * slope[0, pick])
+    return np.array(out).reshape(-1, horizon) * scale + centre
 
 
 # ---- Spark side ------------------------------------------------------------------------
 
-def forecast_rows(train: pd.Series, horizon: int, trend: str | None = "add", seasonal: str | None = None) -> pd.Series:
-    """Forecast per training array; NULL for short, missing, incomplete or unfit arrays."""
+def forecast_rows(train: pd.Series, horizon: int, trend: str | None = "add") -> pd.Series:
+    """Forecast per training array; NULL for short, missing or incomplete arrays."""
     out: list = [None] * len(train)
     lengths = train.map(lambda v: 0 if v is None else len(v)).to_numpy()
     for n in np.unique(lengths[lengths >= MIN_OBSERVATIONS]):
@@ -251,22 +161,21 @@ def forecast_rows(train: pd.Series, horizon: int, trend: str | None = "add", sea
             y = np.stack([np.asarray(train.iloc[i], dtype=float) for i in part])
             usable = np.isfinite(y).all(axis=1)
             if usable.any():
-                for i, v in zip(part[usable], fit_form(y[usable], horizon, trend, seasonal)):
+                for i, v in zip(part[usable], fit_windows(y[usable], horizon, trend == "add")[0]):
                     out[i] = v.tolist() if np.isfinite(v).all() else None
     return pd.Series(out, dtype=object)
 
 
-def ets_forecast(train: Column, horizon: int, trend: str | None = "add", seasonal: str | None = None) -> Column:
+def ets_forecast(train: Column, horizon: int, trend: str | None = "add") -> Column:
     """Fitted exponential smoothing, ``horizon`` steps ahead: array<double>, NULL if not fitted.
 
-    ``trend`` and ``seasonal`` are each 'add', 'mul' or None; the season has 7 rows and
-    needs two full cycles.
+    ``trend`` is 'add' or None.
     """
-    if not {trend, seasonal} <= {"add", "mul", None}:
-        raise ValueError(f"unsupported form: trend={trend!r}, seasonal={seasonal!r}")
+    if trend not in ("add", None):
+        raise ValueError(f"unsupported form: trend={trend!r}")
 
     @F.pandas_udf("array<double>")
     def fitted(values: pd.Series) -> pd.Series:
-        return forecast_rows(values, horizon, trend, seasonal)
+        return forecast_rows(values, horizon, trend)
 
     return fitted(train)

@@ -72,19 +72,26 @@ def weekday_angle(date_col: str) -> Column:
 
 _SLOT = "10000000000000000000"  # 10^19: wider than any 64-bit value
 _HALF = "5000000000000000000"
+_MOST = "4999999999999999999"
 
 
 def time_value_key(ts: str, value: str) -> Column:
-    """One ordered number for (instant, 64-bit value), NULL when the value is.
+    """One ordered number for (zone-free instant, integral value below 5 * 10^18), NULL when the value is.
+
+    The instant is taken from its date and time of day, so the session zone does not matter; larger values raise.
 
     ``min``/``max`` over it finds the value at the first/last instant, ties going to the
     lower/higher value. A decimal is a fixed-width aggregation buffer, so the daily
     aggregate stays a HashAggregate with map-side combine; ordering by a struct would
     make Spark sort all raw rows twice.
     """
+    micros = (
+        f"(cast(unix_date(cast({ts} as date)) as bigint) * 86400 + hour({ts}) * 3600 + minute({ts}) * 60) * 1000000"
+        f" + cast(extract(second from {ts}) * 1000000 as bigint)"
+    )
+    fits = f"if({value} between -{_MOST} and {_MOST}, cast({value} as decimal(19,0)), raise_error('price beyond 64-bit key'))"
     return F.expr(
-        f"cast(unix_micros(cast({ts} as timestamp)) as decimal(18,0)) * cast({_SLOT} as decimal(20,0))"
-        f" + cast({value} as decimal(19,0))"
+        f"cast({micros} as decimal(18,0)) * cast({_SLOT} as decimal(20,0)) + case when {value} is not null then {fits} end"
     )
 
 

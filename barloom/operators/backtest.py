@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.forecast import ets_forecast, holt_fixed
+from barloom.functions.forecast import MIN_OBSERVATIONS, ets_forecast, fit_origins, holt_fixed
 from barloom.operators.metrics import smape_term
 
 METHODS = ("last_value", "moving_average", "ets")
@@ -24,19 +26,18 @@ def splits(
     series: DataFrame,
     train: int = 28,
     horizon: int = 1,
-    max_splits: int = 50,
+    max_splits: int | None = None,
     expanding: bool = False,
     keep: str = "earliest",
     methods: Sequence[str] = (),
     trend: str | None = "add",
-    seasonal: str | None = None,
 ) -> DataFrame:
     """One row per walk-forward split, forecast origin at ``date``.
 
     Rolling splits train on the ``train`` rows before the origin; expanding splits on all
     rows before it, at least ``train``. Items shorter than ``train + horizon`` have none.
-    The first ``max_splits`` origins count, or with ``keep='latest'`` the last ones.
-    ``trend`` and ``seasonal`` choose the form of the fitted smoother.
+    Every origin counts; a given ``max_splits`` keeps the first ones, or with
+    ``keep='latest'`` the last ones. ``trend`` chooses the form of the fitted smoother.
 
     Columns: item_id, split, date, train_start, train_end, train_size, test_end, actuals,
     and one array column of forecasts per requested method.
@@ -49,8 +50,10 @@ def splits(
     w = Window.partitionBy("item_id").orderBy("date")
     before = w.rowsBetween(Window.unboundedPreceding if expanding else -train, -1)
     rows = series.withColumn("_rn", F.row_number().over(w))
-    if keep == "earliest":
-        # later rows take part in no split; this also bounds the training arrays below
+    if max_splits is None:
+        keep = "earliest"
+    elif keep == "earliest":
+        # later rows take part in no split
         rows = rows.where(F.col("_rn") <= train + max_splits + horizon - 1)
     else:
         rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("item_id")))
@@ -62,17 +65,20 @@ def splits(
         (F.lead("date", horizon - 1).over(w) if horizon > 1 else F.col("date")).alias("test_end"),
         F.lag("date", 1).over(w).alias("train_end"),
         (first_day if expanding else F.lag("date", train).over(w)).alias("train_start"),
-        *[_training_column(m, w, before, train, expanding) for m in methods],
+        *[_training_column(m, w, before, train, expanding) for m in methods if not (expanding and m == "ets")],
     ).where((F.col("_rn") > train) & F.col("test_end").isNotNull())
     if keep == "earliest":
         framed = framed.withColumn("split", F.col("_rn") - train)
     else:
         framed = framed.withColumn("split", F.col("_rn") - F.greatest(F.col("_n") - horizon + 1 - max_splits, F.lit(train)))
         framed = framed.where("split > 0")
-    if "ets" in methods:
+    if "ets" in methods and expanding:
+        fitted = expanding_ets(series, train, horizon, trend)
+        framed = framed.join(fitted, ["item_id", "date"], "left")
+    elif "ets" in methods:
         framed = spread(framed, "item_id", "split")
     size = F.col("_rn") - 1 if expanding else F.lit(train)
-    forecasts = [_forecast_column(m, horizon, size, trend, seasonal).alias(m) for m in methods]
+    forecasts = [_forecast_column(m, horizon, size, trend, expanding).alias(m) for m in methods]
     return framed.select(
         "item_id", F.col("split").cast("int").alias("split"), "date", "train_start", "train_end",
         size.cast("int").alias("train_size"), "test_end", "actuals", *forecasts,
@@ -102,19 +108,43 @@ def _training_column(method: str, w, before, train: int, expanding: bool) -> Col
     return out.alias(f"_{method}")
 
 
-def _forecast_column(method: str, horizon: int, size: Column, trend: str | None, seasonal: str | None) -> Column:
+def expanding_ets(series: DataFrame, train: int, horizon: int, trend: str | None = "add") -> DataFrame:
+    """(item_id, date, _ets): the smoother's forecast from every origin with ``train`` rows before it.
+
+    An item's history, one value per calendar day, is read once for all its origins. Rows before the first missing
+    price count, as a window with a gap has no fit.
+    """
+    def fit(day: pd.DataFrame) -> pd.DataFrame:
+        day = day.sort_values("date")
+        y = day["price"].to_numpy(float)
+        gaps = np.flatnonzero(~np.isfinite(y))
+        known = int(gaps[0]) if len(gaps) else len(y)
+        first = max(train, MIN_OBSERVATIONS)
+        found = fit_origins(y[:known], first, horizon, trend == "add") if known >= first else np.zeros((0, horizon))
+        dates = day["date"].iloc[first : known + 1]
+        return pd.DataFrame({"item_id": day["item_id"].iloc[: len(dates)].to_numpy(), "date": dates.to_numpy(),
+                             "_ets": list(found[: len(dates)])})
+
+    kinds = dict(series.dtypes)
+    return series.select("item_id", "date", F.col("price").cast("double").alias("price")).groupBy("item_id").applyInPandas(
+        fit, f"item_id {kinds['item_id']}, date {kinds['date']}, _ets array<double>")
+
+
+def _forecast_column(method: str, horizon: int, size: Column, trend: str | None, expanding: bool) -> Column:
     known = F.col(f"_{method}")
+    if method == "ets" and expanding:
+        return known
     if method == "ets":
         # collect_list drops NULLs, so a short array means an incomplete window
-        return ets_forecast(F.when(F.size(known) == size, known), horizon, trend, seasonal)
+        return ets_forecast(F.when(F.size(known) == size, known), horizon, trend)
     return F.array_repeat(known, horizon)
 
 
-def rolling_splits(series: DataFrame, window: int = 28, horizon: int = 1, max_splits: int = 50, **kw) -> DataFrame:
+def rolling_splits(series: DataFrame, window: int = 28, horizon: int = 1, max_splits: int | None = None, **kw) -> DataFrame:
     return splits(series, window, horizon, max_splits, **kw).drop("actuals")
 
 
-def expanding_splits(series: DataFrame, min_train: int = 14, test_size: int = 1, max_splits: int = 30, **kw) -> DataFrame:
+def expanding_splits(series: DataFrame, min_train: int = 14, test_size: int = 1, max_splits: int | None = None, **kw) -> DataFrame:
     return splits(series, min_train, test_size, max_splits, expanding=True, **kw).drop("actuals")
 
 
@@ -123,7 +153,7 @@ def scored_splits(
     methods: Sequence[str] = METHODS,
     train: int = 28,
     horizon: int = 1,
-    max_splits: int = 50,
+    max_splits: int | None = None,
     expanding: bool = False,
     keep: str = "earliest",
     **form: str | None,
@@ -143,14 +173,14 @@ def backtest_scores(
     methods: Sequence[str] = METHODS,
     window: int = 28,
     horizon: int = 1,
-    max_splits: int = 50,
+    max_splits: int | None = None,
     keep: str = "earliest",
     **form: str | None,
 ) -> DataFrame:
     """The backtest metrics table: one row per item, origin date and method.
 
-    Splits with a missing price or forecast are left out. ``trend`` and ``seasonal`` may
-    be given for the fitted smoother.
+    Splits with a missing price or forecast are left out. ``trend`` may be given for the
+    fitted smoother.
     """
     scored = scored_splits(series, methods, window, horizon, max_splits, keep=keep, **form)
     return scored.where("mae IS NOT NULL").select(
@@ -171,13 +201,13 @@ def backtest_item_result(
     methods: Sequence[str] = METHODS,
     min_train: int = 14,
     test_size: int = 1,
-    max_splits: int = 30,
+    max_splits: int | None = None,
     with_predictions: bool = False,
 ) -> DataFrame:
     """Per item and method over expanding splits: counts, overall errors, their spread.
 
     With ``with_predictions`` the forecasts and actuals come along as arrays in date
-    order, at most ``max_splits * test_size`` values each.
+    order, at most one per calendar day.
     """
     scored = scored_splits(series, methods, min_train, test_size, max_splits, expanding=True)
     ok = F.col("mae").isNotNull()
@@ -200,8 +230,8 @@ def backtest_item_result(
     return out
 
 
-def suitable_items(metrics: DataFrame, limit: int | None = 10) -> DataFrame:
-    """Items fit for forecasting, lowest ids first; all of them with ``limit=None``."""
+def suitable_items(metrics: DataFrame, limit: int | None = None) -> DataFrame:
+    """Items fit for forecasting; with a ``limit`` the lowest ids."""
     out = metrics.where("suitable_for_forecasting").select("item_id").distinct()
     return out if limit is None else out.orderBy("item_id").limit(limit)
 

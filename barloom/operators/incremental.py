@@ -45,6 +45,11 @@ def incremental_gold(silver_rows: DataFrame, target: DataFrame, mode: str = "con
     fresh = silver_rows.where(after_mark(day, target, "date"))
     if mode == "reference":
         return gold.gold_daily_features(fresh)
+    return with_history(fresh, target)
+
+
+def with_history(fresh: DataFrame, target: DataFrame) -> DataFrame:
+    """Daily features of ``fresh`` rows, with the stored days of their items in the windows."""
     daily = gold.daily_observations(fresh).select(*DAILY_COLUMNS)
     active = daily.select("item_id").distinct()
     history = target.select(*DAILY_COLUMNS).join(active, "item_id", "left_semi")
@@ -72,16 +77,32 @@ def append_new(
     return incoming.join(known.select(*keys).distinct(), list(keys), "left_anti").select(*incoming.columns)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], newest: str | None = None, ties: Sequence[str] = ()) -> DataFrame:
+    """One row per key: of repeats the one with the highest ``newest``, then ``ties``; without ``newest`` the highest
+    in the order of the other columns. NULL keys are equal to each other."""
+    if newest is None:
+        rest = [c for c in df.columns if c not in keys]
+        if not rest:
+            return df.distinct()
+        newest, ties = rest[0], rest[1:]
+    return silver.keep_latest(df, keys, newest, ties)
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Existing rows with the incoming ones in place of equal keys."""
-    kept = existing.join(incoming.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.select(*incoming.columns).unionByName(incoming)
+    """Existing rows with the incoming ones in place of equal keys, NULLs being equal; one incoming row per key."""
+    fresh = one_per_key(incoming, keys)
+    replaced = fresh.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return existing.join(replaced, same, "left_anti").select(*incoming.columns).unionByName(fresh)
 
 
 def upsert_backtest(existing: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:
     """Replace backtest rows by (item_id, date, method).
 
-    Of repeats in the incoming batch the one with the highest ``order`` value wins.
+    Of repeats in the incoming batch the one with the highest ``order`` value wins, by
+    default the one of the highest other values.
     """
     keys = ["item_id", "date", "method"]
     if order is not None:

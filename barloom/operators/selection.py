@@ -156,7 +156,7 @@ def ingest_targets(mapping: DataFrame, config: IngestConfig, selected: DataFrame
 
     Sources by priority: the current selection (in its own order), listed ids, listed
     names (first match), discovered items. An item keeps its best place; excludes are
-    removed, the rest is cut at ``max_items``. When nothing remains the seed list is used.
+    removed; a given ``max_items`` cuts the rest. When nothing remains the seed list is used.
     """
     spark = mapping.sparkSession
     names = mapping.select("id", "name")
@@ -183,24 +183,17 @@ def ingest_targets(mapping: DataFrame, config: IngestConfig, selected: DataFrame
     if config.exclude_names:
         excluded = excluded.unionByName(by_name(config.exclude_names).select("item_id"))
     seeds = placed(lookup.id_frame(spark, config.seed_ids), SEED_SOURCE, F.col("pos"))
-    first = (
+    kept = (
         lookup.without_ids(union, excluded)
-        .unionByName(seeds)
         .groupBy("item_id")
         .agg(F.min(F.struct("rank_source", "rank_pos")).alias("place"))
         .select("place.rank_source", "place.rank_pos", "item_id")
-        .orderBy("rank_source", "rank_pos", "item_id")
-        .limit(config.max_items + len(config.seed_ids))
     )
-    # at most max_items + seeds rows from here on, so one ordered pass may see them all
-    everything = Window.partitionBy(F.lit(0))
-    ordered = everything.orderBy("rank_source", "rank_pos", "item_id")
-    numbered = first.select(
-        "*", F.row_number().over(ordered).alias("_rn"), F.min("rank_source").over(everything).alias("_best")
-    )
-    only_seeds = F.col("_best") == SEED_SOURCE
-    target = (F.col("rank_source") < SEED_SOURCE) & (F.col("_rn") <= config.max_items)
-    return numbered.where(only_seeds | target).drop("_rn", "_best")
+    if config.max_items is not None:
+        kept = kept.orderBy("rank_source", "rank_pos", "item_id").limit(config.max_items)
+    # the seeds count only where nothing else is left
+    left = kept.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return kept.unionByName(seeds.where(left == 0).select("rank_source", "rank_pos", "item_id"))
 
 
 def selected_positions(selection: DataFrame) -> DataFrame:

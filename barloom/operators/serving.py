@@ -14,15 +14,16 @@ from barloom.operators.selection import days_before
 
 MOVING_AVERAGE_DAYS = 7
 HISTORY_DAYS = 14
+# fixed value: the label of the served model
 MODEL_LABEL = "7-day moving average"
 
 
 def items_page(
-    metrics: DataFrame, page: int = 1, page_size: int = 50, curated: DataFrame | None = None, check: bool = False
+    metrics: DataFrame, page: int = 1, page_size: int = 50, curated: DataFrame | None = None, check: bool = True
 ) -> DataFrame:
     """One page of items by name, with the total on every row.
 
-    With ``check`` a page past the end raises, at the price of a count.
+    A page past the end raises, at the price of a count; ``check=False`` saves it.
     """
     if page < 1 or not 1 <= page_size <= 1000:
         raise ValueError("page must be positive and page_size between 1 and 1000")
@@ -31,7 +32,7 @@ def items_page(
         total = listed.count()
         pages = -(-total // page_size)
         if total and page > pages:
-            raise ValueError(f"Page {page} does not exist. Maximum page is {pages}.")
+            raise ValueError(f"there are {pages} pages, page {page} is past the last")
     total = listed.agg(F.count(F.lit(1)).alias("n")).scalar()
     rows = listed.select("item_id", "name").orderBy("name", "item_id").offset((page - 1) * page_size).limit(page_size)
     return rows.withColumn("total_count", total).select(

@@ -20,18 +20,18 @@ from barloom.sinks.tables import replace_table, write_selection
 
 @dataclass(frozen=True)
 class RefreshConfig:
-    """Parameters of a refresh run. ``stamp`` adds the wall-clock load time to the layers."""
+    """Parameters of a refresh run: all items, origins and methods unless fewer are asked for. ``stamp`` adds the wall-clock load time to the layers."""
 
     as_of: dt.date | str
     selection: SelectionConfig = SelectionConfig()
     selection_mode: str = "hybrid"
     force_include: bool = True
-    methods: Sequence[str] = ("last_value",)
-    window: int = 10
+    methods: Sequence[str] = backtest.METHODS
+    window: int = 28
     horizon: int = 1
-    max_splits: int = 5
+    max_splits: int | None = None
     keep: str = "latest"
-    selected_only: bool = True
+    selected_only: bool = False
     stamp: bool = False
     ladder: Sequence[tuple[str, Sequence[str]]] = CATEGORY_LADDER
 

@@ -114,12 +114,12 @@ class DiscoverConfig:
 
 @dataclass(frozen=True)
 class IngestConfig:
-    """Which items an ingestion run covers, and how many at most."""
+    """Which items an ingestion run covers; all of them unless ``max_items`` is given."""
 
     include_ids: tuple[int, ...] = ()
     include_names: tuple[str, ...] = ()
     exclude_ids: tuple[int, ...] = ()
     exclude_names: tuple[str, ...] = ()
     discover: DiscoverConfig = field(default_factory=DiscoverConfig)
-    max_items: int = 25
+    max_items: int | None = None
     seed_ids: tuple[int, ...] = EMERGENCY_SEED_IDS

@@ -45,5 +45,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="barloom-", dir="/tmp")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder that this library wrote; a missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -8,9 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.incremental import append_new, upsert
+from barloom.operators.incremental import append_new, one_per_key, upsert
 from barloom.operators.silver import keep_latest
-from barloom.session import scratch_path
+from barloom.session import remove_path, scratch_path
 
 # fixed values: metadata of the selection document
 SELECTION_CRITERIA = "median_daily_volume + coverage_pct"
@@ -68,42 +68,70 @@ def upsert_table(
     incoming: DataFrame, path: str, keys: Sequence[str], partition_col: str, newest: str | None = None,
     ties: Sequence[str] = (),
 ) -> None:
-    """Upsert into a Parquet table partitioned by ``partition_col``, a day.
+    """Upsert into a Parquet table partitioned by ``partition_col``, a day; one row per key, NULLs being equal.
 
-    The day must follow from the key. Only days with incoming rows are read and
-    rewritten, so the work follows the batch, not the table. The merged rows go to a
-    staging folder first: the target is never overwritten while it is being read, and a
-    failed or repeated run gives the same table. With ``newest`` the highest value of
-    that column wins per key, otherwise the incoming row does.
+    The day must follow from the key. Only days with incoming rows are read and rewritten, so the work follows the
+    batch, not the table. The merged days are written to a staging folder first, then named in a small file beside the
+    table, then moved in. A run that stops in between has lost nothing: the next one finds the name and moves the
+    staged days in again before it does anything else, as does :func:`recover`. Staging folders are removed.
+    With ``newest`` the highest value of that column wins per key, otherwise the incoming row does.
     """
     spark = incoming.sparkSession
+    recover(spark, path, partition_col)
     existing = stored(spark, path)
+    if existing is not None:
+        require_same_schema(existing, incoming)
+    batch, staged = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-staged")
+    one_per_key(incoming, keys, newest, ties).write.parquet(batch)  # evaluated once, read several times below
+    fresh = spark.read.schema(incoming.schema).parquet(batch)
     if existing is None:
-        merged = incoming if newest is None else keep_latest(incoming, keys, newest, ties)
-        replace_table(merged, path, partition_by=[partition_col])
-        return
-    require_same_schema(existing, incoming)
-    batch = scratch_path(spark, "upsert-batch")
-    staged = scratch_path(spark, "upsert-staged")
-    incoming.write.parquet(batch)  # evaluated once, read three times below
-    incoming = spark.read.schema(incoming.schema).parquet(batch)
-    # a handful of days, as literals: the scan then lists and reads their folders only
-    days = [r[0] for r in incoming.select(partition_col).distinct().collect()]
-    affected = existing.where(F.col(partition_col).isin(days)).select(*incoming.columns)
-    if newest is None:
-        merged = upsert(affected, incoming, keys)
+        merged = fresh
     else:
-        merged = keep_latest(affected.unionByName(incoming), keys, newest, ties)
+        affected = _days_of(existing, fresh, partition_col).select(*incoming.columns)
+        if newest is None:
+            merged = upsert(affected, fresh, keys)
+        else:
+            merged = keep_latest(affected.unionByName(fresh), keys, newest, ties)
     merged.write.parquet(staged)
-    # rebalance: a big day is cut into several files, small ones are not scattered
-    (
-        spark.read.schema(incoming.schema).parquet(staged)
-        .hint("rebalance", partition_col)
-        .write.partitionBy(partition_col)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    spark.createDataFrame([(staged,)], "staged string").coalesce(1).write.mode("overwrite").text(_pending(path))
+    recover(spark, path, partition_col)
+    remove_path(spark, batch)
+
+
+def _days_of(existing: DataFrame, fresh: DataFrame, day: str) -> DataFrame:
+    """Rows of ``existing`` on the days of ``fresh``: a semi join prunes the folders, the NULL folder goes apart."""
+    days = fresh.select(day).distinct()
+    found = existing.join(days.where(F.col(day).isNotNull()), day, "left_semi")
+    if days.where(F.col(day).isNull()).isEmpty():
+        return found
+    return found.unionByName(existing.where(F.col(day).isNull()))
+
+
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+def recover(spark: SparkSession, path: str, partition_col: str) -> None:
+    """Move the days of an unfinished :func:`upsert_table` into the table, if there are any."""
+    try:
+        names = [r[0] for r in spark.read.text(_pending(path)).collect()]  # one line
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    for staged in names:
+        # rebalance: a big day is cut into several files, small ones are not scattered
+        (
+            spark.read.parquet(staged)
+            .hint("rebalance", partition_col)
+            .write.partitionBy(partition_col)
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .parquet(path)
+        )
+    remove_path(spark, _pending(path))
+    for staged in names:
+        remove_path(spark, staged)
 
 
 def write_selection(selection: DataFrame, path: str) -> None:

@@ -54,22 +54,41 @@ def silver_upserts(raw_stream: DataFrame, table: str, checkpoint: str) -> Stream
     )
 
 
-def gold_appends(raw_stream: DataFrame, table: str, checkpoint: str, mode: str = "context") -> StreamingQuery:
-    """Append the daily features of new days to a gold table, batch by batch.
+def gold_upserts(raw_stream: DataFrame, table: str, checkpoint: str, mode: str = "exact") -> StreamingQuery:
+    """Keep the daily features, partitioned by date, up to date with a raw stream.
 
-    A stored day is frozen: later rows for it are ignored, also when only part of the day
-    had arrived. Land whole days per batch where that matters. ``mode`` is that of
-    :func:`barloom.operators.incremental.incremental_gold`.
+    ``exact``: cleaned rows are kept in ``<table>.silver``; all days of the items in a batch are computed again from
+    them and replaced, because a day's score depends on its item's whole history. However the rows are batched, the
+    result is that of one run over all of them. ``frozen``: a row for a day not after the newest stored day *of its
+    item* is ignored, and windows see the stored days.
     """
+    if mode not in ("exact", "frozen"):
+        raise ValueError(f"unknown mode {mode!r}")
+    observations = f"{table.rstrip('/')}.silver"
 
-    def add(batch: DataFrame, _batch_id: int) -> None:
+    def exact(batch: DataFrame, _batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = silver.clean_observations(batch).withColumn("ts_date", F.to_date("ts"))
+        fresh = silver.keep_latest(rows, SILVER_KEYS, "load_ts", SILVER_TIES)
+        upsert_table(fresh, observations, SILVER_KEYS, "ts_date", newest="load_ts", ties=SILVER_TIES)
+        known = spark.read.schema(fresh.schema).parquet(observations).drop("ts_date")
+        items = batch.select("item_id").distinct()
+        features = gold.gold_daily_features(known.join(items, "item_id", "left_semi"))
+        upsert_table(features, table, ["item_id", "date"], "date")
+
+    def frozen(batch: DataFrame, _batch_id: int) -> None:
         rows = silver.silver_timeseries(batch)
         done = stored(batch.sparkSession, table)
-        fresh = gold.gold_daily_features(rows) if done is None else incremental.incremental_gold(rows, done, mode)
-        fresh.write.mode("append").parquet(table)
+        if done is None:
+            upsert_table(gold.gold_daily_features(rows), table, ["item_id", "date"], "date")
+            return
+        last = done.groupBy("item_id").agg(F.max("date").alias("_last"))
+        late = F.col("_last").isNotNull() & (F.to_date("ts") <= F.col("_last"))
+        rows = rows.join(last, "item_id", "left").where(~late).drop("_last")
+        upsert_table(incremental.with_history(rows, done), table, ["item_id", "date"], "date")
 
     return (
-        raw_stream.writeStream.foreachBatch(add)
+        raw_stream.writeStream.foreachBatch(exact if mode == "exact" else frozen)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -115,6 +134,8 @@ def first_arrivals(raw_stream: DataFrame, delay: str = "2 days") -> DataFrame:
 
 def run_to_table(stream: DataFrame, table: str, checkpoint: str) -> None:
     """Drain what is available into a Parquet table (append mode, exactly once)."""
+    for key, value in STATE_CONF.items():
+        stream.sparkSession.conf.set(key, value)
     query = (
         stream.writeStream.format("parquet")
         .option("path", table)

@@ -99,41 +99,21 @@ def test_sql_form_needs_two_points(spark):
     assert backtest.holt_forecast(daily(spark, [1.0]), 0.4, 0.2).count() == 0
 
 
-SEASON = np.array([0.9, 1.0, 1.2, 0.8, 1.05, 0.95, 1.1])
-
-
-def made(trend, seasonal, n):
-    """A noise-free series of the given form."""
-    t = np.arange(1, n + 1)
-    base = 100 + 2.0 * t if trend == "add" else 100 * 1.02**t if trend == "mul" else np.full(n, 100.0)
-    wave = SEASON[np.arange(n) % 7]
-    return base * wave if seasonal == "mul" else base + 30 * (wave - 1) if seasonal == "add" else base
-
-
-@pytest.mark.parametrize("trend", ["add", "mul", None])
-@pytest.mark.parametrize("seasonal", ["add", "mul", None])
-def test_every_form_continues_its_own_series(trend, seasonal):
-    y = made(trend, seasonal, 38)
-    out = fc.fit_form(y[None, :28], 10, trend, seasonal)
-    assert np.allclose(out[0], y[28:], rtol=2e-4)
-
-
-def test_search_is_not_worse_than_the_closed_form_by_much():
-    """The general search, run on a form that also has the exact solution."""
-    y = 100 + np.random.default_rng(3).normal(0, 2, (8, 28)).cumsum(axis=1)
-    _, exact = fc.fit_windows(y, 1)
-    _, searched = fc.search_windows(y, 1, "add", None)
-    assert (searched >= exact * (1 - 1e-3)).all() and np.median(searched / exact) < 1.05
+def test_running_sums_give_every_origin_its_own_grid_fit(monkeypatch):
+    y = np.random.default_rng(7).normal(0, 1, 25).cumsum() + 40
+    found = fc.fit_origins(y, 10, 3)
+    monkeypatch.setattr(fc, "REFINE_ROUNDS", 0)
+    each = np.stack([fc.fit_windows(y[None, :n], 3)[0][0] for n in range(10, 26)])
+    assert found.shape == (16, 3) and np.allclose(found, each)
 
 
-def test_forms_that_do_not_apply():
-    train = pd.Series([np.arange(20.0), np.arange(1.0, 13.0)])
-    assert fc.forecast_rows(train, 1, "mul")[0] is None           # zero price
-    assert fc.forecast_rows(train, 1, "add", "add")[1] is None     # less than two weeks
-    assert fc.forecast_rows(train, 1, "add", "add")[0] is not None
+def test_expanding_backtest_fits_all_origins(spark):
+    y = list(np.random.default_rng(8).normal(0, 1, 30).cumsum() + 40)
+    out = rows(backtest.expanding_splits(daily(spark, y), min_train=12, methods=("ets",)).orderBy("split"), "split", "ets")
+    want = fc.fit_origins(np.array(y), 12, 1)
+    assert len(out) == 18 and np.allclose([r[1][0] for r in out], want[:18, 0])
 
 
 def test_form_names():
-    for bad in (("linear", None), ("add", "weekly")):
-        with pytest.raises(ValueError):
-            fc.ets_forecast(None, 1, *bad)
+    with pytest.raises(ValueError):
+        fc.ets_forecast(None, 1, "linear")

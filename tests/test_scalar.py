@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -67,3 +69,22 @@ def test_item_list_parser():
     assert S.parse_item_list("7", (9,)) == [7]
     assert S.parse_item_list("@conf/x.json", (9,)) == "conf/x.json"
     assert S.parse_item_list("abc", (9,)) == [9]
+
+
+def test_time_value_key_does_not_depend_on_the_session_zone(spark):
+    times = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 3, 10)]  # the first does not exist in New York
+    df = spark.createDataFrame(list(zip(times, (5, 9))), "ts timestamp_ntz, v long")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        key = S.time_value_key("ts", "v")
+        out = df.agg(F.min(key).alias("o"), F.max(key).alias("c"))
+        assert tuple(out.select(S.key_value("o"), S.key_value("c")).first()) == (5, 9)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_time_value_key_rejects_values_it_cannot_hold(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1), 6 * 10**18)], "ts timestamp_ntz, v long")
+    with pytest.raises(Exception, match="beyond 64-bit key"):
+        df.select(S.time_value_key("ts", "v")).collect()

@@ -106,6 +106,46 @@ def test_upsert_by_newest_ignores_older_loads(spark, tmp_path):
     assert sorted(rows(spark.read.parquet(path), "item_id", "v")) == [(1, 10), (2, 5)]
 
 
+def test_upsert_keeps_rows_without_a_day_and_one_row_per_key(spark, tmp_path):
+    path, keys, d1 = str(tmp_path / "t"), ["item_id", "ts"], dt.date(2024, 1, 1)
+    tables.upsert_table(keyed(spark, [(1, None, 10, at(1), None), (5, at(1), 1, at(1), d1)]), path, keys, "ts_date")
+    batch = keyed(spark, [(2, None, 20, at(1), None), (1, None, 11, at(2), None), (3, at(1), 7, at(1), d1), (3, at(1), 8, at(1), d1)])
+    for _ in range(2):
+        tables.upsert_table(batch, path, keys, "ts_date")
+        assert sorted(rows(spark.read.parquet(path), "item_id", "v")) == [(1, 11), (2, 20), (3, 8), (5, 1)]
+
+
+def test_upsert_that_stops_before_the_move_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path, keys, d1 = str(tmp_path / "t"), ["item_id", "ts"], dt.date(2024, 1, 1)
+    tables.upsert_table(keyed(spark, [(1, at(1), 10, at(1), d1)]), path, keys, "ts_date")
+    real, calls = tables.recover, []
+
+    def stopping(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            # the worst moment: the old day is gone, the new one is not there yet
+            for f in (tmp_path / "t" / "ts_date=2024-01-01").iterdir():
+                f.unlink()
+            raise KeyboardInterrupt
+        real(*args)
+
+    monkeypatch.setattr(tables, "recover", stopping)
+    with pytest.raises(KeyboardInterrupt):
+        tables.upsert_table(keyed(spark, [(2, at(1), 20, at(1), d1)]), path, keys, "ts_date")
+    monkeypatch.setattr(tables, "recover", real)
+    tables.upsert_table(keyed(spark, [(3, at(1), 30, at(1), d1)]), path, keys, "ts_date")
+    assert sorted(rows(spark.read.parquet(path), "item_id", "v")) == [(1, 10), (2, 20), (3, 30)]
+    assert not (tmp_path / "t.pending").exists()
+
+
+def test_backtest_upsert_always_leaves_one_row_per_key(spark):
+    schema = "item_id long, date date, method string, mae double, window_size int, horizon int"
+    day = dt.date(2024, 1, 1)
+    old = spark.createDataFrame([(1, day, "ets", 1.0, 10, 1)], schema)
+    new = spark.createDataFrame([(1, day, "ets", 5.0, 10, 1), (1, day, "ets", 6.0, 10, 1)], schema)
+    assert rows(incremental.upsert_backtest(old, new), "item_id", "mae") == [(1, 6.0)]
+
+
 def test_backtest_upsert_last_repeat_wins(spark):
     schema = "item_id long, date date, method string, mae double, window_size int, horizon int, seq long"
     day = dt.date(2024, 1, 1)
@@ -160,7 +200,8 @@ def test_row_preservation_passes_on_equal_counts(spark):
 
 def test_refresh_stores_every_layer(spark, sf_dir, tmp_path):
     config = pipeline.RefreshConfig(
-        as_of="2024-01-31", selection=SelectionConfig(min_days=20, min_volume=100, lookback_days=30, top_n=3, include_ids=(4,)))
+        as_of="2024-01-31", selection=SelectionConfig(min_days=20, min_volume=100, lookback_days=30, top_n=3, include_ids=(4,)),
+        window=10, methods=("last_value",), selected_only=True)
     out = pipeline.refresh(spark, testbed.prices_raw(spark, sf_dir), testbed.items_raw(spark, sf_dir), str(tmp_path), config)
     counts = {name: df.count() for name, df in out.items()}
     assert all(counts.values()), counts

@@ -59,16 +59,26 @@ def test_single_file_and_folder_are_both_sources(spark, tmp_path):
         assert jobs.drain(spark, jobs.read_stream(spark, path, schema), "copy").count() == 1
 
 
-def test_gold_appends_equal_a_rebuild_when_days_arrive_whole(spark, tmp_path):
+def test_gold_upserts_equal_a_rebuild_however_the_rows_arrive(spark, tmp_path):
     from barloom.operators import gold
 
-    src, table = str(tmp_path / "src"), str(tmp_path / "gold")
     schema = spark.createDataFrame([], RAW).schema
-    days = [[(at(d, h), 100 + d * h, 90 + d, 1, 1, item, at(d)) for h in (1, 2) for item in (1, 2)] for d in range(1, 13)]
-    for chunk in (days[:8], days[8:10], days[10:]):
-        land(spark, src, [r for day in chunk for r in day])
-        jobs.gold_appends(jobs.read_stream(spark, src, schema), table, str(tmp_path / "offsets")).awaitTermination()
-    full = gold.gold_daily_features(silver.silver_timeseries(raw_rows(spark, [r for day in days for r in day])))
-    exact = [c for c in full.columns if c != "is_outlier"]  # a flag is judged on the returns known at the time
+    data = [(at(d, h), 100 + d * h, 90 + d, 1, 1, item, at(d)) for d in range(1, 13) for h in (1, 2) for item in (1, 2)]
+    full = gold.gold_daily_features(silver.silver_timeseries(raw_rows(spark, data)))
+    src, table = str(tmp_path / "src"), str(tmp_path / "gold")
+    for part in range(3):  # days and items torn apart
+        land(spark, src, data[part::3])
+        jobs.gold_upserts(jobs.read_stream(spark, src, schema), table, str(tmp_path / "offsets")).awaitTermination()
     key = lambda r: (r[0], r[1])
-    assert sorted(rows(spark.read.parquet(table), *exact), key=key) == sorted(rows(full, *exact), key=key)
+    assert sorted(rows(spark.read.parquet(table).select(full.columns)), key=key) == sorted(rows(full), key=key)
+
+
+def test_frozen_days_are_those_of_the_item(spark, tmp_path):
+    schema = spark.createDataFrame([], RAW).schema
+    src, table = str(tmp_path / "src"), str(tmp_path / "gold")
+    for batch in ([(at(5, 1), 100, 90, 1, 1, 1, at(5))],
+                  [(at(5, 2), 300, 90, 1, 1, 1, at(5)), (at(3, 1), 50, 40, 1, 1, 2, at(5))]):
+        land(spark, src, batch)
+        stream = jobs.read_stream(spark, src, schema)
+        jobs.gold_upserts(stream, table, str(tmp_path / "offsets"), mode="frozen").awaitTermination()
+    assert sorted(rows(spark.read.parquet(table), "item_id", "latest_price_high")) == [(1, 100), (2, 50)]
