@@ -56,7 +56,8 @@ def digests(elements: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(elements: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """For each band in which the set can meet partners: its signatures, and how many of them any partner shares."""
+    """For each band in which the set can meet partners: its signatures, and the number of parts with elements, or 0
+    if those are so few that the signatures of empty parts are given as well."""
     n = len(elements)
     if n < BOUNDS[0]:  # such a set is linked with equal sets only
         return
@@ -69,10 +70,8 @@ def signatures(elements: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
         # DIFFER is SECOND - 1: the subsets of SECOND - DIFFER parts are the single parts
         values = mix(sums ^ mix(np.arange(first * SECOND, dtype=np.uint64) + np.uint64(band << 40)))
         held = np.bincount(place, minlength=first * SECOND) > 0
-        differ = n * (100 - PERCENT) // PERCENT
-        spare = int(held.sum()) - differ
-        # too few parts with elements: the empty ones count as well, and any partner shares one at least
-        yield (values[held], spare) if spare > 0 else (values, 1)
+        parts = int(held.sum())
+        yield (values[held], parts) if parts > n * (100 - PERCENT) // PERCENT else (values, 0)
 
 
 def _sets(batches):
@@ -94,13 +93,13 @@ def _signatures(batches):
                 continue
             if len(seen) < SEEN:
                 seen.add(node)
-            out += [(signed(v), np.full(len(v), node), np.full(len(v), spare, np.int32))
-                    for v, spare in signatures(elements)]
+            out += [(signed(v), np.full(len(v), node), np.full(len(v), parts, np.int32))
+                    for v, parts in signatures(elements)]
             if sum(len(x[0]) for x in out) > 200_000:
-                yield _batch(["sig", "node", "spare"], map(np.concatenate, zip(*out)))
+                yield _batch(["sig", "node", "parts"], map(np.concatenate, zip(*out)))
                 out = []
         if out:
-            yield _batch(["sig", "node", "spare"], map(np.concatenate, zip(*out)))
+            yield _batch(["sig", "node", "parts"], map(np.concatenate, zip(*out)))
 
 
 def _batch(names: list[str], columns) -> pa.RecordBatch:
@@ -109,29 +108,42 @@ def _batch(names: list[str], columns) -> pa.RecordBatch:
 
 def _shared(batches):
     """Rows ordered by (sig, node): the nodes that share a signature, with the first of them."""
-    names = ["sig", "node", "spare"]
-    last = None  # sig, node, spare of the row before, then node and spare of the first row of its run
+    names = ["sig", "node", "parts"]
+    last = None  # sig, node, parts of the row before, then node and parts of the first row of its run
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, node, spare = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
+        sig, node, parts = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
         if last is not None:
-            sig, node, spare = (np.concatenate([[x], y]) for x, y in zip(last[:3], (sig, node, spare)))
+            sig, node, parts = (np.concatenate([[x], y]) for x, y in zip(last[:3], (sig, node, parts)))
         keep = np.ones(len(sig), bool)
         keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-        sig, node, spare = sig[keep], node[keep], spare[keep].astype(np.int32)
+        sig, node, parts = sig[keep], node[keep], parts[keep].astype(np.int32)
         begins = np.ones(len(sig), bool)
         begins[1:] = sig[1:] != sig[:-1]
         start = np.maximum.accumulate(np.where(begins, np.arange(len(sig)), 0))
-        first, first_spare = node[start], spare[start]
+        first, first_parts = node[start], parts[start]
         if last is not None:  # the run that goes on
             going = start == 0
-            first, first_spare = np.where(going, last[3], first), np.where(going, last[4], first_spare)
+            first, first_parts = np.where(going, last[3], first), np.where(going, last[4], first_parts)
         at = np.flatnonzero(~begins)
-        last = (sig[-1], node[-1], spare[-1], first[-1], np.int32(first_spare[-1]))
+        last = (sig[-1], node[-1], parts[-1], first[-1], np.int32(first_parts[-1]))
         if len(at):
-            yield _batch(["sig", "first", "first_spare", "node", "spare"],
-                         (sig[at], first[at], first_spare[at].astype(np.int32), node[at], spare[at]))
+            yield _batch(["sig", "first", "first_parts", "node", "parts"],
+                         (sig[at], first[at], first_parts[at].astype(np.int32), node[at], parts[at]))
+
+
+def parities(elements: np.ndarray) -> np.ndarray:
+    """Per hash bucket whether an odd number of elements is in it, as bits of 64-bit words; some four buckets an element.
+
+    Each element that two sets do not share flips one bit: the bits in which they differ are never more than those.
+    """
+    words = 1 << max(0, (4 * len(elements) - 1).bit_length() - 6)
+    hashed = mix(elements ^ np.uint64(0xA0761D6478BD642F))
+    # word and bit are drawn apart, so that the two halves of the words add up to the words of a set of half the size
+    place = ((hashed % np.uint64(words)) * np.uint64(64) + (hashed >> np.uint64(58))).astype(np.int64)
+    odd = (np.bincount(place, minlength=words * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
 
 
 def _elements(batches):
@@ -139,20 +151,26 @@ def _elements(batches):
         found = [shingle_set(raw) for raw in texts(batch)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("rep"), pa.array([len(s) for s in found], pa.int64()),
-             pa.array([signed(s) for s in found], pa.list_(pa.int64()))], ["rep", "n", "elements"])
+             pa.array([parities(s) for s in found], pa.list_(pa.int64())),
+             pa.array([signed(s) for s in found], pa.list_(pa.int64()))], ["rep", "n", "parities", "elements"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough."""
-    def side(c):
-        return sets.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("elements").alias(f"e_{c}"))
-
-    sizes = sets.select("rep", "n")
-    fit = (pairs.join(sizes.select(F.col("rep").alias("u"), F.col("n").alias("a")), "u")
-           .join(sizes.select(F.col("rep").alias("v"), F.col("n").alias("b")), "v")
-           .where(100 * F.least("a", "b") >= PERCENT * F.greatest("a", "b")).select("u", "v"))
+    """The pairs (u, v) whose sets are similar enough; most others differ in too many parities already."""
+    def side(c, column):
+        return sets.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col(column).alias(f"e_{c}"))
+
+    def halved(bits):
+        half = (F.size(bits) / 2).cast("int")
+        return F.zip_with(F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+    rough = (pairs.join(side("u", "parities"), "u").join(side("v", "parities"), "v").where(_fit("n_u", "n_v")))
+    one = F.when(F.size("e_u") > F.size("e_v"), halved(F.col("e_u"))).otherwise(F.col("e_u"))
+    two = F.when(F.size("e_v") > F.size("e_u"), halved(F.col("e_v"))).otherwise(F.col("e_v"))
+    differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    rough = rough.where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n_u") + F.col("n_v"))).select("u", "v")
     both = F.size(F.array_intersect("e_u", "e_v"))
-    return (fit.join(side("u"), "u").join(side("v"), "v")
+    return (rough.join(side("u", "elements"), "u").join(side("v", "elements"), "v")
             .where(100 * both >= PERCENT * (F.col("n_u") + F.col("n_v") - both)).select("u", "v"))
 
 
@@ -167,19 +185,21 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = stored(base.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2")
                      .agg(F.min("doc_id").alias("rep")), "shingle-classes")
 
-    rows = docs.mapInArrow(_signatures, "sig long, node long, spare int")
+    rows = docs.mapInArrow(_signatures, "sig long, node long, parts int")
     shared = stored(
         rows.repartition(F.col("sig")).sortWithinPartitions("sig", "node")
-        .mapInArrow(_shared, "sig long, first long, first_spare int, node long, spare int"), "shared")
-    nodes = classes.where("rep is not null").select(F.col("d1").alias("node"), "rep")
-    held = shared.select("sig", "node", "spare").unionByName(
-        shared.select("sig", F.col("first").alias("node"), F.col("first_spare").alias("spare")).distinct())
+        .mapInArrow(_shared, "sig long, first long, first_parts int, node long, parts int"), "shared")
+    nodes = classes.where("rep is not null").select(F.col("d1").alias("node"), "rep", F.col("n_shingles").alias("n"))
+    held = shared.select("sig", "node", "parts").unionByName(
+        shared.select("sig", F.col("first").alias("node"), F.col("first_parts").alias("parts")).distinct())
     sizes = shared.groupBy("sig").agg((F.count("*") + 1).alias("size"))
-    held = stored(held.join(sizes, "sig").join(nodes, "node").select("sig", "rep", "spare", "size"), "held")
+    held = stored(held.join(sizes, "sig").join(nodes, "node").select("sig", "rep", "parts", "n", "size"), "held")
 
-    crowds = held.where(F.col("size") > CROWD).groupBy("rep", "spare").agg(F.count("*").alias("crowds"))
-    crowded = stored(crowds, "crowds")
-    unsafe = stored(crowded.where("crowds >= spare").select("rep").distinct(), "unsafe")
+    crowded = stored(held.where(F.col("size") > CROWD).groupBy("rep", "parts", "n")
+                     .agg(F.count("*").alias("crowds")), "crowds")
+    # every partner may be hidden among the crowds
+    differ = F.floor(F.col("n") * (100 - PERCENT) / PERCENT)
+    unsafe = stored(crowded.where(F.col("crowds") >= F.col("parts") - differ).select("rep").distinct(), "unsafe")
     near = stored(_counted(held.where(F.col("size") <= CROWD), crowded), "near")
     stars = stored(_stars(held.where(F.col("size") > CROWD).join(unsafe, "rep", "left_semi")), "stars")
 
@@ -187,7 +207,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = wanted.select(F.col("u").alias("rep")).union(wanted.select("v")).union(unsafe).distinct()
     wanted = bounded(stored(wanted, "wanted"))
     sets = stored(docs.join(wanted, docs.doc_id == wanted.rep).select("rep", "text")
-                  .mapInArrow(_elements, "rep long, n long, elements array<long>").dropDuplicates(["rep"]), "sets")
+                  .mapInArrow(_elements, "rep long, n long, parities array<long>, elements array<long>").dropDuplicates(["rep"]), "sets")
     links = stored(_verified(near.unionByName(stars).distinct(), sets), "links")
     joined = components(links)
 
@@ -208,16 +228,30 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _counted(held: DataFrame, crowded: DataFrame) -> DataFrame:
-    """Pairs (u, v) that share enough of the signatures in ``held``, each of which has ``CROWD`` nodes at most."""
-    def side(rep, spare, crowds):
-        return crowded.select(F.col("rep").alias(rep), F.col("spare").alias(spare), F.col("crowds").alias(crowds))
-
-    one = held.select("sig", F.col("rep").alias("u"), F.col("spare").alias("s"))
-    two = held.select("sig", F.col("rep").alias("v"), F.col("spare").alias("t"))
-    counts = one.join(two, "sig").where("u < v").groupBy("u", "v", "s", "t").agg(F.count("*").alias("both"))
-    counts = counts.join(side("u", "s", "a"), ["u", "s"], "left").join(side("v", "t", "b"), ["v", "t"], "left")
+    """Pairs (u, v) that share enough of the signatures in ``held``, each of which has ``CROWD`` nodes at most.
+
+    Every part that holds elements of one set and is not shared has a difference of its own, and linked sets have
+    ``(n + m) * 20 / 180`` differences at most. Crowded signatures, which are not in ``held``, count as shared.
+    """
+    def side(rep, parts, n, crowds):
+        return crowded.select(F.col("rep").alias(rep), F.col("parts").alias(parts), F.col("n").alias(n),
+                              F.col("crowds").alias(crowds))
+
+    one = held.select("sig", F.col("rep").alias("u"), F.col("parts").alias("p"), F.col("n").alias("n"))
+    two = held.select("sig", F.col("rep").alias("v"), F.col("parts").alias("q"), F.col("n").alias("m"))
+    counts = (one.join(two, "sig").where((F.col("u") < F.col("v")) & _fit("n", "m"))
+              .groupBy("u", "v", "p", "q", "n", "m").agg(F.count("*").alias("both")))
+    counts = (counts.join(side("u", "p", "n", "a"), ["u", "p", "n"], "left")
+              .join(side("v", "q", "m", "b"), ["v", "q", "m"], "left"))
     hidden = F.least(F.coalesce("a", F.lit(0)), F.coalesce("b", F.lit(0)))
-    return counts.where(F.col("both") >= F.least("s", "t") - hidden).select("u", "v").distinct()
+    differ = F.floor((F.col("n") + F.col("m")) * (100 - PERCENT) / (100 + PERCENT))
+    # parts is 0 where empty parts were given: any shared signature counts
+    return counts.where(F.col("both") + hidden >= F.greatest("p", "q") - differ).select("u", "v").distinct()
+
+
+def _fit(n: str, m: str):
+    """Whether the sizes allow a link."""
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
 def _stars(held: DataFrame) -> DataFrame:
