@@ -36,6 +36,8 @@ DENSITY = 0.30
 SECOND, DIFFER = 2, 1
 #: Signatures shared by more nodes are handled apart.
 CROWD = 16
+#: Words of the parities that go along with single shingles.
+SKETCH = 16
 #: Distinct sets of which a task remembers that their signatures are out.
 SEEN = 200_000
 
@@ -133,12 +135,13 @@ def _shared(batches):
                          (sig[at], first[at], first_parts[at].astype(np.int32), node[at], parts[at]))
 
 
-def parities(elements: np.ndarray) -> np.ndarray:
-    """Per hash bucket whether an odd number of elements is in it, as bits of 64-bit words; some four buckets an element.
+def parities(elements: np.ndarray, words: int = 0) -> np.ndarray:
+    """Per hash bucket whether an odd number of elements is in it, as bits of 64-bit words; some four buckets an element
+    unless the number of words is given.
 
     Each element that two sets do not share flips one bit: the bits in which they differ are never more than those.
     """
-    words = 1 << max(0, (4 * len(elements) - 1).bit_length() - 6)
+    words = words or 1 << max(0, (4 * len(elements) - 1).bit_length() - 6)
     hashed = mix(elements ^ np.uint64(0xA0761D6478BD642F))
     # word and bit are drawn apart, so that the two halves of the words add up to the words of a set of half the size
     place = ((hashed % np.uint64(words)) * np.uint64(64) + (hashed >> np.uint64(58))).astype(np.int64)
@@ -152,7 +155,8 @@ def _elements(batches):
         yield pa.RecordBatch.from_arrays(
             [batch.column("rep"), pa.array([len(s) for s in found], pa.int64()),
              pa.array([parities(s) for s in found], pa.list_(pa.int64())),
-             pa.array([signed(s) for s in found], pa.list_(pa.int64()))], ["rep", "n", "parities", "elements"])
+             pa.array([parities(s, SKETCH) for s in found], pa.list_(pa.int64())),
+             pa.array([signed(s) for s in found], pa.list_(pa.int64()))], ["rep", "n", "parities", "sketch", "elements"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -167,13 +171,18 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     rough = (pairs.join(side("u", "parities"), "u").join(side("v", "parities"), "v").where(_fit("n_u", "n_v")))
     one = F.when(F.size("e_u") > F.size("e_v"), halved(F.col("e_u"))).otherwise(F.col("e_u"))
     two = F.when(F.size("e_v") > F.size("e_u"), halved(F.col("e_v"))).otherwise(F.col("e_v"))
-    differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    rough = rough.where((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("n_u") + F.col("n_v"))).select("u", "v")
+    rough = rough.where(_alike(one, two, F.col("n_u") + F.col("n_v"))).select("u", "v")
     both = F.size(F.array_intersect("e_u", "e_v"))
     return (rough.join(side("u", "elements"), "u").join(side("v", "elements"), "v")
             .where(100 * both >= PERCENT * (F.col("n_u") + F.col("n_v") - both)).select("u", "v"))
 
 
+def _alike(one, two, size):
+    """Whether parities differ in no more bits than linked sets of together ``size`` elements can differ in elements."""
+    differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * size
+
+
 def _pair(one: str, two: str):
     return F.struct(F.least(one, two).alias("u"), F.greatest(one, two).alias("v"))
 
@@ -201,13 +210,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     differ = F.floor(F.col("n") * (100 - PERCENT) / PERCENT)
     unsafe = stored(crowded.where(F.col("crowds") >= F.col("parts") - differ).select("rep").distinct(), "unsafe")
     near = stored(_counted(held.where(F.col("size") <= CROWD), crowded), "near")
-    stars = stored(_stars(held.where(F.col("size") > CROWD).join(unsafe, "rep", "left_semi")), "stars")
+    stars = stored(_stars(held.where(F.col("size") > CROWD).join(unsafe, "rep", "left_semi"), crowded), "stars")
 
     wanted = near.unionByName(stars)
     wanted = wanted.select(F.col("u").alias("rep")).union(wanted.select("v")).union(unsafe).distinct()
     wanted = bounded(stored(wanted, "wanted"))
     sets = stored(docs.join(wanted, docs.doc_id == wanted.rep).select("rep", "text")
-                  .mapInArrow(_elements, "rep long, n long, parities array<long>, elements array<long>").dropDuplicates(["rep"]), "sets")
+                  .mapInArrow(_elements, "rep long, n long, parities array<long>, sketch array<long>, elements array<long>").dropDuplicates(["rep"]), "sets")
     links = stored(_verified(near.unionByName(stars).distinct(), sets), "links")
     joined = components(links)
 
@@ -218,7 +227,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mixed = open_.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
     rest = stored(open_.join(mixed, "sig", "left_semi").select("rep", "part").distinct(), "rest")
     if not rest.isEmpty():
-        more = _verified(_by_rarest(rest, sets).join(stars, ["u", "v"], "left_anti"), sets)
+        pairs = stored(_by_rarest(rest, sets), "rare-pairs")
+        more = _verified(pairs.join(stars, ["u", "v"], "left_anti"), sets)
         joined = components(links.unionByName(more))
     joined = joined.withColumnRenamed("node", "rep")
     return (
@@ -254,24 +264,41 @@ def _fit(n: str, m: str):
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
-def _stars(held: DataFrame) -> DataFrame:
-    """Each node with the smallest node of each of its signatures."""
-    centres = held.groupBy("sig").agg(F.min("rep").alias("u"))
-    return held.join(centres, "sig").where("u < rep").select("u", F.col("rep").alias("v")).distinct()
+def _stars(held: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Each node with the hub of each of its signatures: the one of most crowded signatures, as an original has among
+    its edited copies."""
+    hubs = crowded.groupBy("rep").agg(F.max("crowds").alias("crowds"))
+    centres = held.join(hubs, "rep").groupBy("sig").agg(F.max(F.struct("crowds", "rep")).alias("hub"))
+    return (held.join(centres.select("sig", F.col("hub.rep").alias("hub")), "sig").where("rep <> hub")
+            .select(_pair("rep", "hub").alias("p")).select("p.*").distinct())
 
 
 def _by_rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Candidate pairs of ``nodes`` (rep, part) in different parts: two linked sets share one of the rarest shingles
-    of each, as many as a partner may lack and one more."""
+    """Candidate pairs of ``nodes`` (rep, part) in different parts.
+
+    A node's shingles are ordered by how many nodes have them. Of the first one that two sets share, the shingles before
+    it, and those that no other node has, are in no intersection but in every union: with ``a`` and ``b`` such shingles
+    of two linked sets of n and m elements, ``n - a >= 0.8 (n + b)`` and ``m - b >= 0.8 (m + a)``. Nodes meet in their
+    rarest shingles as far as this can hold, and their parities must allow a link.
+    """
     each = sets.join(nodes, "rep").select("rep", "part", "n", F.explode("elements").alias("e"))
+    sketches = sets.select("rep", "sketch")
     counts = each.groupBy("e").agg(F.count("*").alias("df")).where("df > 1")
-    # shingles of one set only come first in its order; they can be in no other
-    ranked = each.join(counts, "e").groupBy("rep", "part", "n").agg(
-        F.sort_array(F.collect_list(F.struct("df", "e"))).alias("order"))
-    lacking = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - F.size("order"))
+    ranked = stored(each.join(counts, "e").groupBy("rep", "part", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "e"))).alias("order")), "ranked")
+    alone = (F.col("n") - F.size("order")).alias("alone")
+    fewest = ranked.agg(F.min(alone)).scalar()
+    ranked = ranked.select("rep", "part", "n", alone, "order", F.coalesce(fewest, F.lit(0)).alias("fewest"))
+    lacking = F.col("n") - F.col("alone") - F.ceil((F.col("n") + F.col("fewest")) * PERCENT / 100) + 1
     head = (ranked.withColumn("lacking", lacking.cast("int")).where("lacking > 0")
-            .select("rep", "part", F.explode(F.slice("order", F.lit(1), F.col("lacking"))).alias("o"))
-            .select("rep", "part", F.col("o.e").alias("e")))
-    other = head.select("e", F.col("rep").alias("rep2"), F.col("part").alias("part2"))
-    return (head.join(other, "e").where("part <> part2 and rep < rep2")
-            .select(_pair("rep", "rep2").alias("p")).select("p.*").distinct())
+            .select("rep", "part", "n", "alone", F.posexplode(F.slice("order", F.lit(1), F.col("lacking"))))
+            .select("rep", "part", "n", (F.col("alone") + F.col("pos")).alias("a"), F.col("col.e").alias("e")).join(sketches, "rep"))
+    one, two = head.alias("one"), head.alias("two")
+
+    def roomy(x, y):
+        return 100 * (F.col(f"{x}.n") - F.col(f"{x}.a")) >= PERCENT * (F.col(f"{x}.n") + F.col(f"{y}.a"))
+
+    met = (F.col("one.e") == F.col("two.e")) & (F.col("one.rep") < F.col("two.rep")) & (
+        F.col("one.part") != F.col("two.part")) & roomy("one", "two") & roomy("two", "one") & _alike(
+        F.col("one.sketch"), F.col("two.sketch"), F.col("one.n") + F.col("two.n"))
+    return one.join(two, met).select(F.col("one.rep").alias("u"), F.col("two.rep").alias("v")).distinct()
