@@ -29,7 +29,7 @@ LENGTH, GRAM = 400, 64
 #: Kinds of runs around one anchor that one task compares; beyond, windows are counted across the cluster.
 KINDS = 20_000
 #: Bytes of runs that a task compares at once, whole anchors at a time.
-CHUNK = 8_000_000
+CHUNK = 1_500_000
 _PLACE = np.uint64((1 << 20) - 1)
 #: Texts are cut into slices that a place's bits can number.
 SLICE = 1 << 19
