@@ -38,12 +38,16 @@ DESCENTS = 400
 
 #: Before a single space between other characters the tokenizer's pattern always begins a new piece.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_ODD = re.compile(r"\s | \s|^ | \Z")
 _TOKENIZERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts as little-endian numbers of ``width`` bytes; words are encoded once and remembered."""
+    """Ids of texts as little-endian numbers.
+
+    The tokenizer's pattern never joins characters over a line break or before a space that stand between other
+    characters, so that words are encoded once, by many, and remembered; the ``CACHE`` last ones are looked up as well.
+    Texts with other white space go piece by piece.
+    """
 
     def __init__(self, name: str):
         import public_tokenizers
@@ -52,27 +56,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
         self.tokenizer.encode_special_tokens = True
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
+        self.line = self._ids(["\n"])[0]
+        #: words at the start of a line, words after a space; before them those that were remembered earlier
+        self.words: tuple[dict[str, bytes], ...] = ({}, {})
+        self.older: tuple[dict[str, bytes], ...] = ({}, {})
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
 
+    def _learn(self, known: dict[str, bytes], older: dict[str, bytes], words: set[str], front: str) -> None:
+        new = words - known.keys()
+        again = new & older.keys()
+        known.update({w: older[w] for w in again})
+        # what has white space at its ends is not remembered
+        new = [w for w in new - again if w and w == w.strip()]
+        size = self.type.itemsize
+        for at in range(0, len(new), 5000):
+            part = new[at : at + 5000]
+            raw = self._ids(["".join([f"{front}{w}\n" for w in part])])[0]
+            ends = (np.flatnonzero(np.frombuffer(raw, self.type) == np.frombuffer(self.line, self.type)[0]) * size)
+            begins = [0, *(ends + size).tolist()]
+            known.update(zip(part, [raw[b:e] for b, e in zip(begins, ends.tolist())], strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            if _ODD.search(text):
-                head, *rest = _CUT.split(text)
-                split.append((head, [word[1:] for word in rest]))
-            else:
-                head, *rest = text.split(" ")
-                split.append((head, rest))
-        if len(self.words) > CACHE:
-            self.words.clear()
-        new = list({w for _, rest in split for w in rest if w not in self.words})
-        self.words.update(zip(new, self._encode([" " + w for w in new])))
-        heads, get = self._encode([head for head, _ in split]), self.words.__getitem__
-        return [head + b"".join(map(get, rest)) for head, (_, rest) in zip(heads, split)]
+        split = [[line.split(" ") for line in text.split("\n")] for text in texts]
+        if sum(map(len, self.words)) > CACHE:
+            self.older, self.words = self.words, ({}, {})
+        self._learn(self.words[0], self.older[0], {line[0] for lines in split for line in lines}, "")
+        self._learn(self.words[1], self.older[1], set().union(*[line[1:] for lines in split for line in lines]), " ")
+        first, after = self.words[0].__getitem__, self.words[1].__getitem__
+        out = []
+        for text, lines in zip(texts, split):
+            try:
+                out.append(self.line.join([first(line[0]) + b"".join(map(after, line[1:])) for line in lines]))
+            except KeyError:
+                out.append(b"".join(self._ids(_CUT.split(text))))
+        return out
 
 
 def encoder(name: str) -> Encoder:
