@@ -4,7 +4,7 @@ Every learned language gets a codeword. One binary classifier per bit, a logisti
 predicts that bit. Decoding adds up, for each codeword, the logistic losses of the bits, weighted by how reliable each
 bit was in training, and takes the codeword of the smallest loss; a small lead over the second marks the text ambiguous.
 
-Training reads a bounded sample: ``SAMPLE`` labelled rows in the order of a hash of the id. Their feature vectors, not
+Training reads a bounded sample: ``SAMPLE`` labelled ids, the first by a hash (ids that occur repeatedly may bring twice as many rows). Their feature vectors, not
 their texts, come to the driver. Prediction reads whole texts, long ones slice by slice.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; with one learned language every bit agrees
@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import bounded, first_rows, stored
+
 #: Rows that the classifiers are fitted on at most.
 SAMPLE = 4000
 #: Hash buckets of the n-grams, and their lengths in bytes.
@@ -111,9 +113,10 @@ def held_out(id_col: Column) -> Column:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of the ``lang`` values of documents (doc_id, text, lang) that are not held out."""
-    chosen = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-              .where(~F.coalesce(held_out(F.col("doc_id")), F.lit(True))))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample)
+    known = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+             .where(~F.coalesce(held_out(F.col("doc_id")), F.lit(True))))
+    ids = bounded(stored(first_rows(known.select("doc_id").distinct(), "doc_id", sample), "sample"))
+    chosen = known.join(ids, "doc_id")
 
     def vectors(batches):
         for batch in batches:
@@ -124,7 +127,8 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                     yield pd.DataFrame({"lang": [lang], "at": [at.astype(np.int16).tobytes()],
                                         "x": [x[at].astype(np.float32).tobytes()]})
 
-    rows = chosen.select("lang", "text").mapInPandas(vectors, "lang string, at binary, x binary").collect()
+    rows = chosen.select("lang", "text").mapInPandas(vectors, "lang string, at binary, x binary")
+    rows = rows.orderBy("lang", "at", "x").limit(2 * sample).collect()
     languages = sorted({r.lang for r in rows})
     x = np.zeros((len(rows), BUCKETS), np.float32)
     for row, r in zip(x, rows):
