@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded, grams, stored, texts, word_hashes
+from barloom.llm.common import bounded, first_rows, grams, stored, texts, word_hashes
 
 #: Labelled documents that the field is fitted on at most, and lines of each.
 SAMPLE, SAMPLE_LINES = 2000, 120
@@ -140,8 +140,9 @@ def fit(sequences: list[np.ndarray], labels: list[int], rounds: int = 120, rate:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field | None:
     """The field of documents (doc_id, text) with ``labels`` (doc_id, quality: 1 content, 0 boilerplate)."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    chosen = bounded(stored(chosen.dropDuplicates(["doc_id"]), "labelled"))
+    # an id with two labels counts as the better
+    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    chosen = bounded(stored(first_rows(known, "doc_id", sample), "labelled"))
 
     def lines(batches):
         for batch in batches:
