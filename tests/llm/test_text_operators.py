@@ -220,6 +220,23 @@ def test_passages_shared_in_whole_and_nearly(spark, odd, nothing):
     assert op3_passage_dedup.passages(nothing).count() == 0
 
 
+@pytest.mark.parametrize("length", [50, 60, 70, 80, 90])
+def test_one_word_changed_in_the_middle(length):
+    """A passage with one middle edit between other words, against all stretches of the definition."""
+    rng = np.random.default_rng(length)
+    passage = rng.integers(1, 1 << 62, length).astype(np.uint64)
+    other = passage.copy()
+    other[length // 2] += 1
+    u, v = (op3_passage_dedup.grams(np.concatenate([rng.integers(1, 1 << 62, 30).astype(np.uint64), x,
+                                                    rng.integers(1, 1 << 62, 30).astype(np.uint64)]), 5) for x in (passage, other))
+    shared = np.isin(u, v)
+    brute = max(j - i + 1 for i in range(len(u)) for j in range(i, len(u)) if 9 * shared[i : j + 1].sum() >= 8 * (j - i + 1))
+    begin, end, first, last = op3_passage_dedup.aligned(u, v)
+    assert end - begin + 1 == brute >= length - 4
+    both = len(np.intersect1d(u[begin : end + 1], v[first : last + 1]))
+    assert both >= 0.8 * (end - begin + 1 + last - first + 1 - both)
+
+
 def test_compact_windows_cover_every_long_subsequence_once():
     values = np.random.default_rng(2).integers(0, 1 << 40, 150).astype(np.uint64)
     wins = op3_passage_dedup.compact_windows(values)
