@@ -237,6 +237,15 @@ def test_one_word_changed_in_the_middle(length):
     assert both >= 0.8 * (end - begin + 1 + last - first + 1 - both)
 
 
+def test_ranges_of_a_hub_do_not_grow_with_its_partners(spark):
+    """A text of 300 shingles and 2,000 partners that meet it at different places."""
+    pairs = spark.range(2000).selectExpr(
+        "-1 as u", "id as v", "id % 97 as uf", "200 + id % 89 as ut", "id % 13 as vf", "100 + id % 11 as vt")
+    rows = op3_passage_dedup.ranges(pairs.selectExpr("bigint(u) as u", "v", "uf", "ut", "vf", "vt"))
+    per = {r["node"]: r["count"] for r in rows.groupBy("node").count().collect()}
+    assert per[-1] <= 4 and len(per) == 2001
+
+
 def test_compact_windows_cover_every_long_subsequence_once():
     values = np.random.default_rng(2).integers(0, 1 << 40, 150).astype(np.uint64)
     wins = op3_passage_dedup.compact_windows(values)
