@@ -246,6 +246,27 @@ def test_ranges_of_a_hub_do_not_grow_with_its_partners(spark):
     assert per[-1] <= 4 and len(per) == 2001
 
 
+def test_passages_of_which_all_shingles_are_frequent(spark):
+    """Two texts with a passage, between texts that hold each of its shingles by itself."""
+    rng = np.random.default_rng(17)
+
+    def prose(n):
+        return [f"t{rng.integers(1 << 40)}" for _ in range(n)]
+
+    docs, pairs = [], set()
+    for _ in range(5):
+        passage = prose(60)
+        for _ in range(2):
+            pairs.add(len(docs))
+            docs.append((len(docs), " ".join(prose(30) + passage + prose(30))))
+        for _ in range(16):
+            pieces = [passage[i : i + 5] + prose(6) for i in rng.permutation(56)]
+            docs.append((len(docs), " ".join(sum(pieces, []))))
+    out = by_id(op3_passage_dedup.passages(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {d for d, r in out.items() if r[3]} == pairs
+    assert all(60 <= out[d][2] <= 70 for d in pairs)
+
+
 def test_compact_windows_cover_every_long_subsequence_once():
     values = np.random.default_rng(2).integers(0, 1 << 40, 150).astype(np.uint64)
     wins = op3_passage_dedup.compact_windows(values)
