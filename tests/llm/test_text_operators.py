@@ -267,6 +267,12 @@ def test_passages_of_which_all_shingles_are_frequent(spark):
     assert all(60 <= out[d][2] <= 70 for d in pairs)
 
 
+def test_a_counterpart_that_occurs_twice():
+    rng = np.random.default_rng(8)
+    one, gap = (rng.integers(1, 1 << 62, 60) for _ in range(2))
+    assert op3_passage_dedup.aligned(one, np.concatenate([one, gap, gap + 1, one])) == (0, 59, 0, 59)
+
+
 def test_compact_windows_cover_every_long_subsequence_once():
     values = np.random.default_rng(2).integers(0, 1 << 40, 150).astype(np.uint64)
     wins = op3_passage_dedup.compact_windows(values)
