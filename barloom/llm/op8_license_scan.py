@@ -4,12 +4,16 @@ A text's canonical form has A-Z lower-cased, copyright lines dropped, equivalent
 punctuation and white space turned into a blank. Its SHA-256 is looked up among the digests of known licence texts: the
 entire document, and each of its lines as an entire text of its own (one-line notices).
 
-The known table is a configured list, far below any broadcast limit. Defined cases: null text is empty, and an empty
+The known table is ``KNOWN`` and the digests of ``license_digests.csv`` (license, whether it restricts use, SHA-256 of the
+canonical form, source), a few hundred rows, far below any broadcast limit. Defined cases: null text is empty, and an empty
 canonical form matches nothing; repeated lines count each time; repeated rows come out once each.
 """
 
 from __future__ import annotations
 
+import csv
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +59,11 @@ ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEAL
 RESTRICTED = ("GPL-3.0", "CC-BY-NC-4.0")
 
 
+def catalogue() -> list[dict[str, str]]:
+    """Rows of the data file: license, restricted (0 or 1), sha256, source."""
+    return list(csv.DictReader(pkgutil.get_data(__package__, "license_digests.csv").decode().splitlines()))
+
+
 def canonical(text: Column) -> Column:
     out = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), COPYRIGHT_LINE, "$1")
     for variant, one in SPELLINGS:
@@ -68,16 +77,20 @@ def digest(text: Column) -> Column:
     return F.when(form != "", F.sha2(form, 256))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known=KNOWN, listed=()) -> DataFrame:
     rows = spark.createDataFrame(list(known), "license string, text string")
-    return rows.select("license", digest(F.col("text")).alias("digest")).groupBy("digest").agg(
-        F.min("license").alias("license"))
+    rows = rows.select("license", digest(F.col("text")).alias("digest")).unionByName(
+        spark.createDataFrame([(r["license"], r["sha256"]) for r in listed], "license string, digest string"))
+    return rows.groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def license_scan(docs: DataFrame, known=KNOWN, restricted=RESTRICTED) -> DataFrame:
+def license_scan(docs: DataFrame, known=KNOWN, restricted=RESTRICTED, listed=None) -> DataFrame:
     """Per document: doc_id, digest (of the entire text; null if empty), license (of the entire text), n_license_lines,
-    line_licenses (of entire lines, distinct, sorted, comma-joined), restricted (either is among ``restricted``)."""
-    table = known_digests(docs.sparkSession, known)
+    line_licenses (of entire lines, distinct, sorted, comma-joined), restricted (either is among ``restricted`` or is
+    marked so in ``listed``, by default the data file)."""
+    listed = catalogue() if listed is None else listed
+    restricted = sorted({*restricted, *(r["license"] for r in listed if r["restricted"] == "1")})
+    table = known_digests(docs.sparkSession, known, listed)
     docs = docs.select("doc_id", F.xxhash64("text").alias("same"), "text")
     lines = docs.select("doc_id", "same", F.explode(F.split("text", "\n")).alias("line"))
     # equal lines of a document meet before they are shuffled; most lines match nothing

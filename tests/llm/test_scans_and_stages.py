@@ -103,6 +103,24 @@ def test_license_forms(spark, odd, nothing):
     assert op8_license_scan.license_scan(odd).count() == odd.count() and op8_license_scan.license_scan(nothing).count() == 0
 
 
+def test_common_licenses_are_listed(spark):
+    isc = """ISC License\n\nCopyright (c) 2020 A\n\nPermission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear
+in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN
+AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE."""
+    docs = [(1, isc), (2, "x\nSPDX-License-Identifier: GPL-2.0-only"), (3, "Licensed under CC BY-NC-SA 4.0.\nx"),
+            (4, "x\nSPDX-License-Identifier: MPL-2.0")]
+    out = {r.doc_id: r for r in op8_license_scan.license_scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out[1].license == "ISC" and not out[1].restricted
+    assert [(out[i].line_licenses, out[i].restricted) for i in (2, 3, 4)] == [
+        ("GPL-2.0", True), ("CC-BY-NC-SA-4.0", True), ("MPL-2.0", False)]
+    whole = {r["license"] for r in op8_license_scan.catalogue() if r["source"] != "notice"}
+    assert whole >= {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "GPL-2.0", "GPL-3.0", "CC0-1.0"}
+
+
 # ---- stages ------------------------------------------------------------------------------------------
 
 def test_pipeline_stages_take_effect(spark, sf_dir, documents):
