@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm import sqltext
 from barloom.llm.common import table
 from barloom.llm.op10_substring_dedup import substring_dedup
+from barloom.llm.op11_vector_codes import vector_code_report
 from barloom.llm.op1_decontaminate import contamination
 from barloom.llm.op2_packing import pack
 from barloom.llm.op3_passage_dedup import passages
@@ -89,3 +90,8 @@ def op10(spark, sf_dir):
 @register("op3_passage_dedup")
 def op3(spark, sf_dir):
     return passages(documents(spark, sf_dir))
+
+
+@register("op11_vector_codes", sqltext.VECTOR_CODES)
+def op11(spark, sf_dir):
+    return vector_code_report(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))

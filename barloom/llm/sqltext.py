@@ -79,3 +79,35 @@ SELECT w.doc_id, w.digest, k.license, CAST(coalesce(n, 0) AS BIGINT) AS n_licens
   coalesce(bad, false) OR coalesce(k.license IN ({', '.join(map(_quoted, RESTRICTED))}), false) AS restricted
 FROM w LEFT JOIN k USING (digest) LEFT JOIN f USING (doc_id)
 """
+
+
+def _vector_codes(rounds: int = 6) -> str:
+    assigned = """a{i} AS MATERIALIZED (
+  SELECT r, p, e, d FROM (
+    SELECT r, p, e, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM cells JOIN b{i} USING (p, j) GROUP BY r, p, e)
+  QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)"""
+    moved = """b{k} AS MATERIALIZED (
+  SELECT p, e, j, coalesce((s - (((s % n) + n) % n)) // n, c) AS c FROM b{i} LEFT JOIN (
+    SELECT p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM cells JOIN a{i} USING (r, p) GROUP BY p, e, j)
+  USING (p, e, j))"""
+    steps = [x.format(i=i, k=i + 1) for i in range(rounds) for x in (assigned, moved)] + [assigned.format(i=rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (
+  SELECT r, i // (len(v) // 8) AS p, i % (len(v) // 8) AS j, v[i + 1] AS x
+  FROM (SELECT r, v, unnest(range(len(v))) AS i FROM kept)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, x AS c FROM cells WHERE r <= 16),
+{", ".join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', CAST(e AS INT)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) FROM b{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+
+VECTOR_CODES = _vector_codes()
