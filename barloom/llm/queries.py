@@ -10,6 +10,8 @@ from barloom.llm import sqltext
 from barloom.llm.common import table
 from barloom.llm.op10_substring_dedup import substring_dedup
 from barloom.llm.op11_vector_codes import vector_code_report
+from barloom.llm.op12_prefix_trie import prefix_trie
+from barloom.llm.op13_warc import archived
 from barloom.llm.op1_decontaminate import contamination
 from barloom.llm.op2_packing import pack
 from barloom.llm.op3_passage_dedup import passages
@@ -95,3 +97,13 @@ def op3(spark, sf_dir):
 @register("op11_vector_codes", sqltext.VECTOR_CODES)
 def op11(spark, sf_dir):
     return vector_code_report(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@register("op12_prefix_trie", sqltext.PREFIX_TRIE)
+def op12(spark, sf_dir):
+    return prefix_trie(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@register("op13_warc", sqltext.WARC)
+def op13(spark, sf_dir):
+    return archived(table(spark, sf_dir, "pages", "page_id", "url", "html"))

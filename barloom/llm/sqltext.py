@@ -111,3 +111,49 @@ FROM kept JOIN coded USING (r)
 
 
 VECTOR_CODES = _vector_codes()
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM t
+"""
+
+_CRC = (
+    "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, len(c) + 1), "
+    "lambda i: ascii(substr(c, i, 1))::BIGINT)), lambda a, b: list_reduce(list_concat([xor(a, b)], "
+    "[0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384::BIGINT))), 4294967295::BIGINT)"
+)
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS pos, id, size
+  FROM (SELECT conv_id, turn, len(coalesce(text, '')) AS size, substr(sha256(
+          octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS id
+        FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS c FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS own, pos, id, size FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, id, size FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h),
+s AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(id, '') OVER w AS key, size
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+n AS MATERIALIZED (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size FROM s GROUP BY depth, key),
+e AS (
+  SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ends
+  FROM (SELECT conv_id, max_by(key, depth) AS key FROM s GROUP BY conv_id) GROUP BY key),
+k AS (SELECT substr(key, 1, 32 * (depth - 1)) AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+b AS (
+  SELECT key, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT substr(n.key, 1, 32 * unnest(range(0, depth + 1))) AS key, CAST(n_children IS NULL AS INT) AS leaf,
+          (n_convs - 1) * size AS saved FROM n LEFT JOIN k ON k.key = n.key) GROUP BY key)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+  CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM n LEFT JOIN n AS p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.key = substr(n.key, 1, 32 * (n.depth - 1))
+LEFT JOIN e ON e.key = n.key LEFT JOIN k ON k.key = n.key JOIN b ON b.key = n.key
+"""
