@@ -17,7 +17,7 @@ import pkgutil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.op1_decontaminate import LOWER, UPPER
+from barloom.llm.op1_decontaminate import LOWER, UPPER, let
 
 # fixed values: spellings that count as one, after lower-casing, in this order
 SPELLINGS = (("licence", "license"), ("licenced", "licensed"), ("organisation", "organization"),
@@ -73,8 +73,7 @@ def canonical(text: Column) -> Column:
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical form; null if that is empty."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+    return let(canonical(text), lambda form: F.when(form != "", F.sha2(form, 256)))
 
 
 def known_digests(spark: SparkSession, known=KNOWN, listed=()) -> DataFrame:

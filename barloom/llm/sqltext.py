@@ -1,6 +1,6 @@
 """SQL of the operators that SQL can express."""
 
-from barloom.llm.op8_license_scan import COPYRIGHT_LINE, KNOWN, MARKS, RESTRICTED, SPELLINGS
+from barloom.llm.op8_license_scan import COPYRIGHT_LINE, KNOWN, MARKS, RESTRICTED, SPELLINGS, catalogue
 
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -64,19 +64,25 @@ def _canonical(column: str) -> str:
     return f"trim(regexp_replace({out}, {_quoted(MARKS)}, ' ', 'g'))"
 
 
+_LISTED = catalogue()
+_BAD = ", ".join(map(_quoted, sorted({*RESTRICTED, *(r["license"] for r in _LISTED if r["restricted"] == "1")})))
+
 LICENSES = f"""
 WITH k AS (
-  SELECT sha256({_canonical('text')}) AS digest, min(license) AS license
-  FROM (VALUES {', '.join(f'({_quoted(a)}, {_quoted(b)})' for a, b in KNOWN)}) AS t(license, text) GROUP BY 1),
+  SELECT digest, min(license) AS license FROM (
+    SELECT sha256({_canonical('text')}) AS digest, license
+    FROM (VALUES {', '.join(f'({_quoted(a)}, {_quoted(b)})' for a, b in KNOWN)}) AS t(license, text)
+    UNION ALL FROM (VALUES {', '.join(f"({_quoted(r['sha256'])}, {_quoted(r['license'])})" for r in _LISTED)}) AS l(digest, license))
+  GROUP BY digest),
 w AS (SELECT doc_id, CASE WHEN {_canonical('text')} <> '' THEN sha256({_canonical('text')}) END AS digest FROM documents),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 f AS (
   SELECT doc_id, count(*) AS n, string_agg(DISTINCT k.license, ',' ORDER BY k.license) AS names,
-    bool_or(k.license IN ({', '.join(map(_quoted, RESTRICTED))})) AS bad
+    bool_or(k.license IN ({_BAD})) AS bad
   FROM l JOIN k ON k.digest = sha256({_canonical('line')}) AND {_canonical('line')} <> '' GROUP BY doc_id)
 SELECT w.doc_id, w.digest, k.license, CAST(coalesce(n, 0) AS BIGINT) AS n_license_lines,
   coalesce(names, '') AS line_licenses,
-  coalesce(bad, false) OR coalesce(k.license IN ({', '.join(map(_quoted, RESTRICTED))}), false) AS restricted
+  coalesce(bad, false) OR coalesce(k.license IN ({_BAD}), false) AS restricted
 FROM w LEFT JOIN k USING (digest) LEFT JOIN f USING (doc_id)
 """
 
