@@ -4,8 +4,9 @@ Every learned language gets a codeword. One binary classifier per bit, a logisti
 predicts that bit. Decoding adds up, for each codeword, the logistic losses of the bits, weighted by how reliable each
 bit was in training, and takes the codeword of the smallest loss; a small lead over the second marks the text ambiguous.
 
-Training reads a bounded sample: ``SAMPLE`` labelled ids, the first by a hash (ids that occur repeatedly may bring twice as many rows). Their feature vectors, not
-their texts, come to the driver. Prediction reads whole texts, long ones slice by slice.
+Training reads a bounded sample: ``SAMPLE`` labelled ids, the first by a hash, and of their rows (ids may repeat) at most as
+many, again the first by a hash. Their feature vectors, not their texts, come to the driver. The sample is not drawn by
+language: one that does not occur in it is never learned. Prediction reads whole texts, long ones slice by slice.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; with one learned language every bit agrees
 and the score is 1; without any labelled row everything is ``und``; repeated rows come out once each.
@@ -70,11 +71,11 @@ def features(text: str) -> np.ndarray:
 
 def fit_bits(x: np.ndarray, signs: np.ndarray, rounds: int = 300, rate: float = 20.0, ridge: float = 1e-5):
     """Logistic regressions of all bits at once by accelerated gradient steps; weights (features + 1, bits)."""
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
-    w = step = np.zeros((x.shape[1], signs.shape[1]), np.float32)
+    w = step = np.zeros((x.shape[1] + 1, signs.shape[1]), np.float32)
     for k in range(rounds):
-        margin = np.clip(signs * (x @ step), -30, 30)
-        gradient = -(x.T @ (signs / (1 + np.exp(margin))).astype(np.float32)) / len(x) + ridge * step
+        margin = np.clip(signs * (x @ step[:-1] + step[-1]), -30, 30)
+        pull = (signs / (1 + np.exp(margin))).astype(np.float32)
+        gradient = ridge * step - np.vstack([x.T @ pull, pull.sum(axis=0)]) / np.float32(len(x))
         new = step - np.float32(rate / 4) * gradient
         step = new + np.float32(k / (k + 3)) * (new - w)
         w = new
@@ -128,12 +129,13 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                                         "x": [x[at].astype(np.float32).tobytes()]})
 
     rows = chosen.select("lang", "text").mapInPandas(vectors, "lang string, at binary, x binary")
-    rows = rows.orderBy("lang", "at", "x").limit(2 * sample).collect()
-    languages = sorted({r.lang for r in rows})
+    rows = rows.orderBy(F.xxhash64("lang", "at", "x"), "lang", "at", "x").limit(sample).toArrow()
     x = np.zeros((len(rows), BUCKETS), np.float32)
-    for row, r in zip(x, rows):
-        row[np.frombuffer(r.at, np.int16)] = np.frombuffer(r.x, np.float32)
-    return Model(languages, x, np.array([languages.index(r.lang) for r in rows], int))
+    for row, at, values in zip(x, rows["at"], rows["x"]):
+        row[np.frombuffer(at.as_buffer(), np.int16)] = np.frombuffer(values.as_buffer(), np.float32)
+    names = rows["lang"].to_pylist()
+    languages = sorted(set(names))
+    return Model(languages, x, np.array([languages.index(n) for n in names], int))
 
 
 def _judged(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
