@@ -359,6 +359,8 @@ def test_viterbi_is_the_best_path():
 
 def test_line_quality_without_labels(spark, odd, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int")
-    out = op4_line_quality.line_quality(odd, labels)
-    assert out.count() == odd.count() and out.where("kept").count() > 0
+    plain = spark.createDataFrame([(20, " ".join(f"word{i}" for i in range(80)))], "doc_id long, text string")
+    docs = odd.select("doc_id", "text").unionByName(plain)
+    out = op4_line_quality.line_quality(docs, labels)
+    assert out.count() == docs.count() and [r.doc_id for r in out.where("kept").collect()] == [20]
     assert op4_line_quality.line_quality(nothing, labels).count() == 0
