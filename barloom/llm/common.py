@@ -33,6 +33,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Texts go to Python in Arrow batches of about so many bytes; a worker holds a few copies of one.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``; where the session has Spark's own, much larger bound of an Arrow batch, it gets ``BATCH_BYTES`` from now on."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) == f"{64 << 20}b":
+        conf.set(name, f"{BATCH_BYTES}b")
+    return docs
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

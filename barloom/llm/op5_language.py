@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded, first_rows, stored
+from barloom.llm.common import bounded, first_rows, small_batches, stored
 
 #: Rows that the classifiers are fitted on at most.
 SAMPLE = 4000
@@ -128,7 +128,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                     yield pd.DataFrame({"lang": [lang], "at": [at.astype(np.int16).tobytes()],
                                         "x": [x[at].astype(np.float32).tobytes()]})
 
-    rows = chosen.select("lang", "text").mapInPandas(vectors, "lang string, at binary, x binary")
+    rows = small_batches(chosen).select("lang", "text").mapInPandas(vectors, "lang string, at binary, x binary")
     rows = rows.orderBy(F.xxhash64("lang", "at", "x"), "lang", "at", "x").limit(sample).toArrow()
     x = np.zeros((len(rows), BUCKETS), np.float32)
     for row, at, values in zip(x, rows["at"], rows["x"]):
@@ -158,7 +158,7 @@ def recognised(docs: DataFrame, model: Model) -> DataFrame:
             lang, _, _ = _judged(model, batch.column("text").to_pylist())
             yield batch.filter(pa.array([x != UNKNOWN for x in lang], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score),
                  pa.array(ambiguous)], ["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
-    rows = docs.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
+    rows = small_batches(docs).select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         run, f"doc_id {id_type}, held_out boolean, lang_pred string, score double, ambiguous boolean")

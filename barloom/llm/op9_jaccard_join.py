@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded, components, grams, mix, signed, stored, texts, word_hashes
+from barloom.llm.common import bounded, components, grams, mix, signed, small_batches, stored, texts, word_hashes
 
 WORDS = 5
 PERCENT = 80
@@ -189,7 +189,7 @@ def _pair(one: str, two: str):
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest id reachable by links, itself included)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = small_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
     base = stored(docs.mapInArrow(_sets, "doc_id long, n_shingles long, d1 long, d2 long"), "shingle-sets")
     classes = stored(base.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2")
                      .agg(F.min("doc_id").alias("rep")), "shingle-classes")
