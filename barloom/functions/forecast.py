@@ -46,47 +46,82 @@ def holt_fixed(series: str | Column, alpha: float, beta: float) -> Column:
     return F.when(F.size(arr) >= 2, F.aggregate(rest, start, step))
 
 
-def _states(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
-    """After each value: squared error for the best start state and the end state, of every (row, candidate).
+class _Sums:
+    """Running sums of the one-step errors of every (row, candidate).
 
-    For fixed parameters the one-step errors are linear in the start state (l0, b0), so
-    the best start state has a closed form. ``y`` is (rows, n); the parameters are
-    (1 or rows, candidates).
+    For fixed parameters the errors are linear in the start state (l0, b0), so the best start state has a closed form.
+    The parameters are (1 or rows, candidates); what does not depend on the data has their shape.
     """
-    zero = np.zeros(np.broadcast_shapes((y.shape[0], 1), alpha.shape))
-    flat = np.zeros_like(alpha)
-    lev, slope = zero, zero                  # path of the data from a zero start state
-    lev_l, slope_l = flat + 1.0, flat        # response to l0
-    lev_b, slope_b = flat, flat + float(trend)  # response to b0
-    see = sel = seb = zero
-    sll = slb = sbb = flat
-    gain = alpha * beta
-    for t in range(y.shape[1]):
-        e = y[:, t, None] - lev - slope
-        el, eb = -(lev_l + slope_l), -(lev_b + slope_b)
-        see, sel, sll = see + e * e, sel + e * el, sll + el * el
-        lev, slope = lev + slope + alpha * e, slope + gain * e
-        lev_l, slope_l = lev_l + slope_l + alpha * el, slope_l + gain * el
-        if trend:
-            seb, slb, sbb = seb + e * eb, slb + el * eb, sbb + eb * eb
-            lev_b, slope_b = lev_b + slope_b + alpha * eb, slope_b + gain * eb
-        if trend and t == 0:  # one value does not determine two
-            yield np.zeros_like(see), lev, slope
-            continue
-        if trend:
-            det = sll * sbb - slb * slb
-            l0 = (seb * slb - sel * sbb) / det
-            b0 = (sel * slb - seb * sll) / det
+
+    def __init__(self, rows: int, alpha: np.ndarray, beta: np.ndarray, trend: bool):
+        zero = np.zeros(np.broadcast_shapes((rows, 1), alpha.shape))
+        flat = np.zeros_like(alpha)
+        self.alpha, self.gain, self.trend, self.seen = alpha, alpha * beta, trend, 0
+        self.lev, self.slope = zero, zero                        # path of the data from a zero start state
+        self.lev_l, self.slope_l = flat + 1.0, flat              # response to l0
+        self.lev_b, self.slope_b = flat, flat + float(trend)     # response to b0
+        self.see = self.sel = self.seb = zero
+        self.sll = self.slb = self.sbb = flat
+
+    def add(self, y: np.ndarray) -> None:
+        """One more value of every row, (rows, 1)."""
+        e = y - self.lev - self.slope
+        el, eb = -(self.lev_l + self.slope_l), -(self.lev_b + self.slope_b)
+        self.see, self.sel, self.sll = self.see + e * e, self.sel + e * el, self.sll + el * el
+        self.lev, self.slope = self.lev + self.slope + self.alpha * e, self.slope + self.gain * e
+        self.lev_l, self.slope_l = self.lev_l + self.slope_l + self.alpha * el, self.slope_l + self.gain * el
+        if self.trend:
+            self.seb, self.slb, self.sbb = self.seb + e * eb, self.slb + el * eb, self.sbb + eb * eb
+            self.lev_b, self.slope_b = self.lev_b + self.slope_b + self.alpha * eb, self.slope_b + self.gain * eb
+        self.seen += 1
+
+    def best(self):
+        """Squared error for the best start state, and the end state from there."""
+        if self.trend and self.seen == 1:  # one value does not determine two
+            return np.zeros_like(self.see), self.lev, self.slope
+        if self.trend:
+            det = self.sll * self.sbb - self.slb * self.slb
+            l0 = (self.seb * self.slb - self.sel * self.sbb) / det
+            b0 = (self.sel * self.slb - self.seb * self.sll) / det
         else:
-            l0, b0 = -sel / sll, zero
-        yield (see + l0 * sel + b0 * seb, lev + l0 * lev_l + b0 * lev_b, slope + l0 * slope_l + b0 * slope_b)
+            l0, b0 = -self.sel / self.sll, np.zeros_like(self.see)
+        return (self.see + l0 * self.sel + b0 * self.seb, self.lev + l0 * self.lev_l + b0 * self.lev_b,
+                self.slope + l0 * self.slope_l + b0 * self.slope_b)
+
+    def drop_first(self) -> None:
+        """Forget the first row; every row has parameters of its own."""
+        for name, value in vars(self).items():
+            if isinstance(value, np.ndarray):
+                setattr(self, name, value[1:])
 
 
 def _sweep(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
-    """The last of :func:`_states`."""
-    for state in _states(y, alpha, beta, trend):
-        pass
-    return state
+    """Squared error and end state of every (row, candidate) over all values of ``y`` (rows, n)."""
+    sums = _Sums(len(y), alpha, beta, trend)
+    for t in range(y.shape[1]):
+        sums.add(y[:, t, None])
+    return sums.best()
+
+
+def _around(alpha: np.ndarray, beta: np.ndarray, step: float, trend: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The neighbours of each row's parameters, themselves included."""
+    offsets = np.array([(i, j) for i in (-1, 0, 1) for j in ((-1, 0, 1) if trend else (0,))], dtype=float)
+    near = np.clip(alpha[:, None] + step * offsets[None, :, 0], 0.0, 1.0)
+    return near, np.clip(beta[:, None] + step * offsets[None, :, 1], 0.0, near)
+
+
+def _refined(best: list[np.ndarray], sweep, trend: bool) -> list[np.ndarray]:
+    """Rounds of halving neighbourhoods around ``best`` (alpha, beta, squared error, level, slope), each row for itself."""
+    rows, step = np.arange(len(best[0])), GRID_STEP
+    for _ in range(REFINE_ROUNDS):
+        step /= 2
+        alpha, beta = _around(best[0], best[1], step, trend)
+        sse, level, slope = sweep(alpha, beta)
+        pick = sse.argmin(axis=1)
+        better = sse[rows, pick] < best[2]
+        found = [alpha[rows, pick], beta[rows, pick], sse[rows, pick], level[rows, pick], slope[rows, pick]]
+        best = [np.where(better, new, old) for new, old in zip(found, best)]
+    return best
 
 
 def _grid(trend: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -114,38 +149,49 @@ def fit_windows(y: np.ndarray, horizon: int, trend: bool = True) -> tuple[np.nda
     sse, level, slope = _sweep(z, a_grid, b_grid, trend)
     pick = sse.argmin(axis=1)
     best = [a_grid[0, pick], b_grid[0, pick], sse[rows, pick], level[rows, pick], slope[rows, pick]]
-    step = GRID_STEP
-    offsets = np.array([(i, j) for i in (-1, 0, 1) for j in ((-1, 0, 1) if trend else (0,))], dtype=float)
-    for _ in range(REFINE_ROUNDS):
-        step /= 2
-        alpha = np.clip(best[0][:, None] + step * offsets[None, :, 0], 0.0, 1.0)
-        beta = np.clip(best[1][:, None] + step * offsets[None, :, 1], 0.0, alpha)
-        sse, level, slope = _sweep(z, alpha, beta, trend)
-        pick = sse.argmin(axis=1)
-        better = sse[rows, pick] < best[2]
-        found = [alpha[rows, pick], beta[rows, pick], sse[rows, pick], level[rows, pick], slope[rows, pick]]
-        best = [np.where(better, new, old) for new, old in zip(found, best)]
+    best = _refined(best, lambda alpha, beta: _sweep(z, alpha, beta, trend), trend)
     ahead = np.arange(1, horizon + 1)[None, :]
     forecast = best[3][:, None] + ahead * best[4][:, None]
     return forecast * scale + centre, np.maximum(best[2], 0.0) * scale[:, 0] ** 2
 
 
+def _ends(z: np.ndarray, first: int, alpha: np.ndarray, beta: np.ndarray, trend: bool):
+    """Squared errors and end states of row i after ``first + i`` values of the one series ``z``, in one pass: a row
+    leaves the sums when its values are through."""
+    sums, out = _Sums(len(alpha), alpha, beta, trend), []
+    for t, y in enumerate(z[: first + len(alpha) - 1], start=1):
+        sums.add(y)
+        if t >= first:
+            out.append([x[0] for x in sums.best()])
+            sums.drop_first()
+    return tuple(np.stack(x) for x in zip(*out))
+
+
 def fit_origins(y: np.ndarray, train: int, horizon: int, trend: bool = True) -> np.ndarray:
     """Forecasts (n - train + 1, horizon) of one series from every origin with at least ``train`` values before it.
 
-    The sums behind the closed form are running sums, so one pass over the series serves all origins. The parameters
-    come from the grid; refining them would start each origin from the beginning again.
+    The sums behind the closed form are running sums, so one pass over the grid serves all origins. Each origin's
+    best candidate is then refined as :func:`fit_windows` does it, all origins abreast, one pass per round. So an origin
+    gets what a window of all values before it gets.
     """
     centre = y.mean()
     scale = np.abs(y - centre).max() or 1.0
-    alpha, beta = _grid(trend)
-    ahead = np.arange(1, horizon + 1)
-    out = []
-    for t, (sse, level, slope) in enumerate(_states(((y - centre) / scale)[None, :], alpha, beta, trend), start=1):
+    z, (a_grid, b_grid) = (y - centre) / scale, _grid(trend)
+    sums, grid = _Sums(1, a_grid, b_grid, trend), []
+    for t, value in enumerate(z, start=1):
+        sums.add(value)
         if t >= train:
-            pick = sse[0].argmin()
-            out.append(level[0, pick] + ahead * slope[0, pick])
-    return np.array(out).reshape(-1, horizon) * scale + centre
+            sse, level, slope = (x[0] for x in sums.best())
+            pick = sse.argmin()
+            grid.append((a_grid[0, pick], b_grid[0, pick], sse[pick], level[pick], slope[pick]))
+    if not grid:
+        return np.zeros((0, horizon))
+    ahead, out = np.arange(1, horizon + 1)[None, :], []
+    for start in range(0, len(grid), _CHUNK):  # bounds the memory of long series
+        best = [np.array(x) for x in zip(*grid[start : start + _CHUNK])]
+        best = _refined(best, lambda alpha, beta: _ends(z, train + start, alpha, beta, trend), trend)
+        out.append(best[3][:, None] + ahead * best[4][:, None])
+    return np.concatenate(out) * scale + centre
 
 
 # ---- Spark side ------------------------------------------------------------------------

@@ -99,12 +99,14 @@ def test_sql_form_needs_two_points(spark):
     assert backtest.holt_forecast(daily(spark, [1.0]), 0.4, 0.2).count() == 0
 
 
-def test_running_sums_give_every_origin_its_own_grid_fit(monkeypatch):
-    y = np.random.default_rng(7).normal(0, 1, 25).cumsum() + 40
-    found = fc.fit_origins(y, 10, 3)
-    monkeypatch.setattr(fc, "REFINE_ROUNDS", 0)
-    each = np.stack([fc.fit_windows(y[None, :n], 3)[0][0] for n in range(10, 26)])
-    assert found.shape == (16, 3) and np.allclose(found, each)
+@pytest.mark.parametrize("trend", [True, False])
+def test_every_origin_gets_the_refined_fit_of_its_own_window(trend, monkeypatch):
+    monkeypatch.setattr(fc, "_CHUNK", 7)
+    y = np.random.default_rng(7).normal(0, 1, 40).cumsum() + 40
+    found = fc.fit_origins(y, 10, 3, trend)
+    each = np.stack([fc.fit_windows(y[None, :n], 3, trend)[0][0] for n in range(10, 41)])
+    assert found.shape == (31, 3) and np.allclose(found, each)
+    assert fc.fit_origins(y[:5], 10, 3).shape == (0, 3)
 
 
 def test_expanding_backtest_fits_all_origins(spark):
