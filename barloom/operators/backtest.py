@@ -31,13 +31,16 @@ def splits(
     keep: str = "earliest",
     methods: Sequence[str] = (),
     trend: str | None = "add",
+    touched: str | None = None,
 ) -> DataFrame:
     """One row per walk-forward split, forecast origin at ``date``.
 
     Rolling splits train on the ``train`` rows before the origin; expanding splits on all
     rows before it, at least ``train``. Items shorter than ``train + horizon`` have none.
     Every origin counts; a given ``max_splits`` keeps the first ones, or with
-    ``keep='latest'`` the last ones. ``trend`` chooses the form of the fitted smoother.
+    ``keep='latest'`` the last ones. ``trend`` chooses the form of the fitted smoother. ``touched``
+    names a boolean column of ``series``: only splits with such a row among their training or test days
+    are made, and only they are fitted.
 
     Columns: item_id, split, date, train_start, train_end, train_size, test_end, actuals,
     and one array column of forecasts per requested method.
@@ -66,7 +69,11 @@ def splits(
         F.lag("date", 1).over(w).alias("train_end"),
         (first_day if expanding else F.lag("date", train).over(w)).alias("train_start"),
         *[_training_column(m, w, before, train, expanding) for m in methods if not (expanding and m == "ets")],
+        *([F.max(touched).over(w.rowsBetween(Window.unboundedPreceding if expanding else -train, horizon - 1)).alias("_near")]
+          if touched else []),
     ).where((F.col("_rn") > train) & F.col("test_end").isNotNull())
+    if touched:
+        framed = framed.where("_near")
     if keep == "earliest":
         framed = framed.withColumn("split", F.col("_rn") - train)
     else:
@@ -182,8 +189,22 @@ def backtest_scores(
     Splits with a missing price or forecast are left out. ``trend`` may be given for the
     fitted smoother.
     """
+    return origin_scores(series, methods, window, horizon, max_splits, keep, **form).where("mae IS NOT NULL")
+
+
+def origin_scores(
+    series: DataFrame,
+    methods: Sequence[str] = METHODS,
+    window: int = 28,
+    horizon: int = 1,
+    max_splits: int | None = None,
+    keep: str = "earliest",
+    **form: str | None,
+) -> DataFrame:
+    """:func:`backtest_scores` with the origins that have no score, of NULL errors. With ``touched`` (see
+    :func:`splits`) only the origins that touched days take part in."""
     scored = scored_splits(series, methods, window, horizon, max_splits, keep=keep, **form)
-    return scored.where("mae IS NOT NULL").select(
+    return scored.select(
         "item_id",
         "date",
         "method",

@@ -23,6 +23,13 @@ def bronze_timeseries(raw: DataFrame) -> DataFrame:
     )
 
 
+def landed_names(bronze: DataFrame) -> DataFrame:
+    """Stored rows under the names they were landed with; further columns stay."""
+    return bronze.withColumnsRenamed({
+        "avg_high_price": "avgHighPrice", "avg_low_price": "avgLowPrice", "high_price_volume": "highPriceVolume",
+        "low_price_volume": "lowPriceVolume"})
+
+
 def stamped(df: DataFrame, column: str = "dbt_updated_at") -> DataFrame:
     """Add the wall-clock load stamp that stored layers carry."""
     return df.withColumn(column, F.current_timestamp())

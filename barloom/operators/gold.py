@@ -60,15 +60,20 @@ def with_outlier_flag(daily: DataFrame, zscore: float = OUTLIER_ZSCORE, spread:
     return daily.withColumn("is_outlier", F.coalesce(hit, F.lit(False)))
 
 
+def price_paths(daily: DataFrame) -> DataFrame:
+    """Midpoint price, spread, 7-day mean and return over daily rows."""
+    out = daily.withColumn("latest_price", S.midpoint("latest_price_high", "latest_price_low"))
+    out = out.withColumn("volatility_proxy", S.relative_spread("latest_price_high", "latest_price_low"))
+    out = with_moving_average(out, "latest_price", 7, "price_7d_ma", "date")
+    return with_daily_return(out)
+
+
 def price_features(daily: DataFrame) -> DataFrame:
-    """Midpoint price, 7-day mean, return, spread and z-score over daily rows.
+    """:func:`price_paths` and the z-score of the return.
 
     All windows partition by item, so one shuffle and one sort serve them all.
     """
-    out = daily.withColumn("latest_price", S.midpoint("latest_price_high", "latest_price_low"))
-    out = out.withColumn("volatility_proxy", S.relative_spread("latest_price_high", "latest_price_low"))
-    out = with_moving_average(out, "latest_price", 7, "price_7d_ma", "date")
-    return with_return_zscore(with_daily_return(out))
+    return with_return_zscore(price_paths(daily))
 
 
 GOLD_DAILY_COLUMNS = [
@@ -127,17 +132,17 @@ def join_items(facts: DataFrame, items: DataFrame, attributes: list[str], item_k
     return facts.join(dim, "item_id")
 
 
-def gold_price_features(bars: DataFrame) -> DataFrame:
+def gold_price_features(bars: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Lags, moving averages, ratios, calendar angles and the next day's price.
 
-    Keeps rows that have a previous and a next day.
+    Keeps rows that have a previous and a next day, and the further columns named in ``keep``.
     """
     w = series_window("price_date")
     last7, last14 = w.rowsBetween(-6, 0), w.rowsBetween(-13, 0)
     close = F.col("close_price")
     lags = {f"price_lag_{n}d": F.lag("close_price", n).over(w) for n in (1, 2, 3, 7)}
     seen = bars.select(
-        "price_date", "item_id", "close_price", "ma_7d", "total_volume", "volatility_7d",
+        "price_date", "item_id", "close_price", "ma_7d", "total_volume", "volatility_7d", *keep,
         *[c.alias(name) for name, c in lags.items()],
         F.lead("close_price", 1).over(w).alias("target_price_1d"),
         F.lag("total_volume", 1).over(w).alias("volume_lag_1d"),
@@ -158,6 +163,7 @@ def gold_price_features(bars: DataFrame) -> DataFrame:
         F.cos(angle).alias("day_of_week_cos"),
         (F.col("price_lag_1d").cast("double") * F.col("volume_lag_1d")).alias("price_volume_interaction"),
         S.trend_signal(ratio).alias("trend_signal"),
+        *keep,
     )
 
 

@@ -38,11 +38,35 @@ def item_statistics(
     values per item, which bounds the exact medians.
     """
     recent = silver.where((F.col("ts") >= days_before(as_of, lookback_days)) & (F.col("volume") > 0))
-    daily = recent.groupBy("item_id", F.to_date("ts").alias("trade_date")).agg(
-        F.sum(F.col("volume").cast("double")).alias("units"),
-        F.count(F.lit(1)).alias("observations"),
-        F.avg(S.midpoint("price_avg_high", "price_avg_low")).alias("price"),
+    return _statistics(item_days(recent), items, lookback_days, min_active_days)
+
+
+def item_days(silver: DataFrame) -> DataFrame:
+    """Traded units, observations and mean price per item and day, of observations with a positive volume.
+
+    A day without any has NULLs and the count 0: in a stored roll-up it replaces what the day had before.
+    """
+    traded = F.col("volume") > 0
+    return silver.groupBy("item_id", F.to_date("ts").alias("trade_date")).agg(
+        F.sum(F.when(traded, F.col("volume").cast("double"))).alias("units"),
+        F.count_if(traded).alias("observations"),
+        F.avg(F.when(traded, S.midpoint("price_avg_high", "price_avg_low"))).alias("price"),
     )
+
+
+def statistics_of_days(
+    days: DataFrame,
+    items: DataFrame,
+    lookback_days: int = 365,
+    as_of: dt.datetime | str | None = None,
+    min_active_days: int = 5,
+) -> DataFrame:
+    """:func:`item_statistics` from a roll-up of :func:`item_days`. ``as_of`` counts as the beginning of its day."""
+    first = F.to_date(days_before(as_of, lookback_days))
+    return _statistics(days.where((F.col("trade_date") >= first) & (F.col("observations") > 0)), items, lookback_days, min_active_days)
+
+
+def _statistics(daily: DataFrame, items: DataFrame, lookback_days: int, min_active_days: int) -> DataFrame:
     per_item = (
         daily.groupBy("item_id")
         .agg(

@@ -155,12 +155,19 @@ def with_rolling_volatility(df: DataFrame, value: str, days: int, out: str, date
     return df.withColumn(out, F.stddev_samp(value).over(w))
 
 
-def silver_prices_daily(raw: DataFrame) -> DataFrame:
-    """Daily bars with change, 7-day mean and 7-day volatility of the close."""
-    out = with_price_change(daily_bars(raw))
+DAILY_PRICE_COLUMNS = [
+    "price_date", "item_id", "high_price", "low_price", "avg_price", "total_volume", "data_points",
+    "first_timestamp", "last_timestamp", "open_price", "close_price", "price_change", "ma_7d", "volatility_7d",
+]
+
+
+def with_indicators(bars: DataFrame) -> DataFrame:
+    """Change, 7-day mean and 7-day volatility of the close."""
+    out = with_price_change(bars)
     out = with_moving_average(out, "close_price", 7, "ma_7d")
-    out = with_rolling_volatility(out, "close_price", 7, "volatility_7d")
-    return out.select(
-        "price_date", "item_id", "high_price", "low_price", "avg_price", "total_volume", "data_points",
-        "first_timestamp", "last_timestamp", "open_price", "close_price", "price_change", "ma_7d", "volatility_7d",
-    )
+    return with_rolling_volatility(out, "close_price", 7, "volatility_7d")
+
+
+def silver_prices_daily(raw: DataFrame) -> DataFrame:
+    """Daily bars with their indicators."""
+    return with_indicators(daily_bars(raw)).select(*DAILY_PRICE_COLUMNS)

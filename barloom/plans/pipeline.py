@@ -49,8 +49,18 @@ CLUSTERING = {
 }
 
 
-def refresh(spark: SparkSession, raw: DataFrame, items: DataFrame, warehouse: str, config: RefreshConfig) -> dict[str, DataFrame]:
-    """Build every layer below ``warehouse`` and return the stored tables by name."""
+#: Tables whose checks are declared under another name.
+CHECKED = {"bronze_item_mapping": "item_mapping"}
+
+
+def refresh(
+    spark: SparkSession, raw: DataFrame, items: DataFrame, warehouse: str, config: RefreshConfig,
+    report: dict[str, dict[str, int]] | None = None,
+) -> dict[str, DataFrame]:
+    """Build every layer below ``warehouse`` and return the stored tables by name.
+
+    The row checks of a layer are counted by the job that writes it; ``report`` takes the counts by table.
+    """
     root = warehouse.rstrip("/")
     tables: dict[str, DataFrame] = {}
 
@@ -58,7 +68,9 @@ def refresh(spark: SparkSession, raw: DataFrame, items: DataFrame, warehouse: st
         path = f"{root}/{name}"
         if config.stamp and name.startswith(("bronze_", "silver_", "gold_")):
             df = bronze.stamped(df, "timestamp" if name == "gold_backtest_metrics" else "dbt_updated_at")
-        replace_table(df, path, CLUSTERING.get(name, ()))
+        counts = replace_table(df, path, CLUSTERING.get(name, ()), checks=quality.LAYER_CHECKS.get(CHECKED.get(name, name)))
+        if counts and report is not None:
+            report[name] = counts
         tables[name] = spark.read.parquet(path)
         return tables[name]
 

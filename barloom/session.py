@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this library expects. Partition counts are left to the
 #: cluster: AQE coalesces small shuffles and splits skewed joins at run time.
@@ -51,6 +51,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read again: evaluated once, lineage cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder that this library wrote; a missing one is fine."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -9,17 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.functions import scalar as S
-from barloom.operators import gold, incremental, silver
-from barloom.session import scratch_path
-from barloom.sinks.tables import stored, upsert_table
+from barloom.operators import gold, silver
+from barloom.plans.features import rows_of_days, update_features
+from barloom.session import scratch_path, settled
+from barloom.sinks.tables import upsert_table
+from barloom.streaming.late import after_closed_days
+from barloom.streaming.state import use_rocksdb
 
 SILVER_KEYS = ["ts", "item_id"]
 SILVER_TIES = ["price_avg_high", "price_avg_low", "volume"]
-STATE_CONF = {
-    # state on local disk of the executors, not on their heap
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
 
 
 def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -57,10 +55,11 @@ def silver_upserts(raw_stream: DataFrame, table: str, checkpoint: str) -> Stream
 def gold_upserts(raw_stream: DataFrame, table: str, checkpoint: str, mode: str = "exact") -> StreamingQuery:
     """Keep the daily features, partitioned by date, up to date with a raw stream.
 
-    ``exact``: cleaned rows are kept in ``<table>.silver``; all days of the items in a batch are computed again from
-    them and replaced, because a day's score depends on its item's whole history. However the rows are batched, the
-    result is that of one run over all of them. ``frozen``: a row for a day not after the newest stored day *of its
-    item* is ignored, and windows see the stored days.
+    ``exact``: cleaned rows are kept in ``<table>.silver``. A batch reads there the days it touches, and in
+    ``<table>.items`` one row per item; histories are read of those items only whose old days change (see
+    :mod:`barloom.operators.moments`). However the rows are batched, the result is that of one run over all of them.
+    ``frozen``: a row for a day not after the newest day its item had in earlier batches is ignored, windows see the
+    earlier days, and old flags stay. The stored features are not read at all.
     """
     if mode not in ("exact", "frozen"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -69,26 +68,22 @@ def gold_upserts(raw_stream: DataFrame, table: str, checkpoint: str, mode: str =
     def exact(batch: DataFrame, _batch_id: int) -> None:
         spark = batch.sparkSession
         rows = silver.clean_observations(batch).withColumn("ts_date", F.to_date("ts"))
-        fresh = silver.keep_latest(rows, SILVER_KEYS, "load_ts", SILVER_TIES)
+        fresh = settled(silver.keep_latest(rows, SILVER_KEYS, "load_ts", SILVER_TIES), "fresh-rows")
+        if fresh.isEmpty():
+            return
         upsert_table(fresh, observations, SILVER_KEYS, "ts_date", newest="load_ts", ties=SILVER_TIES)
-        known = spark.read.schema(fresh.schema).parquet(observations).drop("ts_date")
-        items = batch.select("item_id").distinct()
-        features = gold.gold_daily_features(known.join(items, "item_id", "left_semi"))
-        upsert_table(features, table, ["item_id", "date"], "date")
+        touched = fresh.select("item_id", "ts_date").distinct()
+        known = rows_of_days(spark.read.schema(fresh.schema).parquet(observations), touched, "ts_date")
+        update_features(gold.daily_observations(known), table)
 
     def frozen(batch: DataFrame, _batch_id: int) -> None:
-        rows = silver.silver_timeseries(batch)
-        done = stored(batch.sparkSession, table)
-        if done is None:
-            upsert_table(gold.gold_daily_features(rows), table, ["item_id", "date"], "date")
-            return
-        last = done.groupBy("item_id").agg(F.max("date").alias("_last"))
-        late = F.col("_last").isNotNull() & (F.to_date("ts") <= F.col("_last"))
-        rows = rows.join(last, "item_id", "left").where(~late).drop("_last")
-        upsert_table(incremental.with_history(rows, done), table, ["item_id", "date"], "date")
+        update_features(gold.daily_observations(silver.dedup_latest(batch.drop("ts_date"))), table, frozen=True)
 
+    stream = raw_stream
+    if mode == "frozen":
+        stream = after_closed_days(silver.clean_observations(raw_stream).withColumn("ts_date", F.to_date("ts")), "ts_date")
     return (
-        raw_stream.writeStream.foreachBatch(exact if mode == "exact" else frozen)
+        stream.writeStream.foreachBatch(exact if mode == "exact" else frozen)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -134,8 +129,7 @@ def first_arrivals(raw_stream: DataFrame, delay: str = "2 days") -> DataFrame:
 
 def run_to_table(stream: DataFrame, table: str, checkpoint: str) -> None:
     """Drain what is available into a Parquet table (append mode, exactly once)."""
-    for key, value in STATE_CONF.items():
-        stream.sparkSession.conf.set(key, value)
+    use_rocksdb(stream.sparkSession)
     query = (
         stream.writeStream.format("parquet")
         .option("path", table)
