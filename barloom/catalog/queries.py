@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from barloom.catalog.sqltext import AS_OF, query, rounded
 from barloom.operators import backtest, bronze, gold, incremental, lookup, quality, selection, serving, silver
 from barloom.operators import metrics as errors
+from barloom.plans import incremental as runs
 from barloom.plans import pipeline
 from barloom.schema import DiscoverConfig, IngestConfig, SelectionConfig
-from barloom.session import scratch_path
+from barloom.session import scratch_path, settled
 from barloom.sinks import tables
 from barloom.sources import landing, testbed
 from barloom.streaming import jobs
@@ -304,6 +305,14 @@ def _(spark, sf_dir):
     return stats(spark, sf_dir)
 
 
+@register("item_statistics_rollup", rounded("stats", STATS_DOUBLES, "stats"))
+def _(spark, sf_dir):
+    """The same from a stored roll-up of item-days."""
+    days = stored(spark, selection.item_days(silver_ts(spark, sf_dir)), "item-days")
+    return selection.statistics_of_days(
+        days, testbed.items_raw(spark, sf_dir), SELECTION.lookback_days, f"{AS_OF} 00:00:00")
+
+
 @register("select_auto", rounded("pick_auto", PICK_DOUBLES, "pick_auto"))
 def _(spark, sf_dir):
     return selection.ranked(pick(spark, sf_dir, "auto"))
@@ -511,6 +520,26 @@ def _(spark, sf_dir):
     return errors.run_params_long(errors.run_summary(short_scores(spark, sf_dir)), 10, 1)
 
 
+def run_name(horizon: int) -> str:
+    return (f"""'r' || substr(sha256('{{"horizon":{horizon},"methods":["last_value","moving_average"],"window":10}}|' ||
+      strftime((SELECT max(ing) FROM prices), '%Y-%m-%d %H:%M:%S')), 1, 15)""")
+
+
+@register("backtest_runs", rounded(
+    f"""(SELECT {run_name(1)} AS run_id, method, count(*) AS n_forecasts, avg(mae) AS mean_mae FROM short_scores
+         WHERE mae IS NOT NULL GROUP BY method
+         UNION ALL SELECT {run_name(3)}, method, count(*), avg(mae) FROM three_scores WHERE mae IS NOT NULL GROUP BY method)""",
+    "mean_mae", "short_scores", "three_scores", "prices"))
+def _(spark, sf_dir):
+    """Two runs in one table, one of them stored twice."""
+    path, series = scratch_path(spark, "runs"), price_series(spark, sf_dir)
+    mark = raw(spark, sf_dir).agg(F.date_trunc("second", F.max("ingested_at"))).first()[0].strftime("%Y-%m-%d %H:%M:%S")
+    for horizon in (1, 3, 1):
+        summary = errors.method_summary(backtest.backtest_scores(series, FLAT, window=10, horizon=horizon))
+        tables.store_run(summary, path, errors.run_identity(mark, window=10, horizon=horizon, methods=FLAT))
+    return tables.read_runs(spark, path).select("run_id", "method", "n_forecasts", "mean_mae")
+
+
 @register("suitable_items", query(
     "SELECT DISTINCT item_id FROM metrics WHERE suitable_for_forecasting", "metrics"))
 def _(spark, sf_dir):
@@ -529,11 +558,21 @@ def _(spark, sf_dir):
 # ---- serving ---------------------------------------------------------------------
 
 @register("items_page", query(
-    """SELECT item_id, name, total_count, 2 AS page, 40 AS page_size, CAST(ceil(total_count / 40.0) AS BIGINT) AS total_pages
-       FROM (SELECT item_id, name, count(*) OVER () AS total_count FROM metrics) ORDER BY name, item_id LIMIT 40 OFFSET 40""",
+    """SELECT item_id, name, total_count, 2 AS page, 7 AS page_size, CAST(ceil(total_count / 7.0) AS BIGINT) AS total_pages
+       FROM (SELECT item_id, name, count(*) OVER () AS total_count FROM metrics) ORDER BY name, item_id LIMIT 7 OFFSET 7""",
     "metrics"))
 def _(spark, sf_dir):
-    return serving.items_page(metrics(spark, sf_dir), page=2, page_size=40)
+    """The second page; small enough to exist at every scale."""
+    return serving.items_page(metrics(spark, sf_dir), page=2, page_size=7)
+
+
+@register("items_page_index", query(
+    """SELECT CAST((place - 1) // 7 + 1 AS INTEGER) AS page, name, item_id, total_count,
+         CAST(ceil(total_count / 7.0) AS BIGINT) AS total_pages
+       FROM (SELECT item_id, name, count(*) OVER () AS total_count, row_number() OVER (ORDER BY name, item_id) AS place FROM metrics)
+       WHERE place % 7 = 1""", "metrics"))
+def _(spark, sf_dir):
+    return serving.page_index(metrics(spark, sf_dir), page_size=7)
 
 
 @register("items_page_curated", query(
@@ -639,6 +678,26 @@ def _(spark, sf_dir):
     return landing.parse_documents(map_documents(spark, sf_dir))
 
 
+def damaged_documents(spark, sf_dir):
+    """The map documents, which hold one malformed key each, those of every fifth item cut off."""
+    return map_documents(spark, sf_dir).withColumn(
+        "doc", F.when(F.col("item_id") % 5 == 0, F.substring("doc", 1, 20)).otherwise(F.col("doc")))
+
+
+@register("landing_rejects", query(
+    """SELECT DISTINCT item_id, IF(item_id % 5 = 0, 'document', 'key') AS reason, IF(item_id % 5 = 0, NULL, 'n/a') AS place
+       FROM bars""", "bars"))
+def _(spark, sf_dir):
+    return landing.rejected(damaged_documents(spark, sf_dir))
+
+
+@register("landing_accepted", query(
+    """SELECT item_id, CAST(price_date AS TIMESTAMP) AS "timestamp", close_price AS "avgHighPrice" FROM bars WHERE item_id % 5 <> 0""",
+    "bars"))
+def _(spark, sf_dir):
+    return landing.parse_documents(damaged_documents(spark, sf_dir)).select("item_id", "timestamp", "avgHighPrice")
+
+
 @register("load_items", query('SELECT id, name, examine, members, lowalch, highalch, buy_limit AS "limit" FROM items', "items"))
 def _(spark, sf_dir):
     path = scratch_path(spark, "item-mapping")
@@ -701,6 +760,19 @@ def _(spark, sf_dir):
     return spark.read.parquet(path).select("timestamp", "avgHighPrice", "item_id", "ingested_at")
 
 
+@register("append_new_bucketed", query(
+    """SELECT ts AS "timestamp", high AS "avgHighPrice", item_id, ing AS ingested_at FROM early_prices
+       UNION ALL SELECT ts, high, item_id, ing FROM prices p
+       WHERE NOT EXISTS (SELECT 1 FROM early_prices e WHERE e.item_id = p.item_id AND e.ts = p.ts)""",
+    "prices", "early_prices"))
+def _(spark, sf_dir):
+    path = scratch_path(spark, "raw-buckets")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.append_new_bucketed(early_raw(spark, sf_dir), name, PRICE_KEYS, 8, path)
+    tables.append_new_bucketed(raw(spark, sf_dir), name, PRICE_KEYS, 8, path)
+    return spark.table(name).select("timestamp", "avgHighPrice", "item_id", "ingested_at")
+
+
 @register("incremental_silver", query("SELECT * FROM late_silver", "late_silver"))
 def _(spark, sf_dir):
     return incremental.incremental_silver(raw(spark, sf_dir), early_silver(spark, sf_dir))
@@ -756,25 +828,28 @@ def _(spark, sf_dir):
 
 # ---- streaming ---------------------------------------------------------------------------
 
-BATCHES = 4
+BATCHES, FILES = 4, 4
 
 
-def price_stream(spark, sf_dir, in_order: bool = True):
-    """The events as a stream of one file per batch; in the order of time, or shuffled over the files."""
+def price_stream(spark, sf_dir, order: str = "time"):
+    """The events as a stream of several files per batch: by the order of time, ``late`` (every seventh event one batch
+    later), or ``mixed`` over the batches."""
     events = testbed.table(spark, sf_dir, "events")
-    place = F.pmod(F.xxhash64("event_id"), F.lit(BATCHES))
-    if in_order:
-        span = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
-        days = [F.datediff(F.to_date(a), F.to_date(b)) for a, b in (("ts", "low"), ("high", "low"))]
-        share = F.floor(days[0] * BATCHES / (days[1] + 1))
-        events = events.crossJoin(span).withColumn("_part", share).drop("low", "high")
+    if order == "mixed":
+        part = F.pmod(F.xxhash64("event_id"), F.lit(BATCHES))
     else:
-        events = events.withColumn("_part", place)
+        low, high = (events.agg(f("ts")).scalar() for f in (F.min, F.max))
+        day, days = F.datediff(F.to_date("ts"), F.to_date(low)), F.datediff(F.to_date(high), F.to_date(low))
+        part = F.floor(day * BATCHES / (days + 1))
+        if order == "late":
+            part = F.least(part + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0), F.lit(BATCHES - 1))
+    events = settled(events.withColumn("_part", part), "events")
     folder = scratch_path(spark, "landed-events")
-    for part in range(BATCHES):  # one after the other: the source reads files by age
-        events.where(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(folder)
+    for at in range(BATCHES):  # one after the other: the source reads files by age
+        rows = events.where(F.col("_part") == at).drop("_part")
+        rows.repartition(FILES).write.mode("append").parquet(folder)
     return testbed.prices_from_events(
-        spark.readStream.schema(events.drop("_part").schema).option("maxFilesPerTrigger", 1).parquet(folder))
+        spark.readStream.schema(events.drop("_part").schema).option("maxFilesPerTrigger", FILES).parquet(folder))
 
 
 def several(stream_query):
@@ -788,14 +863,21 @@ def several(stream_query):
 @register("stream_silver", query("SELECT * FROM silver_named", "silver_named"))
 def _(spark, sf_dir):
     table = scratch_path(spark, "stream-silver")
-    several(jobs.silver_upserts(price_stream(spark, sf_dir, False), table, scratch_path(spark, "stream-silver-offsets")))
+    several(jobs.silver_upserts(price_stream(spark, sf_dir, "mixed"), table, scratch_path(spark, "stream-silver-offsets")))
     return spark.read.parquet(table).drop("ts_date")
 
 
 @register("stream_gold", rounded("features", FEATURE_DOUBLES, "features"))
 def _(spark, sf_dir):
     table = scratch_path(spark, "stream-gold")
-    several(jobs.gold_upserts(price_stream(spark, sf_dir, False), table, scratch_path(spark, "stream-gold-offsets")))
+    several(jobs.gold_upserts(price_stream(spark, sf_dir, "mixed"), table, scratch_path(spark, "stream-gold-offsets")))
+    return spark.read.parquet(table)
+
+
+@register("stream_gold_frozen", rounded("frozen_features", FEATURE_DOUBLES, "frozen_features"))
+def _(spark, sf_dir):
+    table = scratch_path(spark, "stream-frozen")
+    several(jobs.gold_upserts(price_stream(spark, sf_dir, "late"), table, scratch_path(spark, "stream-frozen-offsets"), "frozen"))
     return spark.read.parquet(table)
 
 
@@ -884,6 +966,18 @@ RAW_CHECKS = quality.TableChecks(
     required=("timestamp", "item_id", "avgHighPrice"), key=("item_id", "timestamp"), amounts=("avgHighPrice", "avgLowPrice"))
 
 
+@register("dq_failing_rows", query(
+    """SELECT event_id, item_id, ts AS "timestamp", high AS "avgHighPrice", low AS "avgLowPrice", concat_ws(',',
+         IF(high IS NULL, 'not_null_avgHighPrice', NULL), IF(high < 0, 'non_negative_avgHighPrice', NULL),
+         IF(low < 0, 'non_negative_avgLowPrice', NULL), IF(n > 1, 'unique_item_id_timestamp', NULL)) AS failed_checks
+       FROM (SELECT *, count(*) OVER (PARTITION BY item_id, ts) AS n FROM prices)
+       WHERE high IS NULL OR high < 0 OR low < 0 OR n > 1""", "prices"))
+def _(spark, sf_dir):
+    """Each failing row once, with all it fails."""
+    rows = raw(spark, sf_dir).select("event_id", "item_id", "timestamp", "avgHighPrice", "avgLowPrice")
+    return quality.failing_rows(rows, RAW_CHECKS).withColumn("failed_checks", F.concat_ws(",", "failed_checks"))
+
+
 @register("dq_check_report", query(
     failures_sql("silver_timeseries", "silver_named", quality.LAYER_CHECKS["silver_timeseries"]) + " UNION ALL "
     + failures_sql("gold_daily_features", "features", quality.LAYER_CHECKS["gold_daily_features"]) + " UNION ALL "
@@ -906,3 +1000,22 @@ def _(spark, sf_dir):
     layers = pipeline.refresh(
         spark, raw(spark, sf_dir), testbed.items_raw(spark, sf_dir), scratch_path(spark, "warehouse"), config)
     return layers["leaderboard"]
+
+
+def two_runs(spark, sf_dir):
+    """The refresh in two runs: what was loaded before the cut, then all."""
+    config = pipeline.RefreshConfig(as_of=AS_OF, selection=SELECTION, methods=FLAT, window=10, ladder=TEST_LADDER)
+    root, items = scratch_path(spark, "runs-warehouse"), testbed.items_raw(spark, sf_dir)
+    runs.refresh(spark, early_raw(spark, sf_dir), items, root, config)
+    return runs.refresh(spark, raw(spark, sf_dir), items, root, config)
+
+
+@register("refresh_incremental", rounded("features", FEATURE_DOUBLES, "features"))
+def _(spark, sf_dir):
+    return two_runs(spark, sf_dir)["gold_daily_features"]
+
+
+@register("refresh_incremental_board", rounded("tail_board", BOARD_DOUBLES, "tail_board"))
+def _(spark, sf_dir):
+    """The leaderboard over scores that accumulate: the second run scores the origins it touches."""
+    return two_runs(spark, sf_dir)["leaderboard"]

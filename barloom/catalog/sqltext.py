@@ -312,3 +312,32 @@ cte("tail_board", """
       row_number() OVER (PARTITION BY item_id ORDER BY avg(smape), avg(mae), method) AS place
     FROM short_scores WHERE mae IS NOT NULL AND date >= DATE '2024-01-01' GROUP BY item_id, method)
   JOIN items ON id = item_id WHERE place = 1""", "short_scores", "items")
+cte("batched", """
+  SELECT item_id, ts, CAST(ts AS DATE) AS day, IF(high < 0, NULL, high) AS ph, IF(low < 0, NULL, low) AS pl,
+    IF(greatest(coalesce(hv, -1), coalesce(lv, -1)) >= 0, coalesce(hv, 0) + coalesce(lv, 0), NULL) AS volume, ing AS load_ts,
+    least(3, floor(date_diff('day', lo, CAST(ts AS DATE)) * 4 / (date_diff('day', lo, hi) + 1)) + IF(event_id % 7 = 0, 1, 0)) AS part
+  FROM prices, (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events)""", "prices")
+cte("accepted", """
+  SELECT * EXCLUDE (pick) FROM (
+    SELECT b.*, row_number() OVER (PARTITION BY item_id, ts ORDER BY load_ts DESC, ph DESC NULLS LAST, pl DESC NULLS LAST,
+      volume DESC NULLS LAST) AS pick
+    FROM batched b WHERE day > coalesce((SELECT max(day) FROM batched e WHERE e.item_id = b.item_id AND e.part < b.part),
+      DATE '1900-01-01')) WHERE pick = 1""", "batched")
+cte("frozen_obs", """
+  SELECT item_id, day AS date, part, min(pl) AS min_price, max(ph) AS max_price, CAST(sum(volume) AS BIGINT) AS total_volume,
+    count(*) AS observation_count, last(ph ORDER BY ts) AS latest_price_high, last(pl ORDER BY ts) AS latest_price_low
+  FROM accepted GROUP BY ALL""", "accepted")
+cte("frozen_paths", """
+  SELECT *, avg(latest_price) OVER (PARTITION BY item_id ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS price_7d_ma,
+    latest_price / nullif(lag(latest_price) OVER (PARTITION BY item_id ORDER BY date), 0) - 1.0 AS daily_return
+  FROM (SELECT *, (latest_price_high + latest_price_low) / 2.0::DOUBLE AS latest_price,
+      IF(latest_price_high + latest_price_low > 0,
+        2.0::DOUBLE * (latest_price_high - latest_price_low) / (latest_price_high + latest_price_low), NULL) AS volatility_proxy
+    FROM frozen_obs)""", "frozen_obs")
+cte("frozen_features", """
+  SELECT item_id, date, latest_price, latest_price_high, latest_price_low, price_7d_ma, daily_return, volatility_proxy,
+    coalesce(abs((daily_return - avg(daily_return) OVER s) / nullif(stddev_samp(daily_return) OVER s, 0)) > 2.5, FALSE)
+      OR coalesce(volatility_proxy > 0.5, FALSE) AS is_outlier,
+    total_volume, observation_count, min_price, max_price
+  FROM frozen_paths
+  WINDOW s AS (PARTITION BY item_id ORDER BY part RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", "frozen_paths")

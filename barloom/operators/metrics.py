@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,3 +88,12 @@ def run_params_long(summary: DataFrame, window_size: int, horizon: int) -> DataF
         )
         .unpivot(["item_id", "method"], ["n_forecasts", "window_size", "horizon"], "param", "value")
     )
+
+
+def run_identity(mark: object, **params: object) -> str:
+    """What a run is known by: a digest of its parameters and of the data it saw, by its newest load time.
+
+    Equal runs have equal names, on any machine. A name begins with a letter: as the name of a folder it stays text.
+    """
+    known = json.dumps(params, sort_keys=True, separators=(",", ":"), default=str) + "|" + str(mark)
+    return "r" + hashlib.sha256(known.encode()).hexdigest()[:15]

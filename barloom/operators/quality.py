@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from barloom.operators.silver import PRICE_SOURCE
@@ -151,21 +151,51 @@ def check_report(df: DataFrame, table: str, spec: TableChecks) -> DataFrame:
     return report.select(F.lit(table).alias("table"), "check", "n_failures")
 
 
+def failing_rows(df: DataFrame, spec: TableChecks) -> DataFrame:
+    """Every failing row once, ``failed_checks`` naming what it fails. A repeated key fails on each of its rows.
+
+    One pass: the row checks are expressions, the key is counted by a window, whose sort spills.
+    """
+    rules = _row_checks(spec)
+    if spec.key:
+        known = F.lit(True)
+        for c in spec.key:
+            known = known & F.col(c).isNotNull()
+        df = df.withColumn("_times", F.count(F.lit(1)).over(Window.partitionBy(*spec.key)))
+        rules[f"unique_{'_'.join(spec.key)}"] = known & (F.col("_times") > 1)
+    out = df.withColumn("failed_checks", _violations(rules)).where(F.size("failed_checks") > 0)
+    return out.drop("_times")
+
+
+def check_names(spec: TableChecks) -> list[str]:
+    return [*_row_checks(spec), *([f"unique_{'_'.join(spec.key)}"] if spec.key else [])]
+
+
 def check_table(df: DataFrame, spec: TableChecks, failures_path: str | None = None) -> dict[str, int]:
-    """Number of failing rows per check; failing rows are stored where a path is given.
+    """Number of failing rows per check, of keys for the key check.
 
-    Only checks that fail are read again to store their rows. Severity is a warning:
-    nothing raises.
+    With a path the failing rows are stored there, in one pass over the table, and counted from what was stored.
+    Severity is a warning: nothing raises.
     """
-    counts = {r["check"]: r["n_failures"] for r in check_report(df, "", spec).collect()}
-    if failures_path:
-        conds = _row_checks(spec)
-        for name in [n for n, failures in counts.items() if failures]:
-            rows = df.where(conds[name]) if name in conds else unique(df, *spec.key)
-            rows.write.mode("overwrite").parquet(f"{failures_path.rstrip('/')}/{name}")
+    if not failures_path:
+        return {r["check"]: r["n_failures"] for r in check_report(df, "", spec).collect()}
+    failing_rows(df, spec).write.mode("overwrite").parquet(failures_path)
+    kept = df.sparkSession.read.parquet(failures_path)
+    counts = dict.fromkeys(check_names(spec), 0)
+    named = kept.select(F.explode("failed_checks").alias("check"), *spec.key)
+    key = F.struct(*spec.key) if spec.key else F.lit(None)
+    for r in named.groupBy("check").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("keys")).collect():
+        counts[r["check"]] = r["keys"] if r["check"].startswith("unique_") else r["n"]
     return counts
 
 
+def observed(df: DataFrame, spec: TableChecks) -> tuple[DataFrame, Observation]:
+    """``df`` with its row checks counted by whatever job evaluates it, and where the counts arrive."""
+    counts = Observation()
+    return df.observe(counts, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(cond).alias(name) for name, cond in _row_checks(spec).items()]), counts
+
+
 def check_layers(tables: Mapping[str, DataFrame], failures_path: str | None = None) -> dict[str, dict[str, int]]:
     """:func:`check_table` for every declared table that is present."""
     return {

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import scalar as S
 from barloom.operators.gold import as_date, join_items
 from barloom.operators.lookup import only_ids
 from barloom.operators.selection import days_before
+from barloom.session import settled
 
 MOVING_AVERAGE_DAYS = 7
 HISTORY_DAYS = 14
@@ -18,30 +19,69 @@ HISTORY_DAYS = 14
 MODEL_LABEL = "7-day moving average"
 
 
+def _place(name: str = "name", item: str = "item_id") -> Column:
+    """Where an item stands in the list; structs compare with NULL first, as the order by name does."""
+    return F.struct(F.col(name).alias("name"), F.col(item).alias("item_id"))
+
+
+def page_index(listed: DataFrame, page_size: int = 50) -> DataFrame:
+    """The first item of every page: page, name, item_id, total_count, total_pages.
+
+    The items are sorted once by ranges. A row's rank is its place in its range plus the sizes of the ranges before,
+    which are few, so that no task sees more than its range. Store the result to serve pages from it.
+    """
+    if not 1 <= page_size <= 1000:
+        raise ValueError("page_size must be between 1 and 1000")
+    ordered = listed.select("name", "item_id").repartitionByRange("name", "item_id").sortWithinPartitions("name", "item_id")
+    ranges = F.shiftright(F.monotonically_increasing_id(), 33)
+    ordered = settled(ordered.select(
+        "name", "item_id", ranges.alias("_range"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_at")), "ranked")
+    sizes = ordered.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    every = Window.orderBy("_range")  # one row per range
+    before = F.sum("_size").over(every.rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("_size").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    starts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"), total.alias("total_count"))
+    rank = F.col("_before") + F.col("_at")
+    first = ordered.join(F.broadcast(starts), "_range").where(rank % page_size == 0)
+    return first.select(
+        (rank / page_size).cast("int").alias("_page"), "name", "item_id", "total_count",
+        F.ceil(F.col("total_count") / page_size).cast("bigint").alias("total_pages"),
+    ).select((F.col("_page") + 1).alias("page"), "name", "item_id", "total_count", "total_pages")
+
+
 def items_page(
-    metrics: DataFrame, page: int = 1, page_size: int = 50, curated: DataFrame | None = None, check: bool = True
+    metrics: DataFrame, page: int = 1, page_size: int = 50, curated: DataFrame | None = None, index: DataFrame | None = None
 ) -> DataFrame:
     """One page of items by name, with the total on every row.
 
-    A page past the end raises, at the price of a count; ``check=False`` saves it.
+    ``index`` is a stored :func:`page_index` of the same items and page size, made here if it is not given. The page is
+    what lies between its first item and that of the next page: nothing is skipped by counting. A page past the end
+    raises, which the index alone tells; an empty list has an empty first page.
     """
     if page < 1 or not 1 <= page_size <= 1000:
         raise ValueError("page must be positive and page_size between 1 and 1000")
     listed = metrics if curated is None else only_ids(metrics, curated)
-    if check:
-        total = listed.count()
-        pages = -(-total // page_size)
-        if total and page > pages:
-            raise ValueError(f"there are {pages} pages, page {page} is past the last")
-    total = listed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    rows = listed.select("item_id", "name").orderBy("name", "item_id").offset((page - 1) * page_size).limit(page_size)
-    return rows.withColumn("total_count", total).select(
+    index = page_index(listed, page_size) if index is None else index
+    marks = {r.page: r for r in index.where(F.col("page").isin(1, page, page + 1)).collect()}
+    if page not in marks and (marks or page > 1):
+        raise ValueError(f"there are {marks[1].total_pages if marks else 0} pages, page {page} is past the last")
+
+    def mark(at) -> Column:
+        kinds = dict(listed.dtypes)
+        return F.struct(F.lit(at.name).cast(kinds["name"]).alias("name"), F.lit(at.item_id).cast(kinds["item_id"]).alias("item_id"))
+
+    rows = listed.select("item_id", "name")
+    rows = rows.where(_place() >= mark(marks[page])) if page in marks else rows.where(F.lit(False))
+    if page + 1 in marks:
+        rows = rows.where(_place() < mark(marks[page + 1]))
+    total, pages = (marks[1].total_count, marks[1].total_pages) if marks else (0, 0)
+    return rows.orderBy("name", "item_id").select(
         "item_id",
         "name",
-        "total_count",
+        F.lit(total).cast("bigint").alias("total_count"),
         F.lit(page).alias("page"),
         F.lit(page_size).alias("page_size"),
-        F.ceil(F.col("total_count") / F.lit(page_size)).cast("bigint").alias("total_pages"),
+        F.lit(pages).cast("bigint").alias("total_pages"),
     )
 
 

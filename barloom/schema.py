@@ -34,17 +34,6 @@ ITEM_MAPPING = _struct([
     ("limit", _LONG),
 ])
 
-#: One point inside a landed time-series document.
-PRICE_POINT = _struct([
-    ("timestamp", _LONG),
-    ("avgHighPrice", _LONG),
-    ("avgLowPrice", _LONG),
-    ("high", _LONG),
-    ("low", _LONG),
-    ("highPriceVolume", _LONG),
-    ("lowPriceVolume", _LONG),
-])
-
 BACKTEST_METRICS = _struct([
     ("item_id", _LONG),
     ("date", T.DateType()),

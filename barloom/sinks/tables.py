@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators.incremental import append_new, one_per_key, upsert
+from barloom.operators.quality import TableChecks, observed
 from barloom.operators.silver import keep_latest
-from barloom.session import remove_path, scratch_path
+from barloom.session import path_exists, remove_path, scratch_path
 
 # fixed values: metadata of the selection document
 SELECTION_CRITERIA = "median_daily_volume + coverage_pct"
@@ -39,20 +40,25 @@ def require_same_schema(existing: DataFrame, incoming: DataFrame) -> None:
         raise SchemaChanged(f"stored columns {gone} became {new}")
 
 
-def replace_table(df: DataFrame, path: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
+def replace_table(
+    df: DataFrame, path: str, cluster_by: Sequence[str] = (), partition_by: Sequence[str] = (), checks: TableChecks | None = None
+) -> dict[str, int]:
     """Create or replace. ``cluster_by`` range-partitions and sorts the files.
 
     A range over (item, time) also cuts a hot item into several files; a global sort is
-    not needed for pruning.
+    not needed for pruning. The row checks in ``checks`` are counted by the writing job itself and returned.
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     elif partition_by:
         df = df.hint("rebalance", *partition_by)
+    if checks is not None:  # above the shuffle: its sampling would count rows twice
+        df, counts = observed(df, checks)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return dict(counts.get) if checks is not None else {}
 
 
 def append_new_rows(incoming: DataFrame, path: str, keys: Sequence[str], range_col: str | None = None) -> None:
@@ -64,6 +70,23 @@ def append_new_rows(incoming: DataFrame, path: str, keys: Sequence[str], range_c
     incoming.write.mode("append").parquet(path)
 
 
+def append_new_bucketed(
+    incoming: DataFrame, table: str, keys: Sequence[str], buckets: int = 64, path: str | None = None
+) -> None:
+    """Append the rows whose key the catalog table does not hold; the table is made if it is missing.
+
+    The table is bucketed by the keys, so the anti join and the distinct keys under it find stored rows in place: only
+    the incoming rows are shuffled, however long the table has grown. ``path`` is where a new table's files go.
+    """
+    spark = incoming.sparkSession
+    if spark.catalog.tableExists(table):
+        existing = spark.table(table)
+        require_same_schema(existing, incoming)
+        incoming = append_new(existing, incoming, keys)
+    writer = incoming.repartition(buckets, *keys).write.mode("append").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def upsert_table(
     incoming: DataFrame, path: str, keys: Sequence[str], partition_col: str, newest: str | None = None,
     ties: Sequence[str] = (),
@@ -71,9 +94,9 @@ def upsert_table(
     """Upsert into a Parquet table partitioned by ``partition_col``, a day; one row per key, NULLs being equal.
 
     The day must follow from the key. Only days with incoming rows are read and rewritten, so the work follows the
-    batch, not the table. The merged days are written to a staging folder first, then named in a small file beside the
-    table, then moved in. A run that stops in between has lost nothing: the next one finds the name and moves the
-    staged days in again before it does anything else, as does :func:`recover`. Staging folders are removed.
+    batch, not the table. The merged days are written to a folder beside the table first, then moved in. A run that
+    stops in between has lost nothing: the next one finds the folder complete and moves its days in again before it
+    does anything else, as does :func:`recover`; an incomplete one is written anew. Afterwards the folder is removed.
     With ``newest`` the highest value of that column wins per key, otherwise the incoming row does.
     """
     spark = incoming.sparkSession
@@ -81,7 +104,7 @@ def upsert_table(
     existing = stored(spark, path)
     if existing is not None:
         require_same_schema(existing, incoming)
-    batch, staged = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-staged")
+    batch = scratch_path(spark, "upsert-batch")
     one_per_key(incoming, keys, newest, ties).write.parquet(batch)  # evaluated once, read several times below
     fresh = spark.read.schema(incoming.schema).parquet(batch)
     if existing is None:
@@ -92,8 +115,7 @@ def upsert_table(
             merged = upsert(affected, fresh, keys)
         else:
             merged = keep_latest(affected.unionByName(fresh), keys, newest, ties)
-    merged.write.parquet(staged)
-    spark.createDataFrame([(staged,)], "staged string").coalesce(1).write.mode("overwrite").text(_pending(path))
+    merged.write.mode("overwrite").parquet(_staged(path))
     recover(spark, path, partition_col)
     remove_path(spark, batch)
 
@@ -107,31 +129,35 @@ def _days_of(existing: DataFrame, fresh: DataFrame, day: str) -> DataFrame:
     return found.unionByName(existing.where(F.col(day).isNull()))
 
 
-def _pending(path: str) -> str:
-    return f"{path.rstrip('/')}.pending"
+def _staged(path: str) -> str:
+    return f"{path.rstrip('/')}.staged"
 
 
 def recover(spark: SparkSession, path: str, partition_col: str) -> None:
-    """Move the days of an unfinished :func:`upsert_table` into the table, if there are any."""
-    try:
-        names = [r[0] for r in spark.read.text(_pending(path)).collect()]  # one line
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Move the days of an unfinished :func:`upsert_table` into the table, if there are any and they are complete."""
+    staged = _staged(path)
+    if not path_exists(spark, f"{staged}/_SUCCESS"):
         return
-    for staged in names:
-        # rebalance: a big day is cut into several files, small ones are not scattered
-        (
-            spark.read.parquet(staged)
-            .hint("rebalance", partition_col)
-            .write.partitionBy(partition_col)
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .parquet(path)
-        )
-    remove_path(spark, _pending(path))
-    for staged in names:
-        remove_path(spark, staged)
+    # rebalance: a big day is cut into several files, small ones are not scattered
+    (
+        spark.read.parquet(staged)
+        .hint("rebalance", partition_col)
+        .write.partitionBy(partition_col)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
+    remove_path(spark, staged)
+
+
+def store_run(rows: DataFrame, path: str, run_id: str) -> None:
+    """The rows of a run in a table of runs, one folder per run. A run that is stored again replaces its own folder."""
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All stored runs."""
+    return spark.read.option("basePath", path).parquet(path)
 
 
 def write_selection(selection: DataFrame, path: str) -> None:

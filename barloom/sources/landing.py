@@ -7,15 +7,10 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom.functions.scalar import parse_item_list
 from barloom.operators.lookup import id_frame
-from barloom.schema import ITEM_MAPPING, PRICE_POINT, SELECTION_FALLBACK_IDS
-
-ARRAY_FORM = T.StructType([T.StructField("data", T.ArrayType(PRICE_POINT))])
-MAP_FORM = T.StructType([T.StructField("data", T.MapType(T.StringType(), PRICE_POINT))])
-
+from barloom.schema import ITEM_MAPPING, SELECTION_FALLBACK_IDS
 
 def epoch_to_timestamp(seconds: Column) -> Column:
     """Epoch seconds as a zone-free UTC timestamp."""
@@ -23,52 +18,81 @@ def epoch_to_timestamp(seconds: Column) -> Column:
     return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
-def _points(points: Column, timestamp) -> Column:
-    """Entries as price points with an integer timestamp; entries without one are dropped."""
-    fields = ["avgHighPrice", "avgLowPrice", "high", "low"]
+PRICES = ("avgHighPrice", "avgLowPrice", "high", "low")
+VOLUMES = ("highPriceVolume", "lowPriceVolume")
 
-    def point(e: Column) -> Column:
-        at, values, volumes = timestamp(e)
-        return F.struct(
-            at.alias("timestamp"), *[values[f].alias(f) for f in fields],
-            *[v.cast("bigint").alias(n) for n, v in zip(("highPriceVolume", "lowPriceVolume"), volumes)],
-        )
 
-    return F.filter(F.transform(points, point), lambda p: p["timestamp"].isNotNull())
+def _field(value: Column, name: str, kind: str = "bigint") -> Column:
+    return F.try_variant_get(value, f"$.{name}", kind)
 
 
-def array_points(doc: Column) -> Column:
-    """Points of ``{"data": [{...}]}``; a missing timestamp reads as 0."""
-    data = F.from_json(doc, ARRAY_FORM)["data"]
-    return _points(data, lambda e: (
-        F.coalesce(e["timestamp"], F.lit(0).cast("bigint")), e, (e["highPriceVolume"], e["lowPriceVolume"])))
+def _is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
-def map_points(doc: Column) -> Column:
-    """Points of ``{"data": {"<epoch>": {...}}}``; keys that are no integer are skipped.
+def parsed_documents(docs: DataFrame, doc: str = "doc", item_id: str = "item_id") -> DataFrame:
+    """(item_id, readable, in_list, entries): the documents, parsed once.
 
-    This form carries no volumes.
+    A document is ``{"data": [{...}]}`` or ``{"data": {"<epoch>": {...}}}``. An entry holds its key (its place in a list), its
+    value, and its epoch: of a list the timestamp, 0 if there is none, else the key.
     """
-    none = F.lit(None)
-    data = F.map_entries(F.from_json(doc, MAP_FORM)["data"])
-    return _points(data, lambda e: (e["key"].try_cast("bigint"), e["value"], (none, none)))
+    value = docs.select(F.col(item_id).alias("item_id"), F.try_parse_json(F.col(doc)).alias("_v"))
+    value = value.select("item_id", _field(F.col("_v"), "data", "array<variant>").alias("_list"),
+                         _field(F.col("_v"), "data", "map<string,variant>").alias("_map"))
+
+    def listed(e: Column, at: Column) -> Column:
+        given = _field(e, "timestamp", "variant")
+        epoch = F.when(given.isNull() | F.is_variant_null(given), F.lit(0).cast("bigint")).otherwise(_field(e, "timestamp"))
+        return F.struct(at.cast("string").alias("key"), e.alias("value"), F.when(_is_object(e), epoch).alias("epoch"))
+
+    def mapped(e: Column) -> Column:
+        return F.struct(e["key"].alias("key"), e["value"].alias("value"),
+                        F.when(_is_object(e["value"]), e["key"].try_cast("bigint")).alias("epoch"))
+
+    entries = F.coalesce(F.transform("_list", listed), F.transform(F.map_entries("_map"), mapped))
+    return value.select("item_id", entries.isNotNull().alias("readable"), F.col("_list").isNotNull().alias("in_list"),
+                        entries.alias("entries"))
+
+
+def points_of(parsed: DataFrame) -> DataFrame:
+    """One row per readable entry. Only lists carry volumes."""
+    rows = parsed.select("item_id", "in_list", F.inline(F.filter("entries", lambda e: e["epoch"].isNotNull())))
+    return rows.select(
+        "item_id", epoch_to_timestamp(F.col("epoch")).alias("timestamp"), *[_field(F.col("value"), f).alias(f) for f in PRICES],
+        *[F.when(F.col("in_list"), _field(F.col("value"), f)).alias(f) for f in VOLUMES])
+
+
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """(item_id, reason, place) of what :func:`points_of` leaves out: a ``document`` that is no JSON or has no data, an
+    ``entry`` that is no object or whose timestamp is no integer, a ``key`` that is no integer."""
+    reason = F.when(F.col("in_list"), "entry").otherwise(
+        F.when(F.col("key").try_cast("bigint").isNull(), "key").otherwise("entry"))
+    entries = parsed.select("item_id", "in_list", F.inline(F.filter("entries", lambda e: e["epoch"].isNull())))
+    broken = parsed.where(~F.col("readable")).select(
+        "item_id", F.lit("document").alias("reason"), F.lit(None).cast("string").alias("place"))
+    return entries.select("item_id", reason.alias("reason"), F.col("key").alias("place")).unionByName(broken)
 
 
 def parse_documents(docs: DataFrame, doc: str = "doc", item_id: str = "item_id") -> DataFrame:
     """One row per price point of documents in either form."""
-    points = F.coalesce(array_points(F.col(doc)), map_points(F.col(doc)))
-    rows = docs.select(F.col(item_id).alias("item_id"), F.inline(points))
-    return rows.withColumn("timestamp", epoch_to_timestamp(F.col("timestamp")))
+    return points_of(parsed_documents(docs, doc, item_id))
 
 
-def read_timeseries_files(spark: SparkSession, path: str, step: str = "1h") -> DataFrame:
-    """All ``timeseries_<item>_<step>.json`` files below ``path``, one document each.
+def rejected(docs: DataFrame, doc: str = "doc", item_id: str = "item_id") -> DataFrame:
+    """What :func:`parse_documents` leaves out, as :func:`rejects_of` names it."""
+    return rejects_of(parsed_documents(docs, doc, item_id))
 
-    The item id is part of the file name.
-    """
+
+def timeseries_documents(spark: SparkSession, path: str, step: str = "1h") -> DataFrame:
+    """(item_id, doc) of all ``timeseries_<item>_<step>.json`` files below ``path``; the item id is part of the name."""
     files = spark.read.option("pathGlobFilter", f"timeseries_*_{step}.json").text(path, wholetext=True)
     item = F.regexp_extract("_metadata.file_name", r"timeseries_(\d+)_", 1).cast("bigint")
-    return parse_documents(files.select(item.alias("item_id"), F.col("value").alias("doc")))
+    return files.select(item.alias("item_id"), F.col("value").alias("doc"))
+
+
+def read_timeseries_files(spark: SparkSession, path: str, step: str = "1h") -> DataFrame:
+    """The price points of all landed files; :func:`rejected` of the same documents has the rest."""
+    return parse_documents(timeseries_documents(spark, path, step))
 
 
 def read_item_mapping(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:

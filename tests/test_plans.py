@@ -8,7 +8,9 @@ from barloom.operators import silver
 from helpers import at, plan, raw_rows
 
 #: Queries that run a job while they are built (they write and read a table first).
-EAGER = {"pipeline_leaderboard", "stream_silver", "stream_gold", "stream_daily_bars", "stream_first_arrivals", "upsert_table",
+EAGER = {"pipeline_leaderboard", "refresh_incremental", "refresh_incremental_board", "stream_gold_frozen", "item_statistics_rollup",
+         "items_page", "items_page_curated", "items_page_index", "append_new_bucketed", "backtest_runs",
+         "stream_silver", "stream_gold", "stream_daily_bars", "stream_first_arrivals", "upsert_table",
          "load_items", "load_selection", "results_csv", "append_new_table", "incremental_silver", "upsert_by_key",
          "incremental_gold", "incremental_gold_reference"}
 LAZY = sorted(set(QUERIES) - EAGER)

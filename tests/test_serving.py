@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from barloom.operators import lookup, serving
-from helpers import rows
+from helpers import plan, rows
 
 D = dt.date
 
@@ -16,11 +16,25 @@ def catalog(spark):
 def test_pages(spark, catalog):
     assert rows(serving.items_page(catalog, 1, 2)) == [(2, "Alpha", 3, 1, 2, 2), (1, "Beta", 3, 1, 2, 2)]
     assert rows(serving.items_page(catalog, 2, 2), "item_id") == [(3,)]
-    assert serving.items_page(catalog, 5, 2, check=False).count() == 0
     with pytest.raises(ValueError, match="there are 2 pages"):
         serving.items_page(catalog, 3, 2)
     curated = lookup.id_frame(spark, [3, 77])
     assert rows(serving.items_page(catalog, curated=curated), "item_id", "total_count") == [(3, 1)]
+    assert serving.items_page(catalog.where("false")).count() == 0
+
+
+def test_pages_by_key_equal_pages_by_offset(spark, monkeypatch):
+    names = [None, None, "b", "a", "a", "a", "", "z z", "A"] + [f"n{i % 13}" for i in range(60)]
+    listed = spark.createDataFrame(list(enumerate(names)), "item_id long, name string").repartition(6)
+    order = [r.item_id for r in listed.orderBy("name", "item_id").collect()]
+    index = serving.settled(serving.page_index(listed, 10), "index")
+    monkeypatch.setattr(serving, "page_index", None)  # a stored index is all a page needs
+    for page in range(1, 8):
+        got = serving.items_page(listed, page, 10, index=index)
+        assert [r.item_id for r in got.collect()] == order[10 * page - 10 : 10 * page]
+        assert "Offset" not in plan(got) and "LocalLimit" not in plan(got)
+    with pytest.raises(ValueError, match="there are 7 pages"):
+        serving.items_page(listed, 8, 10, index=index)
 
 
 def test_predictions(spark, catalog):

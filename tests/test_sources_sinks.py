@@ -1,9 +1,12 @@
+import contextlib
 import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.operators import incremental, quality, silver
+from barloom.operators import metrics as errors
 from barloom.plans import pipeline
 from barloom.schema import SELECTION_FALLBACK_IDS, SelectionConfig
 from barloom.sinks import tables
@@ -34,6 +37,77 @@ def test_landed_files(spark, landed):
     ]
 
 
+def test_what_landed_files_leave_out_is_named(spark, landed):
+    from pathlib import Path
+
+    (Path(landed) / "timeseries_7_1h.json").write_text(json.dumps({"data": [{"timestamp": "x"}, 5, None, {"timestamp": None}]}))
+    (Path(landed) / "timeseries_8_1h.json").write_text(json.dumps({"data": {"1": 3, "2": {"avgLowPrice": 4}}}))
+    (Path(landed) / "timeseries_9_1h.json").write_text(json.dumps({"other": []}))
+    docs = landing.timeseries_documents(spark, landed)
+    assert sorted(rows(landing.rejected(docs)), key=str) == sorted([
+        (561, "key", "soon"), (2, "document", None), (7, "entry", "0"), (7, "entry", "1"), (7, "entry", "2"), (8, "entry", "1"),
+        (9, "document", None)], key=str)
+    kept = landing.parse_documents(docs)
+    assert sorted(rows(kept.where("item_id IN (7, 8)"), "item_id", "avgLowPrice"), key=str) == [(7, None), (8, 4)]
+    assert plan(kept).count("parseJson") == 1
+
+
+def test_bucketed_append_leaves_the_store_in_place(spark, tmp_path):
+    name, path, keys = f"bucketed_{tmp_path.name}".replace("-", "_"), str(tmp_path / "b"), ["timestamp", "item_id"]
+    first = raw_rows(spark, [(at(1), 1, 1, 1, 1, i % 5, at(1)) for i in range(10)])
+    tables.append_new_bucketed(first, name, keys, 4, path)
+    more = raw_rows(spark, [(at(1), 2, 2, 2, 2, 4, at(2)), (at(2), 3, 3, 3, 3, 4, at(2)), (None, 4, 4, 4, 4, 4, at(2))])
+    out = tables.append_new(spark.table(name), more, keys)
+    with _conf(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), _conf(spark, "spark.sql.adaptive.enabled", "false"):
+        text = plan(tables.append_new(spark.table(name), more, keys))
+    assert text.count("Exchange") == 1 and "Bucketed: true" in text  # the incoming rows only
+    assert out.count() == 2
+    tables.append_new_bucketed(more, name, keys, 4, path)
+    assert spark.table(name).count() == 12
+    spark.sql(f"DROP TABLE {name}")
+
+
+@contextlib.contextmanager
+def _conf(spark, key, value):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_failing_rows_are_stored_once_with_all_they_fail(spark, tmp_path):
+    spec = quality.TableChecks(required=("a",), key=("k",), amounts=("v",), accepted={"s": ("x",)})
+    df = spark.createDataFrame([(1, None, -1, "y"), (1, "q", 2, "x"), (2, "q", 3, None), (None, "q", 3, "x"), (None, "q", 3, "x"), (3, "q", 3, "z")],
+                               "k long, a string, v long, s string")
+    path = str(tmp_path / "f")
+    counts = quality.check_table(df, spec, path)
+    assert counts == {"not_null_a": 1, "non_negative_v": 1, "accepted_values_s": 2, "unique_k": 1}
+    assert counts == quality.check_table(df, spec)
+    kept = sorted((r.k, r.failed_checks) for r in spark.read.parquet(path).collect())
+    assert kept == [(1, ["not_null_a", "non_negative_v", "accepted_values_s", "unique_k"]), (1, ["unique_k"]), (3, ["accepted_values_s"])]
+    assert plan(quality.failing_rows(spark.read.parquet(path), spec)).count("FileScan") == 1
+
+
+def test_checks_are_counted_by_the_write(spark, tmp_path):
+    spec = quality.TableChecks(required=("a",), amounts=("v",))
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else "q", i - 10) for i in range(100)], "k long, a string, v long").repartition(7)
+    counts = tables.replace_table(df, str(tmp_path / "t"), cluster_by=("k",), checks=spec)
+    assert counts == {"rows": 100, "not_null_a": 25, "non_negative_v": 10}
+    assert tables.replace_table(df, str(tmp_path / "u")) == {}
+
+
+def test_runs_are_known_by_what_they_are(spark, tmp_path):
+    path, mark = str(tmp_path / "runs"), at(3)
+    one = errors.run_identity(mark, window=10, methods=("a",))
+    assert one == errors.run_identity(mark, methods=["a"], window=10) and len(one) == 16
+    assert len({one, errors.run_identity(at(4), window=10, methods=("a",)), errors.run_identity(mark, window=11, methods=("a",))}) == 3
+    for run in (one, "r000000000000001", one):
+        tables.store_run(spark.createDataFrame([(1, 2.0)], "item_id long, mae double"), path, run)
+    assert sorted(rows(tables.read_runs(spark, path), "run_id")) == sorted([(one,), ("r000000000000001",)])
+
+
 def test_item_list(spark, tmp_path):
     path = tmp_path / "mapping.json"
     path.write_text(json.dumps([{"id": 1, "name": "A", "limit": 5, "icon": "x"}, {"id": 2, "name": "B", "members": True}]))
@@ -135,7 +209,7 @@ def test_upsert_that_stops_before_the_move_is_finished_by_the_next(spark, tmp_pa
     monkeypatch.setattr(tables, "recover", real)
     tables.upsert_table(keyed(spark, [(3, at(1), 30, at(1), d1)]), path, keys, "ts_date")
     assert sorted(rows(spark.read.parquet(path), "item_id", "v")) == [(1, 10), (2, 20), (3, 30)]
-    assert not (tmp_path / "t.pending").exists()
+    assert not (tmp_path / "t.staged").exists()
 
 
 def test_backtest_upsert_always_leaves_one_row_per_key(spark):
@@ -190,7 +264,8 @@ def test_checks_count_and_store(spark, tmp_path):
     spec = quality.TableChecks(required=("k",), key=("k",), amounts=("amount",), accepted={"source": ("f",)})
     counts = quality.check_table(df, spec, str(tmp_path / "fail"))
     assert counts == {"not_null_k": 2, "non_negative_amount": 1, "accepted_values_source": 1, "unique_k": 1}
-    assert rows(spark.read.parquet(str(tmp_path / "fail" / "unique_k"))) == [(1, 2)]
+    kept = spark.read.parquet(str(tmp_path / "fail"))
+    assert rows(kept.where(F.array_contains("failed_checks", "unique_k")), "k") == [(1,), (1,)] and kept.count() == 4
 
 
 def test_row_preservation_passes_on_equal_counts(spark):
