@@ -26,6 +26,8 @@ from barloom.llm.common import bounded, first_rows, small_batches, stored
 
 #: Rows that the classifiers are fitted on at most.
 SAMPLE = 4000
+#: The sample comes to the driver in so many portions.
+PORTIONS = 8
 #: Hash buckets of the n-grams, and their lengths in bytes.
 BUCKETS, LENGTHS = 4096, (1, 2, 3, 4)
 #: Texts are counted in slices of so many bytes.
@@ -129,11 +131,15 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
                                         "x": [x[at].astype(np.float32).tobytes()]})
 
     rows = small_batches(chosen).select("lang", "text").mapInPandas(vectors, "lang string, at binary, x binary")
-    rows = rows.orderBy(F.xxhash64("lang", "at", "x"), "lang", "at", "x").limit(sample).toArrow()
-    x = np.zeros((len(rows), BUCKETS), np.float32)
-    for row, at, values in zip(x, rows["at"], rows["x"]):
-        row[np.frombuffer(at.as_buffer(), np.int16)] = np.frombuffer(values.as_buffer(), np.float32)
-    names = rows["lang"].to_pylist()
+    rows = stored(rows.orderBy(F.xxhash64("lang", "at", "x"), "lang", "at", "x").limit(sample), "vectors")
+    x, names = np.zeros((rows.count(), BUCKETS), np.float32), []
+    for part in range(PORTIONS):  # the driver holds a portion beside the matrix, not all rows twice
+        portion = rows.where(F.pmod(F.xxhash64("at", "x"), F.lit(PORTIONS)) == part).toArrow()
+        for row, at, values in zip(x[len(names) :], portion["at"], portion["x"]):
+            row[np.frombuffer(at.as_buffer(), np.int16)] = np.frombuffer(values.as_buffer(), np.float32)
+        names += portion["lang"].to_pylist()
+        del portion
+    pa.default_memory_pool().release_unused()
     languages = sorted(set(names))
     return Model(languages, x, np.array([languages.index(n) for n in names], int))
 
