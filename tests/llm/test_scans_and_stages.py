@@ -1,5 +1,6 @@
 """Classifiers, scans, registered queries and the pipeline."""
 
+import math
 import re
 
 import numpy as np
@@ -21,7 +22,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 def test_one_query_per_operator():
     numbers = [re.match(r"op(\d+)_", n)[1] for n in QUERIES]
-    assert sorted(map(int, numbers)) == list(range(1, 11)) and {*QUERIES, "pipeline"} <= set(entry.queries())
+    assert sorted(map(int, numbers)) == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
 # ---- language -------------------------------------------------------------------------------
@@ -40,6 +41,37 @@ def test_held_out_accuracy(spark, documents, odd, nothing):
     assert op5_language.predict(odd, op5_language.train(nothing)).where("lang_pred <> 'und'").count() == 0
 
 
+def plain_features(text):
+    """Square roots of n-gram shares, gram by gram."""
+    raw, counts = text.lower().encode(), {}
+    for n in op5_language.LENGTHS:
+        for i in range(len(raw) - n + 1):
+            key = (n * 40503) & 0xFFFFFFFF
+            for byte in raw[i : i + n]:
+                key = ((key ^ byte) * 0x01000193) & 0xFFFFFFFF
+            key ^= key >> 15
+            counts[key % op5_language.BUCKETS] = counts.get(key % op5_language.BUCKETS, 0) + 1
+    norm = sum(counts.values()) ** 0.5
+    return {k: v**0.5 / norm for k, v in counts.items()}
+
+
+def test_predictions_equal_a_plain_decoder(spark, documents, plain):
+    docs = documents.where("length(text) < 4000")
+    model = op5_language.train(docs)
+    for r in op5_language.predict(docs, model).collect():
+        text = plain[r.doc_id]
+        if not any(map(str.isalpha, text)):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        x, losses = plain_features(text), []
+        margins = [sum(v * float(model.w[k, b]) for k, v in x.items()) + float(model.w[-1, b]) for b in range(model.w.shape[1])]
+        for word in model.code:
+            losses.append(sum(t * math.log1p(math.exp(-m * c)) for m, c, t in zip(margins, word, model.trust)))
+        share = [math.exp(4 * (min(losses) - e)) for e in losses]
+        assert r.lang_pred == model.languages[losses.index(min(losses))]
+        assert r.score == pytest.approx(max(share) / sum(share), abs=1e-3)
+
+
 @pytest.mark.parametrize("classes", [1, 2, 3, 4, 6, 9])
 def test_codewords_differ(classes):
     code = op5_language.codewords(classes)
@@ -121,6 +153,40 @@ THIS SOFTWARE."""
     assert whole >= {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "MPL-2.0", "GPL-2.0", "GPL-3.0", "CC0-1.0"}
 
 
+# ---- url rules --------------------------------------------------------------------------------------
+
+def plain_rule(url):
+    """Host, path, rule and its verdict, plainly."""
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        rest = re.split(r"[?#]", rest, maxsplit=1)[0]
+        cut = rest.find("/")
+        host, path = (rest, "") if cut < 0 else (rest[:cut], rest[cut:])
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    best = None
+    for verdict, rule in op7_url_filter.RULES:
+        name, _, tail = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + tail):
+            if best is None or len(rule) > len(best[1]):
+                best = (verdict, rule)
+    return host, path, best[1] if best else None, best[0] if best else None
+
+
+def test_rules_equal_a_plain_judge_on_all_pages(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    odd = [(-1, None), (-2, ""), (-3, "no scheme"), (-4, "http://X.ORG?q=/a"), (-5, "http://example.org/es"), (-6, "http://a.com/fr/x#://"),
+           (-7, "x://y://z.com/de/1"), (-8, "HTTP://"), (-9, "http://notexample.org/en/1"), (-10, "http://m.example.org/en/12"), (-11, "http://com/de/"),
+           (-12, "http://\n.org/a\nb"), (-12, "http://\n.org/a\nb"), (None, "http://e.com/fr/" + "u" * 50_000)]
+    rows = pages.unionByName(spark.createDataFrame(odd, "page_id long, url string"))
+    clash = rows.selectExpr("*", "'h' AS host", "'p' AS path", "1 AS rule", "2 AS verdict", "3 AS score", "4 AS r")
+    out = op7_url_filter.url_filter(clash).collect()
+    want = sorted((str(r.page_id), *map(str, plain_rule(r.url))) for r in rows.collect())
+    assert sorted((str(r.page_id), r.host, r.path, str(r.rule), r.verdict if r.rule else "None") for r in out) == want
+    assert all(r.verdict in ("allow", "block") for r in out)
+    assert op7_url_filter.url_filter(clash.where("false")).count() == 0
+
+
 # ---- stages ------------------------------------------------------------------------------------------
 
 def test_pipeline_stages_take_effect(spark, sf_dir, documents):
@@ -153,3 +219,11 @@ def test_stages_on_odd_rows(spark, sf_dir, odd, nothing, documents):
     assert stages.language(spark, model_docs.unionByName(rows), sf_dir).where("doc_id is null").count() == 1
     for stage in (stages.language, stages.near_duplicates, stages.decontamination, stages.secrets):
         assert stage(spark, nothing, sf_dir).count() == 0
+    assert stages.packing(spark, nothing, sf_dir).count() == 0
+    for stage in (stages.secrets, stages.language, stages.near_duplicates, stages.decontamination):
+        assert stage(spark, odd, sf_dir).columns == odd.columns  # further columns with clashing names pass through
+    assert stages.secrets(spark, odd, sf_dir).count() == odd.count()
+    packed = stages.packing(spark, odd, sf_dir)
+    tokens = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all"), F.count("*").alias("pieces"))
+    found = {r.doc_id: r for r in tokens.collect()}
+    assert set(found) == {r.doc_id for r in odd.collect()} and found[1].n == found[2].n == 1 and found[6].n == 2 * found[6]["all"]
