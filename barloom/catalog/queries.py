@@ -438,17 +438,17 @@ def _(spark, sf_dir):
     return backtest.backtest_scores(price_series(spark, sf_dir), FLAT, window=10, horizon=3)
 
 
-@register("backtest_ets")
+@register("backtest_ets", rounded("whole_ets", SCORE_DOUBLES, "whole_ets", cols=SCORE_COLS))
 def _(spark, sf_dir):
     return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",))
 
 
-@register("backtest_ets_level")
+@register("backtest_ets_level", rounded("level_ets", SCORE_DOUBLES, "level_ets", cols=SCORE_COLS))
 def _(spark, sf_dir):
     return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",), trend=None)
 
 
-@register("backtest_ets_first")
+@register("backtest_ets_first", rounded("first_ets", SCORE_DOUBLES, "first_ets", cols=SCORE_COLS))
 def _(spark, sf_dir):
     return backtest.backtest_scores(supplier(spark, sf_dir), ("ets",), max_splits=50)
 

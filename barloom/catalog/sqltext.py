@@ -341,3 +341,104 @@ cte("frozen_features", """
     total_volume, observation_count, min_price, max_price
   FROM frozen_paths
   WINDOW s AS (PARTITION BY item_id ORDER BY part RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", "frozen_paths")
+
+
+# ---- fitted smoothing -------------------------------------------------------------------
+# The squared error of a window under given parameters, with the best start state, is a quadratic form z'Qz: the grid is
+# searched with one matrix per candidate. Parameters are whole numbers of 1/1280, the last step of the refinement.
+UNIT = 1280.0
+ETS_SCORES = """
+  SELECT item_id, date, 'ets' AS method, abs(actual - p) AS mae,
+    200.0::DOUBLE * abs(actual - p) / IF(abs(actual) + abs(p) = 0, 2e-8::DOUBLE, abs(actual) + abs(p)) AS smape,
+    actual, p AS predicted, 1 AS horizon, 28 AS window_size
+  FROM (SELECT item_id, date, actual, centre + scale * (lev + sl) AS p FROM {end})"""
+
+
+def ets_ctes(tag: str, trend: bool, max_splits: int | None) -> None:
+    """``<tag>_ets``: scores of the fitted smoother over windows of 28 days of ``supplier_days``."""
+    most = f"AND rn <= 28 + {max_splits}" if max_splits else ""
+    cte(f"{tag}_win", f"""
+  SELECT row_number() OVER () AS k, item_id, date, actual, centre, scale, list_transform(w, lambda x: (x - centre) / scale) AS z
+  FROM (SELECT *, coalesce(nullif(list_max(list_transform(w, lambda x: abs(x - centre))), 0), 1.0::DOUBLE) AS scale
+    FROM (SELECT *, list_avg(w) AS centre
+      FROM (SELECT item_id, date, price AS actual, row_number() OVER s AS rn,
+          list(price) OVER (s ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS w
+        FROM supplier_days WINDOW s AS (PARTITION BY item_id ORDER BY date)) WHERE rn > 28 {most}))""", "supplier_days")
+    cte(f"{tag}_par", f"""
+  SELECT i, j, i / {UNIT}::DOUBLE AS a, (i / {UNIT}::DOUBLE) * (j / {UNIT}::DOUBLE) AS g
+  FROM range(0, 1281, {64 if trend else 1}) AS x(i), range(0, {"1281, 64" if trend else "1"}) AS y(j) WHERE j <= i""")
+    # errors after an impulse (h), after a start level (el) and a start slope (eb) of one
+    cte(f"{tag}_resp", f"""
+  SELECT i, j, a, g, 0 AS t, 1.0::DOUBLE AS h, a AS lev, g AS sl, -1.0::DOUBLE AS el, 1.0::DOUBLE - a AS ll, -g AS ls,
+    -{int(trend)}.0::DOUBLE AS eb, ({int(trend)}.0::DOUBLE) * (1.0::DOUBLE - a) AS bl, {int(trend)}.0::DOUBLE * (1.0::DOUBLE - g) AS bs
+  FROM {tag}_par
+  UNION ALL
+  SELECT i, j, a, g, t + 1, -(lev + sl), (lev + sl) * (1 - a), sl - g * (lev + sl), -(ll + ls), (ll + ls) * (1 - a), ls - g * (ll + ls),
+    -(bl + bs), (bl + bs) * (1 - a), bs - g * (bl + bs)
+  FROM {tag}_resp WHERE t < 27""", f"{tag}_par")
+    cte(f"{tag}_gram", f"""
+  SELECT i, j, sum(el * el) AS sll, sum(el * eb) AS slb, sum(eb * eb) AS sbb FROM {tag}_resp GROUP BY i, j""", f"{tag}_resp")
+    cte(f"{tag}_hit", f"""
+  SELECT e.i, e.j, e.t, e.t - q.t AS s, q.h, e.el, e.eb FROM {tag}_resp e JOIN {tag}_resp q ON q.i = e.i AND q.j = e.j AND q.t <= e.t""",
+        f"{tag}_resp")
+    cte(f"{tag}_lin", f"""
+  SELECT i, j, s, sum(h * el) AS ul, sum(h * eb) AS ub FROM {tag}_hit GROUP BY i, j, s""", f"{tag}_hit")
+    solve = ("(x.ul * y.ul * sbb - (x.ul * y.ub + x.ub * y.ul) * slb + x.ub * y.ub * sll) / (sll * sbb - slb * slb)" if trend
+             else "x.ul * y.ul / sll")
+    cte(f"{tag}_form", f"""
+  SELECT i, j, list(q ORDER BY s, r) AS q FROM (
+    SELECT b.i, b.j, b.s, b.r, both_ - {solve} AS q
+    FROM (SELECT x.i, x.j, x.s, y.s AS r, sum(x.h * y.h) AS both_ FROM {tag}_hit x JOIN {tag}_hit y
+          ON x.i = y.i AND x.j = y.j AND x.t = y.t GROUP BY ALL) b
+    JOIN {tag}_lin x ON x.i = b.i AND x.j = b.j AND x.s = b.s JOIN {tag}_lin y ON y.i = b.i AND y.j = b.j AND y.s = b.r
+    JOIN {tag}_gram m ON m.i = b.i AND m.j = b.j)
+  GROUP BY i, j""", f"{tag}_hit", f"{tag}_lin", f"{tag}_gram")
+    cte(f"{tag}_quad", f"""
+  SELECT k, flatten(list_transform(z, lambda x: list_transform(z, lambda y: x * y))) AS zz FROM {tag}_win""", f"{tag}_win")
+    cte(f"{tag}_s0", f"""
+  SELECT k, unnest(min_by({{'i': i, 'j': j, 'e': e}}, (e, i, j))) FROM (
+    SELECT k, i, j, list_dot_product(zz, q) AS e FROM {tag}_quad, {tag}_form WHERE i % 64 = 0) GROUP BY k""", f"{tag}_quad", f"{tag}_form")
+    for n, step in enumerate((32, 16, 8, 4, 2, 1), start=1):
+        moves = "(VALUES (-1), (0), (1))"
+        cte(f"{tag}_n{n}", f"""
+  SELECT k, e AS e0, i AS i0, j AS j0, o * 3 + u AS place, i1 AS i, least(greatest(j + {step} * u, 0), i1) AS j
+  FROM (SELECT *, least(greatest(i + {step} * o, 0), 1280) AS i1 FROM {tag}_s{n - 1}, {moves} AS a(o), {moves if trend else "(VALUES (0))"} AS b(u))""",
+            f"{tag}_s{n - 1}")
+        if trend:
+            sweep_cte(f"{tag}_e{n}", f"SELECT k, place, i, j FROM {tag}_n{n}", f"{tag}_win", f"{tag}_n{n}")
+            found, join = f"{tag}_e{n}", f"{tag}_n{n} JOIN {tag}_e{n} f USING (k, place)"
+        else:
+            found, join = f"{tag}_quad", f"{tag}_n{n} JOIN {tag}_quad USING (k) JOIN {tag}_form USING (i)"
+        error = "f.e" if trend else "list_dot_product(zz, q)"
+        cte(f"{tag}_s{n}", f"""
+  SELECT k, IF(b.e < e0, b.i, i0) AS i, IF(b.e < e0, b.j, j0) AS j, least(b.e, e0) AS e
+  FROM (SELECT k, any_value(e0) AS e0, any_value(i0) AS i0, any_value(j0) AS j0,
+      min_by({{'i': i, 'j': j, 'e': e}}, (e, place)) AS b
+    FROM (SELECT k, e0, i0, j0, place, {tag}_n{n}.i, {tag}_n{n}.j, {error} AS e FROM {join}) GROUP BY k)""",
+            f"{tag}_n{n}", found, *([] if trend else [f"{tag}_form"]))
+    sweep_cte(f"{tag}_end", f"SELECT k, 0 AS place, i, j FROM {tag}_s6", f"{tag}_win", f"{tag}_s6", trend)
+    cte(f"{tag}_ets", ETS_SCORES.format(end=f"{tag}_end JOIN {tag}_win USING (k)"), f"{tag}_end", f"{tag}_win")
+
+
+def sweep_cte(name: str, cells: str, windows: str, needs: str, trend: bool = True) -> None:
+    """Error ``e`` and end state (lev, sl) of every cell (k, place, i, j), value by value."""
+    cte(f"{name}_path", f"""
+  SELECT k, place, 0 AS t, z, i / {UNIT}::DOUBLE AS a, (i / {UNIT}::DOUBLE) * (j / {UNIT}::DOUBLE) AS g, 0.0::DOUBLE AS lev, 0.0::DOUBLE AS sl,
+    1.0::DOUBLE AS ll, 0.0::DOUBLE AS ls, 0.0::DOUBLE AS bl, {int(trend)}.0::DOUBLE AS bs, 0.0::DOUBLE AS ee, 0.0::DOUBLE AS el, 0.0::DOUBLE AS eb,
+    0.0::DOUBLE AS sll, 0.0::DOUBLE AS slb, 0.0::DOUBLE AS sbb
+  FROM ({cells}) JOIN {windows} USING (k)
+  UNION ALL
+  SELECT k, place, t + 1, z, a, g, lev + sl + a * (z[t + 1] - lev - sl), sl + g * (z[t + 1] - lev - sl), (ll + ls) * (1 - a), ls - g * (ll + ls),
+    (bl + bs) * (1 - a), bs - g * (bl + bs), ee + (z[t + 1] - lev - sl) * (z[t + 1] - lev - sl), el - (z[t + 1] - lev - sl) * (ll + ls),
+    eb - (z[t + 1] - lev - sl) * (bl + bs), sll + (ll + ls) * (ll + ls), slb + (ll + ls) * (bl + bs), sbb + (bl + bs) * (bl + bs)
+  FROM {name}_path WHERE t < 28""", windows, needs)
+    l0 = "(eb * slb - el * sbb) / (sll * sbb - slb * slb)" if trend else "-el / sll"
+    b0 = "(el * slb - eb * sll) / (sll * sbb - slb * slb)" if trend else "0.0::DOUBLE"
+    cte(name, f"""
+  SELECT k, place, ee + l0 * el + b0 * eb AS e, lev + l0 * ll + b0 * bl AS lev, sl + l0 * ls + b0 * bs AS sl
+  FROM (SELECT *, {l0} AS l0, {b0} AS b0 FROM {name}_path WHERE t = 28)""", f"{name}_path")
+
+
+ets_ctes("level", False, None)
+ets_ctes("first", True, 50)
+ets_ctes("whole", True, None)

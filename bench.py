@@ -19,7 +19,7 @@ from barloom.session import local_session
 HEADLINE = [
     "silver_timeseries", "silver_prices_daily", "gold_daily_features", "gold_item_metrics", "gold_price_features",
     "outlier_days", "item_statistics", "select_hybrid_force", "backtest_scores", "backtest_item_result",
-    "backtest_ets_first", "leaderboard", "predict_batch", "incremental_gold", "holt_fixed",
+    "backtest_ets_first", "backtest_ets", "leaderboard", "predict_batch", "incremental_gold", "holt_fixed",
     "upsert_table", "stream_silver",
 ]
 
