@@ -4,7 +4,8 @@ Every window of ``LENGTH`` bytes has an anchor, the place of its smallest hashed
 anchors at the same distance. Consecutive windows with one anchor are a run. Runs of equal bytes around equal anchors
 repeat as a whole and meet as hashes only. Where the runs of an anchor differ, one of each kind is read again and its
 windows are compared, anchors with very many kinds window by window across the cluster. The bytes covered by repeated
-windows are removed.
+windows are removed. A document is ``shared`` if one of its windows also starts in another document, a row of another
+id or text, and not only elsewhere in itself.
 
 Merging shard Burrows-Wheeler transforms was given up for this: README.md has the figures. All comparisons are of 64-bit
 hashes of whole windows.
@@ -93,19 +94,20 @@ def _bytes(batches):
         rows, index = [], []
         for i, (raw, listed) in enumerate(zip(texts(batch), batch.column("listed").to_pylist())):
             for r in listed:
-                rows.append((r["anchor"], r["first"], r["alone"], raw[r["first"] : r["last"] + LENGTH]))
+                rows.append((r["anchor"], r["first"], r["alone"], r["local"], raw[r["first"] : r["last"] + LENGTH]))
                 index.append(i)
         if rows:
-            anchor, first, alone, data = zip(*rows)
+            anchor, first, alone, local, data = zip(*rows)
             take = pa.array(index)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(take), batch.column("same").take(take), pa.array(anchor, pa.int64()),
-                 pa.array(first, pa.int64()), pa.array(alone, pa.bool_()), pa.array(data, pa.binary())],
-                ["doc_id", "same", "anchor", "first", "alone", "data"])
+                 pa.array(first, pa.int64()), pa.array(alone, pa.bool_()), pa.array(local, pa.bool_()), pa.array(data, pa.binary())],
+                ["doc_id", "same", "anchor", "first", "alone", "local", "data"])
 
 
 def _compared(batches):
-    """Rows ordered by anchor: the spans (doc_id, same, begin, end) of windows that another run has too."""
+    """Rows ordered by anchor: the spans (doc_id, same, begin, end, shared) of windows that another run has too. Spans
+    without bytes only say that their document shares a window with another one."""
     held: list[pa.RecordBatch] = []
 
     def work(table: pa.Table):
@@ -125,6 +127,20 @@ def _compared(batches):
         twice = np.zeros(len(value), bool)
         twice[order[1:][equal]] = True
         twice[order[:-1][equal]] = True
+        # groups of equal windows with more than one document among the holders of their runs
+        ids: dict[tuple, int] = {}
+        document = np.array([ids.setdefault(x, len(ids)) for x in zip(
+            table.column("doc_id").to_pylist(), table.column("same").to_pylist())])[owner][order]
+        spread = ~table.column("local").to_numpy(zero_copy_only=False)[owner][order]
+        group = np.flatnonzero(np.append(True, ~equal))
+        size = np.diff(np.append(group, len(order)))
+        across = (np.minimum.reduceat(document, group) != np.maximum.reduceat(document, group)) | np.logical_or.reduceat(spread, group)
+        mine = np.unique(owner[order][np.repeat(across & (size > 1), size)])
+        if len(mine):
+            take, none = pa.array(mine), pa.array(np.zeros(len(mine), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [table.column("doc_id").take(take).combine_chunks(), table.column("same").take(take).combine_chunks(), none, none,
+                 pa.array(np.ones(len(mine), bool))], ["doc_id", "same", "begin", "end", "shared"])
         twice &= table.column("alone").to_numpy(zero_copy_only=False)[owner]
         # maximal rows of repeated windows within a run
         edge = np.flatnonzero(np.diff(np.concatenate([[0], twice.astype(np.int8), [0]])))
@@ -138,8 +154,8 @@ def _compared(batches):
             first = table.column("first").to_numpy()[owner[begin]]
             yield pa.RecordBatch.from_arrays(
                 [table.column("doc_id").take(take).combine_chunks(), table.column("same").take(take).combine_chunks(),
-                 pa.array(first + at[begin]), pa.array(first + at[end] + LENGTH)],
-                ["doc_id", "same", "begin", "end"])
+                 pa.array(first + at[begin]), pa.array(first + at[end] + LENGTH), pa.array(np.zeros(len(begin), bool))],
+                ["doc_id", "same", "begin", "end", "shared"])
 
     for batch in batches:
         held.append(batch)
@@ -155,14 +171,14 @@ def _compared(batches):
 
 def _windows(batches):
     for batch in batches:
-        for doc_id, same, first, alone, data in zip(*(batch.column(c).to_pylist() for c in (
-                "doc_id", "same", "first", "alone", "data"))):
+        for doc_id, same, first, alone, local, data in zip(*(batch.column(c).to_pylist() for c in (
+                "doc_id", "same", "first", "alone", "local", "data"))):
             values = signed(span_hashes(np.frombuffer(data, np.uint8), LENGTH))
             n = len(values)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([doc_id] * n, batch.schema.field("doc_id").type), pa.array([same] * n, pa.int64()),
-                 pa.array(values), pa.array(first + np.arange(n)), pa.array([alone] * n)],
-                ["doc_id", "same", "value", "begin", "alone"])
+                 pa.array(values), pa.array(first + np.arange(n)), pa.array([alone] * n), pa.array([local] * n)],
+                ["doc_id", "same", "value", "begin", "alone", "local"])
 
 
 def _merged(batches):
@@ -170,6 +186,9 @@ def _merged(batches):
     for batch in batches:
         out = []
         for spans in batch.column("spans").to_pylist():
+            if not spans:
+                out.append([])
+                continue
             ends = np.array([(s["begin"], s["end"]) for s in spans], np.int64)
             ends = ends[np.argsort(ends[:, 0], kind="stable")]
             reach = np.maximum.accumulate(ends[:, 1])
@@ -178,8 +197,8 @@ def _merged(batches):
             out.append([{"begin": int(b), "end": int(e)}
                         for b, e in zip(ends[at, 0], reach[np.append(at[1:], len(ends)) - 1])])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("same"), pa.array(out, batch.schema.field("spans").type)],
-            ["doc_id", "same", "spans"])
+            [batch.column("doc_id"), batch.column("same"), pa.array(out, batch.schema.field("spans").type), batch.column("shared")],
+            ["doc_id", "same", "spans", "shared"])
 
 
 def _kept(batches):
@@ -196,54 +215,63 @@ def _kept(batches):
         n, removed, count, digests = zip(*out) if out else ((),) * 4
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
-             pa.array(digests, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+             pa.array(digests, pa.string()), batch.column("shared")],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "shared"])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, spans): the maximal spans of bytes of ``docs`` (doc_id, same, text) covered by repeated windows."""
+    """(doc_id, same, spans, shared): the maximal spans of bytes of ``docs`` (doc_id, same, text) covered by repeated windows,
+    and whether one of the windows starts in another document too."""
     kind_of_id = docs.schema["doc_id"].dataType.simpleString()
     found = stored(docs.mapInArrow(
         _runs, f"doc_id {kind_of_id}, same long, anchor long, kind long, first long, last long"), "runs")
     kinds = found.groupBy("anchor", "kind").agg(
-        F.count("*").alias("held"), F.min(F.struct("doc_id", "same", "first", "last")).alias("one"))
-    kinds = stored(kinds, "kinds")
+        F.count("*").alias("held"), F.min(F.struct("doc_id", "same", "first", "last")).alias("one"),
+        F.max(F.struct("doc_id", "same")).alias("high"))
+    local = F.struct("one.doc_id", "one.same").eqNullSafe(F.col("high"))
+    kinds = stored(kinds.select("anchor", "kind", "held", "one", local.alias("local")), "kinds")
     anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("held").alias("all")).where("all > 1")
-    whole = (found.join(kinds.where("held > 1").select("anchor", "kind"), ["anchor", "kind"])
-             .select("doc_id", "same", F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("end")))
+    whole = (found.join(kinds.where("held > 1").select("anchor", "kind", "local"), ["anchor", "kind"])
+             .select("doc_id", "same", F.col("first").alias("begin"), (F.col("last") + LENGTH).alias("end"), (~F.col("local")).alias("shared")))
 
     open_ = kinds.join(anchors.where("kinds > 1").select("anchor", "kinds"), "anchor").select(
-        "one.*", "anchor", (F.col("held") == 1).alias("alone"), "kinds")
+        "one.*", "anchor", (F.col("held") == 1).alias("alone"), "local", "kinds")
 
     def data(listed: DataFrame) -> DataFrame:
         listed = listed.groupBy("doc_id", "same").agg(
-            F.collect_list(F.struct("anchor", "first", "last", "alone")).alias("listed"))
+            F.collect_list(F.struct("anchor", "first", "last", "alone", "local")).alias("listed"))
         listed = bounded(stored(listed, "listed"), 500_000).select(
             F.col("doc_id").alias("id"), F.col("same").alias("text_hash"), "listed")
         rows = docs.join(listed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("text_hash")))
         return rows.select("doc_id", "same", "text", "listed").mapInArrow(
-            _bytes, f"doc_id {kind_of_id}, same long, anchor long, first long, alone boolean, data binary")
+            _bytes, f"doc_id {kind_of_id}, same long, anchor long, first long, alone boolean, local boolean, data binary")
 
     compared = (data(open_.where(F.col("kinds") <= KINDS)).repartition(F.col("anchor")).sortWithinPartitions("anchor")
-                .mapInArrow(_compared, f"doc_id {kind_of_id}, same long, begin long, end long"))
+                .mapInArrow(_compared, f"doc_id {kind_of_id}, same long, begin long, end long, shared boolean"))
     spans = whole.unionByName(compared)
     crowded = stored(open_.where(F.col("kinds") > KINDS), "crowded")
     if not crowded.isEmpty():
         windows = data(crowded).mapInArrow(
-            _windows, f"doc_id {kind_of_id}, same long, value long, begin long, alone boolean")
-        twice = windows.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
-        spans = spans.unionByName(windows.join(twice, "value").where("alone").select(
-            "doc_id", "same", "begin", (F.col("begin") + LENGTH).alias("end")))
-    listed = spans.groupBy("doc_id", "same").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    return listed.mapInArrow(_merged, f"doc_id {kind_of_id}, same long, spans array<struct<begin:bigint,end:bigint>>")
+            _windows, f"doc_id {kind_of_id}, same long, value long, begin long, alone boolean, local boolean")
+        owner = F.struct("doc_id", "same")
+        twice = windows.groupBy("value").agg(
+            F.count("*").alias("n"), (~F.min(owner).eqNullSafe(F.max(owner)) | F.max(~F.col("local"))).alias("shared")).where("n > 1")
+        spans = spans.unionByName(windows.join(twice.select("value", "shared"), "value").where("alone OR shared").select(
+            "doc_id", "same", "begin", (F.col("begin") + F.when(F.col("alone"), LENGTH).otherwise(0)).alias("end"), "shared"))
+    span = F.when(F.col("end") > F.col("begin"), F.struct("begin", "end"))
+    listed = spans.groupBy("doc_id", "same").agg(F.collect_list(span).alias("spans"), F.max("shared").alias("shared"))
+    return listed.mapInArrow(
+        _merged, f"doc_id {kind_of_id}, same long, spans array<struct<begin:bigint,end:bigint>>, shared boolean")
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed spans), kept_sha256 (of what remains)."""
+    """Per document: doc_id, n_bytes, n_removed, n_spans (maximal removed spans), kept_sha256 (of what remains), shared
+    (a removed window also starts in another document)."""
     docs = docs.select("doc_id", F.xxhash64("text").alias("same"), "text")
     kind_of_id = docs.schema["doc_id"].dataType.simpleString()
     spans = bounded(stored(repeated_spans(docs), "spans"), 500_000).select(
-        F.col("doc_id").alias("id"), F.col("same").alias("text_hash"), "spans")
+        F.col("doc_id").alias("id"), F.col("same").alias("text_hash"), "spans", "shared")
     rows = docs.join(
         spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("text_hash")), "left")
-    return rows.select("doc_id", "text", "spans").mapInArrow(
-        _kept, f"doc_id {kind_of_id}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.select("doc_id", "text", "spans", F.coalesce("shared", F.lit(False)).alias("shared")).mapInArrow(
+        _kept, f"doc_id {kind_of_id}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, shared boolean")

@@ -161,6 +161,10 @@ def test_parities_never_exceed_the_differences():
 
 def removed(docs, length=400):
     seen = collections.Counter(x[i : i + length] for x in docs.values() for i in range(len(x) - length + 1))
+    holders = collections.defaultdict(set)
+    for d, x in docs.items():
+        for i in range(len(x) - length + 1):
+            holders[x[i : i + length]].add(d)
     out = {}
     for d, x in docs.items():
         cover = np.zeros(len(x) + 1, int)
@@ -171,7 +175,8 @@ def removed(docs, length=400):
         gone = np.cumsum(cover)[:-1] > 0
         kept = bytes(b for b, g in zip(x, gone) if not g)
         spans = int(np.count_nonzero(np.diff(np.append(0, gone.astype(int))) == 1))
-        out[d] = (len(x), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+        elsewhere = any(len(holders[x[i : i + length]]) > 1 for i in range(len(x) - length + 1))
+        out[d] = (len(x), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), elsewhere)
     return out
 
 
@@ -188,6 +193,9 @@ def test_removed_bytes(spark, monkeypatch, kinds):
     shared = [prose(n) for n in (399, 400, 401, 500, 900)]
     texts = [prose(int(rng.integers(0, 300))) + s + prose(int(rng.integers(0, 300))) for s in shared for _ in range(5)]
     texts += [prose(700), "", "ab" * 450, "x" * 400, "x" * 401, prose(200) + shared[3] + prose(9) + shared[3], texts[0], texts[0]]
+    own, end = prose(450), prose(60)  # repeats inside one text only, one of them in another text too, at its edge
+    texts += [own + prose(30) + own, prose(40) + own[:430] + end + prose(5) + own[:430] + end, prose(50) + prose(500) * 2]
+    texts += [prose(80) + own[10:440] + prose(90)] if kinds == 3 else []
     docs = {i: t for i, t in enumerate(texts)}
     out = by_id(op10_substring_dedup.substring_dedup(spark.createDataFrame(list(docs.items()), "doc_id long, text string")))
     assert out == removed({i: t.encode() for i, t in docs.items()})
