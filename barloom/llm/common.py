@@ -34,7 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 #: Texts go to Python in Arrow batches of about so many bytes; a worker holds a few copies of one.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(docs: DataFrame) -> DataFrame:

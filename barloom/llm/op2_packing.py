@@ -33,7 +33,7 @@ TOKENIZER = "byte_bpe_50k.json"
 #: Encoded words that a worker remembers.
 CACHE = 300_000
 #: Characters of text that are encoded together.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 DESCENTS = 400
 
 #: Before a single space between other characters the tokenizer's pattern always begins a new piece.
