@@ -71,13 +71,19 @@ def test_second_run_scores_the_origins_it_touches_only(spark, tmp_path, monkeypa
     raw = raw_rows(spark, [(at(d, h), 100 + d * item, 90 + d, 500, 1, item, at(d, 23)) for d in range(1, 26) for h in (1, 2) for item in (1, 2)])
     seen, real = [], incremental.backtest.origin_scores
     monkeypatch.setattr(incremental.Refresh, "LAYERS", ("silver_timeseries", "gold_daily_features", "backtest_origins"))
-    monkeypatch.setattr(incremental.backtest, "origin_scores", lambda *a, **k: (seen.append(real(*a, **k)), seen[-1])[1])
+
+    def scores(*args, **named):
+        out = real(*args, **named)
+        seen.append(out.collect())  # now: later runs replace what it reads
+        return out
+
+    monkeypatch.setattr(incremental.backtest, "origin_scores", scores)
     late = raw.unionByName(raw_rows(spark, [(at(5, 3), 999, 90, 500, 1, 1, at(27))]))
     for part in (loaded_before(raw, 24), raw, late):
         out = incremental.refresh(spark, part, None, str(tmp_path), CONFIG)["gold_backtest_metrics"]
-    assert seen[0].count() == 2 * 2 * 13
-    assert sorted({r.date for r in seen[1].collect()}) == [dt.date(2024, 1, 24), dt.date(2024, 1, 25)]
-    assert {(r.item_id, r.date) for r in seen[2].collect()} == {(1, dt.date(2024, 1, d)) for d in range(11, 16)}  # trained on the 5th
+    assert len(seen[0]) == 2 * 2 * 13
+    assert sorted({r.date for r in seen[1]}) == [dt.date(2024, 1, 24), dt.date(2024, 1, 25)]
+    assert {(r.item_id, r.date) for r in seen[2]} == {(1, dt.date(2024, 1, d)) for d in range(11, 16)}  # trained on the 5th
     series = gold.scan_item_series(gold.gold_daily_features(silver.silver_timeseries(late)), "latest_price", "date")
     same(out, incremental.backtest.backtest_scores(series, CONFIG.methods, CONFIG.window))
 
