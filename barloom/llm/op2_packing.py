@@ -61,6 +61,9 @@ class Encoder:
         self.words: tuple[dict[str, bytes], ...] = ({}, {})
         self.older: tuple[dict[str, bytes], ...] = ({}, {})
 
+    def forget(self) -> None:
+        self.words, self.older = ({}, {}), ({}, {})
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
@@ -101,9 +104,9 @@ def encoder(name: str) -> Encoder:
     return _TOKENIZERS[name]
 
 
-def _encoded(name: str, window: int):
+def _encoded(name: str, window: int, remember: bool):
     """Rows (doc_id, n, ids, task, rest, rank, full): ``rank`` of the remainder among the task's of that length,
-    ``full`` windows that the task had before."""
+    ``full`` windows that the task had before. Words may be remembered for the worker's next task."""
     def run(batches):
         import os
 
@@ -131,6 +134,8 @@ def _encoded(name: str, window: int):
                     [batch.column("doc_id").slice(begin, at - begin), n, pa.array(ids, pa.binary()),
                      pa.array([task] * len(ids), pa.int64()), rest, rank, before],
                     ["doc_id", "n", "ids", "task", "rest", "rank", "full"])
+        if not remember:
+            made.forget()
     return run
 
 
@@ -232,12 +237,16 @@ def _placed(plan: Plan, width: str):
     return run
 
 
-def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, window: int = WINDOW, tokenizer: str = TOKENIZER, remember: bool = True) -> DataFrame:
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``remember``: a worker keeps encoded words, some 100 MB, from task to task, which saves time, and until it ends,
+    which other jobs of the session pay for.
+    """
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     tokens = stored(docs.mapInArrow(
-        _encoded(tokenizer, window),
+        _encoded(tokenizer, window, remember),
         f"doc_id {id_type}, n long, ids binary, task long, rest long, rank long, full long"), "tokens")
 
     counts = stored(tokens.groupBy("task", "rest").agg(
