@@ -54,13 +54,18 @@ def band(c: Column, steps: Sequence[tuple[float, str]], default: str) -> Column:
     return out.otherwise(default)
 
 
-def trend_signal(ratio: Column) -> Column:
+def trend_signal(price: Column, mean: Column | None = None) -> Column:
+    """The price against its 7-day mean; a ratio may be given instead. A NULL or zero mean is neutral.
+
+    The mean is multiplied, not divided by: 301 over the mean of 2150 / 7 is 0.98, but its quotient in doubles is below.
+    """
+    mean = F.lit(1.0) if mean is None else F.nullif(mean, F.lit(0))
     # fixed values: thresholds of price over its 7-day mean, and their labels
     return (
-        F.when(ratio > 1.05, "Strong_Up")
-        .when(ratio > 1.02, "Mild_Up")
-        .when(ratio < 0.95, "Strong_Down")
-        .when(ratio < 0.98, "Mild_Down")
+        F.when(price > F.lit(1.05) * mean, "Strong_Up")
+        .when(price > F.lit(1.02) * mean, "Mild_Up")
+        .when(price < F.lit(0.95) * mean, "Strong_Down")
+        .when(price < F.lit(0.98) * mean, "Mild_Down")
         .otherwise("Neutral")
     )
 

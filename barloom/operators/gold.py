@@ -157,12 +157,12 @@ def gold_price_features(bars: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
         *lags, "ma_7d", "ma_14d",
         ratio.alias("price_to_ma7_ratio"),
         "total_volume", "volume_lag_1d", "volume_ma_7d", "volatility_7d",
-        (F.col("volatility_7d") / F.nullif(close, F.lit(0)) * F.lit(100)).alias("volatility_pct"),
+        (F.lit(100.0) * F.col("volatility_7d") / F.nullif(close, F.lit(0))).alias("volatility_pct"),
         ((close - lag3) / F.nullif(lag3, F.lit(0))).alias("momentum_3d"),
         F.sin(angle).alias("day_of_week_sin"),
         F.cos(angle).alias("day_of_week_cos"),
         (F.col("price_lag_1d").cast("double") * F.col("volume_lag_1d")).alias("price_volume_interaction"),
-        S.trend_signal(ratio).alias("trend_signal"),
+        S.trend_signal(close, F.col("ma_7d")).alias("trend_signal"),
         *keep,
     )
 

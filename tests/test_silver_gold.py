@@ -141,3 +141,10 @@ def test_item_predicate_reaches_the_scan(spark, tmp_path):
     assert "EqualTo(item_id,5)" in text or "In(item_id, [5])" in text
     assert "extra" not in text
     assert df.count() == 1
+
+
+def test_a_price_on_the_threshold_is_neutral(spark):
+    prices = [308, 308, 308, 308, 308, 309, 301, 301]  # on day 7, 301 is 98 % of the mean of seven, 2150 / 7
+    raw = raw_rows(spark, [(at(d), p, 1, 1, 0, 1, at(40)) for d, p in enumerate(prices, 1)])
+    out = gold.gold_price_features(silver.silver_prices_daily(raw)).where("price_date = '2024-01-07'")
+    assert rows(out, "close_price", "trend_signal") == [(301, "Neutral")]
