@@ -50,20 +50,21 @@ def page_index(listed: DataFrame, page_size: int = 50) -> DataFrame:
 
 
 def items_page(
-    metrics: DataFrame, page: int = 1, page_size: int = 50, curated: DataFrame | None = None, index: DataFrame | None = None
+    metrics: DataFrame, page: int = 1, page_size: int = 50, curated: DataFrame | None = None, index: DataFrame | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """One page of items by name, with the total on every row.
 
     ``index`` is a stored :func:`page_index` of the same items and page size, made here if it is not given. The page is
     what lies between its first item and that of the next page: nothing is skipped by counting. A page past the end
-    raises, which the index alone tells; an empty list has an empty first page.
+    raises, which the index alone tells, or is empty unless ``strict``; an empty list has an empty first page.
     """
     if page < 1 or not 1 <= page_size <= 1000:
         raise ValueError("page must be positive and page_size between 1 and 1000")
     listed = metrics if curated is None else only_ids(metrics, curated)
     index = page_index(listed, page_size) if index is None else index
     marks = {r.page: r for r in index.where(F.col("page").isin(1, page, page + 1)).collect()}
-    if page not in marks and (marks or page > 1):
+    if strict and page not in marks and (marks or page > 1):
         raise ValueError(f"there are {marks[1].total_pages if marks else 0} pages, page {page} is past the last")
 
     def mark(at) -> Column:

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from barloom.catalog.queries import QUERIES, SQL
 from barloom.operators import lookup, serving
 from helpers import plan, rows
 
@@ -37,6 +38,16 @@ def test_pages_by_key_equal_pages_by_offset(spark, monkeypatch):
         serving.items_page(listed, 8, 10, index=index)
 
 
+def test_a_page_past_the_end_is_empty_if_asked(spark, catalog):
+    assert rows(serving.items_page(catalog, 3, 2, strict=False)) == []
+    assert serving.items_page(catalog.where("false"), 2, strict=False).count() == 0
+
+
+def test_the_registered_page_holds_forty_items(spark):
+    page = QUERIES["items_page"](spark, "/root/testdata/sf0.01")
+    assert "LIMIT 40 OFFSET 40" in SQL["items_page"] and page.count() == 40
+
+
 def test_predictions(spark, catalog):
     feats = spark.createDataFrame(
         [(1, D(2024, 1, d), float(d)) for d in range(1, 21)] + [(2, D(2024, 1, d), 1.0) for d in range(1, 7)]
