@@ -11,6 +11,8 @@ import sys
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +25,10 @@ MIN_OBSERVATIONS = 10
 GRID_STEP = 0.05
 REFINE_ROUNDS = 6
 _CHUNK = 512
+#: Longest windows whose grid is searched by quadratic forms.
+_FORM_LENGTH = 64
+#: Series that are fitted abreast, and numbers in one array of their passes.
+_SERIES, _CELLS = 16, 200_000
 
 
 def holt_fixed(series: str | Column, alpha: float, beta: float) -> Column:
@@ -46,91 +52,163 @@ def holt_fixed(series: str | Column, alpha: float, beta: float) -> Column:
     return F.when(F.size(arr) >= 2, F.aggregate(rest, start, step))
 
 
-class _Sums:
-    """Running sums of the one-step errors of every (row, candidate).
+# The one-step errors of a window z follow e_t = D_t + p e_(t-1) - q e_(t-2) from zero, where D is the second (without
+# trend the first) difference of z after zeros. For fixed parameters they are linear in the start state, so the best start
+# state has a closed form. Parameters are whole numbers (i, j) of 1 / _unit(): alpha = i / unit, beta = j / unit.
 
-    For fixed parameters the errors are linear in the start state (l0, b0), so the best start state has a closed form.
-    The parameters are (1 or rows, candidates); what does not depend on the data has their shape.
-    """
-
-    def __init__(self, rows: int, alpha: np.ndarray, beta: np.ndarray, trend: bool):
-        zero = np.zeros(np.broadcast_shapes((rows, 1), alpha.shape))
-        flat = np.zeros_like(alpha)
-        self.alpha, self.gain, self.trend, self.seen = alpha, alpha * beta, trend, 0
-        self.lev, self.slope = zero, zero                        # path of the data from a zero start state
-        self.lev_l, self.slope_l = flat + 1.0, flat              # response to l0
-        self.lev_b, self.slope_b = flat, flat + float(trend)     # response to b0
-        self.see = self.sel = self.seb = zero
-        self.sll = self.slb = self.sbb = flat
-
-    def add(self, y: np.ndarray) -> None:
-        """One more value of every row, (rows, 1)."""
-        e = y - self.lev - self.slope
-        el, eb = -(self.lev_l + self.slope_l), -(self.lev_b + self.slope_b)
-        self.see, self.sel, self.sll = self.see + e * e, self.sel + e * el, self.sll + el * el
-        self.lev, self.slope = self.lev + self.slope + self.alpha * e, self.slope + self.gain * e
-        self.lev_l, self.slope_l = self.lev_l + self.slope_l + self.alpha * el, self.slope_l + self.gain * el
-        if self.trend:
-            self.seb, self.slb, self.sbb = self.seb + e * eb, self.slb + el * eb, self.sbb + eb * eb
-            self.lev_b, self.slope_b = self.lev_b + self.slope_b + self.alpha * eb, self.slope_b + self.gain * eb
-        self.seen += 1
-
-    def best(self):
-        """Squared error for the best start state, and the end state from there."""
-        if self.trend and self.seen == 1:  # one value does not determine two
-            return np.zeros_like(self.see), self.lev, self.slope
-        if self.trend:
-            det = self.sll * self.sbb - self.slb * self.slb
-            l0 = (self.seb * self.slb - self.sel * self.sbb) / det
-            b0 = (self.sel * self.slb - self.seb * self.sll) / det
-        else:
-            l0, b0 = -self.sel / self.sll, np.zeros_like(self.see)
-        return (self.see + l0 * self.sel + b0 * self.seb, self.lev + l0 * self.lev_l + b0 * self.lev_b,
-                self.slope + l0 * self.slope_l + b0 * self.slope_b)
-
-    def drop_first(self) -> None:
-        """Forget the first row; every row has parameters of its own."""
-        for name, value in vars(self).items():
-            if isinstance(value, np.ndarray):
-                setattr(self, name, value[1:])
-
-
-def _sweep(y: np.ndarray, alpha: np.ndarray, beta: np.ndarray, trend: bool):
-    """Squared error and end state of every (row, candidate) over all values of ``y`` (rows, n)."""
-    sums = _Sums(len(y), alpha, beta, trend)
-    for t in range(y.shape[1]):
-        sums.add(y[:, t, None])
-    return sums.best()
-
-
-def _around(alpha: np.ndarray, beta: np.ndarray, step: float, trend: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The neighbours of each row's parameters, themselves included."""
-    offsets = np.array([(i, j) for i in (-1, 0, 1) for j in ((-1, 0, 1) if trend else (0,))], dtype=float)
-    near = np.clip(alpha[:, None] + step * offsets[None, :, 0], 0.0, 1.0)
-    return near, np.clip(beta[:, None] + step * offsets[None, :, 1], 0.0, near)
-
-
-def _refined(best: list[np.ndarray], sweep, trend: bool) -> list[np.ndarray]:
-    """Rounds of halving neighbourhoods around ``best`` (alpha, beta, squared error, level, slope), each row for itself."""
-    rows, step = np.arange(len(best[0])), GRID_STEP
-    for _ in range(REFINE_ROUNDS):
-        step /= 2
-        alpha, beta = _around(best[0], best[1], step, trend)
-        sse, level, slope = sweep(alpha, beta)
-        pick = sse.argmin(axis=1)
-        better = sse[rows, pick] < best[2]
-        found = [alpha[rows, pick], beta[rows, pick], sse[rows, pick], level[rows, pick], slope[rows, pick]]
-        best = [np.where(better, new, old) for new, old in zip(found, best)]
-    return best
+def _unit() -> int:
+    """The last step of the refinement divides one into this many."""
+    return round(2**REFINE_ROUNDS / GRID_STEP)
 
 
 def _grid(trend: bool) -> tuple[np.ndarray, np.ndarray]:
     """Candidates with 0 <= beta <= alpha <= 1, smallest first."""
-    steps = np.round(np.arange(0.0, 1.0 + GRID_STEP / 2, GRID_STEP), 10)
+    steps = range(0, _unit() + 1, 2**REFINE_ROUNDS)
+    pairs = np.array([(i, j) for i in steps for j in (steps if trend else (0,)) if j <= i], np.int64)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _around(i: np.ndarray, j: np.ndarray, step: int, trend: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The neighbours of each row's parameters (neighbours, rows)."""
+    moves = np.array([(u, v) for u in (-1, 0, 1) for v in ((-1, 0, 1) if trend else (0,)) if u or v], np.int64)
+    near = np.clip(i + step * moves[:, :1], 0, _unit())
+    return near, np.clip(j + step * moves[:, 1:], 0, near)
+
+
+def _weights(i: np.ndarray, j: np.ndarray, trend: bool) -> tuple[np.ndarray, np.ndarray]:
+    """p and q of the recursion of the errors."""
+    alpha = i / _unit()
+    return (2.0 - alpha - alpha * (j / _unit()), 1.0 - alpha) if trend else (1.0 - alpha, np.zeros_like(alpha))
+
+
+def _inputs(z: np.ndarray, trend: bool) -> np.ndarray:
+    """D of series along the first axis."""
+    d = np.diff(z, axis=0, prepend=np.zeros_like(z[:1]))
+    return np.diff(d, axis=0, prepend=np.zeros_like(z[:1])) if trend else d
+
+
+def _errors(d: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Errors from a zero start state, time first."""
+    out = np.empty((len(d), *p.shape))
+    before, last, work = np.zeros_like(p), np.zeros_like(p), np.empty_like(p)
+    for e, x in zip(out, d):
+        np.multiply(p, last, out=e)
+        np.multiply(q, before, out=work)
+        e -= work
+        e += x
+        before, last = last, e
+    return out
+
+
+def _responses(n: int, p: np.ndarray, q: np.ndarray, trend: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Errors in answer to a start level and, with trend, a start slope of one, time first."""
+    out, work = np.empty((n, *p.shape)), np.empty_like(p)
+    out[0] = -1.0
+    for t in range(1, n):
+        np.multiply(p, out[t - 1], out=out[t])
+        if t > 1 and trend:
+            np.multiply(q, out[t - 2], out=work)
+            out[t] -= work
+    return (np.diff(out, axis=0, prepend=np.zeros_like(out[:1])), out) if trend else (out, None)
+
+
+def _least(xx, xl, xb, ll, lb, bb):
+    """Squared error for the best start state, and that state, from the sums of products of errors and responses."""
+    if xb is None:
+        level = -xl / ll
+        return xx + level * xl, level, 0.0
+    det = ll * bb - lb * lb
+    level, slope = (xb * lb - xl * bb) / det, (xl * lb - xb * ll) / det
+    return xx + level * xl + slope * xb, level, slope
+
+
+def _products(sums, x: np.ndarray, level: np.ndarray, slope: np.ndarray | None):
+    """The arguments of :func:`_least`; ``sums`` adds products over time."""
+    pairs = ((x, x), (x, level), (x, slope), (level, level), (level, slope), (slope, slope))
+    return [None if b is None else sums(a, b) for a, b in pairs]
+
+
+def _totals(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.einsum("t...,t...->...", a, b)
+
+
+def _running(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = a * b
+    return np.cumsum(out, axis=0, out=out)
+
+
+def _end(z: np.ndarray, before: np.ndarray, e: np.ndarray, e_before: np.ndarray, i: np.ndarray, j: np.ndarray, trend: bool):
+    """Level and slope after the last value, from the last two values and errors."""
+    alpha = i / _unit()
+    level = z - (1.0 - alpha) * e
     if not trend:
-        return steps[None, :], np.zeros((1, len(steps)))
-    pairs = np.array([(a, b) for a in steps for b in steps if b <= a])
-    return pairs[None, :, 0], pairs[None, :, 1]
+        return level, np.zeros_like(level)
+    return level, level - (before - (1.0 - alpha) * e_before) - alpha * (1.0 - j / _unit()) * e
+
+
+def _path(z: np.ndarray, i: np.ndarray, j: np.ndarray, trend: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Level and slope after the last value of every row of ``z``, from the best start state, value by value."""
+    alpha = i / _unit()
+    gain = alpha * (j / _unit())
+    # of the data from a zero start state, and in answer to a start level and a start slope of one
+    lev, slope = np.zeros((3, len(z))), np.zeros((3, len(z)))
+    lev[1], slope[2] = 1.0, float(trend)
+    sums = np.zeros((6, len(z)))
+    for y in z.T:
+        e = -lev - slope
+        e[0] = y - lev[0] - slope[0]
+        sums += e[[0, 0, 0, 1, 1, 2]] * e[[0, 1, 2, 1, 2, 2]]
+        lev, slope = lev + slope + alpha * e, slope + gain * e
+    _, l0, b0 = _least(*(sums if trend else [sums[0], sums[1], None, sums[3], None, None]))
+    return lev[0] + l0 * lev[1] + b0 * lev[2], slope[0] + l0 * slope[1] + b0 * slope[2]
+
+
+_FORMS: dict = {}
+
+
+def _forms(n: int, trend: bool) -> np.ndarray:
+    """The squared error of a window of ``n`` values is a quadratic form: its coefficients (products of two values, candidate)."""
+    if (n, trend) not in _FORMS:
+        p, q = _weights(*_grid(trend), trend)
+        level, slope = _responses(n, p, q, trend)
+        impulse = _inputs(-(level if slope is None else slope), trend)  # the errors after a value of one
+        lag = np.arange(n)[:, None] - np.arange(n)
+        answers = np.where(lag >= 0, impulse.T[:, np.maximum(lag, 0)], 0.0)  # candidate, time, value
+        basis = np.stack([level.T] if slope is None else [level.T, slope.T], axis=2)
+        known = answers.transpose(0, 2, 1) @ np.linalg.qr(basis)[0]
+        form = answers.transpose(0, 2, 1) @ answers - known @ known.transpose(0, 2, 1)
+        a, b = np.triu_indices(n)
+        _FORMS[n, trend] = np.ascontiguousarray((form[:, a, b] * np.where(a == b, 1.0, 2.0)).T)
+    return _FORMS[n, trend]
+
+
+def _best_of_grid(z: np.ndarray, trend: bool) -> list[np.ndarray]:
+    """Parameters and squared error of the best candidate for every row of ``z``."""
+    i, j = _grid(trend)
+    n = z.shape[1]
+    if n <= _FORM_LENGTH:
+        a, b = np.triu_indices(n)
+        sse = (z[:, a] * z[:, b]) @ _forms(n, trend)
+    else:  # the forms grow with the square of the length
+        p, q = _weights(i, j, trend)
+        level, slope = _responses(n, p, q, trend)
+        of_errors = _inputs(np.ascontiguousarray(z.T), trend)
+        sse = np.stack([_least(*_products(_totals, _errors(d, p, q), level, slope))[0] for d in of_errors.T])
+    pick = sse.argmin(axis=1)
+    return [i[pick], j[pick], sse[np.arange(len(z)), pick]]
+
+
+def _refined(best: list[np.ndarray], errors, trend: bool) -> list[np.ndarray]:
+    """Rounds of halving neighbourhoods around ``best`` (i, j, squared error), each row for itself. ``errors`` gives the
+    squared errors of (neighbours, rows)."""
+    rows = np.arange(len(best[0]))
+    for at in range(REFINE_ROUNDS):
+        i, j = _around(best[0], best[1], 2 ** (REFINE_ROUNDS - 1 - at), trend)
+        sse = errors(i, j)
+        pick = sse.argmin(axis=0)
+        better = sse[pick, rows] < best[2]
+        best = [np.where(better, new[pick, rows], old) for new, old in zip((i, j, sse), best)]
+    return best
 
 
 def fit_windows(y: np.ndarray, horizon: int, trend: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -144,72 +222,129 @@ def fit_windows(y: np.ndarray, horizon: int, trend: bool = True) -> tuple[np.nda
     scale = np.abs(y - centre).max(axis=1, keepdims=True)
     scale = np.where(scale == 0, 1.0, scale)
     z = (y - centre) / scale
-    rows = np.arange(len(z))
-    a_grid, b_grid = _grid(trend)
-    sse, level, slope = _sweep(z, a_grid, b_grid, trend)
-    pick = sse.argmin(axis=1)
-    best = [a_grid[0, pick], b_grid[0, pick], sse[rows, pick], level[rows, pick], slope[rows, pick]]
-    best = _refined(best, lambda alpha, beta: _sweep(z, alpha, beta, trend), trend)
-    ahead = np.arange(1, horizon + 1)[None, :]
-    forecast = best[3][:, None] + ahead * best[4][:, None]
-    return forecast * scale + centre, np.maximum(best[2], 0.0) * scale[:, 0] ** 2
+    d = _inputs(np.ascontiguousarray(z.T), trend)
 
+    def parts(i, j):
+        p, q = _weights(i, j, trend)
+        return _errors(d, p, q), *_responses(len(d), p, q, trend)
 
-def _ends(z: np.ndarray, first: int, alpha: np.ndarray, beta: np.ndarray, trend: bool):
-    """Squared errors and end states of row i after ``first + i`` values of the one series ``z``, in one pass: a row
-    leaves the sums when its values are through."""
-    sums, out = _Sums(len(alpha), alpha, beta, trend), []
-    for t, y in enumerate(z[: first + len(alpha) - 1], start=1):
-        sums.add(y)
-        if t >= first:
-            out.append([x[0] for x in sums.best()])
-            sums.drop_first()
-    return tuple(np.stack(x) for x in zip(*out))
+    best = _refined(_best_of_grid(z, trend), lambda i, j: _least(*_products(_totals, *parts(i, j)))[0], trend)
+    end = _path(z, best[0], best[1], trend)
+    ahead = np.arange(1, horizon + 1)[None, :]
+    return (end[0][:, None] + ahead * end[1][:, None]) * scale + centre, np.maximum(best[2], 0.0) * scale[:, 0] ** 2
 
 
 def fit_origins(y: np.ndarray, train: int, horizon: int, trend: bool = True) -> np.ndarray:
-    """Forecasts (n - train + 1, horizon) of one series from every origin with at least ``train`` values before it.
+    """Forecasts (n - train + 1, horizon) of one series from every origin with at least ``train`` values before it."""
+    return fit_series([y], train, horizon, trend)[0]
+
+
+def fit_series(series: list[np.ndarray], train: int, horizon: int, trend: bool = True) -> list[np.ndarray]:
+    """:func:`fit_origins` of several series abreast.
 
-    The sums behind the closed form are running sums, so one pass over the grid serves all origins. Each origin's
-    best candidate is then refined as :func:`fit_windows` does it, all origins abreast, one pass per round. So an origin
-    gets what a window of all values before it gets.
+    The sums behind the closed form are running sums, so one pass over a series under given parameters serves all its
+    origins. All of them take the grid; each origin's best candidate is then refined as :func:`fit_windows` does it, where
+    origins with the same neighbours share the passes. So an origin gets what a window of all values before it gets.
     """
-    centre = y.mean()
-    scale = np.abs(y - centre).max() or 1.0
-    z, (a_grid, b_grid) = (y - centre) / scale, _grid(trend)
-    sums, grid = _Sums(1, a_grid, b_grid, trend), []
-    for t, value in enumerate(z, start=1):
-        sums.add(value)
-        if t >= train:
-            sse, level, slope = (x[0] for x in sums.best())
-            pick = sse.argmin()
-            grid.append((a_grid[0, pick], b_grid[0, pick], sse[pick], level[pick], slope[pick]))
-    if not grid:
-        return np.zeros((0, horizon))
-    ahead, out = np.arange(1, horizon + 1)[None, :], []
-    for start in range(0, len(grid), _CHUNK):  # bounds the memory of long series
-        best = [np.array(x) for x in zip(*grid[start : start + _CHUNK])]
-        best = _refined(best, lambda alpha, beta: _ends(z, train + start, alpha, beta, trend), trend)
-        out.append(best[3][:, None] + ahead * best[4][:, None])
-    return np.concatenate(out) * scale + centre
+    out = [np.zeros((0, horizon))] * len(series)
+    order = sorted((k for k, y in enumerate(series) if len(y) >= train), key=lambda k: len(series[k]))
+    for start in range(0, len(order), _SERIES):
+        some = order[start : start + _SERIES]
+        for k, found in zip(some, _fit_origins([series[k] for k in some], train, horizon, trend)):
+            out[k] = found
+    return out
+
+
+def _fit_origins(series: list[np.ndarray], train: int, horizon: int, trend: bool) -> list[np.ndarray]:
+    centres = np.array([y.mean() for y in series])
+    scales = np.array([np.abs(y - c).max() or 1.0 for y, c in zip(series, centres)])
+    lengths = np.array([len(y) for y in series])
+    z = np.zeros((lengths.max(), len(series)))
+    for k, y in enumerate(series):
+        z[: len(y), k] = (y - centres[k]) / scales[k]
+    d = _inputs(z, trend)
+    width = max(1, _CELLS // len(z))  # columns at a time: bounds the memory of long series
+
+    # the grid, block by block; the answers to the start state are the same for all series
+    i, j = _grid(trend)
+    best = [np.zeros((len(z) - train + 1, len(series)), np.int64) for _ in range(2)]
+    best.append(np.full(best[0].shape, np.inf))
+    for low in range(0, len(i), width):
+        p, q = _weights(i[low : low + width], j[low : low + width], trend)
+        level, slope = _responses(len(z), p, q, trend)
+        own = _products(_running, level, level, slope)[3:]
+        for k, n in enumerate(lengths):
+            x = _errors(d[:n, k], p, q)
+            mixed = [None if b is None else _running(x, b[:n])[train - 1 :] for b in (x, level, slope)]
+            sse = _least(*mixed, *(None if b is None else b[train - 1 : n] for b in own))[0]
+            pick = sse.argmin(axis=1)
+            found = sse[np.arange(len(pick)), pick]
+            better = found < best[2][: len(pick), k]
+            for old, new in zip(best, (i[low + pick], j[low + pick], found)):
+                old[: len(pick), k][better] = new[better]
+
+    owner = np.repeat(np.arange(len(series)), lengths - train + 1)
+    at = np.concatenate([np.arange(train - 1, n) for n in lengths])
+    best = [b[at - train + 1, owner] for b in best]
+
+    def passes(i, j, wanted):
+        """``wanted`` of the running sums (x, level, slope) and their products, for each origin's candidates."""
+        side = _unit() + 1
+        keys, where = np.unique((owner * side + i) * side + j, return_inverse=True)
+        where = where.reshape(i.shape)
+        when = np.broadcast_to(at, i.shape)
+        out = None
+        for low in range(0, len(keys), width):
+            some = keys[low : low + width]
+            p, q = _weights(some // side % side, some % side, trend)
+            most = lengths[some // side // side].max()
+            x = _errors(d[:most, some // side // side], p, q)
+            got = wanted(x, *_responses(most, p, q, trend), when, where - low, inside := (where >= low) & (where < low + len(some)))
+            out = [np.empty(i.shape) for _ in got] if out is None else out
+            for full, part in zip(out, got):
+                full[inside] = part
+        return out
+
+    def errors(x, level, slope, when, where, inside):
+        when, where = when[inside], where[inside]
+        return [_least(*_products(lambda a, b: _running(a, b)[when, where], x, level, slope))[0]]
+
+    def ends(x, level, slope, when, where, inside):
+        when, where = when[inside], where[inside]
+        _, l0, b0 = _least(*_products(lambda a, b: _running(a, b)[when, where], x, level, slope))
+        return [x[t, where] + l0 * level[t, where] + (0.0 if slope is None else b0 * slope[t, where]) for t in (when, when - 1)]
+
+    best = _refined(best, lambda i, j: passes(i, j, errors)[0], trend)
+    level, slope = _end(z[at, owner], z[at - 1, owner], *passes(best[0], best[1], ends), best[0], best[1], trend)
+    forecast = (level[:, None] + np.arange(1, horizon + 1) * slope[:, None]) * scales[owner, None] + centres[owner, None]
+    return np.split(forecast, np.cumsum(lengths - train + 1)[:-1])
 
 
 # ---- Spark side ------------------------------------------------------------------------
 
-def forecast_rows(train: pd.Series, horizon: int, trend: str | None = "add") -> pd.Series:
+def forecast_lists(train: pa.Array, horizon: int, trend: str | None = "add") -> pa.Array:
     """Forecast per training array; NULL for short, missing or incomplete arrays."""
-    out: list = [None] * len(train)
-    lengths = train.map(lambda v: 0 if v is None else len(v)).to_numpy()
+    lengths = pc.fill_null(pc.list_value_length(train), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = train.flatten().to_numpy(zero_copy_only=False).astype(float)
+    starts = np.cumsum(lengths) - lengths
+    out = np.full((len(train), horizon), np.nan)
     for n in np.unique(lengths[lengths >= MIN_OBSERVATIONS]):
         where = np.flatnonzero(lengths == n)
         for start in range(0, len(where), _CHUNK):
-            part = where[start:start + _CHUNK]
-            y = np.stack([np.asarray(train.iloc[i], dtype=float) for i in part])
+            part = where[start : start + _CHUNK]
+            y = values[starts[part, None] + np.arange(n)]
             usable = np.isfinite(y).all(axis=1)
             if usable.any():
-                for i, v in zip(part[usable], fit_windows(y[usable], horizon, trend == "add")[0]):
-                    out[i] = v.tolist() if np.isfinite(v).all() else None
-    return pd.Series(out, dtype=object)
+                out[part[usable]] = fit_windows(y[usable], horizon, trend == "add")[0]
+    found = np.isfinite(out).all(axis=1)
+    ends = np.append(0, np.cumsum(found * horizon)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(out[found].ravel()), mask=pa.array(~found))
+
+
+def forecast_rows(train: pd.Series, horizon: int, trend: str | None = "add") -> pd.Series:
+    """:func:`forecast_lists` of a series of arrays."""
+    found = forecast_lists(pa.array(train.tolist(), pa.list_(pa.float64())), horizon, trend)
+    return pd.Series(found.to_pylist(), dtype=object)
 
 
 def ets_forecast(train: Column, horizon: int, trend: str | None = "add") -> Column:
@@ -220,8 +355,8 @@ def ets_forecast(train: Column, horizon: int, trend: str | None = "add") -> Colu
     if trend not in ("add", None):
         raise ValueError(f"unsupported form: trend={trend!r}")
 
-    @F.pandas_udf("array<double>")
-    def fitted(values: pd.Series) -> pd.Series:
-        return forecast_rows(values, horizon, trend)
+    @F.arrow_udf("array<double>")
+    def fitted(values: pa.Array) -> pa.Array:
+        return forecast_lists(values, horizon, trend)
 
     return fitted(train)

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.forecast import MIN_OBSERVATIONS, ets_forecast, fit_origins, holt_fixed
+from barloom.functions.forecast import MIN_OBSERVATIONS, ets_forecast, fit_series, holt_fixed
 from barloom.operators.metrics import smape_term
 
 METHODS = ("last_value", "moving_average", "ets")
@@ -118,22 +119,45 @@ def _training_column(method: str, w, before, train: int, expanding: bool) -> Col
 def expanding_ets(series: DataFrame, train: int, horizon: int, trend: str | None = "add") -> DataFrame:
     """(item_id, date, _ets): the smoother's forecast from every origin with ``train`` rows before it.
 
-    An item's history, one value per calendar day, is read once for all its origins. Rows before the first missing
-    price count, as a window with a gap has no fit.
+    An item's history, one value per calendar day, is read once for all its origins, and items that come in one batch
+    are fitted abreast. Rows before the first missing price count, as a window with a gap has no fit.
     """
-    def fit(day: pd.DataFrame) -> pd.DataFrame:
-        day = day.sort_values("date")
-        y = day["price"].to_numpy(float)
-        gaps = np.flatnonzero(~np.isfinite(y))
-        known = int(gaps[0]) if len(gaps) else len(y)
-        first = max(train, MIN_OBSERVATIONS)
-        found = fit_origins(y[:known], first, horizon, trend == "add") if known >= first else np.zeros((0, horizon))
-        dates = day["date"].iloc[first : known + 1]
-        return pd.DataFrame({"item_id": day["item_id"].iloc[: len(dates)].to_numpy(), "date": dates.to_numpy(),
-                             "_ets": list(found[: len(dates)])})
+    first = max(train, MIN_OBSERVATIONS)
+
+    def fitted(days: pa.Table) -> pa.RecordBatch:
+        """The origins of whole items, sorted by item and date."""
+        price = days.column("price").to_numpy().astype(float)
+        ends = pc.run_end_encode(days.column("item_id").combine_chunks()).run_ends.to_numpy()
+        begins = np.append(0, ends[:-1])
+        gaps = np.flatnonzero(~np.isfinite(price))
+        known = np.minimum(ends, np.append(gaps, len(price))[np.searchsorted(gaps, begins)])
+        found = fit_series([price[a:b] for a, b in zip(begins, known)], first, horizon, trend == "add")
+        # an item's last value has no row after it, whose forecast it would serve
+        counts = np.maximum(np.minimum(known + 1, ends) - begins - first, 0)
+        rows = np.concatenate([np.arange(a + first, a + first + n) for a, n in zip(begins, counts)])
+        values = np.concatenate([f[:n] for f, n in zip(found, counts)])
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * horizon), pa.array(values.ravel()))
+        kept = days.select(["item_id", "date"]).take(pa.array(rows.astype(np.int64))).combine_chunks()
+        return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in kept.columns), lists], ["item_id", "date", "_ets"])
+
+    def fit(batches):
+        open_rows = None  # of the last item, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            days = pa.Table.from_batches([batch])
+            days = days if open_rows is None else pa.concat_tables([open_rows, days])
+            ends = pc.run_end_encode(days.column("item_id").combine_chunks()).run_ends
+            whole = ends[-2].as_py() if len(ends) > 1 else 0
+            if whole:
+                yield fitted(days.slice(0, whole))
+            open_rows = days.slice(whole)
+        if open_rows is not None:
+            yield fitted(open_rows)
 
     kinds = dict(series.dtypes)
-    return series.select("item_id", "date", F.col("price").cast("double").alias("price")).groupBy("item_id").applyInPandas(
+    days = series.select("item_id", "date", F.col("price").cast("double").alias("price"))
+    return spread(days, "item_id").sortWithinPartitions("item_id", "date").mapInArrow(
         fit, f"item_id {kinds['item_id']}, date {kinds['date']}, _ets array<double>")
 
 

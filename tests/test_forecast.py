@@ -1,5 +1,6 @@
 """The fitted smoother against brute force, closed forms and the SQL form."""
 
+import datetime as dt
 import itertools
 
 import numpy as np
@@ -119,3 +120,51 @@ def test_expanding_backtest_fits_all_origins(spark):
 def test_form_names():
     with pytest.raises(ValueError):
         fc.ets_forecast(None, 1, "linear")
+
+
+@pytest.mark.parametrize("trend", [True, False])
+@pytest.mark.parametrize("n", [12, 28, 70])
+def test_fit_is_the_best_of_the_grid_or_better(trend, n):
+    y = np.random.default_rng(n).normal(50, 5, (5, n))
+    forecast, sse = fc.fit_windows(y, 1, trend)
+    for row, found in zip(y, sse):
+        assert found <= brute_force(row, trend)[0] * (1 + 1e-6)
+
+
+def test_origins_share_passes(monkeypatch):
+    y, seen = np.random.default_rng(3).normal(50, 5, 400), []
+    real = fc._errors
+    monkeypatch.setattr(fc, "_errors", lambda d, p, q: seen.append(p.size * len(d)) or real(d, p, q))
+    fc.fit_origins(y, 14, 1)
+    # passes of its own for every origin and neighbour would add up all lengths
+    assert sum(seen) < 0.2 * 6 * 9 * sum(range(14, 401))
+
+
+def test_series_abreast_equal_their_windows(monkeypatch):
+    rng = np.random.default_rng(3)
+    ys = [rng.normal(0, 1, n).cumsum() + 40 for n in (40, 9, 10, 75, 40)]
+    found = fc.fit_series(ys, 10, 2)
+    for y, f in zip(ys, found):
+        assert np.allclose(f, np.array([fc.fit_windows(y[None, :n], 2)[0][0] for n in range(10, len(y) + 1)]).reshape(-1, 2))
+    monkeypatch.setattr(fc, "_CELLS", 500)
+    monkeypatch.setattr(fc, "_SERIES", 2)
+    assert all(np.allclose(a, b) for a, b in zip(found, fc.fit_series(ys, 10, 2)))
+
+
+def test_items_that_cross_batches_and_gaps(spark):
+    rng = np.random.default_rng(5)
+    paths = {k: [None if (k, t) in ((3, 17), (4, 0), (5, 11)) else float(v) for t, v in enumerate(rng.normal(0, 1, n).cumsum() + 40)]
+             for k, n in enumerate((30, 5, 12, 25, 20, 12, 13))}
+    series = None
+    for k, path in paths.items():
+        one = daily(spark, path, item=k)
+        series = one if series is None else series.unionByName(one)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = {(r.item_id, r.date.toordinal()): r._ets for r in backtest.expanding_ets(series, 12, 2).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    first = dt.date(2024, 1, 1).toordinal()
+    want = {(k, first + t): fc.fit_windows(np.array(path[:t])[None, :], 2)[0][0]
+            for k, path in paths.items() for t in range(12, len(path)) if None not in path[:t]}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
