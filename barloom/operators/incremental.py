@@ -91,11 +91,16 @@ def one_per_key(df: DataFrame, keys: Sequence[str], newest: str | None = None, t
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows with the incoming ones in place of equal keys, NULLs being equal; one incoming row per key."""
     fresh = one_per_key(incoming, keys)
+    return without_keys(existing, fresh, keys).select(*incoming.columns).unionByName(fresh)
+
+
+def without_keys(existing: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``existing`` whose key is not in ``fresh``, NULLs being equal."""
     replaced = fresh.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return existing.join(replaced, same, "left_anti").select(*incoming.columns).unionByName(fresh)
+    return existing.join(replaced, same, "left_anti")
 
 
 def upsert_backtest(existing: DataFrame, incoming: DataFrame, order: str | None = None) -> DataFrame:

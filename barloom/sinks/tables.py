@@ -8,10 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.incremental import append_new, one_per_key, upsert
+from barloom.operators.incremental import append_new, one_per_key, without_keys
 from barloom.operators.quality import TableChecks, observed
 from barloom.operators.silver import keep_latest
-from barloom.session import path_exists, remove_path, scratch_path
+from barloom.session import move_folders, path_exists, remove_path, scratch_path
 
 # fixed values: metadata of the selection document
 SELECTION_CRITERIA = "median_daily_volume + coverage_pct"
@@ -94,9 +94,10 @@ def upsert_table(
     """Upsert into a Parquet table partitioned by ``partition_col``, a day; one row per key, NULLs being equal.
 
     The day must follow from the key. Only days with incoming rows are read and rewritten, so the work follows the
-    batch, not the table. The merged days are written to a folder beside the table first, then moved in. A run that
-    stops in between has lost nothing: the next one finds the folder complete and moves its days in again before it
-    does anything else, as does :func:`recover`; an incomplete one is written anew. Afterwards the folder is removed.
+    batch, not the table. The merged days are written once, to a folder beside the table, day by day as the table has
+    them; then their folders are moved in. A run that stops in between has lost nothing: the next one finds the folder
+    complete and moves in what is left of it before it does anything else, as does :func:`recover`; an incomplete one is
+    written anew. Afterwards the folder is removed.
     With ``newest`` the highest value of that column wins per key, otherwise the incoming row does.
     """
     spark = incoming.sparkSession
@@ -104,20 +105,22 @@ def upsert_table(
     existing = stored(spark, path)
     if existing is not None:
         require_same_schema(existing, incoming)
-    batch = scratch_path(spark, "upsert-batch")
-    one_per_key(incoming, keys, newest, ties).write.parquet(batch)  # evaluated once, read several times below
-    fresh = spark.read.schema(incoming.schema).parquet(batch)
-    if existing is None:
-        merged = fresh
-    else:
+    merged, batch = one_per_key(incoming, keys, newest, ties), None
+    if existing is not None:
+        batch = scratch_path(spark, "upsert-batch")
+        merged.write.parquet(batch)  # evaluated once, read several times below
+        fresh = spark.read.schema(incoming.schema).parquet(batch)
         affected = _days_of(existing, fresh, partition_col).select(*incoming.columns)
         if newest is None:
-            merged = upsert(affected, fresh, keys)
+            merged = without_keys(affected, fresh, keys).unionByName(fresh)
         else:
             merged = keep_latest(affected.unionByName(fresh), keys, newest, ties)
-    merged.write.mode("overwrite").parquet(_staged(path))
+    # rebalance: a big day is cut into several files, small ones are not scattered
+    merged.hint("rebalance", partition_col).write.partitionBy(partition_col).mode("overwrite").option(
+        "partitionOverwriteMode", "static").parquet(_staged(path))
     recover(spark, path, partition_col)
-    remove_path(spark, batch)
+    if batch:
+        remove_path(spark, batch)
 
 
 def _days_of(existing: DataFrame, fresh: DataFrame, day: str) -> DataFrame:
@@ -138,15 +141,7 @@ def recover(spark: SparkSession, path: str, partition_col: str) -> None:
     staged = _staged(path)
     if not path_exists(spark, f"{staged}/_SUCCESS"):
         return
-    # rebalance: a big day is cut into several files, small ones are not scattered
-    (
-        spark.read.parquet(staged)
-        .hint("rebalance", partition_col)
-        .write.partitionBy(partition_col)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    move_folders(spark, staged, path, f"{partition_col}=")
     remove_path(spark, staged)
 
 

@@ -212,6 +212,35 @@ def test_upsert_that_stops_before_the_move_is_finished_by_the_next(spark, tmp_pa
     assert not (tmp_path / "t.staged").exists()
 
 
+def test_upsert_writes_a_day_once_and_moves_its_folder(spark, tmp_path, monkeypatch):
+    path, keys, d1, d2 = str(tmp_path / "t"), ["item_id", "ts"], dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    moved, real = [], tables.move_folders
+
+    def move(spark, source, target, prefix):
+        moved.append({f.relative_to(source): f.stat().st_ino for f in tmp_path.glob("t.staged/*/*.parquet")})
+        real(spark, source, target, prefix)
+
+    monkeypatch.setattr(tables, "move_folders", move)
+    tables.upsert_table(keyed(spark, [(1, at(1), 10, at(1), d1), (1, at(2), 11, at(2), d2), (9, at(9), 9, at(9), None)]), path, keys, "ts_date")
+    tables.upsert_table(keyed(spark, [(2, at(1), 20, at(1), d1), (9, at(9), 7, at(9), None)]), path, keys, "ts_date")
+    kept = {f.relative_to(tmp_path / "t"): f.stat().st_ino for f in (tmp_path / "t").glob("*/*.parquet")}
+    assert len(moved) == 2 and moved[1].items() <= kept.items()  # the very files of the staging folder
+    assert {f: i for f, i in moved[0].items() if "01-02" in str(f)}.items() <= kept.items()  # an untouched day
+    assert sorted(rows(spark.read.parquet(path), "item_id", "v")) == [(1, 10), (1, 11), (2, 20), (9, 7)]
+
+
+def test_a_move_that_stops_halfway_is_finished(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), ["item_id", "ts"]
+    days = [(1, at(d), d, at(d), dt.date(2024, 1, d)) for d in (1, 2, 3)]
+    tables.upsert_table(keyed(spark, days), path, keys, "ts_date")
+    staged = tmp_path / "t.staged"
+    staged.mkdir()
+    (tmp_path / "t" / "ts_date=2024-01-02").rename(staged / "ts_date=2024-01-02")  # not moved yet, its old folder gone
+    (staged / "_SUCCESS").touch()
+    tables.recover(spark, path, "ts_date")
+    assert sorted(rows(spark.read.parquet(path), "v")) == [(1,), (2,), (3,)] and not staged.exists()
+
+
 def test_backtest_upsert_always_leaves_one_row_per_key(spark):
     schema = "item_id long, date date, method string, mae double, window_size int, horizon int"
     day = dt.date(2024, 1, 1)
