@@ -8,8 +8,8 @@ elements than two linked sets can differ in, so some signature is shared.
 Steps: equal sets collapse to one node. Nodes that share a signature held by few are counted as pairs; a linked pair
 shares at least as many as the parts it cannot differ in, which leaves few pairs to be verified. A signature of more than
 ``CROWD`` nodes is not paired; it matters only to nodes that have as many crowded signatures as any partner must share.
-Those are compared along stars first, and what the links leave in several components is joined exactly by the nodes'
-rarest shingles.
+Those are compared along stars first, and what the links leave in several components is joined exactly by as many of the
+nodes' rarest crowded signatures as a partner may miss, and one more.
 
 Defined cases: null or empty text and text of white space have an empty set and are linked with nothing; a text under
 five words is one shingle; repeated rows come out once each; null ids form no component of their own.
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.common import bounded, components, grams, mix, signed, small_batches, stored, texts, word_hashes
@@ -221,13 +221,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = components(links)
 
     # crowded signatures that still join several components
-    open_ = (held.where(F.col("size") > CROWD).select("sig", "rep").join(unsafe, "rep", "left_semi")
+    open_ = (held.where(F.col("size") > CROWD).join(unsafe, "rep", "left_semi")
              .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("sig", "rep", F.coalesce("component", "rep").alias("part")))
+             .select("sig", "rep", "parts", "n", "size", F.coalesce("component", "rep").alias("part")))
     mixed = open_.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    rest = stored(open_.join(mixed, "sig", "left_semi").select("rep", "part").distinct(), "rest")
+    rest = stored(_prefixes(open_.join(mixed, "sig", "left_semi")), "prefixes")
     if not rest.isEmpty():
-        pairs = stored(_by_rarest(rest, sets), "rare-pairs")
+        pairs = stored(_met(rest, sets), "prefix-pairs")
         more = _verified(pairs.join(stars, ["u", "v"], "left_anti"), sets)
         joined = components(links.unionByName(more))
     joined = joined.withColumnRenamed("node", "rep")
@@ -273,32 +273,27 @@ def _stars(held: DataFrame, crowded: DataFrame) -> DataFrame:
             .select(_pair("rep", "hub").alias("p")).select("p.*").distinct())
 
 
-def _by_rarest(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Candidate pairs of ``nodes`` (rep, part) in different parts.
+def _prefixes(rows: DataFrame) -> DataFrame:
+    """Of the crowded signatures ``rows`` (sig, rep, parts, n, size, part) those in which a set must meet its partners.
 
-    A node's shingles are ordered by how many nodes have them. Of the first one that two sets share, the shingles before
-    it, and those that no other node has, are in no intersection but in every union: with ``a`` and ``b`` such shingles
-    of two linked sets of n and m elements, ``n - a >= 0.8 (n + b)`` and ``m - b >= 0.8 (m + a)``. Nodes meet in their
-    rarest shingles as far as this can hold, and their parities must allow a link.
+    Two linked sets that share no signature of few nodes share ``parts - n * 20 / 80`` of the crowded ones at least. Ordered
+    by size, the first one they share then has that many less one behind it in either set's order, so that each set needs
+    the signatures before those only. Edits take signatures out of the crowds, which shortens the list.
     """
-    each = sets.join(nodes, "rep").select("rep", "part", "n", F.explode("elements").alias("e"))
-    sketches = sets.select("rep", "sketch")
-    counts = each.groupBy("e").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = stored(each.join(counts, "e").groupBy("rep", "part", "n").agg(
-        F.sort_array(F.collect_list(F.struct("df", "e"))).alias("order")), "ranked")
-    alone = (F.col("n") - F.size("order")).alias("alone")
-    fewest = ranked.agg(F.min(alone)).scalar()
-    ranked = ranked.select("rep", "part", "n", alone, "order", F.coalesce(fewest, F.lit(0)).alias("fewest"))
-    lacking = F.col("n") - F.col("alone") - F.ceil((F.col("n") + F.col("fewest")) * PERCENT / 100) + 1
-    head = (ranked.withColumn("lacking", lacking.cast("int")).where("lacking > 0")
-            .select("rep", "part", "n", "alone", F.posexplode(F.slice("order", F.lit(1), F.col("lacking"))))
-            .select("rep", "part", "n", (F.col("alone") + F.col("pos")).alias("a"), F.col("col.e").alias("e")).join(sketches, "rep"))
-    one, two = head.alias("one"), head.alias("two")
-
-    def roomy(x, y):
-        return 100 * (F.col(f"{x}.n") - F.col(f"{x}.a")) >= PERCENT * (F.col(f"{x}.n") + F.col(f"{y}.a"))
-
-    met = (F.col("one.e") == F.col("two.e")) & (F.col("one.rep") < F.col("two.rep")) & (
-        F.col("one.part") != F.col("two.part")) & roomy("one", "two") & roomy("two", "one") & _alike(
+    one = ["rep", "parts", "n"]
+    counts = rows.groupBy(*one).agg(F.count("*").alias("crowds"))
+    least = F.greatest(F.lit(1), F.col("parts") - F.floor(F.col("n") * (100 - PERCENT) / PERCENT))
+    rows = rows.join(counts.select(*one, (F.col("crowds") - least + 1).alias("room")).where("room > 0"), one)
+    order = Window.partitionBy(*one).orderBy("size", "sig")
+    return (rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.col("room"))
+            .select("sig", "rep", "n", "part").distinct())
+
+
+def _met(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Candidate pairs of the prefixes ``rest`` (sig, rep, n, part): nodes of different parts whose sketches allow a link."""
+    rest = rest.join(sets.select("rep", "sketch"), "rep")
+    one, two = rest.alias("one"), rest.alias("two")
+    met = (F.col("one.sig") == F.col("two.sig")) & (F.col("one.rep") < F.col("two.rep")) & (
+        F.col("one.part") != F.col("two.part")) & _fit("one.n", "two.n") & _alike(
         F.col("one.sketch"), F.col("two.sketch"), F.col("one.n") + F.col("two.n"))
     return one.join(two, met).select(F.col("one.rep").alias("u"), F.col("two.rep").alias("v")).distinct()

@@ -13,7 +13,7 @@ from barloom.llm import op1_decontaminate, op3_passage_dedup, op4_line_quality,
 from barloom.llm import op2_packing as packing
 from barloom.llm.common import components, word_hashes
 
-ITEM = "item_id long, text string"
+ITEM, TEXT = "item_id long, text string", "doc_id long, text string"
 
 
 def by_id(df):
@@ -135,6 +135,25 @@ def test_links_near_the_threshold(spark, length):
     assert out == linked(docs)
 
 
+@pytest.mark.parametrize("copies", [40, 120])
+def test_crowds_without_an_original(spark, monkeypatch, copies):
+    """Edited copies of a text that is not there itself: few links, many components in each crowded signature. The rows
+    that are joined are a small part of the shingles, however many copies there are."""
+    rng, tables = np.random.default_rng(copies), {}
+    words = [f"c{rng.integers(1 << 20)}" for _ in range(300)]
+    docs = [(d, edited(rng, words, int(rng.integers(3, 11)))) for d in range(copies)]
+
+    def kept(df, name, stored=op9_jaccard_join.stored):
+        tables[name] = stored(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(op9_jaccard_join, "stored", kept)
+    out = by_id(op9_jaccard_join.jaccard_groups(spark.createDataFrame(docs, TEXT)))
+    assert out == linked(docs)
+    assert len({c for _, c in out.values()}) > 1 and tables["prefix-pairs"].count() > 0
+    assert tables["prefixes"].count() < sum(n for n, _ in out.values()) / 5
+
+
 def test_links_of_odd_rows(spark, odd, nothing):
     out = op9_jaccard_join.jaccard_groups(odd)
     assert out.count() == odd.count()
