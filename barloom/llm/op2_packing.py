@@ -17,6 +17,7 @@ pieces; special tokens' strings in a text are ordinary text.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 import zlib
 
@@ -38,6 +39,13 @@ DESCENTS = 400
 
 #: Before a single space between other characters the tokenizer's pattern always begins a new piece.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+#: Letters and what punctuation follows them are two pieces of the pattern; an apostrophe may begin a contraction.
+_PLAIN = re.compile(r"([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+#: The splitting for which that holds.
+_SPLITTING = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+#: The characters that stand for bytes in the model's vocabulary.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
 _TOKENIZERS: dict[str, Encoder] = {}
 
 
@@ -45,8 +53,9 @@ class Encoder:
     """Ids of texts as little-endian numbers.
 
     The tokenizer's pattern never joins characters over a line break or before a space that stand between other
-    characters, so that words are encoded once, by many, and remembered; the ``CACHE`` last ones are looked up as well.
-    Texts with other white space go piece by piece.
+    characters, so that words are encoded once and remembered; the ``CACHE`` last ones are looked up as well. A word of
+    letters, with or without punctuation behind them, is one or two pieces, which go to the tokenizer's model directly;
+    other words are encoded by many. Texts with other white space go piece by piece.
     """
 
     def __init__(self, name: str):
@@ -57,6 +66,11 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.line = self._ids(["\n"])[0]
+        form = json.loads(self.tokenizer.to_str())
+        self.direct = form["normalizer"] is None and (form["pre_tokenizer"] or {}).items() >= _SPLITTING.items()
+        self.model, numbers = self.tokenizer.model, np.arange(self.tokenizer.get_vocab_size()).astype(self.type)
+        self.number = [x.tobytes() for x in numbers]
+        self.endings: dict[str, bytes] = {}
         #: words at the start of a line, words after a space; before them those that were remembered earlier
         self.words: tuple[dict[str, bytes], ...] = ({}, {})
         self.older: tuple[dict[str, bytes], ...] = ({}, {})
@@ -68,15 +82,37 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self.type).tobytes() for x in found]
 
+    def _piece(self, text: str) -> bytes:
+        """Ids of what the pattern leaves in one piece."""
+        found = self.model.tokenize(text.encode().decode("latin-1").translate(_BYTES))
+        return b"".join([self.number[x.id] for x in found])
+
+    def _ending(self, text: str) -> bytes:
+        ids = self.endings.get(text)
+        if ids is None:
+            ids = self._piece(text)
+            if len(self.endings) < 10_000:
+                self.endings[text] = ids
+        return ids
+
     def _learn(self, known: dict[str, bytes], older: dict[str, bytes], words: set[str], front: str) -> None:
         new = words - known.keys()
         again = new & older.keys()
         known.update({w: older[w] for w in again})
-        # what has white space at its ends is not remembered
-        new = [w for w in new - again if w and w == w.strip()]
+        other = []
+        for w in new - again:
+            plain = _PLAIN.fullmatch(w) if self.direct else None
+            if plain:
+                stem, ending = plain.groups()
+                ids = known.get(stem) or older.get(stem) or self._piece(front + stem)
+                known[stem] = ids
+                if ending:
+                    known[w] = ids + self._ending(ending)
+            elif w and w == w.strip():  # what has white space at its ends is not remembered
+                other.append(w)
         size = self.type.itemsize
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
+        for at in range(0, len(other), 5000):
+            part = other[at : at + 5000]
             raw = self._ids(["".join([f"{front}{w}\n" for w in part])])[0]
             ends = (np.flatnonzero(np.frombuffer(raw, self.type) == np.frombuffer(self.line, self.type)[0]) * size)
             begins = [0, *(ends + size).tolist()]

@@ -336,6 +336,21 @@ def test_packing_is_an_exact_round_trip(spark, documents, plain):
     assert sum(n < 1024 for n in short) <= 1  # what is left over is cut at full windows
 
 
+def test_words_are_encoded_as_the_tokenizer_does(monkeypatch):
+    """Letters with all kinds of characters behind and between them; a word that differs in its punctuation alone is not
+    sent to the tokenizer again."""
+    made = packing.Encoder(packing.TOKENIZER)
+    marks = [chr(c) for c in range(33, 0x250) if not chr(c).isspace()] + ["'s", "'ll.", "...'", "$$$", "\u0301", "ʰ", "²", "<|endoftext|>"]
+    words = [f"{a}{m}{b}" for m in marks for a in ("", "word", "Été") for b in ("", ",", "x", "##'t")]
+    texts = [w + " " + w for w in words] + [" ".join(words), "\n".join(words), "word. word,  word"]
+    for text, ids in zip(texts, made.encode(texts), strict=True):
+        assert np.frombuffer(ids, made.type).tolist() == made.tokenizer.encode(text, add_special_tokens=False).ids
+    sent = []
+    monkeypatch.setattr(made, "_ids", lambda parts: sent.extend(parts) or packing.Encoder._ids(made, parts))
+    made.encode([" ".join(f"wordy{'!' * n}" for n in range(20))])
+    assert not sent
+
+
 def test_packing_of_odd_rows(odd, nothing):
     out = packing.pack(odd.select("doc_id", "text", "n"))
     assert out.select("doc_id").distinct().count() == odd.select("doc_id").distinct().count()
