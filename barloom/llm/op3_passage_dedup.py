@@ -39,11 +39,15 @@ HASHES, ENOUGH = 4, 2
 HALF = LEAST // 2
 #: Preceding windows of a signature that a window is joined with.
 LAGS = 4
+#: Shingles of documents whose windows are made together.
+TOGETHER = 50_000
 #: Ranges of shingles are read with bounds at multiples of this.
 GRID = 256
 #: Distinct sequences of which a task remembers that their windows are out.
 SEEN = 200_000
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
+#: A packed place without its order, which has done its work when windows have met.
+_PLACE = (1 << 48) - 1
 _SIDES = mix(np.arange(1, 3, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -72,6 +76,25 @@ def compact_windows(values: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
+def forest(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The compact windows of several sequences, each a part [begin, end) of ``values``: all trees level by level."""
+    out = [np.zeros((0, 3), np.int64)]
+    while True:
+        keep = ends - begins >= LEAST
+        begins, ends = begins[keep], ends[keep]
+        if len(begins) < 12:  # deep branches one by one
+            return np.concatenate(out + [np.array(compact_windows(values[b:e]), np.int64) + b
+                                         for b, e in zip(begins.tolist(), ends.tolist())])
+        sizes = ends - begins
+        starts = np.cumsum(sizes) - sizes
+        at = np.repeat(begins - starts, sizes) + np.arange(sizes.sum())
+        here = values[at]
+        least = np.flatnonzero(here == np.repeat(np.minimum.reduceat(here, starts), sizes))
+        centre = at[least[np.searchsorted(least, starts)]]
+        out.append(np.stack([begins, centre, ends - 1], axis=1))
+        begins, ends = np.concatenate([begins, centre + 1]), np.concatenate([centre, ends])
+
+
 def _nodes(batches):
     for batch in batches:
         rows = [(n, node_of(s)) for n, s in map(sequence, texts(batch))]
@@ -104,41 +127,56 @@ def halves(shingles: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _smallest(hashed: np.ndarray, centres: np.ndarray) -> list[np.ndarray]:
-    """Smallest hashes of the ``HALF`` values that end, and that begin, at each centre."""
-    edge = np.full(HALF - 1, 2**64 - 1, np.uint64)
-    views = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, hashed, edge]), HALF)
-    return [views[centres].min(axis=1), views[centres + HALF - 1].min(axis=1)]
+    """Smallest of the ``HALF`` values that end, and that begin, at each centre, which has so many on either side."""
+    views = np.lib.stride_tricks.sliding_window_view(hashed, HALF)
+    return [views[centres - HALF + 1].min(axis=1), views[centres].min(axis=1)]
+
+
+def windows_of(nodes: list[int], sequences: list[np.ndarray]) -> list[np.ndarray]:
+    """(sig, node, place) of the windows and halves of several sequences, which lie in one array with gaps of ``HALF``."""
+    sizes = np.array([len(x) for x in sequences])
+    gap = np.zeros(HALF, np.uint64)
+    shingles = np.concatenate([gap] + [x for one in sequences for x in (one, gap)])
+    begins = HALF + np.cumsum(sizes + HALF) - sizes - HALF
+    empty = np.ones(len(shingles), bool)
+    empty[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = False
+    nodes, out = np.array(nodes, np.int64), []
+    for fn, seed in enumerate(_SEEDS):
+        hashed = mix(shingles ^ seed)
+        at = forest(hashed, begins, begins + sizes)
+        owner = np.searchsorted(begins, at[:, 1], side="right") - 1
+        centre = mix(hashed[at[:, 1]] ^ seed)
+        values = mix(hashed ^ _SIDES[0])
+        values[empty] = 2**64 - 1
+        ends = _smallest(values, at[:, 1])
+        own = at - begins[owner][:, None]
+        for k in (0, 1):
+            out.append((signed(mix(centre ^ mix(ends[k] ^ _SIDES[k]))), nodes[owner], packed(fn, own, ends[1 - k])))
+        if not fn:
+            one, two, has_one, has_two = halves(shingles, at)
+            out += [(key[has], nodes[owner[has]], packed(HASHES + k, own[has], np.zeros(int(has.sum()), np.uint64)))
+                    for k, (key, has) in enumerate(((one, has_one), (two, has_two)))]
+    return [np.concatenate(c) for c in zip(*out)]
 
 
 def _windows(batches):
     seen: set[int] = set()
     names = ["sig", "node", "place"]
+    held, size = {}, 0
     for batch in batches:
-        out, size = [], 0
         for raw in texts(batch):
             n, shingles = sequence(raw)
             node = node_of(shingles)
-            if n < LEAST_WORDS or node in seen:
+            if n < LEAST_WORDS or node in seen or node in held:
                 continue
             if len(seen) < SEEN:
                 seen.add(node)
-            for fn, seed in enumerate(_SEEDS):
-                hashed = mix(shingles ^ seed)
-                at = np.array(compact_windows(hashed), np.int64)
-                centre = mix(hashed[at[:, 1]] ^ seed)
-                ends = _smallest(mix(hashed ^ _SIDES[0]), at[:, 1])
-                rows = [(signed(mix(centre ^ mix(ends[k] ^ _SIDES[k]))), packed(fn, at, ends[1 - k])) for k in (0, 1)]
-                if not fn:
-                    one, two, has_one, has_two = halves(shingles, at)
-                    rows += [(key[has], packed(HASHES + k, at[has], np.zeros(int(has.sum()), np.uint64)))
-                             for k, (key, has) in enumerate(((one, has_one), (two, has_two)))]
-                out += [(sig, np.full(len(sig), node), place) for sig, place in rows]
-                size += sum(len(sig) for sig, _ in rows)
-            if size > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names)
-                out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names)
+            held[node], size = shingles, size + len(shingles)
+            if size > TOGETHER:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in windows_of(list(held), list(held.values()))], names)
+                held, size = {}, 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in windows_of(list(held), list(held.values()))], names)
 
 
 def _met(batches):
@@ -168,6 +206,7 @@ def _met(batches):
         here = at[~half[at]]
         pairs.append((node[here], first[here], place[here], first_place[here]))
         u, v, up, vp = map(np.concatenate, zip(*pairs))
+        up, vp = up & _PLACE, vp & _PLACE
         u, v, up, vp = (x[u != v] for x in (u, v, up, vp))
         swap = u > v
         rows = np.stack([np.where(swap, v, u), np.where(swap, u, v), np.where(swap, vp, up), np.where(swap, up, vp)], axis=1)
@@ -204,28 +243,34 @@ def _runs(batches):
                      pa.array(begin.astype(np.int32))], ["run", "node", "begin"])
 
 
-def candidates(group: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Ranges (u from, u to, v from, v to) where windows of enough functions meet; rows (fn, ul, uc, ur, vl, vc, vr)."""
-    group = group[np.argsort(group[:, 5] - group[:, 2], kind="stable")]
-    out = []
-    for line in np.split(group, np.flatnonzero(np.diff(group[:, 5] - group[:, 2]) > LEAST) + 1):  # along one diagonal
-        line = line[np.argsort(line[:, 2], kind="stable")]
-        for part in np.split(line, np.flatnonzero(np.diff(line[:, 2]) > 2 * LEAST) + 1):
-            if len(set(part[:, 0].tolist())) >= ENOUGH:
-                low, high = part.min(axis=0), part.max(axis=0)
-                out.append((max(low[1], low[2] - LEAST), min(high[3], high[2] + LEAST),
-                            max(low[4], low[5] - LEAST), min(high[6], high[5] + LEAST)))
-    return [tuple(map(int, r)) for r in out]
+def candidates(owner: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges (u from, u to, v from, v to) where windows of enough functions meet, and the owner of each. Rows of ``group``
+    are (fn, ul, uc, ur, vl, vc, vr); those of one owner are of one pair of nodes."""
+    lag = group[:, 5] - group[:, 2]
+    order = np.lexsort((lag, owner))
+    owner, group, lag = owner[order], group[order], lag[order]
+    line = np.cumsum(np.append(0, (np.diff(owner) != 0) | (np.diff(lag) > LEAST)))  # along one diagonal
+    order = np.lexsort((group[:, 2], line))
+    group, line = group[order], line[order]  # owners stay where they are
+    starts = np.flatnonzero(np.append(True, (np.diff(line) != 0) | (np.diff(group[:, 2]) > 2 * LEAST)))
+    met = np.bitwise_count(np.bitwise_or.reduceat(1 << group[:, 0], starts)) >= ENOUGH
+    low, high = np.minimum.reduceat(group, starts)[met], np.maximum.reduceat(group, starts)[met]
+    return owner[starts[met]], np.stack([
+        np.maximum(low[:, 1], low[:, 2] - LEAST), np.minimum(high[:, 3], high[:, 2] + LEAST),
+        np.maximum(low[:, 4], low[:, 5] - LEAST), np.minimum(high[:, 6], high[:, 5] + LEAST)], axis=1)
 
 
 def _candidates(batches):
     for batch in batches:
-        out = []
-        for u, v, ups, vps in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "ups", "vps"))):
-            one, two = unpacked(np.array(ups, np.int64)), unpacked(np.array(vps, np.int64))
-            out += [(u, v, *r) for r in candidates(np.hstack([one, two[:, 1:]]))]
-        columns = list(zip(*out)) or [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v", "uf", "ut", "vf", "vt"])
+        if batch.num_rows:
+            ups, vps = batch.column("ups"), batch.column("vps")
+            owner = np.repeat(np.arange(len(ups)), np.diff(ups.offsets.to_numpy()))
+            one, two = (unpacked(x.flatten().to_numpy()) for x in (ups, vps))
+            owner, found = candidates(owner, np.hstack([one, two[:, 1:]]))
+            take = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("u").take(take), batch.column("v").take(take), *(pa.array(np.ascontiguousarray(c)) for c in found.T)],
+                ["u", "v", "uf", "ut", "vf", "vt"])
 
 
 def _slices(batches):
@@ -241,6 +286,14 @@ def _slices(batches):
                     ["node", "begin", "end", "data"])
 
 
+def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Whether each of a few values is one of a few others."""
+    ordered = np.sort(among)
+    at = np.searchsorted(ordered, values)
+    at[at == len(ordered)] = 0
+    return ordered[at] == values
+
+
 def longest(shared: np.ndarray) -> tuple[int, int] | None:
     """First and last place of the longest stretch of which at least eight of nine places are true."""
     sums = np.append(0, np.cumsum(np.where(shared, 1, -8)))
@@ -262,7 +315,9 @@ def densest(shared: np.ndarray) -> tuple[int, int] | None:
 def aligned(u: np.ndarray, v: np.ndarray) -> tuple[int, int, int, int] | None:
     """The passage of ``u`` and ``v`` (first and last shingle of each), if there is one: the longest stretch, or the
     densest if the longest, which may reach over several places of ``v``, is not similar to one of them."""
-    shared = np.isin(u, v)
+    shared = member(u, v)
+    if 9 * np.count_nonzero(shared) < 8 * LEAST:  # no stretch of ``LEAST`` can have enough
+        return None
     for part in (longest(shared), densest(shared)):
         if part and part[1] - part[0] + 1 >= LEAST and (found := similar(u, v, *part)):
             return found
@@ -272,15 +327,16 @@ def aligned(u: np.ndarray, v: np.ndarray) -> tuple[int, int, int, int] | None:
 def similar(u: np.ndarray, v: np.ndarray, begin: int, end: int) -> tuple[int, int, int, int] | None:
     """The stretch of ``u`` with its counterpart in ``v``, if their sets of shingles are similar enough."""
     one = u[begin : end + 1]
-    at = np.flatnonzero(np.isin(v, one))
+    at = np.flatnonzero(member(v, one))
     order = np.argsort(one, kind="stable")
     home = order[np.minimum(np.searchsorted(one[order], v[at]), len(one) - 1)]
     lag = at - home
     lags, often = np.unique(lag, return_counts=True)  # of several places in v, one
     at = at[np.abs(lag - lags[often.argmax()]) <= LEAST]
     two = v[at.min() : at.max() + 1]
-    both = len(np.intersect1d(one, two))
-    if len(two) < LEAST * PERCENT // 100 or 100 * both < PERCENT * (len(set(one.tolist())) + len(set(two.tolist())) - both):
+    ones, twos = set(one.tolist()), set(two.tolist())
+    both = len(ones & twos)
+    if len(two) < LEAST * PERCENT // 100 or 100 * both < PERCENT * (len(ones) + len(twos) - both):
         return None
     return begin, end, int(at.min()), int(at.max())
 

@@ -309,6 +309,30 @@ def test_compact_windows_cover_every_long_subsequence_once():
             assert len(owner) == 1 and values[owner[0][1]] == values[i : j + 1].min()
 
 
+def test_windows_of_many_sequences_are_those_of_each():
+    """Sequences of any length, with few and with many equal values, in one array."""
+    rng = np.random.default_rng(5)
+    parts = [rng.integers(0, top, n).astype(np.uint64) for top in (3, 1 << 60) for n in (46, 47, 90, 300, 2000) for _ in range(4)]
+    begins = np.cumsum([0] + [len(x) for x in parts])
+    found = op3_passage_dedup.forest(np.concatenate(parts), begins[:-1], begins[1:])
+    alone = [(b + left, b + c, b + right) for b, x in zip(begins.tolist(), parts)
+             for left, c, right in op3_passage_dedup.compact_windows(x)]
+    assert sorted(map(tuple, found.tolist())) == sorted(alone)
+    nodes = list(range(len(parts)))
+    together = op3_passage_dedup.windows_of(nodes, parts)
+    each = [op3_passage_dedup.windows_of([i], [x]) for i, x in zip(nodes, parts)]
+    assert sorted(zip(*(c.tolist() for c in together))) == sorted(
+        row for one in each for row in zip(*(c.tolist() for c in one)))
+
+
+def test_candidates_of_many_pairs_are_those_of_each():
+    """Windows of two functions along one diagonal, far from it, and of one function only."""
+    rows = np.array([(0, 10, 30, 60, 110, 130, 160), (1, 20, 40, 70, 121, 141, 171), (2, 10, 30, 60, 410, 430, 460),
+                     (0, 510, 530, 560, 610, 630, 660), (0, 515, 535, 565, 615, 635, 665)])
+    owner, found = op3_passage_dedup.candidates(np.repeat([7, 8, 9], [5, 3, 2]), np.concatenate([rows, rows[2:], rows[:2]]))
+    assert list(zip(owner.tolist(), map(tuple, found.tolist()))) == [(i, (10, 70, 110, 171)) for i in (7, 9)]
+
+
 # ---- packing ------------------------------------------------------------------------------------------
 
 def test_packing_is_an_exact_round_trip(spark, documents, plain):
