@@ -10,12 +10,14 @@ the longest stretch in which eight of nine shingles are shared is a passage if t
 sets is at least 0.8.
 
 Equal sequences collapse to one node first. Signatures of up to ``LAGS`` + 1 windows are joined all with all. In a larger
-one, rows are ordered by the smallest hash of the other half, and each is joined with the ``LAGS`` before it and the first.
+one, a crowd, rows are ordered by the smallest hash of the other half, and each is joined with the ``LAGS`` before it and
+the first. A crowd's window whose centre lies in no passage after that is open, and meets all others of its crowd by its
+rarest shingles: a stretch with at most one in nine not shared shares one of any so many and one more.
 
 Equal passages do not depend on those partners. Every run of ``LEAST`` shingles has its centre in a window of the first
 function, and the half on one side of the centre inside. Where the hash of such a half occurs in two nodes, all runs
 around it are hashed, and those that occur in two nodes are passages, however many nodes share the half. Passages that are
-only similar can be missed, near the threshold and in crowded signatures, as by every min-hash method.
+only similar can be missed near the threshold, as by every min-hash method.
 
 Defined cases: null and empty texts and texts under 50 words have no passages; repeats inside one document do not count;
 equal rows are passages of each other.
@@ -37,7 +39,7 @@ LEAST = LEAST_WORDS - WORDS + 1
 HASHES, ENOUGH = 4, 2
 #: Shingles of a half, the centre included: a run of ``LEAST`` has so many on one side.
 HALF = LEAST // 2
-#: Preceding windows of a signature that a window is joined with.
+#: Preceding windows of a signature that a window is joined with at first.
 LAGS = 4
 #: Shingles of documents whose windows are made together.
 TOGETHER = 50_000
@@ -181,8 +183,9 @@ def _windows(batches):
 
 def _met(batches):
     """Rows ordered by (sig, place): each window beside the preceding ones and the first of its signature, of other nodes
-    (u, v and the packed places). Halves that two nodes share come as u = v and the key."""
-    kept = None  # the last rows and the first of the last row's signature
+    (u, v and the packed places). As u = v come the halves that two nodes share, by their key and -1, and the windows of
+    crowds, by their signature and place."""
+    kept, count = None, 0  # the last rows and the first of the last row's signature, which had so many rows
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -211,14 +214,34 @@ def _met(batches):
         swap = u > v
         rows = np.stack([np.where(swap, v, u), np.where(swap, u, v), np.where(swap, vp, up), np.where(swap, up, vp)], axis=1)
         here = at[half[at] & (node[at] != first[at])]
-        shared = [np.stack([x[here], x[here], sig[here], sig[here]], axis=1) for x in (node, first)]
+        shared = [np.stack([x[here], x[here], sig[here], np.full(len(here), -1)], axis=1) for x in (node, first)]
         rows = np.unique(np.concatenate([rows, *shared]), axis=0)
-        kept = (sig[-LAGS:], node[-LAGS:], place[-LAGS:], (first[-LAGS:][0], first_place[-LAGS:][0]))
+        here, count = _crowds(sig, node, half, old, count)
+        rows = np.concatenate([rows, np.stack([node[here], node[here], sig[here], place[here] & _PLACE], axis=1)])
+        kept = (sig[-LAGS - 1 :], node[-LAGS - 1 :], place[-LAGS - 1 :], (first[-1], first_place[-1]))
+        same = kept[0] == sig[-1]  # the first of the last row's signature is the first of no other
+        kept = (*(x[same] for x in kept[:3]), kept[3])
         if len(rows):
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(4)],
                                              ["u", "v", "up", "vp"])
 
 
+def _crowds(sig: np.ndarray, node: np.ndarray, half: np.ndarray, old: int, count: int) -> tuple[np.ndarray, int]:
+    """Places of the rows of crowds, and how many rows the last signature had by now. The first ``old`` rows are the last
+    ones of the ``count`` that the first signature had before; they are among the places if they were not before."""
+    starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+    sizes = np.diff(np.append(starts, len(sig)))
+    total = sizes.copy()
+    if old:
+        total[0] += count - old
+    crowd = (total > LAGS + 1) & ~half[starts]
+    crowd[1:-1] &= (np.minimum.reduceat(node, starts) != np.maximum.reduceat(node, starts))[1:-1]  # whole ones, of one node
+    here = np.repeat(crowd, sizes)
+    if old and count > LAGS + 1:
+        here[:old] = False
+    return np.flatnonzero(here), int(total[-1])
+
+
 def _runs(batches):
     """Hash and place of every run of ``LEAST`` shingles around a wanted half."""
     for batch in batches:
@@ -417,6 +440,116 @@ def _ranges(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "begin", "end"])
 
 
+def _open(batches):
+    """The windows (sig, place) whose centre lies in none of the spans of their node."""
+    for batch in batches:
+        for node, windows, spans in zip(batch.column("node").to_pylist(), batch.column("windows"), batch.column("spans")):
+            sig, place = (windows.values.field(c).to_numpy() for c in ("sig", "place"))
+            inside = np.zeros(len(place), bool)
+            if spans.is_valid:
+                begin, end = (spans.values.field(c).to_numpy() for c in ("begin", "end"))  # by begin
+                centre = place & 0xFFFFFFFF
+                at = np.searchsorted(begin, centre, side="right") - 1
+                inside = (at >= 0) & (np.maximum.accumulate(end)[at] - WORDS >= centre)
+            if not inside.all():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sig[~inside]), pa.array(np.full(int((~inside).sum()), node)), pa.array(place[~inside])],
+                    ["sig", "node", "place"])
+
+
+def around(places: np.ndarray, size: int) -> np.ndarray:
+    """Which of ``size`` shingles lie in one of the windows."""
+    _, left, _, right = unpacked(places).T
+    change = np.zeros(size + 1, np.int64)
+    np.add.at(change, left, 1)
+    np.add.at(change, np.minimum(right + 1, size), -1)
+    return np.cumsum(change)[:-1] > 0
+
+
+def _around(batches):
+    """The shingles in the wanted windows and their places."""
+    for batch in batches:
+        for node, raw, wanted in zip(batch.column("node").to_pylist(), texts(batch), batch.column("wanted")):
+            _, shingles = sequence(raw)
+            at = np.flatnonzero(around(wanted.values.to_numpy(), len(shingles)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(shingles[at])), pa.array(np.full(len(at), node)), pa.array(at)], ["shingle", "node", "at"])
+
+
+def rarest(rank: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """The places that have, in some stretch of at least ``LEAST`` places ``inside``, at most one place in nine before them by
+    ``rank``. Stretches reach less than 2 * ``LEAST`` to either side; a longer one has a part that is as dense."""
+    reach, found = 2 * LEAST - 1, []
+    padded = np.full(len(rank) + 2 * reach, -1, np.int64)
+    padded[reach:-reach] = np.where(inside, rank, -1)
+    views = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1)
+    wanted = np.flatnonzero(inside & (rank > 0))
+    for begin in range(0, len(wanted), 1000):
+        at = wanted[begin : begin + 1000]
+        here = views[at]
+        score = np.where(here < 0, -9 * reach, np.where(here < rank[at][:, None], -8, 1))
+        right = np.cumsum(score[:, reach:], axis=1)  # of the place itself and so many after it
+        left = np.cumsum(np.append(np.zeros((len(at), 1), np.int64), score[:, reach - 1 :: -1], axis=1), axis=1)
+        best = np.maximum.accumulate(right[:, ::-1], axis=1)[:, ::-1]  # of so many or more after it
+        more = np.maximum(LEAST - 1 - np.arange(reach + 1), 0)
+        found.append(at[(left + best[:, more]).max(axis=1) >= 0])
+    return np.concatenate(found) if found else wanted
+
+
+def _rarest(batches):
+    """The rarest shingles of open windows. Places that are not listed have a shingle that no other node has."""
+    for batch in batches:
+        for node, windows, listed in zip(batch.column("node").to_pylist(), batch.column("windows"), batch.column("listed")):
+            at, often, shingle = (listed.values.field(c).to_numpy() for c in ("at", "often", "shingle"))
+            windows = windows.values.to_numpy()
+            size = int(max(at.max(), unpacked(windows)[:, 3].max())) + 1
+            order = np.lexsort((shingle, often))
+            new = np.append(True, shingle[order][1:] != shingle[order][:-1])
+            rank, shingles = np.zeros(size, np.int64), np.zeros(size, np.int64)
+            rank[at[order]], shingles[at] = np.cumsum(new), shingle
+            found = rarest(rank, around(windows, size))
+            if len(found):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shingles[found]), pa.array(np.full(len(found), node)), pa.array(found)], ["shingle", "n", "place"])
+
+
+def crowded(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, spans: DataFrame) -> DataFrame:
+    """The candidates (u, v, uf, ut, vf, vt) that open windows of ``crowds`` (node, sig, place) make with the other windows
+    of their signatures. ``spans`` (node, spans) has the passages found so far."""
+    windows = crowds.groupBy("node").agg(F.collect_list(F.struct("sig", "place")).alias("windows"))
+    left = stored(windows.join(spans, "node", "left").mapInArrow(_open, "sig long, node long, place long"), "open")
+    near = crowds.join(bounded(stored(left.select("sig").distinct(), "sigs")), "sig", "left_semi")
+    asked = near.groupBy("node").agg(F.collect_set("place").alias("wanted")).join(nodes.select("node", "one.*"), "node")
+    shingles = stored(read(docs, asked, "crowded").mapInArrow(_around, "shingle long, node long, at long"), "around")
+    shared = shingles.groupBy("shingle").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("often")).where(
+        "a <> b").select("shingle", "often")
+    # equal rows of a document bring the same places
+    shingles = stored(shingles.join(shared, "shingle").distinct(), "shared")
+    windows = left.groupBy("node").agg(F.collect_set("place").alias("windows"))
+    listed = shingles.join(windows.select("node"), "node", "left_semi").groupBy("node").agg(
+        F.collect_list(F.struct("at", "often", "shingle")).alias("listed"))
+    few = windows.join(listed, "node").mapInArrow(_rarest, "shingle long, n long, place long")
+    met = few.join(shingles, "shingle").where("n <> node")
+    swap = F.col("n") > F.col("node")
+
+    def ordered(low: str, high: str):
+        return F.when(swap, F.col(high)).otherwise(F.col(low)), F.when(swap, F.col(low)).otherwise(F.col(high))
+
+    (u, v), (ub, vb) = ordered("n", "node"), ordered("place", "at")
+    met = met.select(u.alias("u"), v.alias("v"), ub.alias("ub"), vb.alias("vb"))
+    # along one diagonal, as far as the places are near each other
+    met = met.groupBy("u", "v", F.floor((F.col("vb") - F.col("ub")) / LEAST), F.floor(F.col("ub") / (2 * LEAST))).agg(
+        *(f(c).alias(n + c) for c in ("ub", "vb") for n, f in (("low", F.min), ("high", F.max))))
+    zero, wide = F.lit(0).cast("long"), 2 * LEAST
+    return met.select("u", "v", F.greatest(zero, F.col("lowub") - wide).alias("uf"), (F.col("highub") + wide).alias("ut"),
+                      F.greatest(zero, F.col("lowvb") - wide).alias("vf"), (F.col("highvb") + wide).alias("vt"))
+
+
+def covered(spans: DataFrame) -> DataFrame:
+    """The distinct spans (node, begin, end) in order, per node."""
+    return spans.distinct().groupBy("node").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+
+
 def read(docs: DataFrame, asked: DataFrame, name: str) -> DataFrame:
     """(node, text, wanted) of ``asked`` (node, doc_id, same, wanted)."""
     asked = bounded(stored(asked, name), 500_000).select(
@@ -438,17 +571,21 @@ def passages(docs: DataFrame) -> DataFrame:
     met = (windows.repartition(F.col("sig")).sortWithinPartitions("sig", "place", "node")
            .mapInArrow(_met, "u long, v long, up long, vp long"))
     met = stored(met, "met")
-    halves_met, met = met.where("u = v"), met.where("u <> v")
+    halves_met = met.where("u = v AND vp < 0").selectExpr("u as node", "up as key")
+    crowds = met.where("u = v AND vp >= 0").selectExpr("u as node", "up as sig", "vp as place")
+    met = met.where("u <> v")
     # pairs that do not meet in enough functions at all are not gathered
     often = met.groupBy("u", "v").agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, int(shiftright(up, 44) & 15))"))).alias(
         "fns")).where(F.col("fns") >= ENOUGH).select("u", "v")
     gathered = met.join(often, ["u", "v"]).groupBy("u", "v").agg(F.collect_list(F.struct("up", "vp")).alias("met")).select(
         "u", "v", F.col("met.up").alias("ups"), F.col("met.vp").alias("vps"))
     pairs = stored(gathered.mapInArrow(_candidates, "u long, v long, uf long, ut long, vf long, vt long"), "candidates")
-    spans = verified(docs, nodes, pairs).unionByName(equal(docs, nodes, halves_met.selectExpr("u as node", "up as key")))
+    spans = verified(docs, nodes, pairs).unionByName(equal(docs, nodes, halves_met))
     whole = nodes.where("held > 1").select("node", F.lit(0).cast("long").alias("begin"), F.col("n_words").alias("end"))
-    spans = spans.unionByName(whole).distinct().groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    spans = stored(covered(spans.unionByName(whole)), "spans")
+    rest = stored(crowded(docs, nodes, crowds, spans), "candidates")
+    more = verified(docs, nodes, rest)
+    spans = covered(spans.select("node", F.inline("spans")).unionByName(more))
     # words covered and disjoint passages, span by span in order
     start = F.struct(F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("passages"),
                      F.lit(-1).cast("long").alias("reach"))

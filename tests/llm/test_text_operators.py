@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barloom.llm import op1_decontaminate, op3_passage_dedup, op4_line_quality, op9_jaccard_join, op10_substring_dedup
@@ -294,6 +295,56 @@ def test_passages_of_which_all_shingles_are_frequent(spark):
     assert all(60 <= out[d][2] <= 70 for d in pairs)
 
 
+def test_similar_passages_in_crowded_signatures(spark):
+    """Two texts with a passage but for one word, between many that hold up to 40 shingles of it, one fewer than it takes."""
+    rng = np.random.default_rng(23)
+
+    def prose(n):
+        return [f"c{rng.integers(1 << 40)}" for _ in range(n)]
+
+    docs, pairs = [], set()
+    for _ in range(4):
+        passage = prose(60)
+        other = passage[:30] + prose(1) + passage[31:]
+        for words in (passage, other):
+            pairs.add(len(docs))
+            docs.append((len(docs), " ".join(prose(20) + words + prose(20))))
+        for k in range(80):
+            begin = rng.integers(17)
+            docs.append((len(docs), " ".join(prose(20) + (passage, other)[k % 2][begin : begin + 44] + prose(20))))
+    docs = [docs[i] for i in rng.permutation(len(docs))]
+    out = by_id(op3_passage_dedup.passages(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {d for d, r in out.items() if r[3]} == pairs
+
+
+@pytest.mark.parametrize("batch", [1, 2, 3, 7, 100])
+def test_windows_of_crowds_whatever_the_batches(batch):
+    """All windows of signatures with more than ``LAGS`` + 1 of them come out once, at the border of batches too."""
+    sizes = [1, 6, 5, 3, 13, 1, 6]
+    sig = np.repeat(np.arange(len(sizes)), sizes)
+    node = np.arange(len(sig))
+    place = node * 1000
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[at : at + batch]) for x in (sig, node, place)], ["sig", "node", "place"])
+               for at in range(0, len(sig), batch)]
+    rows = [tuple(r.values()) for b in op3_passage_dedup._met(batches) for r in b.to_pylist()]
+    assert sorted(r for r in rows if r[0] == r[1]) == [(n, n, s, 1000 * n) for s, n in zip(sig, node) if sizes[s] > 5]
+    near = {(n, m) for n in node for m in node if n < m and sig[n] == sig[m] and (m - n <= 4 or n in (0, *np.cumsum(sizes)))}
+    assert {r[:2] for r in rows if r[0] != r[1]} == near
+
+
+def test_rarest_places_of_all_stretches():
+    rng = np.random.default_rng(4)
+    for often in (2, 20, 500):
+        rank, inside = rng.integers(0, often, 160), np.ones(160, bool)
+        inside[rng.integers(50, 160, 2)] = False
+        brute = set()
+        for i in range(160):
+            for j in range(i + op3_passage_dedup.LEAST, 161):
+                if inside[i:j].all():
+                    brute |= {p for p in range(i, j) if rank[p] and 9 * (rank[i:j] < rank[p]).sum() <= j - i}
+        assert set(op3_passage_dedup.rarest(rank, inside).tolist()) == brute
+
+
 def test_a_counterpart_that_occurs_twice():
     rng = np.random.default_rng(8)
     one, gap = (rng.integers(1, 1 << 62, 60) for _ in range(2))
