@@ -11,8 +11,9 @@ sets is at least 0.8.
 
 Equal sequences collapse to one node first. Signatures of up to ``LAGS`` + 1 windows are joined all with all. In a larger
 one, a crowd, rows are ordered by the smallest hash of the other half, and each is joined with the ``LAGS`` before it and
-the first. A crowd's window whose centre lies in no passage after that is open, and meets all others of its crowd by its
-rarest shingles: a stretch with at most one in nine not shared shares one of any so many and one more.
+the first. A crowd's window whose centre lies in no passage after that is open, and meets all others of its crowd by the
+rarest shingles: of a stretch in which one in nine at most is not shared, the rarest shared one is among the first so many
+and one more, and of its counterpart, in which it is one in five at most, too.
 
 Equal passages do not depend on those partners. Every run of ``LEAST`` shingles has its centre in a window of the first
 function, and the half on one side of the centre inside. Where the hash of such a half occurs in two nodes, all runs
@@ -43,6 +44,8 @@ HALF = LEAST // 2
 LAGS = 4
 #: Shingles of documents whose windows are made together.
 TOGETHER = 50_000
+#: Windows that are ordered together; of one signature, so many, which are ordered in parts beyond.
+TAKEN, HELD = 30_000, 1_000_000
 #: Ranges of shingles are read with bounds at multiples of this.
 GRID = 256
 #: Distinct sequences of which a task remembers that their windows are out.
@@ -181,15 +184,47 @@ def _windows(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in windows_of(list(held), list(held.values()))], names)
 
 
+def _in_order(batches):
+    """Rows that come by sig, by (sig, place, node): whole signatures of more than one row, the largest in parts."""
+    held, size, parted = [], 0, None
+
+    def work(whole: bool):
+        nonlocal held, size, parted
+        sig, node, place = (np.concatenate(x) for x in zip(*held))
+        cut = len(sig) if whole else int(np.searchsorted(sig, sig[-1]))  # the last signature may go on
+        part = not cut
+        if part:
+            cut = len(sig)
+        size = len(sig) - cut
+        held = [tuple(x[cut:] for x in (sig, node, place))] if size else []
+        sig, node, place = (x[:cut] for x in (sig, node, place))
+        edge = np.append(True, sig[1:] != sig[:-1])
+        keep = ~(edge & np.append(edge[1:], True)) | part
+        if parted is not None:
+            keep |= sig == parted
+        parted = sig[-1] if part else None
+        sig, node, place = (x[keep] for x in (sig, node, place))
+        order = np.lexsort((node, place, sig))
+        return sig[order], node[order], place[order]
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(tuple(batch.column(c).to_numpy() for c in ("sig", "node", "place")))
+            size += batch.num_rows
+            if size >= (HELD if held[0][0][0] == held[-1][0][-1] else TAKEN):
+                yield work(False)
+    if size:
+        yield work(True)
+
+
 def _met(batches):
-    """Rows ordered by (sig, place): each window beside the preceding ones and the first of its signature, of other nodes
+    """Rows that come by sig: each window beside the preceding ones and the first of its signature, of other nodes
     (u, v and the packed places). As u = v come the halves that two nodes share, by their key and -1, and the windows of
     crowds, by their signature and place."""
     kept, count = None, 0  # the last rows and the first of the last row's signature, which had so many rows
-    for batch in batches:
-        if not batch.num_rows:
+    for sig, node, place in _in_order(batches):
+        if not len(sig):
             continue
-        sig, node, place = (batch.column(c).to_numpy() for c in ("sig", "node", "place"))
         old = 0
         if kept is not None:
             old = len(kept[0])
@@ -206,7 +241,7 @@ def _met(batches):
             here = at[at >= lag]
             here = here[(sig[here] == sig[here - lag]) & ~half[here]]
             pairs.append((node[here], node[here - lag], place[here], place[here - lag]))
-        here = at[~half[at]]
+        here = at[~half[at] & ((at - start[at] > LAGS) | (start[at] == 0))]
         pairs.append((node[here], first[here], place[here], first_place[here]))
         u, v, up, vp = map(np.concatenate, zip(*pairs))
         up, vp = up & _PLACE, vp & _PLACE
@@ -214,10 +249,11 @@ def _met(batches):
         swap = u > v
         rows = np.stack([np.where(swap, v, u), np.where(swap, u, v), np.where(swap, vp, up), np.where(swap, up, vp)], axis=1)
         here = at[half[at] & (node[at] != first[at])]
-        shared = [np.stack([x[here], x[here], sig[here], np.full(len(here), -1)], axis=1) for x in (node, first)]
-        rows = np.unique(np.concatenate([rows, *shared]), axis=0)
+        once = here[np.unique(sig[here], return_index=True)[1]]
+        shared = [np.stack([x, x, sig[h], np.full(len(h), -1)], axis=1) for h, x in ((here, node[here]), (once, first[once]))]
         here, count = _crowds(sig, node, half, old, count)
-        rows = np.concatenate([rows, np.stack([node[here], node[here], sig[here], place[here] & _PLACE], axis=1)])
+        rows = np.concatenate([rows, *shared, np.stack([node[here], node[here], sig[here], place[here] & _PLACE], axis=1)])
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
         kept = (sig[-LAGS - 1 :], node[-LAGS - 1 :], place[-LAGS - 1 :], (first[-1], first_place[-1]))
         same = kept[0] == sig[-1]  # the first of the last row's signature is the first of no other
         kept = (*(x[same] for x in kept[:3]), kept[3])
@@ -341,7 +377,8 @@ def aligned(u: np.ndarray, v: np.ndarray) -> tuple[int, int, int, int] | None:
     shared = member(u, v)
     if 9 * np.count_nonzero(shared) < 8 * LEAST:  # no stretch of ``LEAST`` can have enough
         return None
-    for part in (longest(shared), densest(shared)):
+    for stretch in (longest, densest):
+        part = stretch(shared)
         if part and part[1] - part[0] + 1 >= LEAST and (found := similar(u, v, *part)):
             return found
     return None
@@ -350,18 +387,25 @@ def aligned(u: np.ndarray, v: np.ndarray) -> tuple[int, int, int, int] | None:
 def similar(u: np.ndarray, v: np.ndarray, begin: int, end: int) -> tuple[int, int, int, int] | None:
     """The stretch of ``u`` with its counterpart in ``v``, if their sets of shingles are similar enough."""
     one = u[begin : end + 1]
-    at = np.flatnonzero(member(v, one))
     order = np.argsort(one, kind="stable")
-    home = order[np.minimum(np.searchsorted(one[order], v[at]), len(one) - 1)]
-    lag = at - home
-    lags, often = np.unique(lag, return_counts=True)  # of several places in v, one
-    at = at[np.abs(lag - lags[often.argmax()]) <= LEAST]
-    two = v[at.min() : at.max() + 1]
-    ones, twos = set(one.tolist()), set(two.tolist())
-    both = len(ones & twos)
-    if len(two) < LEAST * PERCENT // 100 or 100 * both < PERCENT * (len(ones) + len(twos) - both):
+    values = one[order]
+    place = np.searchsorted(values, v)
+    place[place == len(one)] = 0
+    hit = values[place] == v
+    at = np.flatnonzero(hit)
+    lag = at - order[place[at]]
+    low = int(lag.min())
+    at = at[np.abs(lag - low - np.bincount(lag - low).argmax()) <= LEAST]  # of several places in v, one
+    two = slice(at[0], at[-1] + 1)
+    # how many different shingles: of one, of both, of two alone
+    ones = 1 + np.count_nonzero(values[1:] != values[:-1])
+    met = np.zeros(len(one), bool)
+    met[place[two][hit[two]]] = True
+    both = np.count_nonzero(met)
+    alone = len(set(v[two][~hit[two]].tolist()))
+    if at[-1] + 1 - at[0] < LEAST * PERCENT // 100 or 100 * both < PERCENT * (ones + alone):
         return None
-    return begin, end, int(at.min()), int(at.max())
+    return begin, end, int(at[0]), int(at[-1])
 
 
 def stretches(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -476,41 +520,49 @@ def _around(batches):
                 [pa.array(signed(shingles[at])), pa.array(np.full(len(at), node)), pa.array(at)], ["shingle", "node", "at"])
 
 
-def rarest(rank: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """The places that have, in some stretch of at least ``LEAST`` places ``inside``, at most one place in nine before them by
-    ``rank``. Stretches reach less than 2 * ``LEAST`` to either side; a longer one has a part that is as dense."""
-    reach, found = 2 * LEAST - 1, []
-    padded = np.full(len(rank) + 2 * reach, -1, np.int64)
+def rarest(rank: np.ndarray, inside: np.ndarray, least: int, rate: int) -> np.ndarray:
+    """The places that have, in some stretch of at least ``least`` places ``inside``, at most one place in ``rate`` before
+    them by ``rank``; not those of rank 0. Stretches of less than 2 * ``least`` do: a longer one has a part as dense."""
+    reach, found = 2 * least - 1, []
+    padded = np.full(len(rank) + 2 * reach, -1, np.int32)
     padded[reach:-reach] = np.where(inside, rank, -1)
     views = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1)
     wanted = np.flatnonzero(inside & (rank > 0))
+    more = np.maximum(least - 1 - np.arange(reach + 1), 0)
     for begin in range(0, len(wanted), 1000):
         at = wanted[begin : begin + 1000]
         here = views[at]
-        score = np.where(here < 0, -9 * reach, np.where(here < rank[at][:, None], -8, 1))
-        right = np.cumsum(score[:, reach:], axis=1)  # of the place itself and so many after it
-        left = np.cumsum(np.append(np.zeros((len(at), 1), np.int64), score[:, reach - 1 :: -1], axis=1), axis=1)
+        score = np.where(here < padded[at + reach][:, None], np.int32(1 - rate), np.int32(1))
+        score[here < 0] = -rate * reach
+        right = np.cumsum(score[:, reach:], axis=1, dtype=np.int32)  # of the place itself and so many after it
+        left = np.zeros_like(right)  # of so many before it
+        np.cumsum(score[:, reach - 1 :: -1], axis=1, out=left[:, 1:])
         best = np.maximum.accumulate(right[:, ::-1], axis=1)[:, ::-1]  # of so many or more after it
-        more = np.maximum(LEAST - 1 - np.arange(reach + 1), 0)
         found.append(at[(left + best[:, more]).max(axis=1) >= 0])
     return np.concatenate(found) if found else wanted
 
 
 def _rarest(batches):
-    """The rarest shingles of open windows. Places that are not listed have a shingle that no other node has."""
+    """The rarest shingles of windows, and whether they are those of open ones. Places that are not listed have a shingle
+    that no other node has."""
     for batch in batches:
-        for node, windows, listed in zip(batch.column("node").to_pylist(), batch.column("windows"), batch.column("listed")):
+        for node, *columns in zip(batch.column("node").to_pylist(), *(batch.column(c) for c in ("wanted", "open", "listed"))):
+            wanted, is_open, listed = columns
             at, often, shingle = (listed.values.field(c).to_numpy() for c in ("at", "often", "shingle"))
-            windows = windows.values.to_numpy()
-            size = int(max(at.max(), unpacked(windows)[:, 3].max())) + 1
+            wanted = wanted.values.to_numpy()
+            size = int(max(at.max(), unpacked(wanted)[:, 3].max())) + 1
             order = np.lexsort((shingle, often))
-            new = np.append(True, shingle[order][1:] != shingle[order][:-1])
             rank, shingles = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            rank[at[order]], shingles[at] = np.cumsum(new), shingle
-            found = rarest(rank, around(windows, size))
+            rank[at[order]] = np.cumsum(np.append(True, np.diff(shingle[order]) != 0))  # equal ones have equal ranks
+            shingles[at] = shingle
+            found = rarest(rank, around(wanted, size), LEAST * PERCENT // 100, 5)
             if len(found):
+                inside = np.zeros(size, bool)
+                if is_open.is_valid:
+                    inside[rarest(rank, around(is_open.values.to_numpy(), size), LEAST, 9)] = True
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shingles[found]), pa.array(np.full(len(found), node)), pa.array(found)], ["shingle", "n", "place"])
+                    [pa.array(shingles[found]), pa.array(np.full(len(found), node)), pa.array(found), pa.array(inside[found])],
+                    ["shingle", "node", "at", "open"])
 
 
 def crowded(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, spans: DataFrame) -> DataFrame:
@@ -519,17 +571,18 @@ def crowded(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, spans: DataFra
     windows = crowds.groupBy("node").agg(F.collect_list(F.struct("sig", "place")).alias("windows"))
     left = stored(windows.join(spans, "node", "left").mapInArrow(_open, "sig long, node long, place long"), "open")
     near = crowds.join(bounded(stored(left.select("sig").distinct(), "sigs")), "sig", "left_semi")
-    asked = near.groupBy("node").agg(F.collect_set("place").alias("wanted")).join(nodes.select("node", "one.*"), "node")
-    shingles = stored(read(docs, asked, "crowded").mapInArrow(_around, "shingle long, node long, at long"), "around")
+    near = stored(near.groupBy("node").agg(F.collect_set("place").alias("wanted")), "near")
+    shingles = stored(read(docs, near.join(nodes.select("node", "one.*"), "node"), "crowded").mapInArrow(
+        _around, "shingle long, node long, at long"), "around")
     shared = shingles.groupBy("shingle").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("often")).where(
         "a <> b").select("shingle", "often")
-    # equal rows of a document bring the same places
-    shingles = stored(shingles.join(shared, "shingle").distinct(), "shared")
-    windows = left.groupBy("node").agg(F.collect_set("place").alias("windows"))
-    listed = shingles.join(windows.select("node"), "node", "left_semi").groupBy("node").agg(
-        F.collect_list(F.struct("at", "often", "shingle")).alias("listed"))
-    few = windows.join(listed, "node").mapInArrow(_rarest, "shingle long, n long, place long")
-    met = few.join(shingles, "shingle").where("n <> node")
+    listed = shingles.join(shared, "shingle").groupBy("node").agg(F.collect_list(F.struct("at", "often", "shingle")).alias("listed"))
+    is_open = left.groupBy("node").agg(F.collect_set("place").alias("open"))
+    few = near.join(listed, "node").join(is_open, "node", "left").mapInArrow(
+        _rarest, "shingle long, node long, at long, open boolean")
+    few = stored(few, "rarest")
+    met = few.where("open").select("shingle", F.col("node").alias("n"), F.col("at").alias("place")).join(
+        few.drop("open"), "shingle").where("n <> node")
     swap = F.col("n") > F.col("node")
 
     def ordered(low: str, high: str):
@@ -568,7 +621,7 @@ def passages(docs: DataFrame) -> DataFrame:
         "nodes")
 
     windows = docs.mapInArrow(_windows, "sig long, node long, place long")
-    met = (windows.repartition(F.col("sig")).sortWithinPartitions("sig", "place", "node")
+    met = (windows.repartition(F.col("sig")).sortWithinPartitions("sig")
            .mapInArrow(_met, "u long, v long, up long, vp long"))
     met = stored(met, "met")
     halves_met = met.where("u = v AND vp < 0").selectExpr("u as node", "up as key")

@@ -318,8 +318,10 @@ def test_similar_passages_in_crowded_signatures(spark):
 
 
 @pytest.mark.parametrize("batch", [1, 2, 3, 7, 100])
-def test_windows_of_crowds_whatever_the_batches(batch):
+def test_windows_of_crowds_whatever_the_batches(monkeypatch, batch):
     """All windows of signatures with more than ``LAGS`` + 1 of them come out once, at the border of batches too."""
+    for name in ("TAKEN", "HELD"):
+        monkeypatch.setattr(op3_passage_dedup, name, batch)
     sizes = [1, 6, 5, 3, 13, 1, 6]
     sig = np.repeat(np.arange(len(sizes)), sizes)
     node = np.arange(len(sig))
@@ -334,15 +336,15 @@ def test_windows_of_crowds_whatever_the_batches(batch):
 
 def test_rarest_places_of_all_stretches():
     rng = np.random.default_rng(4)
-    for often in (2, 20, 500):
+    for often, least, rate in ((2, 46, 9), (20, 46, 9), (500, 46, 9), (20, 36, 5), (500, 36, 5)):
         rank, inside = rng.integers(0, often, 160), np.ones(160, bool)
         inside[rng.integers(50, 160, 2)] = False
         brute = set()
         for i in range(160):
-            for j in range(i + op3_passage_dedup.LEAST, 161):
+            for j in range(i + least, 161):
                 if inside[i:j].all():
-                    brute |= {p for p in range(i, j) if rank[p] and 9 * (rank[i:j] < rank[p]).sum() <= j - i}
-        assert set(op3_passage_dedup.rarest(rank, inside).tolist()) == brute
+                    brute |= {p for p in range(i, j) if rank[p] and rate * (rank[i:j] < rank[p]).sum() <= j - i}
+        assert set(op3_passage_dedup.rarest(rank, inside, least, rate).tolist()) == brute
 
 
 def test_a_counterpart_that_occurs_twice():
