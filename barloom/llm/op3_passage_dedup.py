@@ -520,9 +520,10 @@ def _around(batches):
                 [pa.array(signed(shingles[at])), pa.array(np.full(len(at), node)), pa.array(at)], ["shingle", "node", "at"])
 
 
-def rarest(rank: np.ndarray, inside: np.ndarray, least: int, rate: int) -> np.ndarray:
-    """The places that have, in some stretch of at least ``least`` places ``inside``, at most one place in ``rate`` before
-    them by ``rank``; not those of rank 0. Stretches of less than 2 * ``least`` do: a longer one has a part as dense."""
+def rarest(rank: np.ndarray, inside: np.ndarray, least: int, rate: int, centres: np.ndarray | None = None) -> np.ndarray:
+    """The places that have, in some stretch of at least ``least`` places ``inside`` (around one of ``centres``, if given), at
+    most one place in ``rate`` before them by ``rank``; not those of rank 0. Stretches reach less than 2 * ``least`` to
+    either side."""
     reach, found = 2 * least - 1, []
     padded = np.full(len(rank) + 2 * reach, -1, np.int32)
     padded[reach:-reach] = np.where(inside, rank, -1)
@@ -538,7 +539,17 @@ def rarest(rank: np.ndarray, inside: np.ndarray, least: int, rate: int) -> np.nd
         left = np.zeros_like(right)  # of so many before it
         np.cumsum(score[:, reach - 1 :: -1], axis=1, out=left[:, 1:])
         best = np.maximum.accumulate(right[:, ::-1], axis=1)[:, ::-1]  # of so many or more after it
-        found.append(at[(left + best[:, more]).max(axis=1) >= 0])
+        if centres is None:
+            good = (left + best[:, more]).max(axis=1) >= 0
+        else:  # the stretch goes on to the centre before the place, or to the one after it
+            k, steps = np.searchsorted(centres, at, side="right"), np.arange(reach + 1)
+            before = np.where(k > 0, at - centres[k - 1], reach + 1)[:, None]
+            after = np.where(k < len(centres), centres[np.minimum(k, len(centres) - 1)] - at, reach + 1)[:, None]
+            good = np.where(steps >= before, left + best[:, more], -1).max(axis=1) >= 0
+            right = np.where(steps >= after, right, -rate * reach * reach)
+            best = np.maximum.accumulate(right[:, ::-1], axis=1)[:, ::-1]
+            good |= (left + best[:, more]).max(axis=1) >= 0
+        found.append(at[good])
     return np.concatenate(found) if found else wanted
 
 
@@ -559,10 +570,16 @@ def _rarest(batches):
             if len(found):
                 inside = np.zeros(size, bool)
                 if is_open.is_valid:
-                    inside[rarest(rank, around(is_open.values.to_numpy(), size), LEAST, 9)] = True
+                    windows = is_open.values.to_numpy()
+                    inside[rarest(rank, around(windows, size), LEAST, 9, np.unique(unpacked(windows)[:, 2]))] = True
+                # those of one shingle that are near each other as one
+                order = np.lexsort((found, found // (2 * LEAST), rank[found], inside[found]))
+                found = found[order]
+                new = np.append(True, (np.diff(rank[found]) != 0) | (np.diff(found // (2 * LEAST)) != 0) | (np.diff(inside[found]) != 0))
+                first, last = found[new], found[np.append(new[1:], True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shingles[found]), pa.array(np.full(len(found), node)), pa.array(found), pa.array(inside[found])],
-                    ["shingle", "node", "at", "open"])
+                    [pa.array(shingles[first]), pa.array(np.full(len(first), node)), pa.array(first), pa.array(last),
+                     pa.array(inside[first])], ["shingle", "node", "low", "high", "open"])
 
 
 def crowded(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, spans: DataFrame) -> DataFrame:
@@ -579,23 +596,21 @@ def crowded(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, spans: DataFra
     listed = shingles.join(shared, "shingle").groupBy("node").agg(F.collect_list(F.struct("at", "often", "shingle")).alias("listed"))
     is_open = left.groupBy("node").agg(F.collect_set("place").alias("open"))
     few = near.join(listed, "node").join(is_open, "node", "left").mapInArrow(
-        _rarest, "shingle long, node long, at long, open boolean")
+        _rarest, "shingle long, node long, low long, high long, open boolean")
     few = stored(few, "rarest")
-    met = few.where("open").select("shingle", F.col("node").alias("n"), F.col("at").alias("place")).join(
+    met = few.where("open").select("shingle", F.col("node").alias("n"), F.col("low").alias("from"), F.col("high").alias("to")).join(
         few.drop("open"), "shingle").where("n <> node")
     swap = F.col("n") > F.col("node")
-
-    def ordered(low: str, high: str):
-        return F.when(swap, F.col(high)).otherwise(F.col(low)), F.when(swap, F.col(low)).otherwise(F.col(high))
-
-    (u, v), (ub, vb) = ordered("n", "node"), ordered("place", "at")
-    met = met.select(u.alias("u"), v.alias("v"), ub.alias("ub"), vb.alias("vb"))
+    sides = [(F.when(swap, F.col(y)).otherwise(F.col(x)), F.when(swap, F.col(x)).otherwise(F.col(y)))
+             for x, y in (("n", "node"), ("from", "low"), ("to", "high"))]
+    met = met.select(*(c.alias(a) for names, side in zip((("u", "v"), ("ub", "vb"), ("ue", "ve")), sides)
+                       for a, c in zip(names, side)))
     # along one diagonal, as far as the places are near each other
-    met = met.groupBy("u", "v", F.floor((F.col("vb") - F.col("ub")) / LEAST), F.floor(F.col("ub") / (2 * LEAST))).agg(
-        *(f(c).alias(n + c) for c in ("ub", "vb") for n, f in (("low", F.min), ("high", F.max))))
-    zero, wide = F.lit(0).cast("long"), 2 * LEAST
-    return met.select("u", "v", F.greatest(zero, F.col("lowub") - wide).alias("uf"), (F.col("highub") + wide).alias("ut"),
-                      F.greatest(zero, F.col("lowvb") - wide).alias("vf"), (F.col("highvb") + wide).alias("vt"))
+    wide, zero = 2 * LEAST, F.lit(0).cast("long")
+    met = met.groupBy("u", "v", F.floor((F.col("vb") - F.col("ub")) / wide), F.floor(F.col("ub") / wide)).agg(
+        F.min("ub").alias("ub"), F.max("ue").alias("ue"), F.min("vb").alias("vb"), F.max("ve").alias("ve"))
+    return met.select("u", "v", F.greatest(zero, F.col("ub") - wide).alias("uf"), (F.col("ue") + wide).alias("ut"),
+                      F.greatest(zero, F.col("vb") - wide).alias("vf"), (F.col("ve") + wide).alias("vt"))
 
 
 def covered(spans: DataFrame) -> DataFrame:

@@ -339,12 +339,19 @@ def test_rarest_places_of_all_stretches():
     for often, least, rate in ((2, 46, 9), (20, 46, 9), (500, 46, 9), (20, 36, 5), (500, 36, 5)):
         rank, inside = rng.integers(0, often, 160), np.ones(160, bool)
         inside[rng.integers(50, 160, 2)] = False
-        brute = set()
+        centres = np.sort(rng.choice(160, 2, replace=False))
+        brute, short, beside = set(), set(), set()  # longer stretches have parts as dense
         for i in range(160):
             for j in range(i + least, 161):
                 if inside[i:j].all():
-                    brute |= {p for p in range(i, j) if rank[p] and rate * (rank[i:j] < rank[p]).sum() <= j - i}
-        assert set(op3_passage_dedup.rarest(rank, inside, least, rate).tolist()) == brute
+                    places = {p for p in range(i, j) if rank[p] and rate * (rank[i:j] < rank[p]).sum() <= j - i}
+                    brute |= places
+                    short |= places if j - i < 2 * least else set()
+                    if np.any((centres >= i) & (centres < j)) and j - i < 2 * least:
+                        beside |= places
+        assert short <= set(op3_passage_dedup.rarest(rank, inside, least, rate).tolist()) <= brute
+        found = set(op3_passage_dedup.rarest(rank, inside, least, rate, centres).tolist())
+        assert beside <= found <= brute
 
 
 def test_a_counterpart_that_occurs_twice():
