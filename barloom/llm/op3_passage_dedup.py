@@ -422,11 +422,9 @@ def stretches(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int, int, int]]:
 def _verified(batches):
     for batch in batches:
         out = []
-        ranges = zip(*(batch.column(c).to_pylist() for c in ("u", "v", "uf", "ut", "vf", "vt")))
-        for (u, v, uf, ut, vf, vt), one, two in zip(ranges, batch.column("one"), batch.column("two")):
-            one = np.frombuffer(one.as_buffer(), np.int64)[uf % GRID : uf % GRID + ut - uf + 1]
-            two = np.frombuffer(two.as_buffer(), np.int64)[vf % GRID : vf % GRID + vt - vf + 1]
-            for found in stretches(one, two):
+        ranges = zip(*(batch.column(c).to_pylist() for c in ("u", "v", "uf", "vf")))
+        for (u, v, uf, vf), one, two in zip(ranges, batch.column("one"), batch.column("two")):
+            for found in stretches(*(np.frombuffer(x.as_buffer(), np.int64) for x in (one, two))):
                 out.append((u, uf + found[0], uf + found[1] + WORDS))
                 out.append((v, vf + found[2], vf + found[3] + WORDS))
         columns = list(zip(*out)) or [()] * 3
@@ -446,7 +444,7 @@ def ranges(pairs: DataFrame) -> DataFrame:
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The passages (node, begin, end) of the candidates ``pairs`` (u, v, uf, ut, vf, vt). Each range is cut once; the
-    pairs are joined to it."""
+    pairs are joined to it and keep their part."""
     asked = (ranges(pairs).join(nodes.select("node", "one.*"), "node").groupBy("node", "doc_id", "same")
              .agg(F.collect_list(F.struct("begin", "end")).alias("wanted")))
     slices = stored(read(docs, asked, "asked").mapInArrow(_slices, "node long, begin long, end long, data binary")
@@ -456,8 +454,9 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         found = slices.select(F.col("node").alias(side), F.col("begin").alias(f"{side}b"), F.col("end").alias(f"{side}e"),
                               F.col("data").alias(data))
         pairs = pairs.withColumns({f"{side}b": begin - begin % GRID, f"{side}e": end - end % GRID + GRID}).join(
-            found, [side, f"{side}b", f"{side}e"])
-    return pairs.select("u", "v", "uf", "ut", "vf", "vt", "one", "two").mapInArrow(
+            found, [side, f"{side}b", f"{side}e"]).withColumn(data, F.substring(
+                data, (begin - F.col(f"{side}b")).cast("int") * 8 + 1, (end - begin + 1).cast("int") * 8)).drop(f"{side}b", f"{side}e")
+    return pairs.select("u", "v", "uf", "vf", "one", "two").mapInArrow(
         _verified, "node long, begin long, end long")
 
 
