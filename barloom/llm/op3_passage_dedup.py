@@ -26,12 +26,14 @@ equal rows are passages of each other.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded, grams, mix, signed, stored, texts, word_hashes
+from barloom.llm.common import bounded, grams, mix, signed, stored, texts, words_of
 
 WORDS, PERCENT = 5, 80
 #: Shortest passage, in words and in shingles.
@@ -42,8 +44,8 @@ HASHES, ENOUGH = 4, 2
 HALF = LEAST // 2
 #: Preceding windows of a signature that a window is joined with at first.
 LAGS = 4
-#: Shingles of documents whose windows are made together.
-TOGETHER = 50_000
+#: Bytes of texts that are hashed together, and shingles of documents whose windows are made together.
+HASHED, TOGETHER = 1 << 18, 50_000
 #: Windows that are ordered together; of one signature, so many, which are ordered in parts beyond.
 TAKEN, HELD = 30_000, 1_000_000
 #: Ranges of shingles are read with bounds at multiples of this.
@@ -56,15 +58,41 @@ _PLACE = (1 << 48) - 1
 _SIDES = mix(np.arange(1, 3, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def sequence(raw: bytes) -> tuple[int, np.ndarray]:
-    """Number of words, and the shingles in order."""
-    words = word_hashes(raw, lower=True)
-    return len(words), grams(words, WORDS)
+def sequences(raws: Iterable[bytes]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Number of words, and the shingles in order, of each text; some at a time."""
+    held, size = [], 0
+    for raw in raws:
+        if held and size + len(raw) > HASHED:
+            yield _sequences(held)
+            held, size = [], 0
+        held.append(raw)
+        size += len(raw)
+    if held:
+        yield _sequences(held)
+
+
+def _sequences(raws: list[bytes]) -> list[tuple[int, np.ndarray]]:
+    words, counts = words_of(raws, lower=True)
+    together = grams(words, WORDS)
+    return [(n, together[end - n : end - WORDS + 1] if n >= WORDS else grams(words[end - n : end], WORDS))
+            for n, end in zip(counts.tolist(), np.cumsum(counts).tolist())]
+
+
+def each(raws: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """The shingles of each text."""
+    for some in sequences(raws):
+        for _, shingles in some:
+            yield shingles
 
 
-def node_of(shingles: np.ndarray) -> int:
-    places = np.arange(1, len(shingles) + 1, dtype=np.uint64)
-    return int(mix(shingles ^ mix(places)).sum(dtype=np.uint64).view(np.int64))
+def nodes_of(parts: list[np.ndarray]) -> list[int]:
+    """A hash of each sequence."""
+    sizes = np.array([len(x) for x in parts], np.int64)
+    ends = np.cumsum(sizes)
+    places = np.arange(1, ends[-1] + 1, dtype=np.uint64) - np.repeat(ends - sizes, sizes).astype(np.uint64)
+    sums = np.zeros(ends[-1] + 1, np.uint64)
+    np.cumsum(mix(np.concatenate(parts) ^ mix(places)), out=sums[1:])
+    return signed(sums[ends] - sums[ends - sizes]).tolist()
 
 
 def compact_windows(values: np.ndarray) -> list[tuple[int, int, int]]:
@@ -81,29 +109,57 @@ def compact_windows(values: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
+def _runwise(least: np.ufunc, values: np.ndarray) -> np.ndarray:
+    """Minima (or maxima) of all runs of ``LEAST`` values."""
+    out, width = values, 1
+    while 2 * width <= LEAST:
+        out, width = least(out[:-width], out[width:]), 2 * width
+    return least(out[: len(values) - LEAST + 1], out[LEAST - width :])
+
+
 def forest(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The compact windows of several sequences, each a part [begin, end) of ``values``: all trees level by level."""
-    out = [np.zeros((0, 3), np.int64)]
-    while True:
-        keep = ends - begins >= LEAST
-        begins, ends = begins[keep], ends[keep]
-        if len(begins) < 12:  # deep branches one by one
-            return np.concatenate(out + [np.array(compact_windows(values[b:e]), np.int64) + b
-                                         for b, e in zip(begins.tolist(), ends.tolist())])
-        sizes = ends - begins
-        starts = np.cumsum(sizes) - sizes
-        at = np.repeat(begins - starts, sizes) + np.arange(sizes.sum())
-        here = values[at]
-        least = np.flatnonzero(here == np.repeat(np.minimum.reduceat(here, starts), sizes))
-        centre = at[least[np.searchsorted(least, starts)]]
-        out.append(np.stack([begins, centre, ends - 1], axis=1))
-        begins, ends = np.concatenate([begins, centre + 1]), np.concatenate([centre, ends])
+    """The compact windows of several sequences, each a part [begin, end) of ``values``, in order of their centres.
+
+    A centre is the smallest value of a run of ``LEAST``. What bounds its window, the smaller values next to it, are
+    centres of larger windows."""
+    keep = ends - begins >= LEAST
+    begins, ends = begins[keep], ends[keep]
+    if not len(begins):
+        return np.zeros((0, 3), np.int64)
+    least = _runwise(np.minimum, values)
+    change = np.zeros(len(least) + 1, np.int8)
+    change[begins] = 1
+    change[ends - LEAST + 1] = -1
+    padded = np.zeros(len(least) + 2 * (LEAST - 1), np.uint64)
+    np.copyto(padded[LEAST - 1 : 1 - LEAST], least, where=np.cumsum(change[:-1], dtype=np.int8).view(bool))
+    at = np.flatnonzero(_runwise(np.maximum, padded) == values)  # with all equal values, and some of 0
+    owner = np.searchsorted(begins, at, side="right") - 1
+    inside = (owner >= 0) & (at < ends[owner])
+    at, owner = at[inside], owner[inside]
+    value = values[at]
+    first, last = np.searchsorted(owner, owner), np.searchsorted(owner, owner, side="right") - 1
+    before, after = np.arange(len(at)) - 1, np.arange(len(at)) + 1
+    here = np.arange(len(at))
+    while len(here):  # from one larger value to the one before it that is smaller, or not known to be larger
+        here = here[before[here] >= first[here]]
+        here = here[value[before[here]] > value[here]]
+        before[here] = before[before[here]]
+    here = np.arange(len(at))
+    while len(here):
+        here = here[after[here] <= last[here]]
+        here = here[value[after[here]] >= value[here]]
+        after[here] = after[after[here]]
+    left = np.where(before >= first, at[before] + 1, begins[owner])
+    right = np.where(after <= last, at[np.minimum(after, len(at) - 1)], ends[owner]) - 1
+    return np.stack([left, at, right], axis=1)[right - left + 1 >= LEAST]
 
 
 def _nodes(batches):
     for batch in batches:
-        rows = [(n, node_of(s)) for n, s in map(sequence, texts(batch))]
-        n, node = zip(*rows) if rows else ((), ())
+        n, node = [], []
+        for some in sequences(texts(batch)):
+            n += [count for count, _ in some]
+            node += nodes_of([shingles for _, shingles in some])
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("same"), pa.array(n, pa.int64()),
                                           pa.array(node, pa.int64())], ["doc_id", "same", "n_words", "node"])
 
@@ -137,12 +193,17 @@ def _smallest(hashed: np.ndarray, centres: np.ndarray) -> list[np.ndarray]:
     return [views[centres - HALF + 1].min(axis=1), views[centres].min(axis=1)]
 
 
-def windows_of(nodes: list[int], sequences: list[np.ndarray]) -> list[np.ndarray]:
-    """(sig, node, place) of the windows and halves of several sequences, which lie in one array with gaps of ``HALF``."""
-    sizes = np.array([len(x) for x in sequences])
+def apart(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Several sequences in one array with gaps of ``HALF`` zeros, where each begins, and their sizes."""
+    sizes = np.array([len(x) for x in parts])
     gap = np.zeros(HALF, np.uint64)
-    shingles = np.concatenate([gap] + [x for one in sequences for x in (one, gap)])
-    begins = HALF + np.cumsum(sizes + HALF) - sizes - HALF
+    together = np.concatenate([gap] + [x for one in parts for x in (one, gap)])
+    return together, HALF + np.cumsum(sizes + HALF) - sizes - HALF, sizes
+
+
+def windows_of(nodes: list[int], parts: list[np.ndarray]) -> list[np.ndarray]:
+    """(sig, node, place) of the windows and halves of several sequences."""
+    shingles, begins, sizes = apart(parts)
     empty = np.ones(len(shingles), bool)
     empty[np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = False
     nodes, out = np.array(nodes, np.int64), []
@@ -169,17 +230,17 @@ def _windows(batches):
     names = ["sig", "node", "place"]
     held, size = {}, 0
     for batch in batches:
-        for raw in texts(batch):
-            n, shingles = sequence(raw)
-            node = node_of(shingles)
-            if n < LEAST_WORDS or node in seen or node in held:
-                continue
-            if len(seen) < SEEN:
-                seen.add(node)
-            held[node], size = shingles, size + len(shingles)
-            if size > TOGETHER:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in windows_of(list(held), list(held.values()))], names)
-                held, size = {}, 0
+        for some in sequences(texts(batch)):
+            some = [shingles for n, shingles in some if n >= LEAST_WORDS]
+            for node, shingles in zip(nodes_of(some) if some else (), some):
+                if node in seen or node in held:
+                    continue
+                if len(seen) < SEEN:
+                    seen.add(node)
+                held[node], size = shingles, size + len(shingles)
+                if size > TOGETHER:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in windows_of(list(held), list(held.values()))], names)
+                    held, size = {}, 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in windows_of(list(held), list(held.values()))], names)
 
@@ -278,38 +339,49 @@ def _crowds(sig: np.ndarray, node: np.ndarray, half: np.ndarray, old: int, count
     return np.flatnonzero(here), int(total[-1])
 
 
+def runs_of(nodes: list[int], parts: list[np.ndarray], wanted: list[np.ndarray]) -> list[np.ndarray]:
+    """Hash, node and place of every run of ``LEAST`` shingles around a wanted half of several sequences."""
+    shingles, begins, sizes = apart(parts)
+    at = forest(mix(shingles ^ _SEEDS[0]), begins, begins + sizes)
+    owner = np.searchsorted(begins, at[:, 1], side="right") - 1
+    one, two, has_one, has_two = halves(shingles, at)
+    salt = mix(np.arange(len(parts), dtype=np.uint64))  # a half is wanted of one sequence
+    keys = np.concatenate(wanted).view(np.uint64) ^ np.repeat(salt, [len(x) for x in wanted])
+    has_one, has_two = (has & np.isin(half.view(np.uint64) ^ salt[owner], keys) for half, has in ((one, has_one), (two, has_two)))
+    change = np.zeros(len(shingles) + 1, np.int64)
+    left, centre, right = at.T
+    low, high = np.maximum(left, centre - LEAST + 1), np.minimum(centre, right - LEAST + 1)
+    for first, last, has in ((low, np.minimum(high, centre - HALF + 1), has_one),
+                             (np.maximum(low, centre + HALF - LEAST), high, has_two)):
+        has = has & (first <= last)
+        np.add.at(change, first[has], 1)
+        np.add.at(change, last[has] + 1, -1)
+    begin = np.flatnonzero(np.cumsum(change)[:-1] > 0)
+    owner = np.searchsorted(begins, begin, side="right") - 1
+    return [signed(grams(shingles, LEAST)[begin]), np.array(nodes, np.int64)[owner], (begin - begins[owner]).astype(np.int32)]
+
+
 def _runs(batches):
     """Hash and place of every run of ``LEAST`` shingles around a wanted half."""
     for batch in batches:
-        for node, raw, wanted in zip(batch.column("node").to_pylist(), texts(batch), batch.column("wanted")):
-            _, shingles = sequence(raw)
-            at = np.array(compact_windows(mix(shingles ^ _SEEDS[0])), np.int64)
-            one, two, has_one, has_two = halves(shingles, at)
-            wanted = np.array(wanted.as_py(), np.int64)
-            has_one, has_two = has_one & np.isin(one, wanted), has_two & np.isin(two, wanted)
-            change = np.zeros(len(shingles) + 1, np.int64)
-            left, centre, right = at[:, 0], at[:, 1], at[:, 2]
-            low, high = np.maximum(left, centre - LEAST + 1), np.minimum(centre, right - LEAST + 1)
-            for begins, ends, has in ((low, np.minimum(high, centre - HALF + 1), has_one),
-                                      (np.maximum(low, centre + HALF - LEAST), high, has_two)):
-                has = has & (begins <= ends)
-                np.add.at(change, begins[has], 1)
-                np.add.at(change, ends[has] + 1, -1)
-            begin = np.flatnonzero(np.cumsum(change)[:-1] > 0)
-            if len(begin):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(grams(shingles, LEAST)[begin])), pa.array(np.full(len(begin), node)),
-                     pa.array(begin.astype(np.int32))], ["run", "node", "begin"])
+        nodes = batch.column("node").to_pylist()
+        wanted = [x.values.to_numpy() for x in batch.column("wanted")]
+        done = 0
+        for some in sequences(texts(batch)):
+            part = slice(done, done + len(some))
+            done += len(some)
+            found = runs_of(nodes[part], [shingles for _, shingles in some], wanted[part])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["run", "node", "begin"])
 
 
 def candidates(owner: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranges (u from, u to, v from, v to) where windows of enough functions meet, and the owner of each. Rows of ``group``
-    are (fn, ul, uc, ur, vl, vc, vr); those of one owner are of one pair of nodes."""
+    are (fn, ul, uc, ur, vl, vc, vr); those of one owner, a small number, are of one pair of nodes."""
     lag = group[:, 5] - group[:, 2]
-    order = np.lexsort((lag, owner))
+    order = np.argsort((owner << 33) + lag)  # centres have 32 bits
     owner, group, lag = owner[order], group[order], lag[order]
     line = np.cumsum(np.append(0, (np.diff(owner) != 0) | (np.diff(lag) > LEAST)))  # along one diagonal
-    order = np.lexsort((group[:, 2], line))
+    order = np.argsort((line << 32) + group[:, 2])
     group, line = group[order], line[order]  # owners stay where they are
     starts = np.flatnonzero(np.append(True, (np.diff(line) != 0) | (np.diff(group[:, 2]) > 2 * LEAST)))
     met = np.bitwise_count(np.bitwise_or.reduceat(1 << group[:, 0], starts)) >= ENOUGH
@@ -320,115 +392,190 @@ def candidates(owner: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _candidates(batches):
+    """Rows (u, v, up, vp) that come pair by pair: the candidates of whole pairs."""
+    held, size, enough = [], 0, TAKEN
+
+    def work(whole: bool):
+        nonlocal held, size, enough
+        u, v, up, vp = (np.concatenate(x) for x in zip(*held))
+        starts = np.flatnonzero(np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])))
+        cut = len(u) if whole else int(starts[-1])  # the last pair may go on
+        held, size = [tuple(x[cut:] for x in (u, v, up, vp))], len(u) - cut
+        enough = TAKEN + 2 * size
+        starts = starts[starts < cut]
+        if not len(starts):
+            return
+        # pairs that do not meet in enough functions at all are left out
+        met = np.bitwise_count(np.bitwise_or.reduceat(1 << (up[:cut] >> 44 & 15), starts)) >= ENOUGH
+        owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, cut)))
+        keep = np.flatnonzero(met[owner])
+        if len(keep):
+            owner, found = candidates(owner[keep], np.hstack([unpacked(up[keep]), unpacked(vp[keep])[:, 1:]]))
+            at = starts[owner]
+            yield pa.RecordBatch.from_arrays([pa.array(u[at]), pa.array(v[at]), *(
+                pa.array(np.ascontiguousarray(c)) for c in found.T)], ["u", "v", "uf", "ut", "vf", "vt"])
+
     for batch in batches:
         if batch.num_rows:
-            ups, vps = batch.column("ups"), batch.column("vps")
-            owner = np.repeat(np.arange(len(ups)), np.diff(ups.offsets.to_numpy()))
-            one, two = (unpacked(x.flatten().to_numpy()) for x in (ups, vps))
-            owner, found = candidates(owner, np.hstack([one, two[:, 1:]]))
-            take = pa.array(owner)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("u").take(take), batch.column("v").take(take), *(pa.array(np.ascontiguousarray(c)) for c in found.T)],
-                ["u", "v", "uf", "ut", "vf", "vt"])
+            held.append(tuple(batch.column(c).to_numpy() for c in ("u", "v", "up", "vp")))
+            size += batch.num_rows
+            if size >= enough:
+                yield from work(False)
+    if size:
+        yield from work(True)
 
 
 def _slices(batches):
     for batch in batches:
-        for node, raw, wanted in zip(batch.column("node").to_pylist(), texts(batch), batch.column("wanted").to_pylist()):
-            _, shingles = sequence(raw)
-            for at in range(0, len(wanted), 64):
-                part = wanted[at : at + 64]
+        nodes, parts = batch.column("node").to_numpy(), batch.column("wanted")
+        for node, shingles, wanted in zip(nodes, each(texts(batch)), parts):
+            begin, end = (wanted.values.field(c).to_numpy() for c in ("begin", "end"))
+            shingles = signed(shingles)
+            for at in range(0, len(begin), 64):
+                b, e = begin[at : at + 64], end[at : at + 64]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([node] * len(part), pa.int64()), pa.array([w["begin"] for w in part], pa.int64()),
-                     pa.array([w["end"] for w in part], pa.int64()),
-                     pa.array([signed(shingles[w["begin"] : w["end"]]).tobytes() for w in part], pa.binary())],
+                    [pa.array(np.full(len(b), node)), pa.array(b), pa.array(e),
+                     pa.array([shingles[x:y].tobytes() for x, y in zip(b.tolist(), e.tolist())], pa.binary())],
                     ["node", "begin", "end", "data"])
 
 
-def member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Whether each of a few values is one of a few others."""
-    ordered = np.sort(among)
-    at = np.searchsorted(ordered, values)
-    at[at == len(ordered)] = 0
-    return ordered[at] == values
-
-
-def longest(shared: np.ndarray) -> tuple[int, int] | None:
-    """First and last place of the longest stretch of which at least eight of nine places are true."""
-    sums = np.append(0, np.cumsum(np.where(shared, 1, -8)))
-    lowest = np.minimum.accumulate(sums[:-1])
-    begins = np.searchsorted(-lowest, -sums[1:])  # the first place before which the sum is not above the one at the end
-    lengths = np.arange(1, len(sums)) - begins
-    end = int(np.argmax(lengths))
-    return (int(begins[end]), end) if lengths[end] > 0 else None
-
-
-def densest(shared: np.ndarray) -> tuple[int, int] | None:
-    """The stretch of the largest sum, a shared shingle counting 1 and another -8."""
-    score = np.cumsum(np.where(shared, 1, -8))
-    low = np.minimum.accumulate(np.append(0, score[:-1]))
-    end = int(np.argmax(score - low))
-    return (int(np.flatnonzero(np.append(0, score[:end]) == low[end])[-1]), end) if shared[end] else None
+def flat(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of several ranges [begin, end), one after the other, where each begins, and the range of each place."""
+    sizes = end - begin
+    starts = np.cumsum(sizes) - sizes
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(row)) + (begin - starts)[row], starts, row
+
+
+def _first(good: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of each range, the first place that is good; each has one."""
+    at = np.flatnonzero(good)
+    return at[np.searchsorted(at, starts)]
+
+
+class Pairs:
+    """Several pairs of sequences of shingles, u and v, compared abreast. Places count on from one u (or v) to the next."""
+
+    def __init__(self, ones: list[np.ndarray], twos: list[np.ndarray]):
+        n, sizes = len(ones), np.array([len(x) for x in ones + twos])
+        salt = mix(np.arange(n, dtype=np.uint64))  # shingles of different pairs are different
+        values = np.concatenate(ones + twos).view(np.uint64) ^ np.repeat(np.append(salt, salt), sizes)
+        known, ids = np.unique(values, return_inverse=True)
+        cut = int(sizes[:n].sum())
+        self.u, self.v = ids[:cut], ids[cut:]
+        self.u_end, self.v_end = np.cumsum(sizes[:n]), np.cumsum(sizes[n:])
+        self.u_begin, self.v_begin = self.u_end - sizes[:n], self.v_end - sizes[n:]
+        has = np.zeros(len(known), bool)
+        has[self.v] = True
+        self.shared = has[self.u]
+        self.sums = np.append(0, np.cumsum(np.where(self.shared, 1, -8)))
+        self.place, self.once = np.full(len(known), -1), np.zeros(len(known), np.int64)
+
+    def _scores(self, begin: np.ndarray, end: np.ndarray):
+        """Sums before and after each place of the ranges, a shared shingle counting 1 and another -8, and the lowest so far."""
+        at, starts, row = flat(begin, end)
+        base, apart_ = self.sums[begin][row], row << 32
+        before, after = self.sums[at] - base, self.sums[at + 1] - base
+        return before, after, np.minimum.accumulate(before - apart_) + apart_, starts, row
+
+    def longest(self, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place of the longest stretch of which at least eight of nine places are shared."""
+        _, after, lowest, starts, row = self._scores(begin, end)
+        first = np.searchsorted((row << 32) - lowest, (row << 32) - after)  # before which the sum is not above the one at the end
+        lengths = np.arange(1, len(row) + 1) - first
+        last = _first(lengths == np.maximum.reduceat(lengths, starts)[row], starts)
+        return begin + first[last] - starts, begin + last - starts
+
+    def densest(self, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The stretch of the largest sum."""
+        before, after, lowest, starts, row = self._scores(begin, end)
+        score = after - lowest
+        last = _first(score == np.maximum.reduceat(score, starts)[row], starts)
+        first = np.maximum.accumulate(np.where(before == lowest, np.arange(len(row)), 0))[last]
+        return begin + first - starts, begin + last - starts
+
+    def similar(self, pair: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether the stretches [begin, end] of u, one of a pair, have counterparts in v whose sets of shingles are similar
+        enough, and the first and last place of these."""
+        at, starts, row = flat(begin, end + 1)
+        ids, offset = self.u[at], at - begin[row]
+        self.place[ids[::-1]] = offset[::-1]  # the first of equal ones
+        ones = np.add.reduceat((self.place[ids] == offset).astype(np.int64), starts)
+        base = self.v_begin[pair]
+        at, _, row = flat(base, self.v_end[pair])
+        place = self.place[self.v[at]]
+        hit = np.flatnonzero(place >= 0)
+        at, row = at[hit], row[hit]
+        lag = at - base[row] - place[hit]
+        # of several places in v, the one with the most
+        lags, often = np.unique((row << 34) + lag + (1 << 33), return_counts=True)
+        starts = np.searchsorted(lags >> 34, np.arange(len(pair)))
+        most = _first(often == np.maximum.reduceat(often, starts)[lags >> 34], starts)
+        near = np.abs(lag - (lags[most] & (1 << 34) - 1)[row] + (1 << 33)) <= LEAST
+        at, row = at[near], row[near]
+        rows = np.arange(len(pair))
+        first, last = at[np.searchsorted(row, rows)], at[np.searchsorted(row, rows, side="right") - 1]
+        # how many different shingles: of both, of v alone
+        two, starts, row = flat(first, last + 1)
+        two, count = self.v[two], np.arange(len(two))
+        self.once[two[::-1]] = count[::-1]
+        different, met = self.once[two] == count, self.place[two] >= 0
+        both, alone = (np.add.reduceat((different & x).astype(np.int64), starts) for x in (met, ~met))
+        self.place[ids] = -1
+        good = (last + 1 - first >= LEAST * PERCENT // 100) & (100 * both >= PERCENT * (ones + alone))
+        return good, first, last
+
+    def passages(self) -> np.ndarray:
+        """Rows (pair, first and last shingle in u, in v) of the passages: in each u the longest stretch, or the densest if the
+        longest, which may reach over several places of v, is not similar to one of them; then those in what is left of u on
+        either side."""
+        pending = np.stack([np.arange(len(self.u_end)), self.u_begin, self.u_end], axis=1)
+        found = [np.zeros((0, 5), np.int64)]
+        while len(pending):
+            pair, begin, end = pending.T
+            # a stretch of ``LEAST`` has enough shared ones
+            pending = pending[(end - begin >= LEAST) & (self.sums[end] - self.sums[begin] + 8 * (end - begin) >= 8 * LEAST)]
+            now = np.unique(pending[:, 0], return_index=True)[1]  # one of each pair
+            (pair, begin, end), pending = pending[now].T, np.delete(pending, now, axis=0)
+            seen = None
+            for stretch in (self.longest, self.densest):
+                if not len(pair):
+                    break
+                first, last = stretch(begin, end)
+                asked = last - first + 1 >= LEAST
+                if seen is not None:
+                    asked &= (first != seen[0]) | (last != seen[1])
+                good, there, until = np.zeros(len(pair), bool), np.zeros_like(pair), np.zeros_like(pair)
+                if asked.any():
+                    good[asked], there[asked], until[asked] = self.similar(pair[asked], first[asked], last[asked])
+                p = pair[good]
+                found.append(np.stack([p, first[good] - self.u_begin[p], last[good] - self.u_begin[p],
+                                       there[good] - self.v_begin[p], until[good] - self.v_begin[p]], axis=1))
+                pending = np.concatenate([pending, np.stack([p, begin[good], first[good]], axis=1),
+                                          np.stack([p, last[good] + 1, end[good]], axis=1)])
+                pair, begin, end, seen = pair[~good], begin[~good], end[~good], (first[~good], last[~good])
+        return np.concatenate(found)
 
 
 def aligned(u: np.ndarray, v: np.ndarray) -> tuple[int, int, int, int] | None:
-    """The passage of ``u`` and ``v`` (first and last shingle of each), if there is one: the longest stretch, or the
-    densest if the longest, which may reach over several places of ``v``, is not similar to one of them."""
-    shared = member(u, v)
-    if 9 * np.count_nonzero(shared) < 8 * LEAST:  # no stretch of ``LEAST`` can have enough
-        return None
-    for stretch in (longest, densest):
-        part = stretch(shared)
-        if part and part[1] - part[0] + 1 >= LEAST and (found := similar(u, v, *part)):
-            return found
-    return None
-
-
-def similar(u: np.ndarray, v: np.ndarray, begin: int, end: int) -> tuple[int, int, int, int] | None:
-    """The stretch of ``u`` with its counterpart in ``v``, if their sets of shingles are similar enough."""
-    one = u[begin : end + 1]
-    order = np.argsort(one, kind="stable")
-    values = one[order]
-    place = np.searchsorted(values, v)
-    place[place == len(one)] = 0
-    hit = values[place] == v
-    at = np.flatnonzero(hit)
-    lag = at - order[place[at]]
-    low = int(lag.min())
-    at = at[np.abs(lag - low - np.bincount(lag - low).argmax()) <= LEAST]  # of several places in v, one
-    two = slice(at[0], at[-1] + 1)
-    # how many different shingles: of one, of both, of two alone
-    ones = 1 + np.count_nonzero(values[1:] != values[:-1])
-    met = np.zeros(len(one), bool)
-    met[place[two][hit[two]]] = True
-    both = np.count_nonzero(met)
-    alone = len(set(v[two][~hit[two]].tolist()))
-    if at[-1] + 1 - at[0] < LEAST * PERCENT // 100 or 100 * both < PERCENT * (ones + alone):
-        return None
-    return begin, end, int(at[0]), int(at[-1])
-
-
-def stretches(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """The passages of ``u`` and ``v``: the longest, and those in what is left of ``u`` on either side."""
-    out, stack = [], [(0, len(u))]
-    while stack:
-        begin, end = stack.pop()
-        if end - begin >= LEAST and (found := aligned(u[begin:end], v)):
-            out.append((begin + found[0], begin + found[1], found[2], found[3]))
-            stack += [(begin, begin + found[0]), (begin + found[1] + 1, end)]
-    return out
+    """The first passage of ``u`` and ``v`` (first and last shingle of each), if there is one."""
+    found = Pairs([u], [v]).passages()
+    return tuple(found[0, 1:].tolist()) if len(found) else None
 
 
 def _verified(batches):
     for batch in batches:
-        out = []
-        ranges = zip(*(batch.column(c).to_pylist() for c in ("u", "v", "uf", "vf")))
-        for (u, v, uf, vf), one, two in zip(ranges, batch.column("one"), batch.column("two")):
-            for found in stretches(*(np.frombuffer(x.as_buffer(), np.int64) for x in (one, two))):
-                out.append((u, uf + found[0], uf + found[1] + WORDS))
-                out.append((v, vf + found[2], vf + found[3] + WORDS))
-        columns = list(zip(*out)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "begin", "end"])
+        u, v, uf, vf = (batch.column(c).to_numpy() for c in ("u", "v", "uf", "vf"))
+        ones, twos = ([np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(c)] for c in ("one", "two"))
+        # pairs of about so many shingles together
+        group = np.cumsum([len(x) + len(y) for x, y in zip(ones, twos)]) // (4 * TOGETHER)
+        cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist() + [len(u)] if len(u) else []
+        for a, b in zip(cuts, cuts[1:]):
+            pair, begin, end, first, last = Pairs(ones[a:b], twos[a:b]).passages().T
+            pair = pair + a
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x)) for x in ((u[pair], v[pair]), (uf[pair] + begin, vf[pair] + first),
+                                                       (uf[pair] + end + WORDS, vf[pair] + last + WORDS))], ["node", "begin", "end"])
 
 
 def ranges(pairs: DataFrame) -> DataFrame:
@@ -485,19 +632,20 @@ def _ranges(batches):
 
 def _open(batches):
     """The windows (sig, place) whose centre lies in none of the spans of their node."""
-    for batch in batches:
-        for node, windows, spans in zip(batch.column("node").to_pylist(), batch.column("windows"), batch.column("spans")):
-            sig, place = (windows.values.field(c).to_numpy() for c in ("sig", "place"))
-            inside = np.zeros(len(place), bool)
-            if spans.is_valid:
-                begin, end = (spans.values.field(c).to_numpy() for c in ("begin", "end"))  # by begin
-                centre = place & 0xFFFFFFFF
-                at = np.searchsorted(begin, centre, side="right") - 1
-                inside = (at >= 0) & (np.maximum.accumulate(end)[at] - WORDS >= centre)
-            if not inside.all():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[~inside]), pa.array(np.full(int((~inside).sum()), node)), pa.array(place[~inside])],
-                    ["sig", "node", "place"])
+    def parts():
+        for batch in batches:
+            for node, windows, spans in zip(batch.column("node").to_pylist(), batch.column("windows"), batch.column("spans")):
+                sig, place = (windows.values.field(c).to_numpy() for c in ("sig", "place"))
+                inside = np.zeros(len(place), bool)
+                if spans.is_valid:
+                    begin, end = (spans.values.field(c).to_numpy() for c in ("begin", "end"))  # by begin
+                    centre = place & 0xFFFFFFFF
+                    at = np.searchsorted(begin, centre, side="right") - 1
+                    inside = (at >= 0) & (np.maximum.accumulate(end)[at] - WORDS >= centre)
+                if not inside.all():
+                    yield sig[~inside], np.full(int((~inside).sum()), node), place[~inside]
+
+    yield from _batched(parts(), ["sig", "node", "place"])
 
 
 def around(places: np.ndarray, size: int) -> np.ndarray:
@@ -511,12 +659,26 @@ def around(places: np.ndarray, size: int) -> np.ndarray:
 
 def _around(batches):
     """The shingles in the wanted windows and their places."""
-    for batch in batches:
-        for node, raw, wanted in zip(batch.column("node").to_pylist(), texts(batch), batch.column("wanted")):
-            _, shingles = sequence(raw)
-            at = np.flatnonzero(around(wanted.values.to_numpy(), len(shingles)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(shingles[at])), pa.array(np.full(len(at), node)), pa.array(at)], ["shingle", "node", "at"])
+    def parts():
+        for batch in batches:
+            for node, shingles, wanted in zip(batch.column("node").to_pylist(), each(texts(batch)), batch.column("wanted")):
+                at = np.flatnonzero(around(wanted.values.to_numpy(), len(shingles)))
+                yield signed(shingles[at]), np.full(len(at), node), at
+
+    yield from _batched(parts(), ["shingle", "node", "at"])
+
+
+def _batched(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The columns of many nodes in batches of some thousand rows."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size > 20_000:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
 
 
 def rarest(rank: np.ndarray, inside: np.ndarray, least: int, rate: int, centres: np.ndarray | None = None) -> np.ndarray:
@@ -555,30 +717,37 @@ def rarest(rank: np.ndarray, inside: np.ndarray, least: int, rate: int, centres:
 def _rarest(batches):
     """The rarest shingles of windows, and whether they are those of open ones. Places that are not listed have a shingle
     that no other node has."""
-    for batch in batches:
-        for node, *columns in zip(batch.column("node").to_pylist(), *(batch.column(c) for c in ("wanted", "open", "listed"))):
-            wanted, is_open, listed = columns
-            at, often, shingle = (listed.values.field(c).to_numpy() for c in ("at", "often", "shingle"))
-            wanted = wanted.values.to_numpy()
-            size = int(max(at.max(), unpacked(wanted)[:, 3].max())) + 1
-            order = np.lexsort((shingle, often))
-            rank, shingles = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            rank[at[order]] = np.cumsum(np.append(True, np.diff(shingle[order]) != 0))  # equal ones have equal ranks
-            shingles[at] = shingle
-            found = rarest(rank, around(wanted, size), LEAST * PERCENT // 100, 5)
-            if len(found):
-                inside = np.zeros(size, bool)
-                if is_open.is_valid:
-                    windows = is_open.values.to_numpy()
-                    inside[rarest(rank, around(windows, size), LEAST, 9, np.unique(unpacked(windows)[:, 2]))] = True
-                # those of one shingle that are near each other as one
-                order = np.lexsort((found, found // (2 * LEAST), rank[found], inside[found]))
-                found = found[order]
-                new = np.append(True, (np.diff(rank[found]) != 0) | (np.diff(found // (2 * LEAST)) != 0) | (np.diff(inside[found]) != 0))
-                first, last = found[new], found[np.append(new[1:], True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shingles[first]), pa.array(np.full(len(first), node)), pa.array(first), pa.array(last),
-                     pa.array(inside[first])], ["shingle", "node", "low", "high", "open"])
+    def parts():
+        for batch in batches:
+            for node, *columns in zip(batch.column("node").to_pylist(), *(batch.column(c) for c in ("wanted", "open", "listed"))):
+                part = rarest_of(node, *columns)
+                if part:
+                    yield part
+
+    yield from _batched(parts(), ["shingle", "node", "low", "high", "open"])
+
+
+def rarest_of(node: int, wanted: pa.ListScalar, is_open: pa.ListScalar, listed: pa.ListScalar) -> tuple[np.ndarray, ...] | None:
+    at, often, shingle = (listed.values.field(c).to_numpy() for c in ("at", "often", "shingle"))
+    wanted = wanted.values.to_numpy()
+    size = int(max(at.max(), unpacked(wanted)[:, 3].max())) + 1
+    order = np.lexsort((shingle, often))
+    rank, shingles = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    rank[at[order]] = np.cumsum(np.append(True, np.diff(shingle[order]) != 0))  # equal ones have equal ranks
+    shingles[at] = shingle
+    found = rarest(rank, around(wanted, size), LEAST * PERCENT // 100, 5)
+    if not len(found):
+        return None
+    inside = np.zeros(size, bool)
+    if is_open.is_valid:
+        windows = is_open.values.to_numpy()
+        inside[rarest(rank, around(windows, size), LEAST, 9, np.unique(unpacked(windows)[:, 2]))] = True
+    # those of one shingle that are near each other as one
+    order = np.lexsort((found, found // (2 * LEAST), rank[found], inside[found]))
+    found = found[order]
+    new = np.append(True, (np.diff(rank[found]) != 0) | (np.diff(found // (2 * LEAST)) != 0) | (np.diff(inside[found]) != 0))
+    first, last = found[new], found[np.append(new[1:], True)]
+    return shingles[first], np.full(len(first), node), first, last, inside[first]
 
 
 def crowded(docs: DataFrame, nodes: DataFrame, crowds: DataFrame, spans: DataFrame) -> DataFrame:
@@ -641,12 +810,8 @@ def passages(docs: DataFrame) -> DataFrame:
     halves_met = met.where("u = v AND vp < 0").selectExpr("u as node", "up as key")
     crowds = met.where("u = v AND vp >= 0").selectExpr("u as node", "up as sig", "vp as place")
     met = met.where("u <> v")
-    # pairs that do not meet in enough functions at all are not gathered
-    often = met.groupBy("u", "v").agg(F.bit_count(F.bit_or(F.expr("shiftleft(1, int(shiftright(up, 44) & 15))"))).alias(
-        "fns")).where(F.col("fns") >= ENOUGH).select("u", "v")
-    gathered = met.join(often, ["u", "v"]).groupBy("u", "v").agg(F.collect_list(F.struct("up", "vp")).alias("met")).select(
-        "u", "v", F.col("met.up").alias("ups"), F.col("met.vp").alias("vps"))
-    pairs = stored(gathered.mapInArrow(_candidates, "u long, v long, uf long, ut long, vf long, vt long"), "candidates")
+    met = met.repartition("u", "v").withColumn("pair", F.xxhash64("u", "v")).sortWithinPartitions("pair").drop("pair")
+    pairs = stored(met.mapInArrow(_candidates, "u long, v long, uf long, ut long, vf long, vt long"), "candidates")
     spans = verified(docs, nodes, pairs).unionByName(equal(docs, nodes, halves_met))
     whole = nodes.where("held > 1").select("node", F.lit(0).cast("long").alias("begin"), F.col("n_words").alias("end"))
     spans = stored(covered(spans.unionByName(whole)), "spans")

@@ -490,3 +490,69 @@ def test_line_quality_without_labels(spark, odd, nothing):
     out = op4_line_quality.line_quality(docs, labels)
     assert out.count() == docs.count() and [r.doc_id for r in out.where("kept").collect()] == [20]
     assert op4_line_quality.line_quality(nothing, labels).count() == 0
+
+
+def test_shingles_of_many_texts_are_those_of_each():
+    """Texts of any length hashed together, and long runs by differences of sums."""
+    rng = np.random.default_rng(6)
+    raws = [" ".join(f"W{x}é" for x in rng.integers(0, 50, n)).encode() for n in (0, 1, 4, 5, 6, 300, 49, 50)] + [b"", b" \n", b"a\n"]
+    found = [x for some in op3_passage_dedup.sequences(raws) for x in some]
+    words = [word_hashes(raw, lower=True) for raw in raws]
+    assert [n for n, _ in found] == [len(x) for x in words]
+    assert all(s.tolist() == op3_passage_dedup.grams(w, 5).tolist() for (_, s), w in zip(found, words))
+    values = rng.integers(0, 1 << 62, 200).astype(np.uint64)
+    plain = np.zeros(200 - 46 + 1, np.uint64)
+    for i in range(46):
+        plain = plain * np.uint64(0x9E3779B97F4A7C15) + values[i : i + len(plain)]
+    assert op3_passage_dedup.grams(values, 46).tolist() == op3_passage_dedup.mix(plain ^ np.uint64(46)).tolist()
+
+
+def test_passages_of_many_pairs_are_those_of_each():
+    """Pairs with several passages, edits, repeats and shingles of other pairs, compared abreast and one by one."""
+    rng = np.random.default_rng(9)
+    ones, twos = [], []
+    for k in range(60):
+        top = 1 << 62 if k % 3 else 90  # few different shingles: repeats in both
+        parts = [rng.integers(0, top, int(rng.integers(20, 140))) for _ in range(6)]
+        ones.append(np.concatenate(parts[:5]))
+        two = np.concatenate([parts[i] for i in rng.permutation([0, 2, 4, 5, 5])])
+        two[rng.integers(0, len(two), int(rng.integers(0, 12)))] += 1
+        twos.append(two)
+    ones.append(twos[0])  # the shingles of another pair
+    twos.append(rng.integers(0, 1 << 62, 100))
+    found = op3_passage_dedup.Pairs(ones, twos).passages()
+    alone = [(i, *row[1:]) for i, (u, v) in enumerate(zip(ones, twos)) for row in op3_passage_dedup.Pairs([u], [v]).passages().tolist()]
+    assert sorted(map(tuple, found.tolist())) == sorted(alone) and len({r[0] for r in alone}) > 40
+    for pair, begin, end, first, last in found.tolist():
+        u, v = ones[pair], twos[pair]
+        one, two = set(u[begin : end + 1].tolist()), set(v[first : last + 1].tolist())
+        assert end - begin + 1 >= 46 and 100 * len(one & two) >= 80 * len(one | two)
+        assert 9 * np.isin(u[begin : end + 1], v).sum() >= 8 * (end - begin + 1)
+    # whichever shared run is long enough by itself is in a passage of its pair, unless v has it in several places
+    for pair in (k for k in range(60) if k % 3):
+        shared = np.isin(ones[pair], twos[pair])
+        covered = np.zeros(len(shared), bool)
+        for _, begin, end, _, _ in (r for r in found.tolist() if r[0] == pair):
+            covered[begin : end + 1] = True
+        assert not any(shared[i : i + 46].all() and not covered[i : i + 46].any() for i in range(len(shared) - 45))
+
+
+@pytest.mark.parametrize("batch", [1, 3, 100])
+def test_candidates_whatever_the_batches(monkeypatch, batch):
+    monkeypatch.setattr(op3_passage_dedup, "TAKEN", batch)
+    windows = [(0, 10, 30, 60), (1, 20, 40, 70), (2, 510, 530, 560)]
+    place = [int(op3_passage_dedup.packed(f, np.array([[left, c, right]]), np.zeros(1, np.uint64))[0]) for f, left, c, right in windows]
+    rows = [(1, 2, p, q) for p, q in zip(place, place)] + [(1, 3, place[0], place[0])] + [(2, 3, p, q) for p, q in zip(place[:2], place[:2])]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + batch])], ["u", "v", "up", "vp"])
+               for i in range(0, len(rows), batch)]
+    found = sorted(tuple(r.values()) for b in op3_passage_dedup._candidates(batches) for r in b.to_pylist())
+    assert found == [(1, 2, 10, 70, 10, 70), (2, 3, 10, 70, 10, 70)]
+
+
+def test_rows_of_many_nodes_come_in_one_batch():
+    """A batch a node cost more than its rows."""
+    text, window = " ".join(f"n{i}" for i in range(80)), np.array([[0, 20, 60]])
+    place = op3_passage_dedup.packed(0, window, np.zeros(1, np.uint64)).tolist()
+    nodes = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([text] * 200), pa.array([place] * 200)], ["node", "text", "wanted"])
+    out = list(op3_passage_dedup._around([nodes]))
+    assert len(out) == 1 and out[0].num_rows == 200 * 61
