@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import bounded, grams, mix, signed, stored, texts, words_of
+from barloom.llm import common
+from barloom.llm.common import bounded, grams, mix, signed, texts, words_of
 
 WORDS, PERCENT = 5, 80
 #: Shortest passage, in words and in shingles.
@@ -58,6 +59,17 @@ _PLACE = (1 << 48) - 1
 _SIDES = mix(np.arange(1, 3, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stored table, without the files of its shuffles, which nothing reads again."""
+    conf, cleanup = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(cleanup)
+    conf.set(cleanup, "true")
+    try:
+        return common.stored(df, name)
+    finally:
+        conf.set(cleanup, before)
+
+
 def sequences(raws: Iterable[bytes]) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Number of words, and the shingles in order, of each text; some at a time."""
     held, size = [], 0
